@@ -203,3 +203,236 @@ def q_mapping_projection(spark, sf_dir):
         T.StructField("nation_id", T.LongType()), T.StructField("balance", T.DecimalType(15, 2)),
         T.StructField("segment", T.StringType())])
     return conform(renamed, target)
+
+
+# ---------------------------------------------------------------- customer: soft delete
+CUSTOMER_TYPED = """
+    SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(15,2)) AS c_acctbal, c_mktsegment
+    FROM customer"""
+CUSTOMER_DATA = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+def customer_change_set(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast("decimal(15,2)").alias("c_acctbal"),
+        "c_mktsegment")
+    k = F.col("c_custkey")
+    tgt = with_seed_audit(c.filter(k % 10 != 0)).withColumn(
+        "del_flag", F.when(k % 13 == 0, F.lit("Y")).otherwise(F.lit("N")))
+    src = c.filter(k % 7 != 0).withColumn(
+        "c_acctbal", F.when(k % 5 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).cast("decimal(15,2)"))
+    return tgt, src
+
+
+CUSTOMER_CTE = f"""
+    c AS ({CUSTOMER_TYPED}),
+    t AS (SELECT *, {SEED_AUDIT_SQL}, CASE WHEN c_custkey % 13 = 0 THEN 'Y' ELSE 'N' END AS del_flag
+          FROM c WHERE c_custkey % 10 <> 0),
+    s AS (SELECT c_custkey, c_name, c_nationkey,
+                 CAST(CASE WHEN c_custkey % 5 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS DECIMAL(15,2)) AS c_acctbal,
+                 c_mktsegment
+          FROM c WHERE c_custkey % 7 <> 0)"""
+
+
+@register("upsert_soft_delete", upsert_sql(CUSTOMER_CTE, "t", "s", ["c_custkey"], CUSTOMER_DATA, flag=True))
+def q_upsert_soft_delete(spark, sf_dir):
+    tgt, src = customer_change_set(spark, sf_dir)
+    return upsert_frame(tgt, src, ["c_custkey"], AUDIT, "L1", RUN_TS, delete_flag_col="del_flag",
+                        detect_deletes=True)
+
+
+# ---------------------------------------------------------------- supplier: key returns after delete
+SUPPLIER_DATA = ["s_name", "s_nationkey", "s_acctbal"]
+SUPPLIER_CTE = f"""
+    p AS (SELECT s_suppkey, s_name, s_nationkey, CAST(s_acctbal AS DECIMAL(15,2)) AS s_acctbal FROM supplier),
+    t AS (SELECT *, {SEED_AUDIT_SQL}, CASE WHEN s_suppkey % 3 = 0 THEN 'Y' ELSE 'N' END AS del_flag
+          FROM p WHERE s_suppkey % 10 <> 0),
+    s AS (SELECT s_suppkey, s_name, s_nationkey,
+                 CAST(CASE WHEN s_suppkey % 5 = 0 THEN s_acctbal + 1 ELSE s_acctbal END AS DECIMAL(15,2)) AS s_acctbal
+          FROM p WHERE s_suppkey % 7 <> 0)"""
+
+
+def _reappear_sql() -> str:
+    parts = []
+    for mode, restore in (("restore", True), ("keep", False)):
+        parts.append(f"SELECT *, '{mode}' AS on_reappear FROM ("
+                     + upsert_sql(SUPPLIER_CTE, "t", "s", ["s_suppkey"], SUPPLIER_DATA, flag=True,
+                                  restore=restore) + ") x")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("upsert_reappear", _reappear_sql())
+def q_upsert_reappear(spark, sf_dir):
+    s0 = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", "s_name", "s_nationkey", F.col("s_acctbal").cast("decimal(15,2)").alias("s_acctbal"))
+    k = F.col("s_suppkey")
+    tgt = with_seed_audit(s0.filter(k % 10 != 0)).withColumn(
+        "del_flag", F.when(k % 3 == 0, F.lit("Y")).otherwise(F.lit("N")))
+    src = s0.filter(k % 7 != 0).withColumn(
+        "s_acctbal", F.when(k % 5 == 0, F.col("s_acctbal") + 1).otherwise(F.col("s_acctbal")).cast("decimal(15,2)"))
+    out = None
+    for mode in ("restore", "keep"):
+        r = upsert_frame(tgt, src, ["s_suppkey"], AUDIT, "L1", RUN_TS, delete_flag_col="del_flag",
+                         detect_deletes=True, on_reappear=mode).withColumn("on_reappear", F.lit(mode))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+# ---------------------------------------------------------------- lineitem: composite + expression key
+LINEITEM_DATA = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                 "l_returnflag", "l_linestatus", "l_shipdate"]
+LINEITEM_TYPED = """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+           CAST(l_quantity AS DECIMAL(15,2)) AS l_quantity, CAST(l_extendedprice AS DECIMAL(15,2)) AS l_extendedprice,
+           CAST(l_discount AS DECIMAL(15,2)) AS l_discount, CAST(l_tax AS DECIMAL(15,2)) AS l_tax,
+           l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate
+    FROM lineitem"""
+
+
+def lineitem_typed(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    dec = lambda c: F.col(c).cast("decimal(15,2)").alias(c)
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", dec("l_quantity"),
+                     dec("l_extendedprice"), dec("l_discount"), dec("l_tax"), "l_returnflag", "l_linestatus",
+                     F.col("l_shipdate").cast("date").alias("l_shipdate"))
+
+
+LINEITEM_KEYS = ["l_orderkey", "l_partkey", "l_suppkey"]
+LINEITEM_VALUES = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+                   "l_linestatus", "l_shipdate"]
+LINEITEM_CTE = f"""
+    li AS ({LINEITEM_TYPED}),
+    t AS (SELECT *, {SEED_AUDIT_SQL} FROM li WHERE (l_orderkey * 8 + l_linenumber) % 10 <> 0),
+    s0 AS (SELECT l_orderkey, l_partkey,
+                  CASE WHEN (l_orderkey * 8 + l_linenumber) % 97 = 0 THEN NULL ELSE l_suppkey END AS l_suppkey,
+                  l_linenumber,
+                  CAST(CASE WHEN (l_orderkey * 8 + l_linenumber) % 5 = 0 THEN l_quantity + 1 ELSE l_quantity END
+                       AS DECIMAL(15,2)) AS l_quantity,
+                  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
+           FROM li WHERE (l_orderkey * 8 + l_linenumber) % 7 <> 0),
+    s AS (SELECT l_orderkey, l_partkey, coalesce(l_suppkey, -1) AS l_suppkey, {', '.join(LINEITEM_VALUES)}
+          FROM s0)"""
+
+
+@register("upsert_composite_key", upsert_sql(LINEITEM_CTE, "t", "s", LINEITEM_KEYS, LINEITEM_VALUES))
+def q_upsert_composite_key(spark, sf_dir):
+    from loadkit.operators.upsert import with_key_expressions
+    li = lineitem_typed(spark, sf_dir)
+    k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    tgt = with_seed_audit(li.filter(k % 10 != 0))
+    src = (li.filter(k % 7 != 0)
+             .withColumn("l_quantity", F.when(k % 5 == 0, F.col("l_quantity") + 1)
+                         .otherwise(F.col("l_quantity")).cast("decimal(15,2)"))
+             .withColumn("l_suppkey", F.when(k % 97 == 0, F.lit(None).cast("long"))
+                         .otherwise(F.col("l_suppkey"))))
+    src = with_key_expressions(src, {"l_suppkey": "coalesce(<<tname>>.l_suppkey, -1)"})
+    return upsert_frame(tgt, src, LINEITEM_KEYS, AUDIT, "L1", RUN_TS)
+
+
+# ---------------------------------------------------------------- query source
+ORDER_REVENUE_SQL = """
+    SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id,
+           CAST(count(*) AS BIGINT) AS n_lines,
+           CAST(sum(CAST(l.l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS gross,
+           CAST(max(CAST(l.l_shipdate AS DATE)) AS DATE) AS last_ship
+    FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+    GROUP BY o.o_orderkey, o.o_custkey"""
+REVENUE_DATA = ["customer_id", "n_lines", "gross", "last_ship"]
+
+
+@register("upsert_query_source", upsert_sql(
+    f"""q AS ({ORDER_REVENUE_SQL}),
+    t AS (SELECT order_id, customer_id,
+                 CASE WHEN order_id % 5 = 0 THEN n_lines + 1 ELSE n_lines END AS n_lines, gross, last_ship,
+                 {SEED_AUDIT_SQL} FROM q WHERE order_id % 10 <> 0)""",
+    "t", "q", ["order_id"], REVENUE_DATA))
+def q_upsert_query_source(spark, sf_dir):
+    from loadkit.sources.tables import read_source
+    for name in ("orders", "lineitem"):
+        table(spark, sf_dir, name).createOrReplaceTempView(name)
+    src = read_source(spark, ORDER_REVENUE_SQL, "query")
+    k = F.col("order_id")
+    tgt = with_seed_audit(src.filter(k % 10 != 0).withColumn(
+        "n_lines", F.when(k % 5 == 0, F.col("n_lines") + 1).otherwise(F.col("n_lines"))))
+    return upsert_frame(tgt, src, ["order_id"], AUDIT, "L1", RUN_TS)
+
+
+# ---------------------------------------------------------------- append with audit
+PART_TYPED = """
+    SELECT p_partkey, p_name, p_brand, p_type, p_size, CAST(p_retailprice AS DECIMAL(15,2)) AS p_retailprice
+    FROM part"""
+
+
+@register("append_with_audit", f"""
+WITH p AS ({PART_TYPED})
+SELECT *, {SEED_AUDIT_SQL} FROM p WHERE p_partkey % 10 <> 0
+UNION ALL
+SELECT *, {RUN_TS_SQL} AS ins_ts, 'L1' AS ins_by, CAST(NULL AS TIMESTAMP) AS upd_ts, CAST(NULL AS VARCHAR) AS upd_by
+FROM p""")
+def q_append_with_audit(spark, sf_dir):
+    from loadkit.operators.upsert import append_rows
+    p = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", "p_brand", "p_type", "p_size",
+        F.col("p_retailprice").cast("decimal(15,2)").alias("p_retailprice"))
+    tgt = with_seed_audit(p.filter(F.col("p_partkey") % 10 != 0))
+    # source columns in another order and case: resolved by name
+    src = p.select(F.col("p_retailprice").alias("P_RETAILPRICE"), "p_size", "p_type", "p_brand", "p_name",
+                   "p_partkey")
+    return tgt.unionByName(append_rows(tgt.schema, src, AUDIT, "L1", RUN_TS))
+
+
+# ---------------------------------------------------------------- key checks
+@register("null_and_duplicate_keys", """
+WITH e AS (SELECT CASE WHEN event_id % 50 = 0 THEN NULL ELSE user_id END AS user_id, event_type FROM events)
+SELECT 'null_key' AS violation, user_id, event_type, CAST(count(*) AS BIGINT) AS n_rows
+FROM e WHERE user_id IS NULL OR event_type IS NULL GROUP BY user_id, event_type
+UNION ALL
+SELECT 'duplicate_key' AS violation, user_id, event_type, CAST(count(*) AS BIGINT) AS n_rows
+FROM e WHERE user_id IS NOT NULL AND event_type IS NOT NULL GROUP BY user_id, event_type HAVING count(*) > 1""")
+def q_null_and_duplicate_keys(spark, sf_dir):
+    from loadkit.operators.upsert import key_violations
+    e = table(spark, sf_dir, "events")
+    e = e.select(F.when(F.col("event_id") % 50 == 0, F.lit(None)).otherwise(F.col("user_id")).alias("user_id"),
+                 "event_type")
+    return key_violations(e, ["user_id", "event_type"])
+
+
+# ---------------------------------------------------------------- legacy hash collisions
+def _collision_frames(p: DataFrame) -> tuple[DataFrame, DataFrame]:
+    k, v = F.col("p_partkey"), F.col("p_partkey") % 3
+    size = F.col("p_size").cast("string")
+    dash = lambda *cs: F.concat_ws("-", *cs)
+    nul = F.lit(None).cast("string")
+    tgt = p.select(k, F.when(v == 1, dash("p_brand", "p_type")).otherwise(F.col("p_brand")).alias("c1"),
+                   F.when(v == 1, F.col("p_name")).otherwise(F.col("p_type")).alias("c2"),
+                   F.when(v == 0, nul).otherwise(size).alias("c3"))
+    src = p.select(k, F.col("p_brand").alias("c1"),
+                   F.when(v == 0, nul).when(v == 1, dash("p_type", "p_name")).otherwise(F.col("p_type")).alias("c2"),
+                   F.when(v == 0, F.col("p_type")).when(v == 1, size)
+                    .otherwise((F.col("p_size") + 1).cast("string")).alias("c3"))
+    return tgt, src
+
+
+@register("legacy_hash_collisions", """
+WITH t AS (SELECT p_partkey,
+                  CASE WHEN p_partkey % 3 = 1 THEN concat_ws('-', p_brand, p_type) ELSE p_brand END AS c1,
+                  CASE WHEN p_partkey % 3 = 1 THEN p_name ELSE p_type END AS c2,
+                  CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST(p_size AS VARCHAR) END AS c3
+           FROM part),
+     s AS (SELECT p_partkey, p_brand AS c1,
+                  CASE WHEN p_partkey % 3 = 0 THEN NULL WHEN p_partkey % 3 = 1 THEN concat_ws('-', p_type, p_name)
+                       ELSE p_type END AS c2,
+                  CASE WHEN p_partkey % 3 = 0 THEN p_type WHEN p_partkey % 3 = 1 THEN CAST(p_size AS VARCHAR)
+                       ELSE CAST(p_size + 1 AS VARCHAR) END AS c3
+           FROM part)
+SELECT s.p_partkey,
+       CASE WHEN concat_ws('-', s.c1, s.c2, s.c3) <> concat_ws('-', t.c1, t.c2, t.c3) THEN 'changed'
+            ELSE 'unchanged' END AS legacy_status,
+       CASE WHEN s.c1 IS DISTINCT FROM t.c1 OR s.c2 IS DISTINCT FROM t.c2 OR s.c3 IS DISTINCT FROM t.c3
+            THEN 'changed' ELSE 'unchanged' END AS exact_status
+FROM s JOIN t ON s.p_partkey = t.p_partkey""")
+def q_legacy_hash_collisions(spark, sf_dir):
+    tgt, src = _collision_frames(table(spark, sf_dir, "part"))
+    leg = classify_changes(src, tgt, ["p_partkey"], compare="legacy_hash", status_col="legacy_status")
+    exa = classify_changes(src, tgt, ["p_partkey"], compare="exact", status_col="exact_status")
+    return leg.select("p_partkey", "legacy_status").join(exa.select("p_partkey", "exact_status"), "p_partkey")

@@ -165,3 +165,16 @@ def append_rows(tgt_schema: T.StructType, src: DataFrame, audit: AuditColumns, l
         aud[3]: F.lit(None).cast(ttypes[aud[3]]),
     }
     return s.select(*[extra[n].alias(n) if n in extra else F.col(n) for n in names])
+
+
+def with_key_expressions(df: DataFrame, key_exprs: dict[str, str], alias: str = "src") -> DataFrame:
+    """JN6: evaluate key expressions (``<<tname>>`` = the frame alias) into the key columns.
+
+    ``{"languagekey": "nvl(<<tname>>.languagekey, 'NA')"}`` makes a NULL language
+    match the literal ``'NA'`` on both sides of the join.
+    """
+    from loadkit.functions.exprs import key_expression
+    d = df.alias(alias)
+    cols = {name: F.expr(key_expression(tmpl, alias)) for name, tmpl in key_exprs.items()}
+    resolved = dict(zip(resolve_columns(df, list(cols)), cols.values()))
+    return d.select(*[resolved[c].alias(c) if c in resolved else F.col(f"{alias}.`{c}`") for c in df.columns])
