@@ -436,3 +436,177 @@ def q_legacy_hash_collisions(spark, sf_dir):
     leg = classify_changes(src, tgt, ["p_partkey"], compare="legacy_hash", status_col="legacy_status")
     exa = classify_changes(src, tgt, ["p_partkey"], compare="exact", status_col="exact_status")
     return leg.select("p_partkey", "legacy_status").join(exa.select("p_partkey", "exact_status"), "p_partkey")
+
+
+# ---------------------------------------------------------------- file ledger over an events listing
+# events rows stand for files: one file per event, under a folder per event type;
+# every fourth file sits one level deeper in archive/ (matched only by a wildcard
+# that crosses folders).
+LISTING_SQL = """
+    listing AS (
+      SELECT 'SAP' AS src_sys_key,
+             'landing/sap/' || event_type || '/' || CASE WHEN event_id % 4 = 0 THEN 'archive/' ELSE '' END
+               || upper(event_type) || '_' || lpad(CAST(event_id AS VARCHAR), 7, '0') || '.txt' AS path,
+             ts AS modificationTime, user_id AS length
+      FROM events),
+    entities AS (
+      SELECT 'SAP' AS src_sys_key, upper(event_type) AS src_entity_key,
+             CAST(ascii(event_type) * 10 + length(event_type) AS INTEGER) AS src_entity_id,
+             event_type || '/' || upper(event_type) || '_*.txt' AS src_entity_pattern,
+             CASE WHEN event_type = 'signup' THEN 'inactive' ELSE 'active' END AS src_entity_status,
+             CASE WHEN event_type IN ('click', 'view') THEN 'full' ELSE 'incremental' END AS src_entity_extract_type
+      FROM (SELECT DISTINCT event_type FROM events)
+      UNION ALL
+      SELECT 'SAP', 'ARCHIVE', 99, '*/archive/*.txt', 'active', 'incremental'),
+    rules AS (
+      SELECT e.*, 7 AS src_sys_id, 'landing/sap/' || e.src_entity_pattern AS pattern
+      FROM entities e WHERE src_entity_status = 'active'),
+    disc AS (
+      SELECT strftime(l.modificationTime, '%Y%m%d.%H%M%S.%f') || '.' || l.src_sys_key || '.'
+               || regexp_extract(l.path, '[^/]*$') AS src_entity_inst_key,
+             l.src_sys_key, r.src_sys_id, r.src_entity_key, r.src_entity_id, r.src_entity_extract_type,
+             l.path AS src_entity_path, regexp_extract(l.path, '[^/]*$') AS src_entity_name,
+             l.modificationTime AS src_entity_timestamp, CAST(l.length AS BIGINT) AS src_entity_size
+      FROM listing l JOIN rules r ON l.src_sys_key = r.src_sys_key AND l.path GLOB r.pattern)"""
+
+LEDGER_OUT = ["src_entity_inst_key", "src_sys_key", "src_entity_key", "src_entity_inst_no", "src_entity_path",
+              "src_entity_name", "src_entity_timestamp", "src_entity_size", "src_entity_staged_time",
+              "src_entity_load_status", "src_entity_load_mesg", "src_entity_load_run_id"]
+
+
+def _staged_sql(alias: str, src: str, last: str | None, ts_sql: str) -> str:
+    base = "0" if last is None else f"coalesce((SELECT max(src_entity_inst_no) FROM {last} x " \
+                                     f"WHERE x.src_sys_key = d.src_sys_key AND x.src_entity_key = d.src_entity_key), 0)"
+    no = (f"CAST({base} + row_number() OVER (PARTITION BY d.src_sys_key, d.src_entity_key "
+          f"ORDER BY d.src_entity_inst_key) AS BIGINT)")
+    return f"""
+    {alias} AS (
+      SELECT src_entity_inst_key, src_sys_key, src_entity_key, inst_no AS src_entity_inst_no, src_entity_path,
+             src_entity_name, src_entity_timestamp, src_entity_size, {ts_sql} AS src_entity_staged_time,
+             'staged' AS src_entity_load_status, 'Staged' AS src_entity_load_mesg,
+             lpad(CAST(src_sys_id AS VARCHAR), 5, '0') || '.' || lpad(CAST(src_entity_id AS VARCHAR), 5, '0')
+               || '.' || lpad(CAST(inst_no AS VARCHAR), 10, '0') AS src_entity_load_run_id
+      FROM (SELECT d.*, {no} AS inst_no FROM {src} d) z)"""
+
+
+LEDGER_CTES = f"""{LISTING_SQL},
+    {_staged_sql('old', '(SELECT * FROM disc WHERE src_entity_size % 3 = 0)', None, SEED_TS_SQL).strip()},
+    {_staged_sql('new', '(SELECT * FROM disc WHERE src_entity_inst_key NOT IN (SELECT src_entity_inst_key FROM old))',
+                 'old', RUN_TS_SQL).strip()},
+    ledger AS (
+      SELECT src_entity_inst_key, src_sys_key, src_entity_key, src_entity_inst_no, src_entity_path, src_entity_name,
+             src_entity_timestamp, src_entity_size, src_entity_staged_time,
+             CASE src_entity_inst_no % 5 WHEN 0 THEN 'success' WHEN 1 THEN 'failed' ELSE 'staged' END
+               AS src_entity_load_status,
+             src_entity_load_mesg, src_entity_load_run_id
+      FROM (SELECT * FROM old UNION ALL SELECT * FROM new))"""
+
+
+def events_listing(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(listing, rules) derived from the events table."""
+    from loadkit.operators.ledger import entity_rules
+    e = table(spark, sf_dir, "events")
+    path = F.concat(F.lit("landing/sap/"), F.col("event_type"), F.lit("/"),
+                    F.when(F.col("event_id") % 4 == 0, F.lit("archive/")).otherwise(F.lit("")),
+                    F.upper("event_type"), F.lit("_"), F.lpad(F.col("event_id").cast("string"), 7, "0"),
+                    F.lit(".txt"))
+    listing = e.select(F.lit("SAP").alias("src_sys_key"), path.alias("path"),
+                       F.col("ts").alias("modificationTime"), F.col("user_id").alias("length"))
+    et = F.col("event_type")
+    ents = e.select("event_type").distinct().select(
+        F.lit("SAP").alias("src_sys_key"), F.upper(et).alias("src_entity_key"),
+        (F.ascii(et) * 10 + F.length(et)).cast("int").alias("src_entity_id"),
+        F.concat(et, F.lit("/"), F.upper(et), F.lit("_*.txt")).alias("src_entity_pattern"),
+        F.when(et == "signup", F.lit("inactive")).otherwise(F.lit("active")).alias("src_entity_status"),
+        F.when(et.isin("click", "view"), F.lit("full")).otherwise(F.lit("incremental"))
+         .alias("src_entity_extract_type"))
+    archive = spark.createDataFrame([("SAP", "ARCHIVE", 99, "*/archive/*.txt", "active", "incremental")],
+                                    ents.schema)
+    systems = spark.createDataFrame([("SAP", 7, "landing/sap", "active")],
+                                    "src_sys_key string, src_sys_id int, src_entity_path string, src_sys_status string")
+    return listing, entity_rules(systems, ents.unionByName(archive))
+
+
+@register("discover_files", f"WITH {LISTING_SQL}\nSELECT * FROM disc")
+def q_discover_files(spark, sf_dir):
+    from loadkit.operators.ledger import discover_files
+    listing, rules = events_listing(spark, sf_dir)
+    return discover_files(listing, rules)
+
+
+def _ledger_frames(spark, sf_dir):
+    from loadkit.operators.ledger import LEDGER_SCHEMA, discover_files, stage_new_files
+    listing, rules = events_listing(spark, sf_dir)
+    disc = discover_files(listing, rules)
+    empty = spark.createDataFrame([], LEDGER_SCHEMA)
+    old = stage_new_files(disc.filter(F.col("src_entity_size") % 3 == 0), empty, SEED_TS)
+    new = stage_new_files(disc, old, RUN_TS)
+    return old, new
+
+
+@register("stage_new_files", f"WITH {LEDGER_CTES}\nSELECT * FROM new")
+def q_stage_new_files(spark, sf_dir):
+    return _ledger_frames(spark, sf_dir)[1]
+
+
+def ledger_frame(spark, sf_dir) -> DataFrame:
+    old, new = _ledger_frames(spark, sf_dir)
+    n = F.col("src_entity_inst_no") % 5
+    return old.unionByName(new).withColumn(
+        "src_entity_load_status",
+        F.when(n == 0, F.lit("success")).when(n == 1, F.lit("failed")).otherwise(F.lit("staged")))
+
+
+def _select_sql(policy: str) -> str:
+    part = "PARTITION BY src_sys_key, src_entity_key"
+    if policy == "full":
+        action = (f"CASE WHEN src_entity_inst_key = max(src_entity_inst_key) OVER ({part}) THEN 'load' "
+                  "ELSE 'skip' END")
+        seq = f"CASE WHEN src_entity_inst_key = max(src_entity_inst_key) OVER ({part}) THEN CAST(1 AS BIGINT) END"
+    elif policy == "incremental_one":
+        action = (f"CASE WHEN src_entity_inst_key = min(src_entity_inst_key) OVER ({part}) THEN 'load' "
+                  "ELSE 'wait' END")
+        seq = f"CASE WHEN src_entity_inst_key = min(src_entity_inst_key) OVER ({part}) THEN CAST(1 AS BIGINT) END"
+    else:
+        action = "'load'"
+        seq = f"CAST(row_number() OVER ({part} ORDER BY src_entity_inst_key) AS BIGINT)"
+    return f"""WITH {LEDGER_CTES}
+SELECT *, {action} AS action, {seq} AS load_seq
+FROM ledger WHERE src_entity_load_status IN ('staged', 'failed')"""
+
+
+def _select(policy):
+    def q(spark, sf_dir):
+        from loadkit.operators.ledger import select_files
+        return select_files(ledger_frame(spark, sf_dir), policy)
+    return q
+
+
+register("select_full_latest", _select_sql("full"))(_select("full"))
+register("select_incremental_all", _select_sql("incremental_all"))(_select("incremental_all"))
+register("select_incremental_oldest", _select_sql("incremental_one"))(_select("incremental_one"))
+
+
+@register("ledger_status_update", f"""WITH {LEDGER_CTES},
+sel AS (SELECT src_entity_inst_key,
+               CASE WHEN src_entity_inst_key = max(src_entity_inst_key)
+                         OVER (PARTITION BY src_sys_key, src_entity_key) THEN 'load' ELSE 'skip' END AS action
+        FROM ledger WHERE src_entity_load_status IN ('staged', 'failed')),
+upd AS (SELECT src_entity_inst_key,
+               CASE WHEN action = 'load' THEN 'success' ELSE 'skipped' END AS st,
+               CASE WHEN action = 'load' THEN 'Loaded' ELSE 'Skipped: newer file loaded' END AS msg
+        FROM sel)
+SELECT l.src_entity_inst_key, l.src_sys_key, l.src_entity_key, l.src_entity_inst_no, l.src_entity_path,
+       l.src_entity_name, l.src_entity_timestamp, l.src_entity_size, l.src_entity_staged_time,
+       coalesce(u.st, l.src_entity_load_status) AS src_entity_load_status,
+       coalesce(u.msg, l.src_entity_load_mesg) AS src_entity_load_mesg,
+       CASE WHEN u.src_entity_inst_key IS NOT NULL THEN 'R1' ELSE l.src_entity_load_run_id END AS src_entity_load_run_id
+FROM ledger l LEFT JOIN upd u ON l.src_entity_inst_key = u.src_entity_inst_key""")
+def q_ledger_status_update(spark, sf_dir):
+    from loadkit.operators.ledger import apply_status, select_files, skip_others
+    ledger = ledger_frame(spark, sf_dir)
+    sel = select_files(ledger, "full")
+    loaded = sel.filter(F.col("action") == "load").select(
+        "src_entity_inst_key", F.lit("success").alias("src_entity_load_status"),
+        F.lit("Loaded").alias("src_entity_load_mesg"), F.lit("R1").alias("src_entity_load_run_id"))
+    return apply_status(ledger, loaded.unionByName(skip_others(sel, "R1")))
