@@ -610,3 +610,171 @@ def q_ledger_status_update(spark, sf_dir):
         "src_entity_inst_key", F.lit("success").alias("src_entity_load_status"),
         F.lit("Loaded").alias("src_entity_load_mesg"), F.lit("R1").alias("src_entity_load_run_id"))
     return apply_status(ledger, loaded.unionByName(skip_others(sel, "R1")))
+
+
+# ---------------------------------------------------------------- delimited feeds (C4)
+def _contract(name, cols, **kw):
+    from loadkit.contracts import ColumnMap, FeedContract
+    return FeedContract(name=name, columns=tuple(ColumnMap(s, t, ty) for s, t, ty in cols), **kw)
+
+
+CUSTOMER_FEED = [("c_custkey", "customer_id", "bigint"), ("c_name", "customer_name", "string"),
+                 ("c_nationkey", "nation_id", "int"), ("c_acctbal", "balance", "decimal(15,2)"),
+                 ("c_mktsegment", "segment", "string")]
+
+
+@register("delimited_roundtrip", """
+SELECT c_custkey AS customer_id, c_name AS customer_name, c_nationkey AS nation_id,
+       CAST(c_acctbal AS DECIMAL(15,2)) AS balance, c_mktsegment AS segment
+FROM customer""")
+def q_delimited_roundtrip(spark, sf_dir):
+    """customer -> tab-separated files with a header (16 files) -> contract read."""
+    from loadkit.session import scratch_path
+    from loadkit.sources.delimited import load_delimited, render_delimited
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast("decimal(15,2)").cast("string").alias("c_acctbal"),
+        "c_mktsegment")
+    path = render_delimited(c, scratch_path(spark, "feed_tab_header"), sep="\t", header=True, files=16)
+    contract = _contract("feed_tab_header", CUSTOMER_FEED, header=True, sep="\t", quote='"')
+    return load_delimited(spark, path, contract)
+
+
+ORDERS_FEED = [("_c0", "order_id", "bigint"), ("_c1", "customer_id", "bigint"), ("_c2", "order_date", "date"),
+               ("_c3", "amount", "decimal(15,2)"), ("_c4", "priority", "string")]
+
+
+@register("delimited_dates_decimals", """
+SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+       CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 THEN NULL
+            ELSE CAST(o_orderdate AS DATE) END AS order_date,
+       CASE WHEN o_orderkey % 23 = 0 OR o_orderkey % 29 = 0 THEN NULL
+            ELSE CAST(o_totalprice AS DECIMAL(15,2)) END AS amount,
+       CASE WHEN o_orderkey % 31 = 0 THEN o_orderpriority || '|x'
+            WHEN o_orderkey % 37 = 0 THEN o_orderpriority || chr(10) || 'line2'
+            ELSE o_orderpriority END AS priority
+FROM orders""")
+def q_delimited_dates_decimals(spark, sf_dir):
+    """orders -> pipe text with yyyyMMdd dates, quoted separators and newlines and
+    derived hostile cells (00000000, 20230230, blank, non-numeric, over precision)."""
+    from loadkit.session import scratch_path
+    from loadkit.sources.delimited import load_delimited, render_delimited
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    date_txt = (F.when(k % 13 == 0, F.lit("00000000")).when(k % 17 == 0, F.lit("20230230"))
+                 .when(k % 19 == 0, F.lit("")).otherwise(F.date_format("o_orderdate", "yyyyMMdd")))
+    amt_txt = (F.when(k % 23 == 0, F.lit("n/a")).when(k % 29 == 0, F.lit("12345678901234.50"))
+                .otherwise(F.col("o_totalprice").cast("decimal(15,2)").cast("string")))
+    prio = (F.when(k % 31 == 0, F.concat("o_orderpriority", F.lit("|x")))
+             .when(k % 37 == 0, F.concat("o_orderpriority", F.lit("\nline2"))).otherwise(F.col("o_orderpriority")))
+    text = o.select(k.cast("string"), F.col("o_custkey").cast("string"), date_txt, amt_txt, prio)
+    path = render_delimited(text, scratch_path(spark, "feed_pipe"), sep="|", files=16)
+    contract = _contract("feed_pipe", ORDERS_FEED, sep="|", quote='"', multiline=True, date_format="yyyyMMdd")
+    return load_delimited(spark, path, contract)
+
+
+# ---------------------------------------------------------------- XML record sets
+ORDERS_PER_DOC = 64
+
+
+def render_order_documents(spark, sf_dir, path: str, parent_after_child: bool = False,
+                           files: int = 8) -> str:
+    """orders + lineitem as XML: one <DOC> per 64 consecutive order keys, a header
+    segment, repeating <ORDER> with repeating <LINE> children.
+
+    Document size is bounded by ORDERS_PER_DOC orders and lines per order are
+    bounded by the line-number domain, so no collected group grows with the data.
+    """
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("o_orderkey")
+    line = F.struct(F.col("l_linenumber").cast("string").alias("L_LINENUMBER"),
+                    F.col("l_partkey").cast("string").alias("L_PARTKEY"),
+                    F.col("l_suppkey").cast("string").alias("L_SUPPKEY"),
+                    F.col("l_quantity").cast("decimal(15,2)").cast("string").alias("L_QTY"),
+                    F.col("l_extendedprice").cast("decimal(15,2)").cast("string").alias("L_PRICE"))
+    lines = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(line).alias("LINE"))
+    prio = F.when(k % 7 == 0, F.concat("o_orderpriority", F.lit(" & co"))).otherwise(F.col("o_orderpriority"))
+    fields = [k.cast("string").alias("O_ORDERKEY"), F.col("o_custkey").cast("string").alias("O_CUSTKEY"),
+              F.col("o_orderstatus").alias("O_STATUS"),
+              F.col("o_totalprice").cast("decimal(15,2)").cast("string").alias("O_TOTAL"),
+              F.date_format("o_orderdate", "yyyy-MM-dd").alias("O_DATE"), prio.alias("O_PRIORITY")]
+    order = F.struct(*([F.col("LINE")] + fields if parent_after_child else fields + [F.col("LINE")]))
+    docs = (o.join(lines, "o_orderkey", "left")
+             .groupBy(F.expr(f"o_orderkey div {ORDERS_PER_DOC}").alias("doc"))
+             .agg(F.min("o_orderdate").alias("created"), F.collect_list(order).alias("ORDER")))
+    docs = docs.select(F.struct(F.col("doc").cast("string").alias("DOCNUM"),
+                                F.date_format("created", "yyyy-MM-dd").alias("CREATED_ON")).alias("HDR"),
+                       "ORDER")
+    (docs.repartition(files).write.format("xml").option("rootTag", "ORDERS").option("rowTag", "DOC")
+         .mode("errorifexists").save(path))
+    return path
+
+
+def order_xml_contract():
+    from loadkit.contracts import XmlColumn, XmlContract, XmlRecordSet
+    hdr = [XmlColumn("docnum", "HDR/DOCNUM", False), XmlColumn("created_on", "HDR/CREATED_ON", False)]
+    order_cols = [XmlColumn("o_orderkey", "ORDER/O_ORDERKEY"), XmlColumn("o_custkey", "ORDER/O_CUSTKEY"),
+                  XmlColumn("o_orderstatus", "ORDER/O_STATUS"), XmlColumn("o_totalprice", "ORDER/O_TOTAL"),
+                  XmlColumn("o_orderdate", "ORDER/O_DATE"), XmlColumn("o_orderpriority", "ORDER/O_PRIORITY")]
+    line_cols = [XmlColumn("l_linenumber", "ORDER/LINE/L_LINENUMBER"), XmlColumn("l_partkey", "ORDER/LINE/L_PARTKEY"),
+                 XmlColumn("l_suppkey", "ORDER/LINE/L_SUPPKEY"), XmlColumn("l_quantity", "ORDER/LINE/L_QTY"),
+                 XmlColumn("l_extendedprice", "ORDER/LINE/L_PRICE")]
+    carried = [XmlColumn(c.name, c.path, False) for c in order_cols[:1] + order_cols[4:5]]
+    return XmlContract("orders_xml", "DOC", (
+        XmlRecordSet("orders", "ORDER", tuple(hdr + order_cols)),
+        XmlRecordSet("lines", "ORDER/LINE", tuple(hdr + carried + line_cols))))
+
+
+XML_ORDER_TYPES = "docnum bigint, created_on date, o_orderkey bigint, o_custkey bigint, o_orderstatus string, " \
+                  "o_totalprice decimal(15,2), o_orderdate date, o_orderpriority string"
+XML_LINE_TYPES = "docnum bigint, created_on date, o_orderkey bigint, o_orderdate date, l_linenumber int, " \
+                 "l_partkey bigint, l_suppkey bigint, l_quantity decimal(15,2), l_extendedprice decimal(15,2)"
+
+XML_DOC_CTE = f"""
+    o AS (SELECT *, o_orderkey // {ORDERS_PER_DOC} AS doc FROM orders),
+    h AS (SELECT doc, CAST(min(o_orderdate) AS DATE) AS created_on FROM o GROUP BY doc)"""
+
+
+def _xml_records(spark, sf_dir, record_set: str, types: str, parent_after_child: bool = False):
+    from loadkit.session import scratch_path
+    from loadkit.sources.xml import load_xml_recordsets
+    path = render_order_documents(spark, sf_dir, scratch_path(spark, "orders_xml"), parent_after_child)
+    sets = load_xml_recordsets(spark, path, order_xml_contract())
+    return conform(sets[record_set], _ddl_schema(types))
+
+
+def _ddl_schema(ddl: str):
+    from pyspark.sql import types as T
+    fields = []
+    for part in ddl.split(", "):
+        name, ty = part.split(" ", 1)
+        fields.append(T.StructField(name, T._parse_datatype_string(ty)))
+    return T.StructType(fields)
+
+
+@register("xml_orders", f"""
+WITH {XML_DOC_CTE}
+SELECT CAST(o.doc AS BIGINT) AS docnum, h.created_on, o_orderkey, o_custkey, o_orderstatus,
+       CAST(o_totalprice AS DECIMAL(15,2)) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+       CASE WHEN o_orderkey % 7 = 0 THEN o_orderpriority || ' & co' ELSE o_orderpriority END AS o_orderpriority
+FROM o JOIN h ON o.doc = h.doc""")
+def q_xml_orders(spark, sf_dir):
+    return _xml_records(spark, sf_dir, "orders", XML_ORDER_TYPES)
+
+
+XML_LINES_SQL = f"""
+WITH {XML_DOC_CTE}
+SELECT CAST(o.doc AS BIGINT) AS docnum, h.created_on, o.o_orderkey, CAST(o.o_orderdate AS DATE) AS o_orderdate,
+       l.l_linenumber, l.l_partkey, l.l_suppkey, CAST(l.l_quantity AS DECIMAL(15,2)) AS l_quantity,
+       CAST(l.l_extendedprice AS DECIMAL(15,2)) AS l_extendedprice
+FROM o JOIN h ON o.doc = h.doc JOIN lineitem l ON l.l_orderkey = o.o_orderkey"""
+
+
+@register("xml_header_detail", XML_LINES_SQL)
+def q_xml_header_detail(spark, sf_dir):
+    return _xml_records(spark, sf_dir, "lines", XML_LINE_TYPES)
+
+
+@register("xml_parent_after_child", XML_LINES_SQL)
+def q_xml_parent_after_child(spark, sf_dir):
+    return _xml_records(spark, sf_dir, "lines", XML_LINE_TYPES, parent_after_child=True)
