@@ -778,3 +778,59 @@ def q_xml_header_detail(spark, sf_dir):
 @register("xml_parent_after_child", XML_LINES_SQL)
 def q_xml_parent_after_child(spark, sf_dir):
     return _xml_records(spark, sf_dir, "lines", XML_LINE_TYPES, parent_after_child=True)
+
+
+# ---------------------------------------------------------------- audit log and maintenance schedule
+AUDIT_EVENTS_SQL = """
+    a AS (SELECT 'run-' || CAST(user_id AS VARCHAR) AS id, 'finance' AS domain, 'raw' AS layer,
+                 'load_' || CAST(user_id % 7 AS VARCHAR) AS job_name, 'app' AS spark_application_id,
+                 CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'completed' ELSE 'started' END
+                   AS status,
+                 ts AS event_time, event_id AS rows_read, user_id AS rows_new, CAST(NULL AS BIGINT) AS rows_changed,
+                 CAST(0 AS BIGINT) AS rows_deleted, event_type AS message
+          FROM events)"""
+
+
+def audit_events(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    et = F.col("event_type")
+    return e.select(
+        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("id"), F.lit("finance").alias("domain"),
+        F.lit("raw").alias("layer"), F.concat(F.lit("load_"), (F.col("user_id") % 7).cast("string")).alias("job_name"),
+        F.lit("app").alias("spark_application_id"),
+        F.when(et == "error", "failed").when(et == "purchase", "completed").otherwise("started").alias("status"),
+        F.col("ts").alias("event_time"), F.col("event_id").alias("rows_read"), F.col("user_id").alias("rows_new"),
+        F.lit(None).cast("long").alias("rows_changed"), F.lit(0).cast("long").alias("rows_deleted"),
+        et.alias("message"))
+
+
+@register("audit_latest_state", f"""
+WITH {AUDIT_EVENTS_SQL},
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY event_time DESC) AS rn,
+             min(event_time) OVER (PARTITION BY id) AS st, max(event_time) OVER (PARTITION BY id) AS mt
+      FROM a)
+SELECT id, domain, layer, job_name, spark_application_id, status, rows_read, rows_new, rows_changed, rows_deleted,
+       message, st AS start_time, CASE WHEN status IN ('completed', 'failed') THEN mt END AS end_time
+FROM r WHERE rn = 1""")
+def q_audit_latest_state(spark, sf_dir):
+    from loadkit.operators.audit import audit_latest_state
+    return audit_latest_state(audit_events(spark, sf_dir))
+
+
+@register("maintenance_due", """
+WITH m AS (SELECT event_type || '_' || CAST(user_id % 10 AS VARCHAR) AS table_name, ts AS start_time,
+                  CASE WHEN event_id % 97 = 0 THEN 'success' ELSE 'failed' END AS status
+           FROM events),
+g AS (SELECT table_name, max(CASE WHEN status = 'success' THEN start_time END) AS last_success,
+             CAST(count(*) AS BIGINT) AS n_runs
+      FROM m GROUP BY table_name)
+SELECT table_name, last_success, n_runs,
+       (last_success IS NULL OR last_success < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY) AS due
+FROM g""")
+def q_maintenance_due(spark, sf_dir):
+    from loadkit.operators.audit import maintenance_due
+    e = table(spark, sf_dir, "events")
+    runs = e.select(F.concat(F.col("event_type"), F.lit("_"), (F.col("user_id") % 10).cast("string")).alias("table_name"),
+                    F.col("ts").alias("start_time"),
+                    F.when(F.col("event_id") % 97 == 0, "success").otherwise("failed").alias("status"))
+    return maintenance_due(runs, dt.datetime(2024, 1, 31), days=7)
