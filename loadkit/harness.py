@@ -834,3 +834,31 @@ def q_maintenance_due(spark, sf_dir):
                     F.col("ts").alias("start_time"),
                     F.when(F.col("event_id") % 97 == 0, "success").otherwise("failed").alias("status"))
     return maintenance_due(runs, dt.datetime(2024, 1, 31), days=7)
+
+
+# ---------------------------------------------------------------- streaming ingestion
+@register("stream_ingest", f"""
+SELECT c_custkey AS customer_id, c_name AS customer_name, c_nationkey AS nation_id,
+       CAST(c_acctbal AS DECIMAL(15,2)) AS balance, c_mktsegment AS segment,
+       {RUN_TS_SQL} AS ins_ts, 'STREAM' AS ins_by, CAST(NULL AS TIMESTAMP) AS upd_ts, CAST(NULL AS VARCHAR) AS upd_by
+FROM customer""")
+def q_stream_ingest(spark, sf_dir):
+    """customer as 8 headerless CSV files, streamed available-now two files per
+    micro-batch, upserted by key into a snapshot table; result = final table."""
+    from pyspark.sql import types as T
+    from loadkit.plans.snapshots import SnapshotTable
+    from loadkit.session import scratch_path
+    from loadkit.sources.delimited import render_delimited
+    from loadkit.streaming.ingest import ingest_available, snapshot_sink
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast("decimal(15,2)").cast("string"), "c_mktsegment")
+    src_dir = render_delimited(c, scratch_path(spark, "stream_src"), sep=",", files=8)
+    contract = _contract("feed_stream", [(f"_c{i}", t, ty) for i, (_, t, ty) in enumerate(CUSTOMER_FEED)],
+                         sep=",", quote='"', file_pattern="part-*")
+    target = T.StructType(contract.target_schema().fields + [
+        T.StructField("ins_ts", T.TimestampNTZType()), T.StructField("ins_by", T.StringType()),
+        T.StructField("upd_ts", T.TimestampNTZType()), T.StructField("upd_by", T.StringType())])
+    tbl = SnapshotTable(spark, scratch_path(spark, "stream_tgt"))
+    sink = snapshot_sink(tbl, target, AUDIT, "STREAM", RUN_TS, keys=["customer_id"])
+    ingest_available(spark, src_dir, contract, sink, scratch_path(spark, "stream_ckpt"), max_files_per_trigger=2)
+    return tbl.read()

@@ -1,9 +1,12 @@
 """Run-stamped Parquet snapshots: an all-or-nothing publish without a table format.
 
-Layout: ``<root>/v=<seq>/`` holds one complete version of the table; a version
-is visible only after its commit marker ``_LOADKIT_COMMIT`` is written, which
-happens after Spark's job commit succeeded. Readers take the highest committed
-version. Spark cannot overwrite a path it is reading, so every rewrite goes to a
+Layout: ``<root>/v=<seq>/`` holds the files one write added; a version is
+visible only after its commit marker ``_LOADKIT_COMMIT`` is written, which
+happens after Spark's job commit succeeded. A version is either an
+``overwrite`` (complete table content) or an ``append`` (rows added on top);
+the table is the latest overwrite plus the appends committed after it, read in
+one scan. A run id already committed is not written twice, so re-running a
+load after a crash cannot duplicate rows. Spark cannot overwrite a path it is reading, so every rewrite goes to a
 fresh folder; older versions stay for rollback until ``expire`` removes them.
 One writer per table; there is no transaction log or concurrency control.
 
@@ -33,6 +36,7 @@ class Snapshot:
     path: str
     run_id: str | None
     committed_at: str | None
+    mode: str = "overwrite"
 
 
 class SnapshotTable:
@@ -62,9 +66,10 @@ class SnapshotTable:
             marker = self._path(f"{self.root}/{name}/{MARKER}")
             if not self._fs.exists(marker):
                 continue
-            meta = self._read_text(marker)
+            meta = self._read_text(f"{self.root}/{name}/{MARKER}")
             info = json.loads(meta) if meta else {}
-            out.append(Snapshot(int(m.group(1)), f"{self.root}/{name}", info.get("run_id"), info.get("committed_at")))
+            out.append(Snapshot(int(m.group(1)), f"{self.root}/{name}", info.get("run_id"),
+                                info.get("committed_at"), info.get("mode", "overwrite")))
         return sorted(out, key=lambda s: s.seq)
 
     def latest(self) -> Snapshot | None:
@@ -77,14 +82,7 @@ class SnapshotTable:
     def _read_text(self, p: str) -> str:
         stream = self._fs.open(self._path(p))
         try:
-            data = bytearray()
-            buf = self.spark.sparkContext._gateway.new_array(self.spark.sparkContext._jvm.byte, 4096)
-            while True:
-                n = stream.read(buf)
-                if n <= 0:
-                    break
-                data.extend(bytes(buf)[:n])
-            return data.decode()
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
 
@@ -95,24 +93,42 @@ class SnapshotTable:
         finally:
             out.close()
 
+    def current_chain(self) -> list[Snapshot]:
+        """Versions making up the table now: the latest overwrite and later appends."""
+        chain = []
+        for s in reversed(self.snapshots()):
+            chain.append(s)
+            if s.mode == "overwrite":
+                break
+        return list(reversed(chain))
+
     # ------------------------------------------------------------ read / write
+    def exists(self) -> bool:
+        return bool(self.current_chain())
+
     def read(self) -> DataFrame:
-        snap = self.latest()
-        if snap is None:
+        chain = self.current_chain()
+        if not chain:
             raise FileNotFoundError(f"no committed snapshot under {self.root}")
-        return self.spark.read.parquet(snap.path)
+        return self.spark.read.parquet(*[s.path for s in chain])
 
     def read_or_empty(self, schema) -> DataFrame:
-        snap = self.latest()
-        if snap is None:
+        if not self.current_chain():
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(snap.path)
+        return self.read()
 
     def write(self, df: DataFrame, run_id: str | None = None, observe: dict | None = None,
               repartition_by: list[str] | None = None, num_files: int | None = None,
-              partition_cols: list[str] | None = None) -> tuple[Snapshot, dict]:
+              partition_cols: list[str] | None = None, mode: str = "overwrite") -> tuple[Snapshot, dict]:
         """Write ``df`` as the next version and commit it. ``observe`` maps metric
-        names to aggregate Columns gathered during the same write (no extra pass)."""
+        names to aggregate Columns gathered during the same write (no extra pass).
+        ``mode`` is ``overwrite`` (new complete content) or ``append``."""
+        if mode not in ("overwrite", "append"):
+            raise ValueError(f"unknown write mode {mode!r}")
+        if run_id is not None:
+            for s in self.snapshots():
+                if s.run_id == run_id:
+                    return s, {}
         last = self.latest()
         seq = (last.seq if last else 0) + 1
         path = f"{self.root}/v={seq:010d}"
@@ -134,17 +150,18 @@ class SnapshotTable:
         metrics = dict(obs.get) if obs is not None else {}
         committed_at = _dt.datetime.now(_dt.timezone.utc).isoformat()
         self._write_text(f"{path}/{MARKER}", json.dumps({"run_id": run_id, "committed_at": committed_at,
+                                                          "mode": mode,
                                                           "metrics": {k: str(v) for k, v in metrics.items()}}))
-        return Snapshot(seq, path, run_id, committed_at), metrics
+        return Snapshot(seq, path, run_id, committed_at, mode), metrics
 
     # ------------------------------------------------------------ maintenance
     def file_stats(self) -> DataFrame:
-        """Data files and bytes of the latest version, from a distributed listing."""
-        snap = self.latest()
-        if snap is None:
+        """Data files and bytes of the current table, from a distributed listing."""
+        chain = self.current_chain()
+        if not chain:
             return self.spark.createDataFrame([(0, 0, 0.0)], "n_files long, total_bytes long, mean_bytes double")
         files = (self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                      .option("recursiveFileLookup", "true").load(snap.path).select("length"))
+                      .option("recursiveFileLookup", "true").load([s.path for s in chain]).select("length"))
         return files.agg(F.count(F.lit(1)).alias("n_files"),
                          F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("total_bytes"),
                          F.coalesce(F.avg("length"), F.lit(0.0)).alias("mean_bytes"))
@@ -168,8 +185,11 @@ class SnapshotTable:
         ``max_age_days``. Returns removed paths."""
         now = now or _dt.datetime.now(_dt.timezone.utc)
         snaps = self.snapshots()
+        live = {s.seq for s in self.current_chain()}
         removed = []
-        for s in snaps[:-min_keep] if min_keep > 0 else snaps[:-1]:
+        for s in (snaps[:-min_keep] if min_keep > 0 else snaps):
+            if s.seq in live:
+                continue
             ts = _dt.datetime.fromisoformat(s.committed_at) if s.committed_at else None
             if ts is not None and (now - ts).total_seconds() > max_age_days * 86400:
                 self._fs.delete(self._path(s.path), True)
