@@ -297,20 +297,20 @@ def lineitem_typed(spark, sf_dir) -> DataFrame:
                      F.col("l_shipdate").cast("date").alias("l_shipdate"))
 
 
-LINEITEM_KEYS = ["l_orderkey", "l_partkey", "l_suppkey"]
-LINEITEM_VALUES = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-                   "l_linestatus", "l_shipdate"]
+LINEITEM_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+LINEITEM_VALUES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 LINEITEM_CTE = f"""
     li AS ({LINEITEM_TYPED}),
     t AS (SELECT *, {SEED_AUDIT_SQL} FROM li WHERE (l_orderkey * 8 + l_linenumber) % 10 <> 0),
-    s0 AS (SELECT l_orderkey, l_partkey,
+    s0 AS (SELECT l_orderkey, l_linenumber, l_partkey,
                   CASE WHEN (l_orderkey * 8 + l_linenumber) % 97 = 0 THEN NULL ELSE l_suppkey END AS l_suppkey,
-                  l_linenumber,
+                  l_shipdate,
                   CAST(CASE WHEN (l_orderkey * 8 + l_linenumber) % 5 = 0 THEN l_quantity + 1 ELSE l_quantity END
                        AS DECIMAL(15,2)) AS l_quantity,
-                  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
+                  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus
            FROM li WHERE (l_orderkey * 8 + l_linenumber) % 7 <> 0),
-    s AS (SELECT l_orderkey, l_partkey, coalesce(l_suppkey, -1) AS l_suppkey, {', '.join(LINEITEM_VALUES)}
+    s AS (SELECT l_orderkey, l_linenumber, l_partkey, coalesce(l_suppkey, -1) AS l_suppkey, l_shipdate,
+                 {', '.join(LINEITEM_VALUES)}
           FROM s0)"""
 
 
