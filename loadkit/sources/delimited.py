@@ -60,9 +60,16 @@ def load_delimited(spark: SparkSession, paths: str | Sequence[str], contract: Fe
 
 
 def file_outcomes(loaded: DataFrame) -> DataFrame:
-    """Rows and rejects per source file (needs ``with_source_file`` and ``with_rejects``)."""
+    """Rows and rejects per source file (needs ``with_source_file`` and ``with_rejects``).
+
+    Every data column is referenced so the CSV parser (which prunes unreferenced
+    columns) checks every field of every line.
+    """
+    data = [F.col(f"`{c}`") for c in loaded.columns if c not in (SOURCE_FILE, CORRUPT)]
+    nulls = sum((c.isNull().cast("int") for c in data), F.lit(0))
     return loaded.groupBy(SOURCE_FILE).agg(
         F.count(F.lit(1)).alias("n_rows"),
+        F.sum(nulls).cast("long").alias("n_null_cells"),
         F.sum(F.when(F.col(CORRUPT).isNotNull(), 1).otherwise(0)).cast("long").alias("n_rejects"))
 
 
