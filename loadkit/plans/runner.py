@@ -80,6 +80,8 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
     if snap_target:
         if not table.exists():
             raise ContractError(f"target {spec.target} has no committed snapshot")
+        if run_id in table.committed_runs():
+            return LoadResult(run_id, "completed", {}, None, "run already committed")
         tgt = table.read()
     else:
         if not spark.catalog.tableExists(spec.target):
@@ -108,7 +110,7 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
             obs = Observation(f"merge_{_view_name('', run_id)}")
             body = new.observe(obs, *[c.alias(n) for n, c in observe.items()]).drop(ACTION_COL)
             snap, _ = table.write(body, run_id=run_id)
-            metrics = dict(obs.get) if snap.run_id == run_id else {}
+            metrics = dict(obs.get)
         else:
             snap, metrics = None, _overwrite_catalog(spark, spec.target, new, observe)
     elif spec.strategy == "insert":
@@ -124,8 +126,7 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
     else:  # validated above; kept for safety
         raise ContractError(f"unknown update strategy {spec.strategy!r}")
     run_sql_hook(spark, spec.post_sql, names)
-    spark.catalog.dropTempView(src_view)
-    spark.catalog.dropTempView(tgt_view)
+    # the run-scoped views stay registered: hooks may have defined views over them
     return LoadResult(run_id, "completed", metrics, snap)
 
 

@@ -128,7 +128,7 @@ class SnapshotTable:
         if run_id is not None:
             for s in self.snapshots():
                 if s.run_id == run_id:
-                    return s, {}
+                    return s, {}     # already committed: nothing runs, nothing observed
         last = self.latest()
         seq = (last.seq if last else 0) + 1
         path = f"{self.root}/v={seq:010d}"
@@ -147,7 +147,7 @@ class SnapshotTable:
         if partition_cols:
             w = w.partitionBy(*partition_cols)
         w.parquet(path)
-        metrics = dict(obs.get) if obs is not None else {}
+        metrics = dict(obs.get) if obs is not None else {}   # filled by the write above
         committed_at = _dt.datetime.now(_dt.timezone.utc).isoformat()
         self._write_text(f"{path}/{MARKER}", json.dumps({"run_id": run_id, "committed_at": committed_at,
                                                           "mode": mode,
