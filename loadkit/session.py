@@ -27,6 +27,14 @@ def build_session(master: str | None = None, app: str = "loadkit",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Broadcast only on a measured size: the static planner's guess from file
+        # sizes is off; AQE decides from actual shuffle output (<= 32 MB), and a
+        # shuffled hash join replaces sort-merge only when every partition's map
+        # is proven small (<= 64 MB).
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",

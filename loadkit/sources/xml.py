@@ -1,7 +1,8 @@
 """XML documents flattened into record sets.
 
-One ``xml`` scan with ``rowTag`` = the document element reads every document of
-every file in parallel (files split on document boundaries); the schema is
+One scan reads every document of every file in parallel: files are split on the
+document element's closing tag and each document is parsed with ``from_xml``
+(or the ``xml`` source with ``rowTag`` reads whole files); the schema is
 compiled from the contract's column paths, so no inference pass runs. A record
 set is the document row exploded down its record path; ancestor fields
 (document header, parent segment) are plain struct accesses on the exploded
@@ -65,15 +66,37 @@ def contract_schema(contract: XmlContract) -> T.StructType:
 
 
 def read_documents(spark: SparkSession, paths: str | Sequence[str], contract: XmlContract,
-                   with_source_file: bool = False) -> DataFrame:
-    """One row per document element."""
+                   with_source_file: bool = False, method: str = "split") -> DataFrame:
+    """One row per document element.
+
+    ``method="split"`` reads the files as text records ending at the document's
+    closing tag (a splittable line reader with a custom separator), keeps each
+    record from its opening tag and parses it with ``from_xml``: a single large
+    file is parsed by many tasks. ``method="reader"`` uses the ``xml`` source
+    (parallel per file only); use it when the closing tag of the document
+    element can also occur inside documents (e.g. in CDATA).
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = (spark.read.format("xml").option("rowTag", contract.document_tag)
-               .option("ignoreNamespace", "true").option("mode", "PERMISSIVE")
-               .schema(contract_schema(contract)).load(paths))
-    if with_source_file:
-        df = df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
-    return df
+    schema = contract_schema(contract)
+    tag = contract.document_tag
+    if method == "reader":
+        df = (spark.read.format("xml").option("rowTag", tag)
+                   .option("ignoreNamespace", "true").option("mode", "PERMISSIVE")
+                   .schema(schema).load(paths))
+        if with_source_file:
+            df = df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+        return df
+    if method != "split":
+        raise ContractError(f"unknown XML read method {method!r}")
+    raw = spark.read.option("lineSep", f"</{tag}>").text(paths)
+    body = F.regexp_extract(F.col("value"), rf"(?s)(<{tag}(?:\s[^>]*)?>.*)$", 1)
+    docs = raw.select(body.alias("_doc"), *([F.col("_metadata.file_path").alias(SOURCE_FILE)]
+                                            if with_source_file else []))
+    docs = docs.filter(F.col("_doc") != "")
+    parsed = F.from_xml(F.concat(F.col("_doc"), F.lit(f"</{tag}>")), schema,
+                        {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
+    return docs.select(parsed.alias("_x"), *([SOURCE_FILE] if with_source_file else [])).select(
+        "_x.*", *([SOURCE_FILE] if with_source_file else []))
 
 
 def flatten_record_set(docs: DataFrame, rs: XmlRecordSet, keep: Sequence[str] = ()) -> DataFrame:
@@ -126,8 +149,8 @@ def _child_type(dt: T.DataType, name: str) -> T.DataType:
 
 
 def load_xml_recordsets(spark: SparkSession, paths: str | Sequence[str], contract: XmlContract,
-                        with_source_file: bool = False) -> dict[str, DataFrame]:
+                        with_source_file: bool = False, method: str = "split") -> dict[str, DataFrame]:
     """``{record set name: all-string DataFrame}`` from one scan of the documents."""
-    docs = read_documents(spark, paths, contract, with_source_file)
+    docs = read_documents(spark, paths, contract, with_source_file, method)
     keep = [SOURCE_FILE] if with_source_file else []
     return {rs.name: flatten_record_set(docs, rs, keep) for rs in contract.record_sets}

@@ -93,3 +93,16 @@ def test_null_language_key_expression(spark, tmp):
     keyed = with_key_expressions(txt, {"LANG": "nvl(<<tname>>.LANG, 'NA')"})
     assert sorted(r["LANG"] for r in keyed.collect()) == ["DE", "EN", "NA"]
     assert keyed.filter(F.col("_source_file").endswith("f2.xml")).count() == 1
+
+
+def test_split_and_reader_methods_agree(spark, tmp):
+    d = os.path.join(tmp, "xml2")
+    os.makedirs(d)
+    with open(os.path.join(d, "f1.xml"), "w") as fh:
+        fh.write(DOC1)
+    with open(os.path.join(d, "f2.xml"), "w") as fh:
+        fh.write(DOC2)
+    for name in ("account", "text", "company"):
+        a = load_xml_recordsets(spark, d, CONTRACT, method="split")[name]
+        b = load_xml_recordsets(spark, d, CONTRACT, method="reader")[name]
+        assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
