@@ -148,9 +148,28 @@ def _child_type(dt: T.DataType, name: str) -> T.DataType:
     return dt[name].dataType
 
 
+def choose_method(spark: SparkSession, paths: str | Sequence[str]) -> str:
+    """``split`` when there are fewer files than task slots (large files must be
+    split to use the cluster), else ``reader`` (whole files already fill it)."""
+    n_files = len(spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles())
+    return "split" if n_files < spark.sparkContext.defaultParallelism else "reader"
+
+
 def load_xml_recordsets(spark: SparkSession, paths: str | Sequence[str], contract: XmlContract,
-                        with_source_file: bool = False, method: str = "split") -> dict[str, DataFrame]:
-    """``{record set name: all-string DataFrame}`` from one scan of the documents."""
+                        with_source_file: bool = False, method: str = "auto",
+                        materialize: bool | None = None) -> dict[str, DataFrame]:
+    """``{record set name: all-string DataFrame}``.
+
+    Documents are parsed once: with several record sets (``materialize`` default)
+    the parsed documents are checkpointed to the shared checkpoint folder and
+    every record set reads them, instead of parsing the XML once per set.
+    """
+    if method == "auto":
+        method = choose_method(spark, paths)
     docs = read_documents(spark, paths, contract, with_source_file, method)
+    if materialize if materialize is not None else len(contract.record_sets) > 1:
+        from loadkit.session import work_root
+        work_root(spark)
+        docs = docs.checkpoint(eager=True)
     keep = [SOURCE_FILE] if with_source_file else []
     return {rs.name: flatten_record_set(docs, rs, keep) for rs in contract.record_sets}
