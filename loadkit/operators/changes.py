@@ -70,15 +70,20 @@ def classify_changes(src: DataFrame, tgt: DataFrame, keys: Sequence[str],
     tdata = resolve_columns(tgt, data_cols)
     casts = _casts_to(src, tgt, data_cols) if compare == "exact" else {}
 
-    t = tgt.select(*[F.col(tk).alias(k) for tk, k in zip(tkeys, keys)],
-                   fingerprint(tdata, compare, names=data_cols).alias("_t_fp"), F.lit(True).alias("_in_t"))
-    s = src.withColumn("_s_fp", fingerprint(data_cols, compare, casts)).withColumn("_null_key", any_null(keys))
+    # NULL keys never match; they are split off before the shuffle (all of them
+    # would hash to one task) and come back with status null_key.
+    t = (tgt.filter(~any_null(tkeys))
+            .select(*[F.col(tk).alias(k) for tk, k in zip(tkeys, keys)],
+                    fingerprint(tdata, compare, names=data_cols).alias("_t_fp"), F.lit(True).alias("_in_t")))
+    null_key = any_null(keys)
+    s = src.filter(~null_key).withColumn("_s_fp", fingerprint(data_cols, compare, casts))
     j = s.join(t, on=list(keys), how="left")
-    status = (F.when(F.col("_null_key"), F.lit(NULL_KEY))
-               .when(F.col("_in_t").isNull(), F.lit(NEW))
+    status = (F.when(F.col("_in_t").isNull(), F.lit(NEW))
                .when(differs(F.col("_s_fp"), F.col("_t_fp"), compare), F.lit(CHANGED))
                .otherwise(F.lit(UNCHANGED)))
-    return j.select(*[F.col(c) for c in src.columns], status.alias(status_col))
+    matched = j.select(*[F.col(c) for c in src.columns], status.alias(status_col))
+    nulls = src.filter(null_key).select(*[F.col(c) for c in src.columns], F.lit(NULL_KEY).alias(status_col))
+    return matched.unionByName(nulls)
 
 
 def status_counts(classified: DataFrame, status_col: str = "record_status") -> DataFrame:

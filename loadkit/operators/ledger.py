@@ -184,6 +184,23 @@ def select_files(ledger: DataFrame, policy: str | Column, skew_safe: bool = True
     return out.drop("_newest", "_oldest", "_policy")
 
 
+def assert_single_system(systems: DataFrame, sys_key: str) -> None:
+    """Exactly one definition row must exist for a system key."""
+    n = systems.filter(F.col("src_sys_key") == sys_key).limit(2).count()
+    if n != 1:
+        raise ContractError(f"system {sys_key!r} has {n} definition rows, expected exactly one")
+
+
+def queue_order(queue: DataFrame, extract_type: str) -> DataFrame:
+    """O1/O2: staged queue in load order: oldest first for incremental feeds,
+    newest first for full extracts (by file time, then name)."""
+    if extract_type == "incremental":
+        return queue.orderBy(F.col("src_entity_timestamp").asc(), F.col("src_entity_name").asc())
+    if extract_type == "full":
+        return queue.orderBy(F.col("src_entity_timestamp").desc(), F.col("src_entity_name").desc())
+    raise ContractError(f"unknown extract type {extract_type!r}")
+
+
 def apply_status(ledger: DataFrame, updates: DataFrame) -> DataFrame:
     """New ledger content with ``updates`` (inst key, status, message, run id) applied."""
     u = updates.select(F.col("src_entity_inst_key").alias("_k"),
@@ -209,4 +226,5 @@ def skip_others(selected: DataFrame, run_id: str) -> DataFrame:
 
 
 __all__ = ["LEDGER_SCHEMA", "LEDGER_COLS", "entity_rules", "discover_files", "stage_new_files",
-           "select_files", "apply_status", "skip_others", "policy_of", "glob_to_regex", "literal_prefix"]
+           "select_files", "apply_status", "skip_others", "policy_of", "glob_to_regex", "literal_prefix",
+           "assert_single_system", "queue_order"]

@@ -89,9 +89,12 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
     s = conform(src, tgt.schema, exclude=aud + ([flag] if flag else []), order="target")
     if check_keys:
         assert_unique_keys(s, tkeys, "source")
+    # NULL keys never match: such rows are split off before the shuffle (they would
+    # all hash to one task); source ones are not applied, target ones are kept.
     s = s.filter(~any_null(tkeys))
     s = s.select(*tkeys, *[F.col(c).alias(f"_s_{c}") for c in data], F.lit(True).alias("_in_s"))
-    t = tgt.withColumn("_in_t", F.lit(True))
+    t_null = tgt.filter(any_null(tkeys)).withColumn(ACTION_COL, F.lit(KEEP))
+    t = tgt.filter(~any_null(tkeys)).withColumn("_in_t", F.lit(True))
     j = t.join(s, on=list(tkeys), how="full_outer")
 
     in_s = F.col("_in_s").isNotNull()
@@ -133,7 +136,7 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
                       .when(a == DELETE, F.lit("Y"))
                       .when(reopen, F.lit("N"))
                       .otherwise(F.col(flag)).cast(ttypes[flag]))
-    return j.select(*[out[c].alias(c) for c in tcols], a.alias(ACTION_COL))
+    return j.select(*[out[c].alias(c) for c in tcols], a.alias(ACTION_COL)).unionByName(t_null)
 
 
 def upsert(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: AuditColumns, load_id: str,

@@ -150,3 +150,15 @@ def test_row_count_property(spark):
     assert new.count() == t.count() + n_ins == 450
     again = upsert_frame(new.drop(ACTION_COL), s, ["k1", "k2"], AUD, "L1", T2, **kw)
     assert again.filter(F.col(ACTION_COL) != "keep").count() == 0
+
+
+def test_null_keys_split_off_on_both_sides(spark):
+    base = BASE + [(None, "9", "legacy", 9, d("9.00"), None, "N", T0, "seed", None, None)]
+    out = upsert_frame(tgt(spark, base), src(spark, SRC), ["k1", "k2"], AUD, "L1", T1,
+                       delete_flag_col="del_flag", detect_deletes=True).collect()
+    legacy = [r for r in out if r["k2"] == "9"]
+    assert len(legacy) == 1 and legacy[0][ACTION_COL] == "keep" and legacy[0]["d_str"] == "legacy"
+    assert len(out) == len(base) + 1          # one insert (a,7); the NULL-key source row is not applied
+    t = tgt(spark, base).drop("del_flag", "ins_ts", "ins_by", "upd_ts", "upd_by")
+    st = classify_changes(src(spark, SRC), t, ["k1", "k2"]).collect()
+    assert len(st) == len(SRC) and [r["record_status"] for r in st if r["k1"] is None] == ["null_key"]
