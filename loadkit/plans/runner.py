@@ -29,6 +29,28 @@ from loadkit.sources.delimited import CORRUPT, SOURCE_FILE, load_delimited
 from loadkit.sources.tables import read_source
 
 
+@dataclass(frozen=True)
+class MaintenancePolicy:
+    """C12 after a load: compact when the table has more than ``max_files`` data
+    files of mean size below ``min_mean_bytes``; expire versions beyond
+    ``min_keep`` older than ``max_age_days`` (see ``snapshots.RETENTION``)."""
+
+    max_files: int = 200
+    min_mean_bytes: int = 32 << 20
+    target_file_bytes: int = 128 << 20
+    min_keep: int = 30
+    max_age_days: float = 3.0
+
+
+def run_maintenance(table: SnapshotTable, policy: MaintenancePolicy, run_id: str) -> dict:
+    out = {"compacted": False, "expired": 0}
+    if table.needs_compaction(policy.max_files, policy.min_mean_bytes):
+        table.compact(policy.target_file_bytes, run_id=f"{run_id}:compact")
+        out["compacted"] = True
+    out["expired"] = len(table.expire(policy.min_keep, policy.max_age_days))
+    return out
+
+
 @dataclass
 class LoadResult:
     run_id: str
@@ -56,8 +78,10 @@ def run_sql_hook(spark: SparkSession, sql: str | None, names: dict[str, str]) ->
 
 
 def run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.datetime,
-             audit_sink=None, job_name: str | None = None) -> LoadResult:
-    """Apply ``spec`` once. Raises on invalid configuration or data."""
+             audit_sink=None, job_name: str | None = None,
+             maintenance: MaintenancePolicy | None = None) -> LoadResult:
+    """Apply ``spec`` once, then the maintenance check. Raises on invalid
+    configuration or data (after writing the failed audit event)."""
     bad = spec.validate()
     if bad:
         raise ContractError(f"load {spec.load_id} is invalid", bad)
@@ -71,6 +95,8 @@ def run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.datet
             a.counters.rows_new = m.get("n_insert")
             a.counters.rows_changed = m.get("n_update")
             a.counters.rows_deleted = m.get("n_delete")
+    if maintenance is not None and _is_path(spec.target) and result.snapshot is not None:
+        result.metrics.update(run_maintenance(SnapshotTable(spark, spec.target), maintenance, run_id))
     return result
 
 

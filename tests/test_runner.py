@@ -209,3 +209,36 @@ def test_load_row_validation():
     assert validate_load_row(dict(row, src_type="table"))
     assert validate_load_row(dict(row, src_qry_text=""))
     assert validate_load_row({k: v for k, v in row.items() if k != "key_cols_json"})
+
+
+def test_run_load_maintenance_compacts(spark, tmp):
+    from loadkit.plans.runner import MaintenancePolicy
+    tgt = SnapshotTable(spark, os.path.join(tmp, "tgt_m"))
+    base = spark.range(300).select(F.col("id"), F.lit("v").alias("v"),
+                                   F.lit(None).cast("timestamp_ntz").alias("ins_ts"), F.lit(None).cast("string").alias("ins_by"),
+                                   F.lit(None).cast("timestamp_ntz").alias("upd_ts"), F.lit(None).cast("string").alias("upd_by"))
+    tgt.write(base, run_id="seed", num_files=30)
+    spec = LoadSpec(load_id="L1", target=tgt.root, source=lambda s: s.range(5).select("id", F.lit("w").alias("v")),
+                    source_type="callable", strategy="insert", audit=AUD)
+    res = run_load(spark, spec, "m-1", T1, maintenance=MaintenancePolicy(max_files=4, min_mean_bytes=1 << 30))
+    assert res.metrics["compacted"] and tgt.file_stats().first()["n_files"] == 1
+    assert tgt.read().count() == 305
+
+
+def test_run_load_catalog_target(spark, tmp):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lk_cat")
+    spark.sql("DROP TABLE IF EXISTS lk_cat.tgt")
+    spark.sql(f"CREATE TABLE lk_cat.tgt (id bigint, v string, ins_ts timestamp_ntz, ins_by string, "
+              f"upd_ts timestamp_ntz, upd_by string) USING parquet LOCATION '{tmp}/cat_tgt'")
+    spark.sql("INSERT INTO lk_cat.tgt VALUES (1, 'a', NULL, NULL, NULL, NULL), (2, 'b', NULL, NULL, NULL, NULL)")
+    spec = LoadSpec(load_id="C1", target="lk_cat.tgt", keys=("id",), audit=AUD, source_type="callable",
+                    source=lambda s: s.createDataFrame([(2, "b2"), (3, "c")], "id long, v string"))
+    res = run_load(spark, spec, "cat-1", T1)
+    assert res.metrics["n_insert"] == 1 and res.metrics["n_update"] == 1
+    spark.catalog.refreshTable("lk_cat.tgt")
+    assert {r["id"]: r["v"] for r in spark.table("lk_cat.tgt").collect()} == {1: "a", 2: "b2", 3: "c"}
+    ins = LoadSpec(load_id="C2", target="lk_cat.tgt", strategy="insert", audit=AUD, source_type="callable",
+                   source=lambda s: s.createDataFrame([(9, "z")], "id long, v string"))
+    assert run_load(spark, ins, "cat-2", T1).metrics["n_insert"] == 1
+    spark.catalog.refreshTable("lk_cat.tgt")
+    assert spark.table("lk_cat.tgt").count() == 4
