@@ -8,13 +8,12 @@ from loadkit.functions.exprs import (  # noqa: F401
     key_expression,
     legacy_row_hash,
     literal_prefix,
+    ntz_literal,
     nonempty_row,
     padded_run_id,
     parent_dir,
     resolve_columns,
     row_digest,
-    row_struct,
     substitute,
-    utc_wallclock,
 )
 from loadkit.functions.numbering import number_within  # noqa: F401

@@ -58,19 +58,6 @@ def glob_to_regex(pattern: str) -> str:
 
 
 # ---------------------------------------------------------------- time helpers
-def utc_wallclock(ts: Column, dtype: T.DataType, session_tz: str) -> Column:
-    """Wall-clock time in UTC of a timestamp column, as a value that renders as such.
-
-    ``TIMESTAMP_NTZ`` is already a wall-clock value; a zoned ``TIMESTAMP`` renders in
-    the session zone, so it is shifted to render its UTC wall clock.
-    """
-    if isinstance(dtype, T.TimestampNTZType):
-        return ts
-    if session_tz.upper() in ("UTC", "Z", "GMT", "ETC/UTC"):
-        return ts
-    return F.to_utc_timestamp(ts, session_tz)
-
-
 def instance_key(ts: Column, system: Column, name: Column) -> Column:
     """File-instance natural key: ``yyyyMMdd.HHmmss.SSSSSS`` + system + file name."""
     return F.concat_ws(".", F.date_format(ts, "yyyyMMdd.HHmmss.SSSSSS"), system, name)
@@ -93,10 +80,6 @@ def row_digest(cols: Sequence[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
 
 
-def row_struct(cols: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in cols])
-
-
 def nonempty_row(cols: Iterable[str]) -> Column:
     """True when at least one column is non-NULL and not the empty string."""
     conds = [F.col(c).isNotNull() & (F.col(c).cast("string") != F.lit("")) for c in cols]
@@ -143,3 +126,16 @@ def resolve_columns(df: DataFrame, names: Iterable[str]) -> list[str]:
     if missing:
         raise ContractError("columns not found", missing)
     return out
+
+
+def ntz_literal(value) -> Column:
+    """A zone-free timestamp literal. ``F.lit(datetime)`` would pass through the
+    Python process zone and the session zone; text cast to NTZ does not."""
+    import datetime as _dt
+    if isinstance(value, _dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    elif isinstance(value, _dt.date):
+        value = value.strftime("%Y-%m-%d 00:00:00")
+    return F.lit(str(value)).cast("timestamp_ntz")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadkit.contracts import AuditColumns
+from loadkit.functions.exprs import ntz_literal
 from loadkit.operators.changes import classify_changes, load_totals, status_counts
 from loadkit.operators.conform import conform
 from loadkit.operators.upsert import ACTION_COL, upsert_frame
@@ -48,7 +49,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_seed_audit(df: DataFrame) -> DataFrame:
-    return (df.withColumn("ins_ts", F.lit(SEED_TS).cast("timestamp_ntz"))
+    return (df.withColumn("ins_ts", ntz_literal(SEED_TS))
               .withColumn("ins_by", F.lit("seed"))
               .withColumn("upd_ts", F.lit(None).cast("timestamp_ntz"))
               .withColumn("upd_by", F.lit(None).cast("string")))

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadkit.functions.exprs import ntz_literal
+
 STARTED, COMPLETED, FAILED = "started", "completed", "failed"
 FINAL = (COMPLETED, FAILED)
 
@@ -57,7 +59,7 @@ def maintenance_due(runs: DataFrame, as_of: _dt.datetime, days: int = 7, table_c
     Due when no successful run started within ``days`` before ``as_of``
     (including never), which also makes a first run due on an empty history.
     """
-    cutoff = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAYS")
+    cutoff = ntz_literal(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
     last = runs.groupBy(table_col).agg(
         F.max(F.when(F.col(status_col) == ok_status, F.col(time_col))).alias("last_success"),
         F.count(F.lit(1)).alias("n_runs"))

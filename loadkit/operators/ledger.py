@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadkit.contracts import ContractError
-from loadkit.functions.exprs import basename, glob_to_regex, instance_key, literal_prefix, padded_run_id
+from loadkit.functions.exprs import basename, glob_to_regex, instance_key, literal_prefix, ntz_literal, padded_run_id
 from loadkit.functions.numbering import number_within
 
 STAGED, FAILED, SUCCESS, SKIPPED = "staged", "failed", "success", "skipped"
@@ -132,7 +132,7 @@ def stage_new_files(discovered: DataFrame, ledger: DataFrame, run_ts: _dt.dateti
     return numbered.select(
         "src_entity_inst_key", "src_sys_key", "src_entity_key", inst_no.alias("src_entity_inst_no"),
         "src_entity_path", "src_entity_name", "src_entity_timestamp", "src_entity_size",
-        F.lit(run_ts).cast("timestamp_ntz").alias("src_entity_staged_time"),
+        ntz_literal(run_ts).alias("src_entity_staged_time"),
         F.lit(STAGED).alias("src_entity_load_status"), F.lit("Staged").alias("src_entity_load_mesg"),
         padded_run_id(F.col("src_sys_id"), F.col("src_entity_id"), inst_no).alias("src_entity_load_run_id"))
 

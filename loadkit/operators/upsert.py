@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadkit.contracts import AuditColumns, ContractError
-from loadkit.functions.exprs import any_null, resolve_columns
+from loadkit.functions.exprs import any_null, ntz_literal, resolve_columns
 from loadkit.operators.changes import differs, fingerprint
 from loadkit.operators.conform import conform, data_columns
 
@@ -51,8 +51,7 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str], what: str, sample: in
 
 
 def _ts_literal(run_ts: _dt.datetime | str, dtype: T.DataType) -> Column:
-    v = F.lit(run_ts) if not isinstance(run_ts, str) else F.lit(run_ts).cast("timestamp_ntz")
-    return v.cast(dtype)
+    return ntz_literal(run_ts).cast(dtype)
 
 
 def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: AuditColumns,
