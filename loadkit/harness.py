@@ -898,3 +898,40 @@ def q_instance_key(spark, sf_dir):
     return e.select("event_id", name.alias("file_name"),
                     instance_key(F.col("ts"), F.lit("SAP"), name).alias("src_entity_inst_key"),
                     padded_run_id(F.lit(7), ent, F.col("event_id")).alias("src_entity_load_run_id"))
+
+
+# ---------------------------------------------------------------- conform with cast-failure report
+@register("conform_cast_failures", """
+WITH t AS (
+  SELECT o_orderkey,
+         CASE WHEN o_orderkey % 23 = 0 THEN 'n/a' WHEN o_orderkey % 29 = 0 THEN '12345678901234.50'
+              ELSE CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) END AS amount,
+         CASE WHEN o_orderkey % 13 = 0 THEN '2023-02-30' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
+         CASE WHEN o_orderkey % 17 = 0 THEN 'x' || CAST(o_custkey AS VARCHAR) ELSE CAST(o_custkey AS VARCHAR) END
+           AS customer_id
+  FROM orders)
+SELECT o_orderkey AS order_id, TRY_CAST(customer_id AS BIGINT) AS customer_id,
+       TRY_CAST(amount AS DECIMAL(15,2)) AS amount, TRY_CAST(order_date AS DATE) AS order_date,
+       concat_ws(',', CASE WHEN TRY_CAST(customer_id AS BIGINT) IS NULL THEN 'customer_id' END,
+                      CASE WHEN TRY_CAST(amount AS DECIMAL(15,2)) IS NULL THEN 'amount' END,
+                      CASE WHEN TRY_CAST(order_date AS DATE) IS NULL THEN 'order_date' END) AS failed_columns
+FROM t""")
+def q_conform_cast_failures(spark, sf_dir):
+    """Text columns conformed to typed targets with try_cast; each row lists the
+    columns whose non-NULL value could not be cast (counted, not silently NULLed)."""
+    from pyspark.sql import types as T
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    text = o.select(
+        k.alias("ORDER_ID"),
+        F.when(k % 17 == 0, F.concat(F.lit("x"), F.col("o_custkey").cast("string")))
+         .otherwise(F.col("o_custkey").cast("string")).alias("Customer_Id"),
+        F.when(k % 23 == 0, F.lit("n/a")).when(k % 29 == 0, F.lit("12345678901234.50"))
+         .otherwise(F.col("o_totalprice").cast("decimal(15,2)").cast("string")).alias("amount"),
+        F.when(k % 13 == 0, F.lit("2023-02-30")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+         .alias("order_date"))
+    target = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("customer_id", T.LongType()),
+                           T.StructField("amount", T.DecimalType(15, 2)), T.StructField("order_date", T.DateType())])
+    out = conform(text, target, error_col="_failed")
+    return out.select("order_id", "customer_id", "amount", "order_date",
+                      F.array_join("_failed", ",").alias("failed_columns"))
