@@ -58,12 +58,20 @@ def _utc_ntz(df: DataFrame, col: str) -> Column:
     return F.to_utc_timestamp(F.col(col), tz).cast("timestamp_ntz")
 
 
-def _ancestors(path: Column) -> Column:
+def _ancestors(col: str) -> Column:
     """All proper ancestor folders of a slash path, e.g. a/b/c.txt -> [a, a/b]."""
-    parts = F.split(path, "/")
-    n = F.size(parts)
-    return F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-                       lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    c = f"`{col}`"
+    return F.expr(f"transform(sequence(1, greatest(size(split({c}, '/')) - 1, 1)), "
+                  f"i -> substring_index({c}, '/', i))")
+
+
+MAX_BROADCAST_RULES = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint only after checking the row count (a small job on a
+    definition table); larger tables take the shuffle join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def entity_rules(systems: DataFrame, entities: DataFrame, only_active: bool = True) -> DataFrame:
@@ -102,8 +110,8 @@ def discover_files(listing: DataFrame, rules: DataFrame) -> DataFrame:
     """
     files = listing.select("src_sys_key", "path", _utc_ntz(listing, "modificationTime").alias("_ts"),
                            F.col("length").cast("long").alias("_size"))
-    exploded = files.withColumn("_folder", F.explode(_ancestors(F.col("path"))))
-    j = exploded.join(rules, ["src_sys_key", "_folder"])
+    exploded = files.withColumn("_folder", F.explode(_ancestors("path")))
+    j = exploded.join(broadcast_if_small(rules, MAX_BROADCAST_RULES), ["src_sys_key", "_folder"])
     j = j.filter(F.regexp_like(F.col("path"), F.col("_regex")))
     name = basename(F.col("path"))
     return j.select(
