@@ -242,3 +242,30 @@ def test_run_load_catalog_target(spark, tmp):
     assert run_load(spark, ins, "cat-2", T1).metrics["n_insert"] == 1
     spark.catalog.refreshTable("lk_cat.tgt")
     assert spark.table("lk_cat.tgt").count() == 4
+
+
+def test_load_xml_feed_appends_run_stamped_staging(spark, tmp):
+    from loadkit.contracts import XmlColumn, XmlContract, XmlRecordSet
+    from loadkit.plans.runner import load_xml_feed
+    land = os.path.join(tmp, "xland")
+    doc = ("<ROOT><DOC><HDR><N>{n}</N></HDR><A><K>{n}a</K><B><V>1</V></B><B><V>2</V></B></A></DOC></ROOT>")
+    for i in (1, 2):
+        _write(f"{land}/x/GL_0{i}.xml", doc.format(n=i))
+    contract = XmlContract("x", "DOC", (
+        XmlRecordSet("a", "A", (XmlColumn("N", "HDR/N", False), XmlColumn("K", "A/K"))),
+        XmlRecordSet("b", "A/B", (XmlColumn("N", "HDR/N", False), XmlColumn("K", "A/K", False),
+                                  XmlColumn("V", "A/B/V")))))
+    systems = spark.createDataFrame([("SAP", 1, land, "active")],
+                                    "src_sys_key string, src_sys_id int, src_entity_path string, src_sys_status string")
+    ents = spark.createDataFrame([("SAP", "GL", 5, "x/GL_*.xml", "active")],
+                                 "src_sys_key string, src_entity_key string, src_entity_id int, "
+                                 "src_entity_pattern string, src_entity_status string")
+    disc = discover_files(normalise_paths(list_files(spark, land, system_key="SAP")), entity_rules(systems, ents))
+    ledger = SnapshotTable(spark, os.path.join(tmp, "xledger"))
+    ledger.write(stage_new_files(disc, spark.createDataFrame([], LEDGER_SCHEMA), T1).select(*LEDGER_SCHEMA.names))
+    staging = {"a": SnapshotTable(spark, os.path.join(tmp, "stg_a")), "b": SnapshotTable(spark, os.path.join(tmp, "stg_b"))}
+    res = load_xml_feed(spark, contract, ledger, staging, "GL", "x-1")
+    assert res.metrics["rows_a"] == 2 and res.metrics["rows_b"] == 4
+    assert sorted(r["K"] for r in staging["a"].read().collect()) == ["1a", "2a"]
+    assert {r["src_entity_load_status"] for r in ledger.read().collect()} == {"success"}
+    assert load_xml_feed(spark, contract, ledger, staging, "GL", "x-2").metrics["n_files"] == 0
