@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,7 +57,7 @@ def _ts_literal(run_ts: _dt.datetime | str, dtype: T.DataType) -> Column:
 def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: AuditColumns,
                  load_id: str, run_ts: _dt.datetime | str, delete_flag_col: str | None = None,
                  detect_deletes: bool = False, compare: str = "exact", on_reappear: str = "restore",
-                 check_keys: bool = True) -> DataFrame:
+                 check_keys: bool | str = "inline") -> DataFrame:
     """New target rows (target column order) plus ``change_action``.
 
     ====================  ==============  ==============  ===============  ============
@@ -72,6 +72,12 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
     ====================  ==============  ==============  ===============  ============
 
     Source rows with a NULL key are not applied (report them with ``key_violations``).
+
+    ``check_keys``: ``"inline"`` (default) counts rows per key in a window placed
+    right before the join, so it reuses the join's hash partitioning and sort (no
+    extra scan or shuffle) and fails the job on the first duplicate key;
+    ``"separate"`` (or True) runs a key-only partial aggregate first and reports up
+    to 20 offenders before anything runs; False trusts the source.
     """
     if detect_deletes and not delete_flag_col:
         raise ContractError("delete detection needs a flag column")
@@ -86,11 +92,18 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
 
     # Conform the source to the target's names and types (strict column sets).
     s = conform(src, tgt.schema, exclude=aud + ([flag] if flag else []), order="target")
-    if check_keys:
+    if check_keys is True or check_keys == "separate":
         assert_unique_keys(s, tkeys, "source")
     # NULL keys never match: such rows are split off before the shuffle (they would
     # all hash to one task); source ones are not applied, target ones are kept.
     s = s.filter(~any_null(tkeys))
+    if check_keys == "inline":
+        # The guard must stay in the plan: a boolean that is false exactly on
+        # duplicates, raising there; the filter keeps every other row.
+        dup = F.count(F.lit(1)).over(Window.partitionBy(*tkeys))
+        msg = F.concat(F.lit("source has duplicate key "), F.to_json(F.struct(*[F.col(k) for k in tkeys])))
+        s = s.withColumn("_dup_n", dup).filter(
+            F.when(F.col("_dup_n") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))).drop("_dup_n")
     s = s.select(*tkeys, *[F.col(c).alias(f"_s_{c}") for c in data], F.lit(True).alias("_in_s"))
     t_null = tgt.filter(any_null(tkeys)).withColumn(ACTION_COL, F.lit(KEEP))
     t = tgt.filter(~any_null(tkeys)).withColumn("_in_t", F.lit(True))

@@ -88,9 +88,12 @@ def test_without_delete_detection_flag_is_data(spark):
 
 def test_duplicate_source_key_fails(spark):
     s = src(spark, SRC[:2] + [SRC[1]])
-    with pytest.raises(ContractError, match="duplicate"):
-        upsert_frame(tgt(spark, BASE), s, ["k1", "k2"], AUD, "L1", T1, delete_flag_col="del_flag",
-                     detect_deletes=True)
+    kw = dict(delete_flag_col="del_flag", detect_deletes=True)
+    with pytest.raises(ContractError, match="duplicate"):      # reported before anything runs
+        upsert_frame(tgt(spark, BASE), s, ["k1", "k2"], AUD, "L1", T1, check_keys="separate", **kw)
+    lazy = upsert_frame(tgt(spark, BASE), s, ["k1", "k2"], AUD, "L1", T1, **kw)   # inline guard
+    with pytest.raises(Exception, match="duplicate key"):
+        lazy.collect()
 
 
 def test_mixed_case_order_and_narrow_types(spark):
