@@ -6,8 +6,9 @@ range-partitioned on ``(g, o)`` instead, so a hot group is spread over many
 partitions. Each row gets its position inside its partition from
 ``monotonically_increasing_id`` (partition index in the high bits, row index in
 the low bits, assigned after the in-partition sort), and a small table of
-per-(partition, group) counts supplies the offset of earlier partitions. The
-frame is checkpointed once so both uses see the same partitioning.
+per-(partition, group) counts supplies the offset of earlier partitions (at
+most #partitions + #groups rows, broadcast when within a row bound). The frame
+is checkpointed once so both uses see the same partitioning.
 """
 
 from __future__ import annotations
@@ -20,14 +21,7 @@ from pyspark.sql import functions as F
 from loadkit.session import work_root
 
 _ROW_BITS = 33
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
+MAX_BROADCAST_PIECES = 200_000
 
 
 def number_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column],
@@ -60,6 +54,12 @@ def number_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     pieces = pieces.select(*[F.col(c).alias(f"_p_{c}") for c in partition_by],
                            F.col("_pid").alias("_p_pid"), "_first", "_before")
+    # The offsets table has at most (#partitions + #groups) rows. Materialised and,
+    # when its row count is within the bound, broadcast: the big side is then
+    # joined where it lies instead of being shuffled again.
+    pieces = pieces.checkpoint(eager=True)
+    if pieces.count() <= MAX_BROADCAST_PIECES:
+        pieces = F.broadcast(pieces)
 
     cond = ranged["_pid"] == pieces["_p_pid"]
     for c in partition_by:
