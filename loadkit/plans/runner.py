@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from loadkit.contracts import ContractError, FeedContract, LoadSpec, validate_target_columns
 from loadkit.functions.exprs import substitute
-from loadkit.operators.audit import JobAudit
+from loadkit.operators.audit import JobAudit, MessageLog
 from loadkit.operators.ledger import (FAILED, LOAD, SUCCESS, apply_status, select_files, skip_others)
 from loadkit.operators.upsert import ACTION_COL, DELETE, INSERT, RESTORE, UPDATE, append_rows, upsert_frame
 from loadkit.plans.snapshots import SnapshotTable
@@ -79,25 +79,37 @@ def run_sql_hook(spark: SparkSession, sql: str | None, names: dict[str, str]) ->
 
 def run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.datetime,
              audit_sink=None, job_name: str | None = None,
-             maintenance: MaintenancePolicy | None = None) -> LoadResult:
+             maintenance: MaintenancePolicy | None = None, message_sink=None) -> LoadResult:
     """Apply ``spec`` once, then the maintenance check. Raises on invalid
-    configuration or data (after writing the failed audit event)."""
-    bad = spec.validate()
-    if bad:
-        raise ContractError(f"load {spec.load_id} is invalid", bad)
-    audit = (JobAudit(spark, run_id, job_name or spec.load_name or spec.load_id, audit_sink)
-             if audit_sink else contextlib.nullcontext())
-    with audit as a:
-        result = _run_load(spark, spec, run_id, run_ts)
-        if a is not None:
-            m = result.metrics
-            a.counters.rows_read = m.get("rows_read")
-            a.counters.rows_new = m.get("n_insert")
-            a.counters.rows_changed = m.get("n_update")
-            a.counters.rows_deleted = m.get("n_delete")
-    if maintenance is not None and _is_path(spec.target) and result.snapshot is not None:
-        result.metrics.update(run_maintenance(SnapshotTable(spark, spec.target), maintenance, run_id))
-    return result
+    configuration or data (after writing the failed audit event). Run messages
+    (K16) are buffered and appended once through ``message_sink``, also on failure."""
+    log = MessageLog(run_id)
+    log.log("info", f"load {spec.load_id} ({spec.strategy}) into {spec.target} started")
+    try:
+        bad = spec.validate()
+        if bad:
+            raise ContractError(f"load {spec.load_id} is invalid", bad)
+        audit = (JobAudit(spark, run_id, job_name or spec.load_name or spec.load_id, audit_sink)
+                 if audit_sink else contextlib.nullcontext())
+        with audit as a:
+            result = _run_load(spark, spec, run_id, run_ts)
+            if a is not None:
+                m = result.metrics
+                a.counters.rows_read = m.get("rows_read")
+                a.counters.rows_new = m.get("n_insert")
+                a.counters.rows_changed = m.get("n_update")
+                a.counters.rows_deleted = m.get("n_delete")
+        log.log("info", f"load {spec.load_id} completed: {result.metrics}")
+        if maintenance is not None and _is_path(spec.target) and result.snapshot is not None:
+            result.metrics.update(run_maintenance(SnapshotTable(spark, spec.target), maintenance, run_id))
+            log.log("info", "maintenance checked")
+        return result
+    except Exception as e:
+        log.log("error", f"load {spec.load_id} failed: {e}"[:4000])
+        raise
+    finally:
+        if message_sink is not None:
+            message_sink(log.frame(spark))
 
 
 def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.datetime) -> LoadResult:

@@ -39,7 +39,13 @@ def stream_feed(spark: SparkSession, source_dir: str, contract: FeedContract,
 
 def snapshot_sink(table: SnapshotTable, target_schema, audit: AuditColumns, load_id: str,
                   run_ts: _dt.datetime, keys: list[str] | None = None) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: upsert (with ``keys``) or append each batch, once per batch id."""
+    """``foreachBatch`` function: upsert (with ``keys``) or append each batch, once per batch id.
+
+    Append writes only the batch (the scalable default for raw landing tables).
+    A keyed upsert rewrites the target per batch, so its cost grows with the
+    target: use it with large triggers (``maxFilesPerTrigger``) or keep the
+    stream appending and run ``plans.runner.run_load`` as a separate merge.
+    """
     def apply(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{load_id}:batch:{batch_id}"
         if run_id in table.committed_runs():
