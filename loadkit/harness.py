@@ -445,22 +445,22 @@ def q_legacy_hash_collisions(spark, sf_dir):
 # that crosses folders).
 LISTING_SQL = """
     listing AS (
-      SELECT 'SAP' AS src_sys_key,
-             'landing/sap/' || event_type || '/' || CASE WHEN event_id % 4 = 0 THEN 'archive/' ELSE '' END
+      SELECT 'ERP' AS src_sys_key,
+             'landing/erp/' || event_type || '/' || CASE WHEN event_id % 4 = 0 THEN 'archive/' ELSE '' END
                || upper(event_type) || '_' || lpad(CAST(event_id AS VARCHAR), 7, '0') || '.txt' AS path,
              ts AS modificationTime, user_id AS length
       FROM events),
     entities AS (
-      SELECT 'SAP' AS src_sys_key, upper(event_type) AS src_entity_key,
+      SELECT 'ERP' AS src_sys_key, upper(event_type) AS src_entity_key,
              CAST(ascii(event_type) * 10 + length(event_type) AS INTEGER) AS src_entity_id,
              event_type || '/' || upper(event_type) || '_*.txt' AS src_entity_pattern,
              CASE WHEN event_type = 'signup' THEN 'inactive' ELSE 'active' END AS src_entity_status,
              CASE WHEN event_type IN ('click', 'view') THEN 'full' ELSE 'incremental' END AS src_entity_extract_type
       FROM (SELECT DISTINCT event_type FROM events)
       UNION ALL
-      SELECT 'SAP', 'ARCHIVE', 99, '*/archive/*.txt', 'active', 'incremental'),
+      SELECT 'ERP', 'ARCHIVE', 99, '*/archive/*.txt', 'active', 'incremental'),
     rules AS (
-      SELECT e.*, 7 AS src_sys_id, 'landing/sap/' || e.src_entity_pattern AS pattern
+      SELECT e.*, 7 AS src_sys_id, 'landing/erp/' || e.src_entity_pattern AS pattern
       FROM entities e WHERE src_entity_status = 'active'),
     disc AS (
       SELECT strftime(l.modificationTime, '%Y%m%d.%H%M%S.%f') || '.' || l.src_sys_key || '.'
@@ -507,23 +507,23 @@ def events_listing(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """(listing, rules) derived from the events table."""
     from loadkit.operators.ledger import entity_rules
     e = table(spark, sf_dir, "events")
-    path = F.concat(F.lit("landing/sap/"), F.col("event_type"), F.lit("/"),
+    path = F.concat(F.lit("landing/erp/"), F.col("event_type"), F.lit("/"),
                     F.when(F.col("event_id") % 4 == 0, F.lit("archive/")).otherwise(F.lit("")),
                     F.upper("event_type"), F.lit("_"), F.lpad(F.col("event_id").cast("string"), 7, "0"),
                     F.lit(".txt"))
-    listing = e.select(F.lit("SAP").alias("src_sys_key"), path.alias("path"),
+    listing = e.select(F.lit("ERP").alias("src_sys_key"), path.alias("path"),
                        F.col("ts").alias("modificationTime"), F.col("user_id").alias("length"))
     et = F.col("event_type")
     ents = e.select("event_type").distinct().select(
-        F.lit("SAP").alias("src_sys_key"), F.upper(et).alias("src_entity_key"),
+        F.lit("ERP").alias("src_sys_key"), F.upper(et).alias("src_entity_key"),
         (F.ascii(et) * 10 + F.length(et)).cast("int").alias("src_entity_id"),
         F.concat(et, F.lit("/"), F.upper(et), F.lit("_*.txt")).alias("src_entity_pattern"),
         F.when(et == "signup", F.lit("inactive")).otherwise(F.lit("active")).alias("src_entity_status"),
         F.when(et.isin("click", "view"), F.lit("full")).otherwise(F.lit("incremental"))
          .alias("src_entity_extract_type"))
-    archive = spark.createDataFrame([("SAP", "ARCHIVE", 99, "*/archive/*.txt", "active", "incremental")],
+    archive = spark.createDataFrame([("ERP", "ARCHIVE", 99, "*/archive/*.txt", "active", "incremental")],
                                     ents.schema)
-    systems = spark.createDataFrame([("SAP", 7, "landing/sap", "active")],
+    systems = spark.createDataFrame([("ERP", 7, "landing/erp", "active")],
                                     "src_sys_key string, src_sys_id int, src_entity_path string, src_sys_status string")
     return listing, entity_rules(systems, ents.unionByName(archive))
 
@@ -883,7 +883,7 @@ WITH f AS (SELECT event_id, ts, upper(event_type) || '_' || lpad(CAST(event_id A
                   CAST(ascii(event_type) * 10 + length(event_type) AS INTEGER) AS entity_id
            FROM events)
 SELECT event_id, path AS file_name,
-       strftime(ts, '%Y%m%d.%H%M%S.%f') || '.SAP.' || path AS src_entity_inst_key,
+       strftime(ts, '%Y%m%d.%H%M%S.%f') || '.ERP.' || path AS src_entity_inst_key,
        '00007.' || lpad(CAST(entity_id AS VARCHAR), 5, '0') || '.' || lpad(CAST(event_id AS VARCHAR), 10, '0')
          AS src_entity_load_run_id
 FROM f""")
@@ -891,12 +891,12 @@ def q_instance_key(spark, sf_dir):
     """Instance key from file time, system and base name; padded run id."""
     from loadkit.functions.exprs import basename, instance_key, padded_run_id
     e = table(spark, sf_dir, "events")
-    path = F.concat(F.lit("landing/sap/"), F.col("event_type"), F.lit("/"), F.upper("event_type"), F.lit("_"),
+    path = F.concat(F.lit("landing/erp/"), F.col("event_type"), F.lit("/"), F.upper("event_type"), F.lit("_"),
                     F.lpad(F.col("event_id").cast("string"), 7, "0"), F.lit(".txt"))
     ent = (F.ascii("event_type") * 10 + F.length("event_type")).cast("int")
     name = basename(path)
     return e.select("event_id", name.alias("file_name"),
-                    instance_key(F.col("ts"), F.lit("SAP"), name).alias("src_entity_inst_key"),
+                    instance_key(F.col("ts"), F.lit("ERP"), name).alias("src_entity_inst_key"),
                     padded_run_id(F.lit(7), ent, F.col("event_id")).alias("src_entity_load_run_id"))
 
 

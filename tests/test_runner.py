@@ -36,7 +36,7 @@ def test_number_within_matches_window_on_skewed_groups(spark):
 
 
 def test_glob_helpers():
-    assert literal_prefix("W20_CC*.txt") == "W20_CC" and literal_prefix("X.txt") == "X.txt"
+    assert literal_prefix("FEED_A*.txt") == "FEED_A" and literal_prefix("X.txt") == "X.txt"
     import re
     r = re.compile(glob_to_regex("a/*/b?.[ch]sv"))
     assert r.match("a/x/y/b1.csv") and not r.match("a/b1.txt")
@@ -63,12 +63,12 @@ def _ledger_setup(spark, tmp):
     _write(f"{land}/cc/CC_03.txt", "a|9.00\nc|3.00\n")
     _write(f"{land}/cc/CC_sub/CC_04.txt", "z|0.00\n")     # * crosses folders
     _write(f"{land}/other/XX_01.txt", "q|1\n")
-    systems = spark.createDataFrame([("SAP", 1, land, "active")],
+    systems = spark.createDataFrame([("ERP", 1, land, "active")],
                                     "src_sys_key string, src_sys_id int, src_entity_path string, src_sys_status string")
-    ents = spark.createDataFrame([("SAP", "CC", 2, "cc/CC_*.txt", "active"), ("SAP", "OFF", 3, "other/*", "inactive")],
+    ents = spark.createDataFrame([("ERP", "CC", 2, "cc/CC_*.txt", "active"), ("ERP", "OFF", 3, "other/*", "inactive")],
                                  "src_sys_key string, src_entity_key string, src_entity_id int, "
                                  "src_entity_pattern string, src_entity_status string")
-    listing = normalise_paths(list_files(spark, land, system_key="SAP"))
+    listing = normalise_paths(list_files(spark, land, system_key="ERP"))
     disc = discover_files(listing, entity_rules(systems, ents))
     ledger = SnapshotTable(spark, os.path.join(tmp, "ledger"))
     staged = stage_new_files(disc, spark.createDataFrame([], LEDGER_SCHEMA), T1)
@@ -102,10 +102,10 @@ def test_discover_stage_and_full_feed_load(spark, tmp):
 def test_incremental_all_appends_oldest_first_and_isolates_bad_file(spark, tmp):
     land, disc, ledger = _ledger_setup(spark, tmp)
     _write(f"{land}/cc/CC_05.txt", "bad|line|too|many\n")
-    listing = normalise_paths(list_files(spark, land, system_key="SAP"))
-    systems = spark.createDataFrame([("SAP", 1, land, "active")],
+    listing = normalise_paths(list_files(spark, land, system_key="ERP"))
+    systems = spark.createDataFrame([("ERP", 1, land, "active")],
                                     "src_sys_key string, src_sys_id int, src_entity_path string, src_sys_status string")
-    ents = spark.createDataFrame([("SAP", "CC", 2, "cc/CC_*.txt", "active")],
+    ents = spark.createDataFrame([("ERP", "CC", 2, "cc/CC_*.txt", "active")],
                                  "src_sys_key string, src_entity_key string, src_entity_id int, "
                                  "src_entity_pattern string, src_entity_status string")
     new = stage_new_files(discover_files(listing, entity_rules(systems, ents)), ledger.read(), T1)
@@ -255,12 +255,12 @@ def test_load_xml_feed_appends_run_stamped_staging(spark, tmp):
         XmlRecordSet("a", "A", (XmlColumn("N", "HDR/N", False), XmlColumn("K", "A/K"))),
         XmlRecordSet("b", "A/B", (XmlColumn("N", "HDR/N", False), XmlColumn("K", "A/K", False),
                                   XmlColumn("V", "A/B/V")))))
-    systems = spark.createDataFrame([("SAP", 1, land, "active")],
+    systems = spark.createDataFrame([("ERP", 1, land, "active")],
                                     "src_sys_key string, src_sys_id int, src_entity_path string, src_sys_status string")
-    ents = spark.createDataFrame([("SAP", "GL", 5, "x/GL_*.xml", "active")],
+    ents = spark.createDataFrame([("ERP", "GL", 5, "x/GL_*.xml", "active")],
                                  "src_sys_key string, src_entity_key string, src_entity_id int, "
                                  "src_entity_pattern string, src_entity_status string")
-    disc = discover_files(normalise_paths(list_files(spark, land, system_key="SAP")), entity_rules(systems, ents))
+    disc = discover_files(normalise_paths(list_files(spark, land, system_key="ERP")), entity_rules(systems, ents))
     ledger = SnapshotTable(spark, os.path.join(tmp, "xledger"))
     ledger.write(stage_new_files(disc, spark.createDataFrame([], LEDGER_SCHEMA), T1).select(*LEDGER_SCHEMA.names))
     staging = {"a": SnapshotTable(spark, os.path.join(tmp, "stg_a")), "b": SnapshotTable(spark, os.path.join(tmp, "stg_b"))}

@@ -10,7 +10,7 @@ from loadkit.sources.xml import contract_schema, load_xml_recordsets
 
 HDR = [XmlColumn("DOCNUM", "HDR/DOCNUM", False), XmlColumn("CREATED_ON", "HDR/CREATED_ON", False)]
 ACCT = [XmlColumn("ACCT_NO", "ACCT/ACCT_NO"), XmlColumn("FUNC", "ACCT/FUNC"), XmlColumn("GRP", "ACCT/GRP")]
-CONTRACT = XmlContract("idoc", "IDOC", (
+CONTRACT = XmlContract("docs", "DOC", (
     XmlRecordSet("account", "ACCT", tuple(HDR + ACCT)),
     XmlRecordSet("text", "ACCT/TXT", tuple(HDR + [XmlColumn("ACCT_NO", "ACCT/ACCT_NO", False),
                                                   XmlColumn("LANG", "ACCT/TXT/LANG"),
@@ -23,7 +23,7 @@ CONTRACT = XmlContract("idoc", "IDOC", (
 
 DOC1 = """<?xml version="1.0"?>
 <ns:ROOT xmlns:ns="urn:example:gl">
- <IDOC>
+ <DOC>
   <HDR><DOCNUM>D1</DOCNUM><CREATED_ON>20240101</CREATED_ON></HDR>
   <ACCT>
    <TXT><LANG>EN</LANG><LONG>Cash &amp; bank
@@ -34,16 +34,16 @@ second line</LONG></TXT>
    <ACCT_NO>A1</ACCT_NO><FUNC>009</FUNC><GRP>G1</GRP>
   </ACCT>
   <ACCT><ACCT_NO>A2</ACCT_NO></ACCT>
- </IDOC>
- <IDOC>
+ </DOC>
+ <DOC>
   <HDR><DOCNUM>D2</DOCNUM></HDR>
   <ACCT><ACCT_NO>B1</ACCT_NO><COMP><COMPANY>2000</COMPANY></COMP></ACCT>
- </IDOC>
+ </DOC>
 </ns:ROOT>
 """
-DOC2 = """<ROOT><IDOC>
+DOC2 = """<ROOT><DOC>
   <ACCT><ACCT_NO>C1</ACCT_NO><TXT><LANG>DE</LANG><LONG>Kasse</LONG></TXT></ACCT>
-</IDOC><IDOC><HDR><DOCNUM>D4</DOCNUM></HDR></IDOC></ROOT>
+</DOC><DOC><HDR><DOCNUM>D4</DOCNUM></HDR></DOC></ROOT>
 """
 
 
