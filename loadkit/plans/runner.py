@@ -12,6 +12,7 @@ tables.
 from __future__ import annotations
 
 import contextlib
+import hashlib
 import datetime as _dt
 import re
 from dataclasses import dataclass, field
@@ -130,7 +131,16 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
         raise ContractError(f"target {spec.target} does not fit the load", bad)
     src = read_source(spark, spec.source, spec.source_type)
     src_view, tgt_view = _view_name("loadkit_source", run_id), _view_name("loadkit_target", run_id)
-    src.createOrReplaceTempView(src_view)
+    if spec.strategy == "merge":
+        # hooks see the classified source (record_status), a lazy view that only
+        # runs if a hook reads it
+        from loadkit.operators.changes import classify_changes
+        from loadkit.operators.conform import conform
+        excl = spec.audit.names() + ([spec.delete_flag_col] if spec.detect_deletes else [])
+        classify_changes(conform(src, tgt.schema, exclude=excl), tgt, spec.keys,
+                         compare=spec.compare).createOrReplaceTempView(src_view)
+    else:
+        src.createOrReplaceTempView(src_view)
     tgt.createOrReplaceTempView(tgt_view)
     names = {"source": src_view, "target": tgt_view if snap_target else spec.target}
     run_sql_hook(spark, spec.pre_sql, names)
@@ -197,11 +207,16 @@ def load_feed(spark: SparkSession, contract: FeedContract, ledger: SnapshotTable
     """
     led = ledger.read()
     sel = select_files(led.filter(F.col("src_entity_key") == entity_key), feed_policy(contract))
-    # bounded: paths of one run's files (metadata), not data
-    to_load = [r["src_entity_path"] for r in
-               sel.filter(F.col("action") == LOAD).orderBy("load_seq").select("src_entity_path").collect()]
+    # bounded: paths and keys of one run's files (metadata), not data
+    chosen = sel.filter(F.col("action") == LOAD).orderBy("load_seq").select(
+        "src_entity_path", "src_entity_inst_key").collect()
+    to_load = [r["src_entity_path"] for r in chosen]
     if not to_load:
         return LoadResult(run_id, "completed", {"n_files": 0}, None, "no file to load")
+    # The raw table's run id is derived from the files themselves: a re-run after a
+    # crash between publishing and the ledger update publishes nothing twice.
+    files_id = hashlib.sha1("\n".join(sorted(r["src_entity_inst_key"] for r in chosen)).encode()).hexdigest()
+    publish_id = f"{contract.name}:{files_id[:16]}"
     loaded = load_delimited(spark, to_load, contract, with_source_file=True, with_rejects=True,
                             multiline=multiline)
     loaded = loaded.checkpoint(eager=True)   # one read of the files, reused below
@@ -218,8 +233,11 @@ def load_feed(spark: SparkSession, contract: FeedContract, ledger: SnapshotTable
     snap = None
     if good:
         mode = "overwrite" if contract.load_type == "overwrite" else "append"
-        snap, m = raw.write(body, run_id=run_id, observe={"rows_loaded": F.count(F.lit(1))}, mode=mode)
-        metrics.update(m)
+        if publish_id in raw.committed_runs():
+            metrics["already_published"] = True
+        else:
+            snap, m = raw.write(body, run_id=publish_id, observe={"rows_loaded": F.count(F.lit(1))}, mode=mode)
+            metrics.update(m)
     good_n = {_norm(f) for f in good}
     st = sel.filter(F.col("action") == LOAD).select(
         "src_entity_inst_key",
