@@ -13,9 +13,10 @@ is checkpointed once so both uses see the same partitioning.
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from loadkit.session import work_root
@@ -57,8 +58,9 @@ def number_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     # The offsets table has at most (#partitions + #groups) rows. Materialised and,
     # when its row count is within the bound, broadcast: the big side is then
     # joined where it lies instead of being shuffled again.
-    pieces = pieces.checkpoint(eager=True)
-    if pieces.count() <= MAX_BROADCAST_PIECES:
+    obs = Observation(f"pieces_{uuid.uuid4().hex[:8]}")
+    pieces = pieces.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    if obs.get["n"] <= MAX_BROADCAST_PIECES:      # counted during the checkpoint, no extra job
         pieces = F.broadcast(pieces)
 
     cond = ranged["_pid"] == pieces["_p_pid"]
