@@ -183,12 +183,20 @@ def select_files(ledger: DataFrame, policy: str | Column, skew_safe: bool = True
                .when(p == "incremental_one", F.when(key == F.col("_oldest"), LOAD).otherwise(WAIT))
                .otherwise(F.lit("error")))
     q = q.withColumn("action", action)
-    bulk = q.filter(p.isin("incremental_all", "xml"))
-    single = q.filter(~p.isin("incremental_all", "xml") | p.isNull())
-    bulk = number_within(bulk, ["src_sys_key", "src_entity_key"], ["src_entity_inst_key"], out="load_seq",
-                         skew_safe=skew_safe)
-    single = single.withColumn("load_seq", F.when(F.col("action") == LOAD, F.lit(1).cast("long")))
-    out = bulk.unionByName(single)
+    bulk_policies = ("incremental_all", "xml")
+
+    def numbered(df):
+        return number_within(df, ["src_sys_key", "src_entity_key"], ["src_entity_inst_key"], out="load_seq",
+                             skew_safe=skew_safe)
+
+    def single(df):
+        return df.withColumn("load_seq", F.when(F.col("action") == LOAD, F.lit(1).cast("long")))
+
+    if isinstance(policy, str):   # one policy for all: only one branch can hold rows
+        out = numbered(q) if policy in bulk_policies else single(q)
+    else:
+        out = numbered(q.filter(p.isin(*bulk_policies))).unionByName(
+            single(q.filter(~p.isin(*bulk_policies) | p.isNull())))
     return out.drop("_newest", "_oldest", "_policy")
 
 
