@@ -935,3 +935,46 @@ def q_conform_cast_failures(spark, sf_dir):
     out = conform(text, target, error_col="_failed")
     return out.select("order_id", "customer_id", "amount", "order_date",
                       F.array_join("_failed", ",").alias("failed_columns"))
+
+
+# ---------------------------------------------------------------- end to end: runner and snapshots
+@register("run_load_orders", f"SELECT * EXCLUDE ({ACTION_COL}) FROM ({UPSERT_ORDERS_SQL})")
+def q_run_load_orders(spark, sf_dir):
+    """C10 end to end: snapshot target seeded from T, merge of S through run_load
+    (pre/post hooks, audit events, one published version); result = new target."""
+    from loadkit.contracts import LoadSpec
+    from loadkit.operators.audit import parquet_append_sink
+    from loadkit.plans.runner import run_load
+    from loadkit.plans.snapshots import SnapshotTable
+    from loadkit.session import scratch_path
+    tgt, src = orders_change_set(spark, sf_dir)
+    table_ = SnapshotTable(spark, scratch_path(spark, "orders_tgt"))
+    table_.write(with_seed_audit(tgt), run_id="seed")
+    spec = LoadSpec(load_id="L1", target=table_.root, source=lambda s: src, source_type="callable",
+                    keys=("o_orderkey",), audit=AUDIT,
+                    pre_sql="CREATE OR REPLACE TEMP VIEW loadkit_pre_counts AS "
+                            "SELECT record_status, count(*) AS n FROM <<source>> GROUP BY record_status",
+                    post_sql="CREATE OR REPLACE TEMP VIEW loadkit_post_rows AS SELECT count(*) AS n FROM <<target>>")
+    run_load(spark, spec, "run-orders-1", RUN_TS, audit_sink=parquet_append_sink(scratch_path(spark, "audit")))
+    return table_.read()
+
+
+@register("snapshot_compaction", """
+SELECT CAST(count(*) AS BIGINT) AS rows_before, CAST(count(*) AS BIGINT) AS rows_after,
+       CAST(1 AS BIGINT) AS files_after, CAST(sum(l_orderkey) AS BIGINT) AS key_sum
+FROM lineitem""")
+def q_snapshot_compaction(spark, sf_dir):
+    """Lineitem as one overwrite version of 16 files plus an append version,
+    compacted into one file: rows are kept, file count drops."""
+    from loadkit.plans.snapshots import SnapshotTable
+    from loadkit.session import scratch_path
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    t = SnapshotTable(spark, scratch_path(spark, "compact"))
+    t.write(li.filter(F.col("l_linenumber") <= 3), run_id="base", num_files=16)
+    t.write(li.filter(F.col("l_linenumber") > 3), run_id="more", num_files=4, mode="append")
+    before = t.read().count()
+    t.compact(target_file_bytes=1 << 40)
+    stats = t.file_stats().first()
+    return t.read().agg(F.lit(before).cast("long").alias("rows_before"), F.count(F.lit(1)).alias("rows_after"),
+                        F.lit(stats["n_files"]).cast("long").alias("files_after"),
+                        F.sum("l_orderkey").cast("long").alias("key_sum"))
