@@ -41,7 +41,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(f"local[{cpus}]", app="loadkit-bench", shuffle_partitions=int(cpus) * 2,
-                          extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "8g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "4g")})
     from loadkit.contracts import AuditColumns
     from loadkit.operators.changes import classify_changes
     from loadkit.operators.ledger import LEDGER_SCHEMA, discover_files, stage_new_files
