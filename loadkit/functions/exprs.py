@@ -8,7 +8,6 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loadkit.contracts import ContractError, check_identifier
 

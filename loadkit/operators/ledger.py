@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadkit.contracts import ContractError
-from loadkit.functions.exprs import basename, glob_to_regex, instance_key, literal_prefix, ntz_literal, padded_run_id
+from loadkit.functions.exprs import basename, instance_key, ntz_literal, padded_run_id
 from loadkit.functions.numbering import number_within
 
 STAGED, FAILED, SUCCESS, SKIPPED = "staged", "failed", "success", "skipped"
@@ -242,5 +242,5 @@ def skip_others(selected: DataFrame, run_id: str) -> DataFrame:
 
 
 __all__ = ["LEDGER_SCHEMA", "LEDGER_COLS", "entity_rules", "discover_files", "stage_new_files",
-           "select_files", "apply_status", "skip_others", "policy_of", "glob_to_regex", "literal_prefix",
+           "select_files", "apply_status", "skip_others", "policy_of",
            "assert_single_system", "queue_order"]

@@ -13,7 +13,7 @@ from loadkit.contracts import (AuditColumns, ColumnMap, ContractError, FeedContr
                                validate_load_row, validate_table_def)
 from loadkit.functions.exprs import glob_to_regex, literal_prefix, substitute
 from loadkit.functions.numbering import number_within
-from loadkit.operators.audit import JobAudit, audit_latest_state, parquet_append_sink
+from loadkit.operators.audit import audit_latest_state, parquet_append_sink
 from loadkit.operators.ledger import LEDGER_SCHEMA, discover_files, entity_rules, stage_new_files
 from loadkit.plans.runner import load_feed, load_many, run_load
 from loadkit.plans.snapshots import SnapshotTable
