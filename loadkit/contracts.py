@@ -294,6 +294,7 @@ class LoadSpec:
     compare: str = "exact"              # exact | digest | legacy_hash
     on_reappear: str = "restore"        # restore | keep
     load_name: str | None = None
+    target_buckets: int | None = None   # write snapshot targets bucketed by the keys
 
     @classmethod
     def from_row(cls, r: dict, target: str | None = None) -> "LoadSpec":

@@ -157,7 +157,8 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
             from pyspark.sql import Observation
             obs = Observation(f"merge_{_view_name('', run_id)}")
             body = new.observe(obs, *[c.alias(n) for n, c in observe.items()]).drop(ACTION_COL)
-            snap, _ = table.write(body, run_id=run_id)
+            bucket = (list(spec.keys), spec.target_buckets) if spec.target_buckets else None
+            snap, _ = table.write(body, run_id=run_id, bucket_by=bucket)
             metrics = dict(obs.get)
         else:
             snap, metrics = None, _overwrite_catalog(spark, spec.target, new, observe)

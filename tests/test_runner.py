@@ -333,3 +333,21 @@ def test_merge_hooks_see_classified_source(spark, tmp):
     run_load(spark, spec, "hook-1", T1)
     got = {r["record_status"]: r["n"] for r in spark.table("hook_status").collect()}
     assert got == {"changed": 1, "new": 1}
+
+
+def test_bucketed_target_needs_no_target_shuffle(spark, tmp):
+    tgt = SnapshotTable(spark, os.path.join(tmp, "tgt_bucketed"))
+    base = spark.range(200).select(F.col("id"), F.lit("v").alias("v"),
+                                   F.lit(None).cast("timestamp_ntz").alias("ins_ts"), F.lit(None).cast("string").alias("ins_by"),
+                                   F.lit(None).cast("timestamp_ntz").alias("upd_ts"), F.lit(None).cast("string").alias("upd_by"))
+    tgt.write(base, run_id="seed", bucket_by=(["id"], 8))
+    assert tgt.file_stats().first()["n_files"] == 8 and not tgt.needs_compaction(max_files=1)
+    from loadkit.operators.upsert import upsert_frame
+    src = spark.range(150, 250).select("id", F.lit("w").alias("v"))
+    plan = upsert_frame(tgt.read(), src, ["id"], AUD, "B", T1)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1          # the source side only
+    spec = LoadSpec(load_id="B1", target=tgt.root, source=lambda s: src, source_type="callable", keys=("id",),
+                    audit=AUD, target_buckets=8)
+    res = run_load(spark, spec, "bk-1", T1)
+    assert res.metrics["n_insert"] == 50 and res.metrics["n_update"] == 50
+    assert tgt.latest().bucket_by == (("id",), 8) and tgt.read().count() == 250
