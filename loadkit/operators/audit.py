@@ -53,16 +53,20 @@ def audit_latest_state(events: DataFrame, id_col: str = "id", time_col: str = "e
 
 def maintenance_due(runs: DataFrame, as_of: _dt.datetime, days: int = 7, table_col: str = "table_name",
                     time_col: str = "start_time", status_col: str = "status",
-                    ok_status: str = "success") -> DataFrame:
+                    ok_status: str = "success", tables: DataFrame | None = None) -> DataFrame:
     """Per table: last successful maintenance and whether one is due.
 
-    Due when no successful run started within ``days`` before ``as_of``
-    (including never), which also makes a first run due on an empty history.
+    Due when no successful run started within ``days`` before ``as_of``,
+    including never. With ``tables`` (one column ``table_col``) every listed
+    table is reported, so a table without any history is due (D14).
     """
     cutoff = ntz_literal(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
     last = runs.groupBy(table_col).agg(
         F.max(F.when(F.col(status_col) == ok_status, F.col(time_col))).alias("last_success"),
         F.count(F.lit(1)).alias("n_runs"))
+    if tables is not None:
+        last = (tables.select(table_col).distinct().join(last, table_col, "left")
+                      .withColumn("n_runs", F.coalesce(F.col("n_runs"), F.lit(0).cast("long"))))
     return last.withColumn("due", F.col("last_success").isNull() | (F.col("last_success") < cutoff))
 
 
