@@ -33,7 +33,8 @@ def test_d25_merge_from_a_table_source(spark, tmp):
     tgt.write(spark.createDataFrame([(1, "a", "N", None, None, None, None)], TGT), run_id="seed")
     spark.sql("CREATE DATABASE IF NOT EXISTS lk_src")
     spark.sql("DROP TABLE IF EXISTS lk_src.s25")
-    spark.createDataFrame([(1, "b"), (2, "c")], "id long, v string").write.mode("overwrite").saveAsTable("lk_src.s25")
+    (spark.createDataFrame([(1, "b"), (2, "c")], "id long, v string").write.mode("overwrite")
+          .option("path", os.path.join(tmp, "s25")).saveAsTable("lk_src.s25"))
     spec = LoadSpec(load_id="T", target=tgt.root, source="lk_src.s25", source_type="table", keys=("id",), audit=AUD,
                     delete_flag_col="del", detect_deletes=True)
     res = run_load(spark, spec, "d25", T1)
