@@ -33,6 +33,8 @@ def fingerprint(cols: Sequence[str], compare: str, casts: dict[str, Column] | No
     ``names`` gives the field names (so both sides encode identically)."""
     casts = casts or {}
     names = list(names or cols)
+    if not cols:
+        return F.lit(0)   # no data columns: nothing can change
     exprs = [casts.get(c, F.col(c)).alias(n) for c, n in zip(cols, names)]
     if compare == "exact":
         return F.struct(*exprs)
@@ -78,8 +80,9 @@ def classify_changes(src: DataFrame, tgt: DataFrame, keys: Sequence[str],
     null_key = any_null(keys)
     s = src.filter(~null_key).withColumn("_s_fp", fingerprint(data_cols, compare, casts))
     j = s.join(t, on=list(keys), how="left")
+    changed = differs(F.col("_s_fp"), F.col("_t_fp"), compare) if data_cols else F.lit(False)
     status = (F.when(F.col("_in_t").isNull(), F.lit(NEW))
-               .when(differs(F.col("_s_fp"), F.col("_t_fp"), compare), F.lit(CHANGED))
+               .when(changed, F.lit(CHANGED))
                .otherwise(F.lit(UNCHANGED)))
     matched = j.select(*[F.col(c) for c in src.columns], status.alias(status_col))
     nulls = src.filter(null_key).select(*[F.col(c) for c in src.columns], F.lit(NULL_KEY).alias(status_col))

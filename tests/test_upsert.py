@@ -165,3 +165,10 @@ def test_null_keys_split_off_on_both_sides(spark):
     t = tgt(spark, base).drop("del_flag", "ins_ts", "ins_by", "upd_ts", "upd_by")
     st = classify_changes(src(spark, SRC), t, ["k1", "k2"]).collect()
     assert len(st) == len(SRC) and [r["record_status"] for r in st if r["k1"] is None] == ["null_key"]
+
+
+def test_keys_only_tables(spark):
+    t = spark.createDataFrame([(1,), (2,)], "id long")
+    s = spark.createDataFrame([(2,), (3,)], "id long")
+    st = {r["id"]: r["record_status"] for r in classify_changes(s, t, ["id"]).collect()}
+    assert st == {2: "unchanged", 3: "new"}
