@@ -11,7 +11,8 @@ shuffle carries only what the comparison needs:
                   including its collisions (NULL positions, ``-`` inside values)
 
 Rows with a NULL key are never matched; they get status ``null_key`` and stay in
-the output so nothing is dropped silently.
+the output so nothing is dropped silently. They are salted across partitions in
+the same pass, so many NULL keys do not pile up in one task.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from loadkit.contracts import ContractError
 from loadkit.functions.exprs import any_null, resolve_columns
 
 NEW, CHANGED, UNCHANGED, NULL_KEY = "new", "changed", "unchanged", "null_key"
+NULL_SALTS = 4096   # spread of NULL-key rows over shuffle partitions
 
 
 def fingerprint(cols: Sequence[str], compare: str, casts: dict[str, Column] | None = None,
@@ -72,21 +74,24 @@ def classify_changes(src: DataFrame, tgt: DataFrame, keys: Sequence[str],
     tdata = resolve_columns(tgt, data_cols)
     casts = _casts_to(src, tgt, data_cols) if compare == "exact" else {}
 
-    # NULL keys never match; they are split off before the shuffle (all of them
-    # would hash to one task) and come back with status null_key.
+    # NULL keys never match. Left as they are, every NULL-key row would hash to
+    # the same shuffle partition; a deterministic salt (hash of the row) joined
+    # as an extra key spreads them in the same single pass, and they come back
+    # unmatched with status null_key.
+    null_key = any_null(keys)
+    salt = F.when(null_key, F.pmod(F.xxhash64(*[F.col(c) for c in src.columns]), F.lit(NULL_SALTS))) \
+            .otherwise(F.lit(-1)).cast("int")
     t = (tgt.filter(~any_null(tkeys))
-            .select(*[F.col(tk).alias(k) for tk, k in zip(tkeys, keys)],
+            .select(*[F.col(tk).alias(k) for tk, k in zip(tkeys, keys)], F.lit(-1).alias("_salt"),
                     fingerprint(tdata, compare, names=data_cols).alias("_t_fp"), F.lit(True).alias("_in_t")))
-    null_key = any_null(keys)
-    s = src.filter(~null_key).withColumn("_s_fp", fingerprint(data_cols, compare, casts))
-    j = s.join(t, on=list(keys), how="left")
+    s = src.withColumn("_salt", salt).withColumn("_s_fp", fingerprint(data_cols, compare, casts))
+    j = s.join(t, on=[*keys, "_salt"], how="left")
     changed = differs(F.col("_s_fp"), F.col("_t_fp"), compare) if data_cols else F.lit(False)
-    status = (F.when(F.col("_in_t").isNull(), F.lit(NEW))
+    status = (F.when(F.col("_salt") >= 0, F.lit(NULL_KEY))
+               .when(F.col("_in_t").isNull(), F.lit(NEW))
                .when(changed, F.lit(CHANGED))
                .otherwise(F.lit(UNCHANGED)))
-    matched = j.select(*[F.col(c) for c in src.columns], status.alias(status_col))
-    nulls = src.filter(null_key).select(*[F.col(c) for c in src.columns], F.lit(NULL_KEY).alias(status_col))
-    return matched.unionByName(nulls)
+    return j.select(*[F.col(c) for c in src.columns], status.alias(status_col))
 
 
 def status_counts(classified: DataFrame, status_col: str = "record_status") -> DataFrame:
