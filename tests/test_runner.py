@@ -351,3 +351,15 @@ def test_bucketed_target_needs_no_target_shuffle(spark, tmp):
     res = run_load(spark, spec, "bk-1", T1)
     assert res.metrics["n_insert"] == 50 and res.metrics["n_update"] == 50
     assert tgt.latest().bucket_by == (("id",), 8) and tgt.read().count() == 250
+
+
+def test_number_within_bucket_method_matches_window(spark):
+    from loadkit.functions.numbering import number_within_buckets
+    rnd = random.Random(11)
+    rows = [("hot" if rnd.random() < 0.4 else (None if rnd.random() < 0.05 else f"g{rnd.randint(0, 9)}"),
+             rnd.randint(0, 10**9), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, t long, i long")
+    a = number_within_buckets(df, ["g"], ["t", "i"], out="rn", num_buckets=12)
+    w = df.withColumn("rn2", F.row_number().over(Window.partitionBy("g").orderBy("t", "i")).cast("long"))
+    j = a.join(w, ["i"])
+    assert j.count() == 3000 and j.filter(F.col("rn") != F.col("rn2")).count() == 0
