@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
+_ROOTS: dict[str, str] = {}   # work root per Spark application
 
 
 def build_session(master: str | None = None, app: str = "loadkit",
@@ -54,17 +55,24 @@ def build_session(master: str | None = None, app: str = "loadkit",
 def work_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and run-scoped files.
 
-    Taken from ``spark.checkpoint.dir``; a private local folder is set only
-    when the session has none (tests on one machine).
+    Taken from ``spark.checkpoint.dir``, else from a checkpoint folder already set
+    on the SparkContext; only when neither exists (local tests) is a private
+    local folder set as the context's checkpoint folder.
     """
+    app = spark.sparkContext.applicationId
+    if app in _ROOTS:
+        return _ROOTS[app]
     root = spark.conf.get(_CKPT_KEY, None) or spark.sparkContext.getConf().get(_CKPT_KEY, None)
+    jsc = spark.sparkContext._jsc.sc()
+    current = jsc.getCheckpointDir()
+    if not root and not current.isEmpty():
+        root = current.get()
     if not root:
         root = tempfile.mkdtemp(prefix="loadkit-ckpt-")
-        spark.conf.set(_CKPT_KEY, root)
-    jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    _ROOTS[app] = root.rstrip("/")
+    return _ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
