@@ -331,13 +331,14 @@ def q_upsert_composite_key(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- query source
-ORDER_REVENUE_SQL = """
+ORDER_REVENUE_TEMPLATE = """
     SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id,
            CAST(count(*) AS BIGINT) AS n_lines,
            CAST(sum(CAST(l.l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS gross,
            CAST(max(CAST(l.l_shipdate AS DATE)) AS DATE) AS last_ship
-    FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+    FROM {orders} o JOIN {lineitem} l ON l.l_orderkey = o.o_orderkey
     GROUP BY o.o_orderkey, o.o_custkey"""
+ORDER_REVENUE_SQL = ORDER_REVENUE_TEMPLATE.format(orders="orders", lineitem="lineitem")
 REVENUE_DATA = ["customer_id", "n_lines", "gross", "last_ship"]
 
 
@@ -349,9 +350,10 @@ REVENUE_DATA = ["customer_id", "n_lines", "gross", "last_ship"]
     "t", "q", ["order_id"], REVENUE_DATA))
 def q_upsert_query_source(spark, sf_dir):
     from loadkit.sources.tables import read_source
-    for name in ("orders", "lineitem"):
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-    src = read_source(spark, ORDER_REVENUE_SQL, "query")
+    views = {name: f"loadkit_{name}" for name in ("orders", "lineitem")}
+    for name, view in views.items():
+        table(spark, sf_dir, name).createOrReplaceTempView(view)
+    src = read_source(spark, ORDER_REVENUE_TEMPLATE.format(**views), "query")
     k = F.col("order_id")
     tgt = with_seed_audit(src.filter(k % 10 != 0).withColumn(
         "n_lines", F.when(k % 5 == 0, F.col("n_lines") + 1).otherwise(F.col("n_lines"))))
