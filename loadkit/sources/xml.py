@@ -89,10 +89,15 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str], contract: Xm
     if method != "split":
         raise ContractError(f"unknown XML read method {method!r}")
     raw = spark.read.option("lineSep", f"</{tag}>").text(paths)
-    body = F.regexp_extract(F.col("value"), rf"(?s)(<{tag}(?:\s[^>]*)?>.*)$", 1)
-    docs = raw.select(body.alias("_doc"), *([F.col("_metadata.file_path").alias(SOURCE_FILE)]
-                                            if with_source_file else []))
-    docs = docs.filter(F.col("_doc") != "")
+    # start of the document element: "<tag>" or "<tag" + whitespace (so "<tagXYZ>" is not
+    # taken); plain substring searches, no regex over the whole chunk
+    v = F.col("value")
+    starts = [F.instr(v, f"<{tag}{c}") for c in (">", " ", "\t", "\n", "\r")]
+    pos = F.least(*[F.when(p > 0, p) for p in starts])
+    body = F.expr("substring(value, _pos)")
+    docs = (raw.withColumn("_pos", pos).filter(F.col("_pos").isNotNull())
+               .select(body.alias("_doc"), *([F.col("_metadata.file_path").alias(SOURCE_FILE)]
+                                             if with_source_file else [])))
     parsed = F.from_xml(F.concat(F.col("_doc"), F.lit(f"</{tag}>")), schema,
                         {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
     return docs.select(parsed.alias("_x"), *([SOURCE_FILE] if with_source_file else [])).select(
