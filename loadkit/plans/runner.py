@@ -146,7 +146,10 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
     run_sql_hook(spark, spec.pre_sql, names)
 
     if spec.strategy == "merge":
-        new = upsert_frame(tgt, src, spec.keys, spec.audit, spec.load_id, run_ts,
+        from pyspark.sql import Observation
+        src_obs = Observation(f"src_{_view_name('', run_id)}")
+        observed_src = src.observe(src_obs, F.count(F.lit(1)).alias("rows_read"))
+        new = upsert_frame(tgt, observed_src, spec.keys, spec.audit, spec.load_id, run_ts,
                            delete_flag_col=spec.delete_flag_col, detect_deletes=spec.detect_deletes,
                            compare=spec.compare, on_reappear=spec.on_reappear)
         a = F.col(ACTION_COL)
@@ -162,16 +165,19 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
             metrics = dict(obs.get)
         else:
             snap, metrics = None, _overwrite_catalog(spark, spec.target, new, observe)
+        metrics.update(src_obs.get)
     elif spec.strategy == "insert":
         rows = append_rows(tgt.schema, src, spec.audit, spec.load_id, run_ts)
         observe = {"n_insert": F.count(F.lit(1))}
         if snap_target:
             snap, metrics = table.write(rows, run_id=run_id, observe=observe, mode="append")
+            metrics["rows_read"] = metrics.get("n_insert")
         else:
             from pyspark.sql import Observation
             obs = Observation(f"ins_{_view_name('', run_id)}")
             rows.observe(obs, *[c.alias(n) for n, c in observe.items()]).write.insertInto(spec.target)
             snap, metrics = None, dict(obs.get)
+            metrics["rows_read"] = metrics.get("n_insert")
     else:  # validated above; kept for safety
         raise ContractError(f"unknown update strategy {spec.strategy!r}")
     run_sql_hook(spark, spec.post_sql, names)

@@ -134,6 +134,7 @@ def test_run_load_merge_with_hooks_audit_and_snapshots(spark, tmp):
                     post_sql="CREATE OR REPLACE TEMP VIEW post_seen AS SELECT count(*) AS n FROM <<target>>")
     res = run_load(spark, spec, "run-1", T1, audit_sink=parquet_append_sink(audit_dir))
     assert res.metrics["n_insert"] == 1 and res.metrics["n_update"] == 1 and res.metrics["n_delete"] == 1
+    assert res.metrics["rows_read"] == 2
     out = {r["id"]: r for r in tgt.read().collect()}
     assert out[2]["del"] == "Y" and out[1]["v"] == "a2" and out[3]["ins_by"] == "L1"
     assert spark.table("pre_seen").first()["n"] == 2
@@ -141,7 +142,7 @@ def test_run_load_merge_with_hooks_audit_and_snapshots(spark, tmp):
     run_load(spark, spec, "run-1", T1)
     assert len(tgt.snapshots()) == 2
     state = audit_latest_state(spark.read.parquet(audit_dir)).first()
-    assert state["status"] == "completed" and state["rows_new"] == 1
+    assert state["status"] == "completed" and state["rows_new"] == 1 and state["rows_read"] == 2
     # a failing load leaves a failed audit event
     bad = LoadSpec(load_id="L2", target=tgt.root, source="SELECT id FROM src_v", keys=("id",), audit=AUD)
     with pytest.raises(ContractError):
