@@ -90,12 +90,10 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str], contract: Xm
         raise ContractError(f"unknown XML read method {method!r}")
     raw = spark.read.option("lineSep", f"</{tag}>").text(paths)
     # start of the document element: "<tag>" or "<tag" + whitespace (so "<tagXYZ>" is not
-    # taken); plain substring searches, no regex over the whole chunk
-    v = F.col("value")
-    starts = [F.instr(v, f"<{tag}{c}") for c in (">", " ", "\t", "\n", "\r")]
-    pos = F.least(*[F.when(p > 0, p) for p in starts])
+    # taken); the search stops at the first match instead of matching the whole chunk
+    pos = F.regexp_instr(F.col("value"), F.lit(rf"<{tag}[\s>]"))
     body = F.expr("substring(value, _pos)")
-    docs = (raw.withColumn("_pos", pos).filter(F.col("_pos").isNotNull())
+    docs = (raw.withColumn("_pos", pos).filter(F.col("_pos") > 0)
                .select(body.alias("_doc"), *([F.col("_metadata.file_path").alias(SOURCE_FILE)]
                                              if with_source_file else [])))
     parsed = F.from_xml(F.concat(F.col("_doc"), F.lit(f"</{tag}>")), schema,
