@@ -27,6 +27,15 @@ from loadkit.operators.changes import differs, fingerprint
 from loadkit.operators.conform import conform, data_columns
 
 INSERT, UPDATE, DELETE, RESTORE, KEEP = "insert", "update", "delete", "restore", "keep"
+NULL_SALTS = 4096
+
+
+def _is_hash_partitioned(df: DataFrame) -> bool:
+    """True when the frame's scan already delivers hash partitioning (bucketed table)."""
+    try:
+        return df._jdf.queryExecution().sparkPlan().outputPartitioning().toString().startswith("hashpartitioning")
+    except Exception:  # noqa: BLE001 - plan introspection is best effort
+        return False
 ACTION_COL = "change_action"
 
 
@@ -105,9 +114,22 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
         s = s.withColumn("_dup_n", dup).filter(
             F.when(F.col("_dup_n") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))).drop("_dup_n")
     s = s.select(*tkeys, *[F.col(c).alias(f"_s_{c}") for c in data], F.lit(True).alias("_in_s"))
-    t_null = tgt.filter(any_null(tkeys)).withColumn(ACTION_COL, F.lit(KEEP))
-    t = tgt.filter(~any_null(tkeys)).withColumn("_in_t", F.lit(True))
-    j = t.join(s, on=list(tkeys), how="full_outer")
+    if _is_hash_partitioned(tgt):
+        # bucketed target: join on the keys alone to keep its co-partitioning; its
+        # NULL-key rows come from a second, statistics-pruned scan
+        t_null = tgt.filter(any_null(tkeys)).withColumn(ACTION_COL, F.lit(KEEP))
+        t = tgt.filter(~any_null(tkeys)).withColumn("_in_t", F.lit(True))
+        j = t.join(s, on=list(tkeys), how="full_outer")
+        t_is_null_key = F.lit(False)
+    else:
+        # one pass: NULL-key target rows get a salt (hash of the row) as an extra
+        # join key, so they spread over partitions, never match, and are kept
+        t_null = None
+        salt = F.when(any_null(tkeys), F.pmod(F.xxhash64(*[F.col(c) for c in tcols]), F.lit(NULL_SALTS))) \
+                .otherwise(F.lit(-1)).cast("int")
+        t = tgt.withColumn("_in_t", F.lit(True)).withColumn("_salt", salt)
+        j = t.join(s.withColumn("_salt", F.lit(-1)), on=[*tkeys, "_salt"], how="full_outer")
+        t_is_null_key = F.col("_salt") >= 0
 
     in_s = F.col("_in_s").isNotNull()
     in_t = F.col("_in_t").isNotNull()
@@ -121,7 +143,7 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
     action = (F.when(in_s & ~in_t, F.lit(INSERT))
                .when(in_s & in_t & changed, F.lit(UPDATE))
                .when(in_s & in_t & was_deleted & restore, F.lit(RESTORE))
-               .when(~in_s & in_t & F.lit(bool(flag)) & ~was_deleted, F.lit(DELETE))
+               .when(~in_s & in_t & F.lit(bool(flag)) & ~was_deleted & ~t_is_null_key, F.lit(DELETE))
                .otherwise(F.lit(KEEP)))
     j = j.withColumn(ACTION_COL, action)
     a = F.col(ACTION_COL)
@@ -148,7 +170,8 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
                       .when(a == DELETE, F.lit("Y"))
                       .when(reopen, F.lit("N"))
                       .otherwise(F.col(flag)).cast(ttypes[flag]))
-    return j.select(*[out[c].alias(c) for c in tcols], a.alias(ACTION_COL)).unionByName(t_null)
+    merged = j.select(*[out[c].alias(c) for c in tcols], a.alias(ACTION_COL))
+    return merged.unionByName(t_null) if t_null is not None else merged
 
 
 def upsert(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: AuditColumns, load_id: str,
