@@ -78,13 +78,15 @@ def classify_changes(src: DataFrame, tgt: DataFrame, keys: Sequence[str],
     # the same shuffle partition; a deterministic salt (hash of the row) joined
     # as an extra key spreads them in the same single pass, and they come back
     # unmatched with status null_key.
-    null_key = any_null(keys)
-    salt = F.when(null_key, F.pmod(F.xxhash64(*[F.col(c) for c in src.columns]), F.lit(NULL_SALTS))) \
-            .otherwise(F.lit(-1)).cast("int")
+    def salt(key_cols, row_cols):
+        # the same row expression on both sides: a literal -1 on one side would be
+        # folded into a join filter and drop the salt from the hash key
+        return (F.when(any_null(key_cols), F.pmod(F.xxhash64(*[F.col(c) for c in row_cols]), F.lit(NULL_SALTS)))
+                 .otherwise(F.lit(-1)).cast("int"))
     t = (tgt.filter(~any_null(tkeys))
-            .select(*[F.col(tk).alias(k) for tk, k in zip(tkeys, keys)], F.lit(-1).alias("_salt"),
+            .select(*[F.col(tk).alias(k) for tk, k in zip(tkeys, keys)], salt(tkeys, tkeys).alias("_salt"),
                     fingerprint(tdata, compare, names=data_cols).alias("_t_fp"), F.lit(True).alias("_in_t")))
-    s = src.withColumn("_salt", salt).withColumn("_s_fp", fingerprint(data_cols, compare, casts))
+    s = src.withColumn("_salt", salt(keys, src.columns)).withColumn("_s_fp", fingerprint(data_cols, compare, casts))
     j = s.join(t, on=[*keys, "_salt"], how="left")
     changed = differs(F.col("_s_fp"), F.col("_t_fp"), compare) if data_cols else F.lit(False)
     status = (F.when(F.col("_salt") >= 0, F.lit(NULL_KEY))

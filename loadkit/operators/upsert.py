@@ -30,6 +30,12 @@ INSERT, UPDATE, DELETE, RESTORE, KEEP = "insert", "update", "delete", "restore",
 NULL_SALTS = 4096
 
 
+def null_key_salt(keys: Sequence[str], row_cols: Sequence[str]) -> Column:
+    """-1 for rows with complete keys; a hash of the row in [0, NULL_SALTS) otherwise."""
+    return (F.when(any_null(keys), F.pmod(F.xxhash64(*[F.col(c) for c in row_cols]), F.lit(NULL_SALTS)))
+             .otherwise(F.lit(-1)).cast("int"))
+
+
 def _is_hash_partitioned(df: DataFrame) -> bool:
     """True when the frame's scan already delivers hash partitioning (bucketed table)."""
     try:
@@ -106,15 +112,23 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
     # NULL keys never match: such rows are split off before the shuffle (they would
     # all hash to one task); source ones are not applied, target ones are kept.
     s = s.filter(~any_null(tkeys))
+    bucketed = _is_hash_partitioned(tgt)
+    join_keys = list(tkeys) if bucketed else [*tkeys, "_salt"]
+    if not bucketed:
+        # the same salt expression as the target's (constant -1 here, as no source
+        # key is NULL): a literal would be folded into a join filter and drop the
+        # salt from the hash key
+        s = s.withColumn("_salt", null_key_salt(tkeys, s.columns))
     if check_keys == "inline":
         # The guard must stay in the plan: a boolean that is false exactly on
-        # duplicates, raising there; the filter keeps every other row.
-        dup = F.count(F.lit(1)).over(Window.partitionBy(*tkeys))
+        # duplicates, raising there; the filter keeps every other row. Partitioned
+        # like the join, so the join reuses its shuffle and sort.
+        dup = F.count(F.lit(1)).over(Window.partitionBy(*join_keys))
         msg = F.concat(F.lit("source has duplicate key "), F.to_json(F.struct(*[F.col(k) for k in tkeys])))
         s = s.withColumn("_dup_n", dup).filter(
             F.when(F.col("_dup_n") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))).drop("_dup_n")
-    s = s.select(*tkeys, *[F.col(c).alias(f"_s_{c}") for c in data], F.lit(True).alias("_in_s"))
-    if _is_hash_partitioned(tgt):
+    s = s.select(*join_keys, *[F.col(c).alias(f"_s_{c}") for c in data], F.lit(True).alias("_in_s"))
+    if bucketed:
         # bucketed target: join on the keys alone to keep its co-partitioning; its
         # NULL-key rows come from a second, statistics-pruned scan
         t_null = tgt.filter(any_null(tkeys)).withColumn(ACTION_COL, F.lit(KEEP))
@@ -125,10 +139,8 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
         # one pass: NULL-key target rows get a salt (hash of the row) as an extra
         # join key, so they spread over partitions, never match, and are kept
         t_null = None
-        salt = F.when(any_null(tkeys), F.pmod(F.xxhash64(*[F.col(c) for c in tcols]), F.lit(NULL_SALTS))) \
-                .otherwise(F.lit(-1)).cast("int")
-        t = tgt.withColumn("_in_t", F.lit(True)).withColumn("_salt", salt)
-        j = t.join(s.withColumn("_salt", F.lit(-1)), on=[*tkeys, "_salt"], how="full_outer")
+        t = tgt.withColumn("_in_t", F.lit(True)).withColumn("_salt", null_key_salt(tkeys, tcols))
+        j = t.join(s, on=join_keys, how="full_outer")
         t_is_null_key = F.col("_salt") >= 0
 
     in_s = F.col("_in_s").isNotNull()

@@ -172,3 +172,18 @@ def test_keys_only_tables(spark):
     s = spark.createDataFrame([(2,), (3,)], "id long")
     st = {r["id"]: r["record_status"] for r in classify_changes(s, t, ["id"]).collect()}
     assert st == {2: "unchanged", 3: "new"}
+
+
+def test_null_keys_are_salted_into_the_hash_key(spark):
+    """Many NULL-key rows must not share one shuffle partition: the salt has to be
+    part of the hash key (not folded into a join filter), with one shuffle per side."""
+    base = [(None, str(i), "x", i, d("1.00"), None, "N", T0, "seed", None, None) for i in range(50)] + BASE
+    t = tgt(spark, base)
+    up = upsert_frame(t, src(spark, SRC), ["k1", "k2"], AUD, "L1", T1, delete_flag_col="del_flag", detect_deletes=True)
+    plan = up._jdf.queryExecution().executedPlan().toString()
+    exchanges = [l for l in plan.split("\n") if "Exchange hashpartitioning" in l]
+    assert len(exchanges) == 2 and all("_salt" in l for l in exchanges)
+    assert up.filter(F.col("k1").isNull()).count() == 50
+    cl = classify_changes(src(spark, SRC), t.drop("del_flag", "ins_ts", "ins_by", "upd_ts", "upd_by"), ["k1", "k2"])
+    cplan = cl._jdf.queryExecution().executedPlan().toString()
+    assert all("_salt" in l for l in cplan.split("\n") if "Exchange hashpartitioning" in l)
