@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from loadkit.llm.langid import op2_language_id
 from loadkit.llm.packing import op7_best_fit_packing
+from loadkit.llm.quality import op3_quality_rules
 from loadkit.llm.simhash import op1_simhash
 from loadkit.llm.tokens import op6_token_counts
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language_id": op2_language_id,
+    "op3_quality_rules": op3_quality_rules,
     "op6_token_counts": op6_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
 }
