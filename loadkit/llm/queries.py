@@ -6,10 +6,12 @@ from loadkit.llm.langid import op2_language_id
 from loadkit.llm.packing import op7_best_fit_packing
 from loadkit.llm.quality import op3_quality_rules
 from loadkit.llm.simhash import op1_simhash
+from loadkit.llm.suffix_dedup import op10_suffix_dedup
 from loadkit.llm.tokens import op6_token_counts
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op10_suffix_dedup": op10_suffix_dedup,
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op6_token_counts": op6_token_counts,
