@@ -8,6 +8,7 @@ from loadkit.llm.quality import op3_quality_rules
 from loadkit.llm.simhash import op1_simhash
 from loadkit.llm.suffix_dedup import op10_suffix_dedup
 from loadkit.llm.tokens import op6_token_counts
+from loadkit.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_simhash": op1_simhash,
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op6_token_counts": op6_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
