@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from loadkit.llm.langid import op2_language_id
 from loadkit.llm.packing import op7_best_fit_packing
+from loadkit.llm.pii import op8_information_sanitiser
 from loadkit.llm.quality import op3_quality_rules
 from loadkit.llm.simhash import op1_simhash
 from loadkit.llm.suffix_dedup import op10_suffix_dedup
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op6_token_counts": op6_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_information_sanitiser": op8_information_sanitiser,
     "op9_toxicity": op9_toxicity,
 }
 
