@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from loadkit.llm.langid import op2_language_id
+from loadkit.llm.line_dedup import op4_line_dedup
 from loadkit.llm.packing import op7_best_fit_packing
 from loadkit.llm.pii import op8_information_sanitiser
 from loadkit.llm.quality import op3_quality_rules
@@ -16,6 +17,7 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
+    "op4_line_dedup": op4_line_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_information_sanitiser": op8_information_sanitiser,
