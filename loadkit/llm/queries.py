@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from loadkit.llm.decontaminate import op5_decontamination
 from loadkit.llm.langid import op2_language_id
 from loadkit.llm.line_dedup import op4_line_dedup
 from loadkit.llm.packing import op7_best_fit_packing
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
+    "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_information_sanitiser": op8_information_sanitiser,
