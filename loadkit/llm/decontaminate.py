@@ -12,9 +12,9 @@ every block. For a block:
    benchmark's own passages as further rows they span the latent space. (Alone, the
    ``RANK`` leading directions of a corpus say too little of a passage that is rare in
    it: real leaks fell to cosines of 0.2.)
-3. Every window (overlapping by half) that can reach a cosine of ``CANDIDATE`` with
-   some benchmark passage is projected and compared with all of them. The bound is
-   Cauchy-Schwarz on the words that the window holds, so nothing is lost by it.
+3. Every window (overlapping by half) is compared with every benchmark passage in the
+   latent space; a cosine of ``CANDIDATE`` or more makes a candidate. (A word's latent
+   products with the passages are tabled once; a window adds up its words' rows.)
 4. A candidate is verified on its words: the longest common subsequence must hold
    ``LCS_SHARE`` of the passage's words, or ``PARAPHRASE_SHARE`` of them and
    ``ANSWER_SHARE`` of its answer (the last sentence, at least its last
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -98,8 +99,8 @@ class Block:
         self.idf = np.zeros(self.size, np.float32)
 
     def encode(self, text: str | None) -> bytes:
-        get = self.vocabulary.get
-        return np.array([get(w, 0) for w in words_of(text)], self.kind).tobytes()
+        words = words_of(text)
+        return np.fromiter(map(self.vocabulary.get, words, repeat(0)), self.kind, len(words)).tobytes()
 
     def rows(self) -> np.ndarray:
         """TF-IDF vectors of the benchmark passages."""
@@ -120,11 +121,10 @@ class Block:
         self.leading = left[:, self.spread > self.spread[:1].max(initial=0) * 1e-9]
         own, size, _ = np.linalg.svd(np.hstack([self.leading, (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)).T]), full_matrices=False)
         basis = own[:, size > 1e-6].astype(np.float32)
-        self.weighted = basis * self.idf[:, None]
         norm = np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
         self.queries = (m / norm).astype(np.float32) @ basis
-        # per word: its energy in a window, and the most that it can add to a squared cosine
-        self.reach = np.stack([self.idf ** 2, ((m / norm) ** 2).max(axis=0, initial=0) * 1.0001], axis=1).astype(np.float32)
+        # what a word adds to a window's latent product with each passage, and to its energy
+        self.adds = np.hstack([(basis * self.idf[:, None]) @ self.queries.T, (self.idf ** 2)[:, None]])
         self.needed = [Counter(x) for x in self.words]
 
     def halves(self, docs: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,9 +138,10 @@ class Block:
         known = words > 0
         out = np.zeros((int(counts.sum()), weights.shape[1]), np.float32)
         of, words = of[known], words[known]
-        if len(of):
-            new = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1])
-            out[of[new]] = np.add.reduceat(weights[words], new, axis=0)
+        for a in range(0, len(of), 1 << 15):   # bounds what is gathered at once
+            part, own = of[a:a + (1 << 15)], words[a:a + (1 << 15)]
+            new = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1])
+            out[part[new]] += np.add.reduceat(weights[own], new, axis=0)
         return out, counts
 
     def verify(self, window: np.ndarray, passage: int) -> tuple[float, float] | None:
@@ -159,22 +160,29 @@ class Block:
         told = lcs(words[n - answer:], seen) / answer if answer else 0.0
         return (share, told) if share >= LCS_SHARE or share >= PARAPHRASE_SHARE and told >= ANSWER_SHARE else None
 
-    def search(self, doc: np.ndarray, reach: np.ndarray) -> dict[int, tuple[float, float, float]]:
-        """Leaks in one document, from the sums of ``self.reach`` over its half windows."""
-        if len(reach) > 1:
-            reach = reach[:-1] + reach[1:]
-        found: dict[int, tuple[float, float, float]] = {}
+    def search(self, docs: list[np.ndarray]) -> list[tuple[int, int, float, float, float]]:
+        """(document, item, cosine, shares) of the leaks in some documents."""
+        sums, counts = self.halves(docs, self.adds)
+        if not len(sums):
+            return []
+        doc = np.repeat(np.arange(len(docs)), counts)
+        last = np.append(doc[1:] != doc[:-1], True)
+        window = sums.copy()
+        window[:-1] += np.where(last[:-1, None], 0, sums[1:])
+        window[last & np.append(False, ~last[:-1])] = 0   # a last half alone, where there is a half before it
+        cosines = window[:, :-1] / np.sqrt(np.maximum(window[:, -1:], 1e-12))   # energy: at most the squared norm
+        first = np.concatenate([[0], np.cumsum(counts)])[:-1]
         half = WINDOW_WORDS // 2
-        for k in np.flatnonzero(reach[:, 1] >= CANDIDATE ** 2).tolist():
-            window = doc[k * half:k * half + WINDOW_WORDS]
-            energy = np.sqrt(max(reach[k, 0], 1e-12))   # at most the window's norm
-            cosines = self.queries @ self.weighted[window].sum(axis=0) / energy
-            for p in np.flatnonzero(cosines >= CANDIDATE).tolist():
-                got = self.verify(window, p)
-                if got:
-                    best = (min(float(cosines[p]), 1.0), *got)
-                    found[self.items[p]] = max(found.get(self.items[p], best), best, key=lambda x: (x[1], x[2], x[0]))
-        return found
+        found: dict[tuple[int, int], tuple[float, float, float]] = {}
+        for k, p in np.argwhere(cosines >= CANDIDATE).tolist():
+            d = int(doc[k])
+            at = (k - int(first[d])) * half
+            got = self.verify(docs[d][at:at + WINDOW_WORDS], p)
+            if got:
+                best = (min(float(cosines[k, p]), 1.0), *got)
+                key = d, self.items[p]
+                found[key] = max(found.get(key, best), best, key=lambda x: (x[1], x[2], x[0]))
+        return [(*key, *best) for key, best in found.items()]
 
 
 def _documents(batch: pa.RecordBatch, kind) -> list[np.ndarray]:
@@ -231,10 +239,10 @@ def sketch(ids: DataFrame, block: Block, w: np.ndarray) -> np.ndarray:
             words = np.concatenate(docs)
             of = number[np.repeat(first, [len(d) for d in docs]) + np.concatenate([np.arange(len(d)) for d in docs]) // half]
             known = words > 0
-            words, of = words[known].astype(np.int64), of[known]
+            words, of = words[known], of[known]
             if not len(words):
                 continue
-            order = np.argsort(words, kind="stable")
+            order = np.argsort(words, kind="stable")   # 16-bit words: a radix sort
             new = np.concatenate([[0], np.flatnonzero(np.diff(words[order])) + 1])
             total[words[order][new]] += np.add.reduceat(y[of[order]], new, axis=0)
         total *= idf[:, None]
@@ -264,20 +272,14 @@ def block_leaks(docs: DataFrame, block: Block) -> DataFrame:
 
     def make():
         def one(batch):
-            docs = _documents(batch, block.kind)
-            sums, counts = block.halves(docs, block.reach)
-            at, rows = 0, []
-            for i, (d, n) in enumerate(zip(docs, counts.tolist())):
-                if n:
-                    rows += [(i, item, *x) for item, x in block.search(d, sums[at:at + n]).items()]
-                at += n
+            rows = block.search(_documents(batch, block.kind))
             cols = list(zip(*rows)) or [()] * 5
             of = pa.array(cols[0], pa.int64())
             return pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(of), batch.column("th").take(of), pa.array(cols[1], pa.int64()),
                  *(pa.array(c, pa.float64()) for c in cols[2:])], ["doc_id", "th", "item_id", "cosine", "lcs_share", "answer_share"])
         return one
-    return map_slices(ids, make, "doc_id long, th long, item_id long, cosine double, lcs_share double, answer_share double", rows=128)
+    return map_slices(ids, make, "doc_id long, th long, item_id long, cosine double, lcs_share double, answer_share double", rows=64)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
