@@ -46,9 +46,9 @@ LOAD_SPEC_KEYS = (
 )
 AUDIT_KEYS = ("RecordInsertDate", "RecordInsertBy", "RecordUpdateDate", "RecordUpdateBy")
 # Table definition keys and column keys.
-TABLE_DEF_KEYS = ("table", "database", "columns")
-TABLE_COLUMN_KEYS = ("name", "type", "nullable", "description")
-ENVIRONMENTS = ("dev", "val", "prod")
+TABLE_DEF_KEYS = ("TableName", "DatabaseName", "Columns")
+TABLE_COLUMN_KEYS = ("ColumnID", "ColumnName", "FormattedDataType", "IsNull")
+ENVIRONMENTS = ("Development", "Validation", "Production")
 # ---------------------------------------------------------------------------
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
@@ -89,7 +89,7 @@ class FeedContract:
     sep: str = ","
     quote: str | None = None
     escape: str | None = None
-    multiline: bool | str = False          # True / False / "auto"
+    multiline: bool = False                # quoted newlines declared
     date_format: str | None = None
     timestamp_format: str | None = None
     trim_leading: bool = False
@@ -97,6 +97,7 @@ class FeedContract:
     extract_type: str = "full"             # full | incremental
     load_type: str = "overwrite"           # overwrite | append
     load_all_incremental: bool = False
+    reject_bad_files: bool = False         # a file with a bad row fails whole (default: rows stay, counted)
     file_pattern: str | None = None
     system_id: str | None = None
     file_id: str | None = None
@@ -232,6 +233,9 @@ class XmlContract:
 
     @classmethod
     def from_mapping(cls, m: dict, document_tag: str | None = None) -> "XmlContract":
+        bad = validate_xml_mapping(m)
+        if bad:
+            raise ContractError(f"XML mapping {m.get('MappingName') if isinstance(m, dict) else m!r} is invalid", bad)
         sets = []
         for rs in m["RecordSets"]:
             cols = tuple(XmlColumn(name=c["ColumnName"], path=c["ColumnXPath"],
@@ -294,7 +298,8 @@ class LoadSpec:
     compare: str = "exact"              # exact | digest | legacy_hash
     on_reappear: str = "restore"        # restore | keep
     load_name: str | None = None
-    target_buckets: int | None = None   # write snapshot targets bucketed by the keys
+    native_merge: bool = False          # catalog target whose source supports MERGE
+    quarantine: str | None = None       # snapshot-table path for source rows without a complete key
 
     @classmethod
     def from_row(cls, r: dict, target: str | None = None) -> "LoadSpec":
@@ -399,17 +404,15 @@ class TableDef:
 
     @classmethod
     def from_json(cls, d: dict) -> "TableDef":
+        """From a definition script; beside its keys ``Location`` and ``Format`` (default
+        parquet) may be given."""
         bad = validate_table_def(d)
         if bad:
-            raise ContractError(f"table definition {d.get('table')!r} is invalid", bad)
-        cols = tuple(TableColumn(c["name"], c["type"], bool(c.get("nullable", True)) if not isinstance(
-            c.get("nullable"), str) else c["nullable"].lower() in ("yes", "true"), c.get("description") or None)
-            for c in d["columns"])
-        ext = d.get("external", False)
-        ext = ext.lower() in ("yes", "true") if isinstance(ext, str) else bool(ext)
-        return cls(database=d["database"], table=d["table"], columns=cols, external=ext,
-                   location=d.get("location"), properties=dict(d.get("properties") or {}),
-                   format=d.get("format", "parquet"))
+            raise ContractError(f"table definition {d.get('TableName')!r} is invalid", bad)
+        cols = tuple(TableColumn(c["ColumnName"], c["FormattedDataType"], _flag(c["IsNull"]), c.get("Description") or None)
+                     for c in d["Columns"])
+        return cls(database=d["DatabaseName"], table=d["TableName"], columns=cols, external=_flag(d.get("IsExternal", False)),
+                   location=d.get("Location"), properties=dict(d.get("TableProperties") or {}), format=d.get("Format", "parquet"))
 
     def qualified(self) -> str:
         return f"{self.database}.{self.table}"
@@ -418,29 +421,50 @@ class TableDef:
         return T.StructType([T.StructField(c.name, parse_type(c.type), c.nullable) for c in self.columns])
 
 
+def _flag(v: Any) -> bool:
+    return v.strip().lower() in ("yes", "true") if isinstance(v, str) else bool(v)
+
+
 def validate_table_def(d: Any) -> list[str]:
     if not isinstance(d, dict):
         return ["table definition must be an object"]
     out = [f"missing key {k}" for k in TABLE_DEF_KEYS if k not in d]
     if out:
         return out
-    if not isinstance(d["columns"], list) or not d["columns"]:
-        return ["columns must be a non-empty list"]
-    for i, c in enumerate(d["columns"]):
+    if not isinstance(d["Columns"], list) or not d["Columns"]:
+        return ["Columns must be a non-empty list"]
+    for i, c in enumerate(d["Columns"]):
         miss = [k for k in TABLE_COLUMN_KEYS if not isinstance(c, dict) or k not in c]
         if miss:
             out.append(f"column {i} lacks {', '.join(miss)}")
             continue
         try:
-            parse_type(c["type"])
+            parse_type(c["FormattedDataType"])
         except Exception:
-            out.append(f"column {i} has unknown type {c['type']!r}")
-    for k in ("database", "table"):
+            out.append(f"column {i} has unknown type {c['FormattedDataType']!r}")
+    for k in ("DatabaseName", "TableName"):
         if not isinstance(d[k], str) or not _IDENT.match(d[k]):
             out.append(f"{k} must be an identifier")
-    ext = d.get("external", False)
-    if (ext is True or (isinstance(ext, str) and ext.lower() in ("yes", "true"))) and not d.get("location"):
-        out.append("external table needs a location")
+    return out
+
+
+def validate_xml_mapping(m: Any) -> list[str]:
+    """Rules of the XML mapping JSON; empty list means valid."""
+    if not isinstance(m, dict) or not isinstance(m.get("RecordSets"), list) or not m.get("RecordSets"):
+        return ["RecordSets must be a non-empty list"]
+    out = []
+    for i, rs in enumerate(m["RecordSets"]):
+        if not isinstance(rs, dict) or not rs.get("RecordXPath"):
+            out.append(f"record set {i} lacks RecordXPath")
+            continue
+        cols = rs.get("Columns")
+        if not isinstance(cols, list) or not cols:
+            out.append(f"record set {i} has no Columns")
+            continue
+        out += [f"record set {i} column {j} lacks {k}" for j, c in enumerate(cols) for k in ("ColumnName", "ColumnXPath") if not isinstance(c, dict) or not c.get(k)]
+        names = [str(c.get("ColumnName")).lower() for c in cols if isinstance(c, dict)]
+        if len(names) != len(set(names)):
+            out.append(f"record set {i} has duplicate column names")
     return out
 
 

@@ -7,53 +7,49 @@ partitions. Each row gets its position inside its partition from
 ``monotonically_increasing_id`` (partition index in the high bits, row index in
 the low bits, assigned after the in-partition sort), and a small table of
 per-(partition, group) counts supplies the offset of earlier partitions (at
-most #partitions + #groups rows, broadcast when within a row bound). The frame
-is checkpointed once so both uses see the same partitioning.
+most #partitions + #groups rows; AQE broadcasts it if it measures small). The ranges
+are written to the shared work folder so that both uses see the same partitioning.
 """
 
 from __future__ import annotations
 
-import uuid
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadkit.session import work_root
+from loadkit.session import scratch_path
 
 _ROW_BITS = 33
-MAX_BROADCAST_PIECES = 200_000
-DEFAULT_METHOD = "checkpoint"
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def number_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column],
                   out: str = "rn", num_partitions: int | None = None,
-                  skew_safe: bool = True, method: str | None = None) -> DataFrame:
+                  skew_safe: bool = True) -> DataFrame:
     """Add ``out`` = 1, 2, ... per group of ``partition_by`` in ``order_by`` order.
 
     With ``skew_safe=False`` this is a plain window ``row_number`` (one task per group).
-    ``method="checkpoint"`` range-partitions and checkpoints the input;
-    ``method="buckets"`` assigns sampled ranges by value (no checkpoint, see
-    :func:`number_within_buckets`; order columns must be named columns).
     """
     partition_by = list(partition_by)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order_by]
     if not skew_safe:
         w = Window.partitionBy(*partition_by).orderBy(*order_cols)
         return df.withColumn(out, F.row_number().over(w).cast("long"))
-    method = method or DEFAULT_METHOD
-    if method == "buckets":
-        return number_within_buckets(df, partition_by, [o for o in order_by], out, num_partitions)
-
     spark = df.sparkSession
-    work_root(spark)  # ensures a reliable checkpoint folder
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(c) for c in partition_by] + order_cols
-    ranged = (df.repartitionByRange(n, *sort_cols)
+    # written once before the ranges are sampled, so that sampling does not run the
+    # input again, and once with the ranges, so that both uses below see the same ones
+    ranged = (_written(df, "numbering_input").repartitionByRange(n, *sort_cols)
                 .sortWithinPartitions(*sort_cols)
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
-    ranged = ranged.withColumn("_pid", F.shiftrightunsigned("_mid", _ROW_BITS))
+    ranged = _written(ranged, "numbering_ranges").withColumn("_pid", F.shiftrightunsigned("_mid", _ROW_BITS))
 
     # At most (#partitions + #groups) rows: one per partition a group touches.
     pieces = ranged.groupBy("_pid", *partition_by).agg(F.min("_mid").alias("_first"),
@@ -62,14 +58,6 @@ def number_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     pieces = pieces.select(*[F.col(c).alias(f"_p_{c}") for c in partition_by],
                            F.col("_pid").alias("_p_pid"), "_first", "_before")
-    # The offsets table has at most (#partitions + #groups) rows. Materialised and,
-    # when its row count is within the bound, broadcast: the big side is then
-    # joined where it lies instead of being shuffled again.
-    obs = Observation(f"pieces_{uuid.uuid4().hex[:8]}")
-    pieces = pieces.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    if obs.get["n"] <= MAX_BROADCAST_PIECES:      # counted during the checkpoint, no extra job
-        pieces = F.broadcast(pieces)
-
     cond = ranged["_pid"] == pieces["_p_pid"]
     for c in partition_by:
         cond = cond & ranged[c].eqNullSafe(pieces[f"_p_{c}"])
@@ -78,78 +66,3 @@ def number_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     return joined.withColumn(out, rn).drop("_mid", "_pid", "_p_pid", "_first", "_before",
                                            *[f"_p_{c}" for c in partition_by])
 
-
-MAX_SAMPLE_ROWS = 100_000
-
-
-def _typed_literal(value, dtype) -> Column:
-    from pyspark.sql import types as T
-    from loadkit.functions.exprs import ntz_literal
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(dtype, T.TimestampNTZType):
-        return ntz_literal(value)
-    return F.lit(value).cast(dtype)
-
-
-def _bucket_expr(cols: Sequence[str], dtypes, bounds: list) -> Column:
-    """Index of the range a row falls in: binary search over bounds sorted by Spark."""
-    row = F.struct(*[F.col(c) for c in cols])
-
-    def lit_struct(b):
-        return F.struct(*[_typed_literal(v, t).alias(c) for v, t, c in zip(b, dtypes, cols)])
-
-    def search(lo: int, hi: int) -> Column:      # bucket in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2                        # bounds[mid] separates bucket mid and mid+1
-        return F.when(row > lit_struct(bounds[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
-    return search(0, len(bounds))
-
-
-def number_within_buckets(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
-                          out: str = "rn", num_buckets: int | None = None) -> DataFrame:
-    """Skew-safe numbering without a checkpoint.
-
-    Rows are assigned to ranges of (group, order) whose bounds come from a
-    bounded sample sorted by Spark, then hash-partitioned by range: a hot group
-    spans many ranges. Numbers within (range, group) come from a window that
-    reuses that partitioning; only the first group of a range can continue from
-    earlier ranges, so the offset table has at most one row per range and its
-    broadcast is bounded by the number of ranges. Bucket assignment is a pure
-    function of the row, so task retries reproduce it.
-    """
-    spark = df.sparkSession
-    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = [*partition_by, *order_by]
-    dtypes = [df.schema[c].dataType for c in cols]
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= 1 << 60:           # no statistics (default size): count exactly
-        est_rows = max(1, df.count())
-    else:
-        est_rows = max(1, size // 64)
-    fraction = min(1.0, (n * 64) / est_rows)
-    sample = df.select(*cols).sample(fraction=fraction, seed=17).limit(MAX_SAMPLE_ROWS)
-    ordered = sample.orderBy(*cols).collect()          # bounded sample, in Spark's order
-    step = len(ordered) / n if ordered else 0
-    bounds = []
-    for i in range(1, n):
-        b = tuple(ordered[int(i * step)]) if ordered and int(i * step) < len(ordered) else None
-        if b is not None and (not bounds or b != bounds[-1]):
-            bounds.append(b)
-    bucketed = df.withColumn("_b", _bucket_expr(cols, dtypes, bounds) if bounds else F.lit(0))
-    bucketed = bucketed.repartition(max(1, len(bounds) + 1), "_b")
-    w = Window.partitionBy("_b", *partition_by).orderBy(*[F.col(c) for c in order_by])
-    local = bucketed.withColumn("_lrn", F.row_number().over(w).cast("long"))
-    pieces = bucketed.groupBy("_b", *partition_by).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*partition_by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (pieces.withColumn("_before", F.sum("_n").over(before)).filter(F.col("_before") > 0)
-                     .select(F.col("_b").alias("_o_b"), *[F.col(c).alias(f"_o_{c}") for c in partition_by],
-                             "_before"))
-    cond = local["_b"] == offsets["_o_b"]
-    for c in partition_by:
-        cond = cond & local[c].eqNullSafe(offsets[f"_o_{c}"])
-    # at most one offset row per range: a proven bound for the broadcast
-    joined = local.join(F.broadcast(offsets), cond, "left")
-    return (joined.withColumn(out, F.col("_lrn") + F.coalesce(F.col("_before"), F.lit(0)))
-                  .drop("_b", "_lrn", "_o_b", "_before", *[f"_o_{c}" for c in partition_by]))

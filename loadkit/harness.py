@@ -2,8 +2,9 @@
 
 Every query reads whole tables from ``sf_dir`` (or data Spark derives from them)
 and exercises one operator family. Change sets follow one rule so both engines
-build them identically: target ``T`` holds keys with ``k % 10 <> 0``, source
-``S`` keys with ``k % 7 <> 0``, and some data columns of ``S`` are altered by key
+build them identically: target ``T`` holds keys with ``k % 10 <> 0`` or
+``k % 70 = 0``, source ``S`` keys with ``k % 7 <> 0`` (so that every row of the table
+is in one of them or both), and some data columns of ``S`` are altered by key
 arithmetic. That shapes inserts / updates / deletes; it is not a sample: every
 row of the table goes through the operator.
 
@@ -48,6 +49,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def in_target(key):
+    return (key % 10 != 0) | (key % 70 == 0)
+
+
 def with_seed_audit(df: DataFrame) -> DataFrame:
     return (df.withColumn("ins_ts", ntz_literal(SEED_TS))
               .withColumn("ins_by", F.lit("seed"))
@@ -75,7 +80,7 @@ def orders_typed(spark, sf_dir) -> DataFrame:
 def orders_change_set(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     o = orders_typed(spark, sf_dir)
     k = F.col("o_orderkey")
-    tgt = o.filter(k % 10 != 0)
+    tgt = o.filter(in_target(k))
     src = (o.filter(k % 7 != 0)
             .withColumn("o_totalprice", F.when(k % 5 == 0, F.col("o_totalprice") + 1)
                         .otherwise(F.col("o_totalprice")).cast("decimal(15,2)"))
@@ -86,7 +91,7 @@ def orders_change_set(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 ORDERS_CTE = f"""
     o AS ({ORDERS_TYPED}),
-    t AS (SELECT * FROM o WHERE o_orderkey % 10 <> 0),
+    t AS (SELECT * FROM o WHERE (o_orderkey % 10 <> 0 OR o_orderkey % 70 = 0)),
     s AS (SELECT o_orderkey, o_custkey, o_orderstatus,
                  CAST(CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 1 ELSE o_totalprice END
                       AS DECIMAL(15,2)) AS o_totalprice,
@@ -218,7 +223,7 @@ def customer_change_set(spark, sf_dir):
         "c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast("decimal(15,2)").alias("c_acctbal"),
         "c_mktsegment")
     k = F.col("c_custkey")
-    tgt = with_seed_audit(c.filter(k % 10 != 0)).withColumn(
+    tgt = with_seed_audit(c.filter(in_target(k))).withColumn(
         "del_flag", F.when(k % 13 == 0, F.lit("Y")).otherwise(F.lit("N")))
     src = c.filter(k % 7 != 0).withColumn(
         "c_acctbal", F.when(k % 5 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).cast("decimal(15,2)"))
@@ -228,7 +233,7 @@ def customer_change_set(spark, sf_dir):
 CUSTOMER_CTE = f"""
     c AS ({CUSTOMER_TYPED}),
     t AS (SELECT *, {SEED_AUDIT_SQL}, CASE WHEN c_custkey % 13 = 0 THEN 'Y' ELSE 'N' END AS del_flag
-          FROM c WHERE c_custkey % 10 <> 0),
+          FROM c WHERE (c_custkey % 10 <> 0 OR c_custkey % 70 = 0)),
     s AS (SELECT c_custkey, c_name, c_nationkey,
                  CAST(CASE WHEN c_custkey % 5 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS DECIMAL(15,2)) AS c_acctbal,
                  c_mktsegment
@@ -247,7 +252,7 @@ SUPPLIER_DATA = ["s_name", "s_nationkey", "s_acctbal"]
 SUPPLIER_CTE = f"""
     p AS (SELECT s_suppkey, s_name, s_nationkey, CAST(s_acctbal AS DECIMAL(15,2)) AS s_acctbal FROM supplier),
     t AS (SELECT *, {SEED_AUDIT_SQL}, CASE WHEN s_suppkey % 3 = 0 THEN 'Y' ELSE 'N' END AS del_flag
-          FROM p WHERE s_suppkey % 10 <> 0),
+          FROM p WHERE (s_suppkey % 10 <> 0 OR s_suppkey % 70 = 0)),
     s AS (SELECT s_suppkey, s_name, s_nationkey,
                  CAST(CASE WHEN s_suppkey % 5 = 0 THEN s_acctbal + 1 ELSE s_acctbal END AS DECIMAL(15,2)) AS s_acctbal
           FROM p WHERE s_suppkey % 7 <> 0)"""
@@ -267,7 +272,7 @@ def q_upsert_reappear(spark, sf_dir):
     s0 = table(spark, sf_dir, "supplier").select(
         "s_suppkey", "s_name", "s_nationkey", F.col("s_acctbal").cast("decimal(15,2)").alias("s_acctbal"))
     k = F.col("s_suppkey")
-    tgt = with_seed_audit(s0.filter(k % 10 != 0)).withColumn(
+    tgt = with_seed_audit(s0.filter(in_target(k))).withColumn(
         "del_flag", F.when(k % 3 == 0, F.lit("Y")).otherwise(F.lit("N")))
     src = s0.filter(k % 7 != 0).withColumn(
         "s_acctbal", F.when(k % 5 == 0, F.col("s_acctbal") + 1).otherwise(F.col("s_acctbal")).cast("decimal(15,2)"))
@@ -302,7 +307,7 @@ LINEITEM_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_ship
 LINEITEM_VALUES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 LINEITEM_CTE = f"""
     li AS ({LINEITEM_TYPED}),
-    t AS (SELECT *, {SEED_AUDIT_SQL} FROM li WHERE (l_orderkey * 8 + l_linenumber) % 10 <> 0),
+    t AS (SELECT *, {SEED_AUDIT_SQL} FROM li WHERE ((l_orderkey * 8 + l_linenumber) % 10 <> 0 OR (l_orderkey * 8 + l_linenumber) % 70 = 0)),
     s0 AS (SELECT l_orderkey, l_linenumber, l_partkey,
                   CASE WHEN (l_orderkey * 8 + l_linenumber) % 97 = 0 THEN NULL ELSE l_suppkey END AS l_suppkey,
                   l_shipdate,
@@ -320,7 +325,7 @@ def q_upsert_composite_key(spark, sf_dir):
     from loadkit.operators.upsert import with_key_expressions
     li = lineitem_typed(spark, sf_dir)
     k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    tgt = with_seed_audit(li.filter(k % 10 != 0))
+    tgt = with_seed_audit(li.filter(in_target(k)))
     src = (li.filter(k % 7 != 0)
              .withColumn("l_quantity", F.when(k % 5 == 0, F.col("l_quantity") + 1)
                          .otherwise(F.col("l_quantity")).cast("decimal(15,2)"))
@@ -346,7 +351,7 @@ REVENUE_DATA = ["customer_id", "n_lines", "gross", "last_ship"]
     f"""q AS ({ORDER_REVENUE_SQL}),
     t AS (SELECT order_id, customer_id,
                  CASE WHEN order_id % 5 = 0 THEN n_lines + 1 ELSE n_lines END AS n_lines, gross, last_ship,
-                 {SEED_AUDIT_SQL} FROM q WHERE order_id % 10 <> 0)""",
+                 {SEED_AUDIT_SQL} FROM q WHERE (order_id % 10 <> 0 OR order_id % 70 = 0))""",
     "t", "q", ["order_id"], REVENUE_DATA))
 def q_upsert_query_source(spark, sf_dir):
     from loadkit.sources.tables import read_source
@@ -355,7 +360,7 @@ def q_upsert_query_source(spark, sf_dir):
         table(spark, sf_dir, name).createOrReplaceTempView(view)
     src = read_source(spark, ORDER_REVENUE_TEMPLATE.format(**views), "query")
     k = F.col("order_id")
-    tgt = with_seed_audit(src.filter(k % 10 != 0).withColumn(
+    tgt = with_seed_audit(src.filter(in_target(k)).withColumn(
         "n_lines", F.when(k % 5 == 0, F.col("n_lines") + 1).otherwise(F.col("n_lines"))))
     return upsert_frame(tgt, src, ["order_id"], AUDIT, "L1", RUN_TS)
 
@@ -606,11 +611,11 @@ SELECT l.src_entity_inst_key, l.src_sys_key, l.src_entity_key, l.src_entity_inst
        CASE WHEN u.src_entity_inst_key IS NOT NULL THEN 'R1' ELSE l.src_entity_load_run_id END AS src_entity_load_run_id
 FROM ledger l LEFT JOIN upd u ON l.src_entity_inst_key = u.src_entity_inst_key""")
 def q_ledger_status_update(spark, sf_dir):
-    from loadkit.operators.ledger import apply_status, select_files, skip_others
+    from loadkit.operators.ledger import LEDGER_KEY, apply_status, select_files, skip_others
     ledger = ledger_frame(spark, sf_dir)
     sel = select_files(ledger, "full")
     loaded = sel.filter(F.col("action") == "load").select(
-        "src_entity_inst_key", F.lit("success").alias("src_entity_load_status"),
+        *LEDGER_KEY, F.lit("success").alias("src_entity_load_status"),
         F.lit("Loaded").alias("src_entity_load_mesg"), F.lit("R1").alias("src_entity_load_run_id"))
     return apply_status(ledger, loaded.unionByName(skip_others(sel, "R1")))
 
@@ -963,23 +968,22 @@ def q_run_load_orders(spark, sf_dir):
 
 @register("snapshot_compaction", """
 SELECT CAST(count(*) AS BIGINT) AS rows_before, CAST(count(*) AS BIGINT) AS rows_after,
-       CAST(1 AS BIGINT) AS files_after, CAST(sum(l_orderkey) AS BIGINT) AS key_sum
+       TRUE AS fewer_files, CAST(sum(l_orderkey) AS BIGINT) AS key_sum
 FROM lineitem""")
 def q_snapshot_compaction(spark, sf_dir):
-    """Lineitem as one overwrite version of 16 files plus an append version,
-    compacted into one file: rows are kept, file count drops."""
+    """Lineitem as one overwrite version of many files plus an append version,
+    compacted to about 64 MB a file: rows are kept, there are fewer files."""
     from loadkit.plans.snapshots import SnapshotTable
     from loadkit.session import scratch_path
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     t = SnapshotTable(spark, scratch_path(spark, "compact"))
     t.write(li.filter(F.col("l_linenumber") <= 3), run_id="base", num_files=16)
     t.write(li.filter(F.col("l_linenumber") > 3), run_id="more", num_files=4, mode="append")
-    before = t.read().count()
-    t.compact(target_file_bytes=1 << 40)
-    stats = t.file_stats().first()
+    before, files = t.read().count(), t.file_stats().first()["n_files"]
+    t.compact(target_file_bytes=64 << 20)
+    after = t.file_stats().first()["n_files"]
     return t.read().agg(F.lit(before).cast("long").alias("rows_before"), F.count(F.lit(1)).alias("rows_after"),
-                        F.lit(stats["n_files"]).cast("long").alias("files_after"),
-                        F.sum("l_orderkey").cast("long").alias("key_sum"))
+                        F.lit(after < files).alias("fewer_files"), F.sum("l_orderkey").cast("long").alias("key_sum"))
 
 
 # ---------------------------------------------------------------- end to end: listing -> ledger -> feed load
@@ -1017,3 +1021,198 @@ def q_feed_load_incremental(spark, sf_dir):
     raw = SnapshotTable(spark, scratch_path(spark, "raw_customer"))
     load_many(spark, [(contract, raw, "CUSTOMER")], ledger, "feed-1")
     return raw.read()
+
+
+# ---------------------------------------------------------------- hostile feeds
+HOSTILE_FEED = [("k", "bigint"), ("c", "bigint"), ("amount", "decimal(15,2)"), ("d", "date")]
+
+
+def _land(spark, listing_root: str, rules: list[tuple], ledger, run_ts):
+    """List, discover, stage and append to the ledger in one call."""
+    from loadkit.plans.runner import stage_files
+    systems = spark.createDataFrame([("ERP", 3, listing_root, "active")],
+                                    "src_sys_key string, src_sys_id int, src_entity_path string, src_sys_status string")
+    entities = spark.createDataFrame([("ERP", *r, "active") for r in rules],
+                                     "src_sys_key string, src_entity_key string, src_entity_id int, "
+                                     "src_entity_pattern string, src_entity_status string")
+    stage_files(spark, listing_root, "ERP", systems, entities, ledger, run_ts)
+
+
+def _hostile_lines(spark, sf_dir) -> DataFrame:
+    """orders as pipe text: a zero date (k % 11 = 0), an amount that is none (k % 13 = 0),
+    a row without its last field (k % 17 = 0)."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    amount = F.when(k % 13 == 0, "abc").otherwise(F.col("o_totalprice").cast("decimal(15,2)").cast("string"))
+    date = F.when(k % 11 == 0, "00000000").otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    head = F.concat_ws("|", k.cast("string"), F.col("o_custkey").cast("string"), amount)
+    return o.select(k.alias("k"), F.when(k % 17 == 0, head).otherwise(F.concat_ws("|", head, date)).alias("value"))
+
+
+_HOSTILE_SQL = """
+WITH o AS (SELECT o_orderkey AS k, o_custkey AS c,
+                  CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(15,2)) END AS amount,
+                  CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 17 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS d,
+                  CASE o_orderkey % 3 WHEN 0 THEN 'plain' WHEN 1 THEN 'a b%41+c' ELSE 'later' END AS folder,
+                  o_orderkey % 13 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 17 = 0 AS bad
+           FROM orders)
+SELECT 'row' AS what, k, c, amount, d, NULL AS folder, NULL AS status, CAST(NULL AS BIGINT) AS n_rows, CAST(NULL AS BIGINT) AS n_bad FROM o
+UNION ALL
+SELECT 'file', NULL, NULL, NULL, NULL, folder, 'success', count(*), count(*) FILTER (bad) FROM o GROUP BY folder
+UNION ALL
+SELECT 'file', NULL, NULL, NULL, NULL, 'empty', 'success', 0, 0"""
+
+
+def _file_rows(ledger: DataFrame) -> DataFrame:
+    """Rows and bad rows that the ledger's messages tell, by folder and status."""
+    told = lambda n: F.sum(F.regexp_extract("src_entity_load_mesg", r"^\w+: (\d+) rows, (\d+) ", n).cast("long"))
+    folder = F.regexp_extract("src_entity_path", "([^/]+)/[^/]+$", 1)
+    return (ledger.groupBy(folder.alias("folder"), F.col("src_entity_load_status").alias("status"))
+            .agg(told(1).alias("n_rows"), told(2).alias("n_bad")))
+
+
+@register("feed_load_hostile", _HOSTILE_SQL)
+def q_feed_load_hostile(spark, sf_dir):
+    """Bad cells, short rows, an empty file, a folder with a
+    blank, a per cent and a plus sign; loaded in two runs, then again after the ledger
+    forgot them (a crash between publishing and the ledger update). Rows of the raw
+    table, and what the ledger holds of each folder's files."""
+    from loadkit.operators.ledger import LEDGER_SCHEMA
+    from loadkit.plans.runner import load_feed
+    from loadkit.plans.snapshots import SnapshotTable
+    from loadkit.session import scratch_path
+    root, lines = scratch_path(spark, "hostile"), _hostile_lines(spark, sf_dir)
+    ledger, raw = SnapshotTable(spark, scratch_path(spark, "ledger")), SnapshotTable(spark, scratch_path(spark, "raw"))
+    ledger.write(spark.createDataFrame([], LEDGER_SCHEMA), run_id="none")
+    contract = _contract("hostile", [(f"_c{i}", n, t) for i, (n, t) in enumerate(HOSTILE_FEED)], sep="|", quote='"',
+                         date_format="yyyyMMdd", extract_type="incremental", load_type="append", load_all_incremental=True)
+
+    def land(folder, which, run):
+        which.select("value").write.text(f"{root}/in/{folder}")
+        _land(spark, root, [("ORDERS", 12, "in/*/part-[0-9]*.txt")], ledger, RUN_TS + dt.timedelta(minutes=run))
+    land("plain", lines.filter("k % 3 = 0"), 0)
+    land("a b%41+c", lines.filter("k % 3 = 1"), 1)
+    land("empty", lines.filter("false"), 2)
+    staged = ledger.read().collect()    # one row a file, for the crash below
+    load_feed(spark, contract, ledger, raw, "ORDERS", "run-1")
+    load_feed(spark, contract, ledger, raw, "ORDERS", "run-1b")
+    ledger.write(spark.createDataFrame(staged, LEDGER_SCHEMA), run_id="crash")
+    land("later", lines.filter("k % 3 = 2"), 3)
+    load_feed(spark, contract, ledger, raw, "ORDERS", "run-2", files_per_scan=3)
+    rows = raw.read().withColumn("what", F.lit("row"))
+    return rows.unionByName(_file_rows(ledger.read()).withColumn("what", F.lit("file")), allowMissingColumns=True).select(
+        "what", "k", "c", "amount", "d", "folder", "status", "n_rows", "n_bad")
+
+
+@register("load_xml_feed_hostile", """
+WITH o AS (SELECT o_orderkey AS k, o_orderpriority AS p, o_orderkey % 6 = 5 AS broken FROM orders)
+SELECT 'row' AS what, CAST(k AS VARCHAR) AS k, CASE WHEN k % 6 = 1 THEN '</DOC>' ELSE p END AS p, NULL AS folder, NULL AS status FROM o WHERE NOT broken
+UNION ALL SELECT 'file', NULL, NULL, 'good', 'success'
+UNION ALL SELECT 'file', NULL, NULL, 'bad', 'failed'""")
+def q_load_xml_feed_hostile(spark, sf_dir):
+    """Orders as documents with a namespace prefix, a closing tag inside
+    CDATA, a document element inside a comment, a spaced closing tag; a folder of broken
+    documents, whose files fail. Staged rows, and folders by file status; the second run
+    finds nothing to stage again."""
+    from loadkit.contracts import XmlColumn, XmlContract, XmlRecordSet
+    from loadkit.operators.ledger import LEDGER_SCHEMA
+    from loadkit.plans.runner import load_xml_feed
+    from loadkit.plans.snapshots import SnapshotTable
+    from loadkit.session import scratch_path
+    root, o, k = scratch_path(spark, "hostile_xml"), table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    prio = F.when(k % 6 == 1, "<![CDATA[</DOC>]]>").otherwise(F.col("o_orderpriority"))
+    body = F.concat(F.lit("<H><K>"), k.cast("string"), F.lit("</K></H><O><P>"), prio, F.lit("</P></O>"))
+    doc = (F.when(k % 6 == 0, F.concat(F.lit("<x:DOC xmlns:x='urn:x'>"), body, F.lit("</x:DOC>")))
+            .when(k % 6 == 2, F.concat(F.lit("<!-- <DOC> --><DOC>"), body, F.lit("</DOC>")))
+            .when(k % 6 == 3, F.concat(F.lit("<DOC>"), body, F.lit("</DOC >")))
+            .when(k % 6 == 5, F.concat(F.lit("<DOC>"), F.replace(body, F.lit("</H>"), F.lit("</J>")), F.lit("</DOC>")))
+            .otherwise(F.concat(F.lit("<DOC>"), body, F.lit("</DOC>"))))
+    for folder, which in (("good", k % 6 != 5), ("bad", k % 6 == 5)):   # a file for 512 keys in a row
+        (o.filter(which).groupBy(F.expr("o_orderkey div 512").alias("n")).agg(F.array_join(F.collect_list(doc), "\n").alias("docs"))
+         .select(F.concat(F.lit("<R>"), "docs", F.lit("</R>")).alias("value"), "n").write.partitionBy("n").text(f"{root}/{folder}"))
+    contract = XmlContract("hostile_xml", "DOC", (XmlRecordSet("o", "O", (XmlColumn("k", "H/K"), XmlColumn("p", "O/P"))),))
+    ledger = SnapshotTable(spark, scratch_path(spark, "ledger"))
+    staging = {"o": SnapshotTable(spark, scratch_path(spark, "staging_o"))}
+    ledger.write(spark.createDataFrame([], LEDGER_SCHEMA), run_id="none")
+    _land(spark, root, [("DOCS", 5, "*/n=*/part-*.txt")], ledger, RUN_TS)
+    load_xml_feed(spark, contract, ledger, staging, "DOCS", "x-1")
+    load_xml_feed(spark, contract, ledger, staging, "DOCS", "x-2")   # the failed files once more
+    files = ledger.read().select(F.lit("file").alias("what"), F.regexp_extract("src_entity_path", "/(good|bad)/", 1).alias("folder"),
+                                 F.col("src_entity_load_status").alias("status")).distinct()
+    rows = staging["o"].read().select(F.lit("row").alias("what"), "k", "p")
+    return rows.unionByName(files, allowMissingColumns=True).select("what", "k", "p", "folder", "status")
+
+
+@register("ledger_overlapping_entities", f"""WITH {LISTING_SQL},
+two AS (SELECT src_entity_key AS e FROM disc UNION ALL SELECT src_entity_key || '_ALL' FROM disc)
+SELECT e AS src_entity_key, CASE WHEN e LIKE '%\\_ALL' ESCAPE '\\' THEN 'staged' ELSE 'success' END AS status, count(*) AS n FROM two GROUP BY 1, 2""")
+def q_ledger_overlapping_entities(spark, sf_dir):
+    """Every file matches two entities and is staged for both; the status of one
+    entity's files does not touch the other's."""
+    from loadkit.operators.ledger import LEDGER_KEY, LEDGER_SCHEMA, apply_status, discover_files, stage_new_files
+    listing, rules = events_listing(spark, sf_dir)
+    other = rules.withColumn("src_entity_key", F.concat("src_entity_key", F.lit("_ALL"))).withColumn("src_entity_id", F.col("src_entity_id") + 1000)
+    disc = discover_files(listing, rules.unionByName(other))
+    staged = stage_new_files(disc, spark.createDataFrame([], LEDGER_SCHEMA), RUN_TS)
+    again = stage_new_files(disc, staged, RUN_TS)   # nothing
+    done = staged.filter(~F.col("src_entity_key").endswith("_ALL")).select(
+        *LEDGER_KEY, F.lit("success").alias("src_entity_load_status"), F.lit("loaded").alias("src_entity_load_mesg"), F.lit("R1").alias("src_entity_load_run_id"))
+    return (apply_status(staged.unionByName(again), done).groupBy("src_entity_key", F.col("src_entity_load_status").alias("status"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("run_load_hooks", """
+WITH s AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 7 <> 0), t AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 <> 0 OR o_orderkey % 70 = 0),
+n AS (SELECT count(*) AS k FROM customer)
+SELECT (SELECT count(*) FROM t) AS target_before, (SELECT count(*) FROM orders) AS target_after,
+       (SELECT count(*) FROM s) + (SELECT k FROM n) AS rows_read, (SELECT k FROM n) AS rows_without_key, (SELECT k FROM n) AS quarantined,
+       (SELECT count(*) FROM s WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t)) AS n_insert""")
+def q_run_load_hooks(spark, sf_dir):
+    """The pre hook sees the target before the load, the post hook the
+    version just committed (it runs on a replay if it has not finished); source rows
+    without a key (one a customer) are counted and set aside."""
+    from loadkit.contracts import LoadSpec
+    from loadkit.plans.runner import run_load
+    from loadkit.plans.snapshots import SnapshotTable
+    from loadkit.session import scratch_path
+    tgt, src = orders_change_set(spark, sf_dir)
+    keyless = table(spark, sf_dir, "customer").select(F.lit(None).cast("bigint").alias("o_orderkey"), F.col("c_custkey").alias("o_custkey"))
+    t, aside = SnapshotTable(spark, scratch_path(spark, "hook_target")), scratch_path(spark, "hook_aside")
+    t.write(with_seed_audit(tgt), run_id="seed")
+    seen = "CREATE OR REPLACE TEMP VIEW loadkit_{w}_hook AS SELECT count(*) AS n FROM {t}"
+    spec = LoadSpec(load_id="L1", target=t.root, source_type="callable", keys=("o_orderkey",), audit=AUDIT, quarantine=aside,
+                    source=lambda s: src.unionByName(keyless, allowMissingColumns=True),
+                    pre_sql=seen.format(w="pre", t="<<target>>"), post_sql=seen.format(w="post", t="<<target>>"))
+    # a view follows its text: the pre hook's count is taken while its target still is the old version
+    before = t.read().count()
+    res = run_load(spark, spec, "hooks-1", RUN_TS)
+    run_load(spark, spec, "hooks-1", RUN_TS)
+    after = spark.table("loadkit_post_hook").first()["n"]
+    m = res.metrics
+    return spark.range(1).select(*[F.lit(v).cast("long").alias(n) for n, v in (
+        ("target_before", before), ("target_after", after), ("rows_read", m["rows_read"]), ("rows_without_key", m["rows_without_key"]),
+        ("quarantined", SnapshotTable(spark, aside).read().count()), ("n_insert", m["n_insert"]))])
+
+
+@register("create_tables_from_list", """
+SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(15,2)) AS c_acctbal, 'own' AS p_own, 'default' AS p_default FROM customer""")
+def q_create_tables_from_list(spark, sf_dir):
+    """A list document names a definition script; the table it makes
+    is filled from customer and read back, with its merged properties."""
+    import json
+    import uuid
+    from loadkit.plans.tables import create_tables, environment_properties, load_table_list
+    from loadkit.session import scratch_path
+    root, name = scratch_path(spark, "ddl"), f"customer_{uuid.uuid4().hex[:12]}"
+    typed = [("c_custkey", "bigint", False), ("c_name", "string", True), ("c_acctbal", "decimal(15,2)", True)]
+    script = {"DatabaseName": "loadkit_demo", "TableName": name, "IsExternal": "yes", "Location": f"{root}/data",
+              "TableProperties": {"lk.own": "own"}, "Columns": [
+                  {"ColumnID": i, "ColumnName": c, "FormattedDataType": t, "IsNull": n} for i, (c, t, n) in enumerate(typed, 1)]}
+    put = lambda doc, at: spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1).write.text(f"{root}/{at}")
+    put(script, "customer_ddl.json")
+    put({"TableList": [{"TableName": name, "ScriptFileName": "customer_ddl.json", "DDLType": "Create", "DropTable": "No"}]}, "list.json")
+    defaults = environment_properties({"Development": {"lk.own": "x", "lk.default": "default"}}, "Development")
+    made = create_tables(spark, load_table_list(spark, f"{root}/list.json", root), defaults)[0]
+    c = table(spark, sf_dir, "customer")
+    c.select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(15,2)")).write.insertInto(made)
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {made}").collect()}
+    return spark.table(made).select("*", F.lit(props["lk.own"]).alias("p_own"), F.lit(props["lk.default"]).alias("p_default"))

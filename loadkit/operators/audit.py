@@ -43,7 +43,8 @@ _STATE_FIELDS = ["domain", "layer", "job_name", "spark_application_id", "status"
 def audit_latest_state(events: DataFrame, id_col: str = "id", time_col: str = "event_time") -> DataFrame:
     """One row per run: fields of its latest event, first event time, end time when final."""
     cols = [c for c in _STATE_FIELDS if c in events.columns]
-    latest = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(time_col))
+    # of events at the same time the final state is the later one
+    latest = F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(F.col(time_col), F.col("status").isin(*FINAL)))
     agg = events.groupBy(id_col).agg(latest.alias("_last"), F.min(time_col).alias("start_time"),
                                      F.max(time_col).alias("_max_t"))
     out = agg.select(id_col, *[F.col(f"_last.{c}").alias(c) for c in cols], "start_time",
@@ -112,7 +113,7 @@ class JobAudit:
         if exc is None:
             self._event(COMPLETED)
         else:
-            self._event(FAILED, "".join(traceback.format_exception_only(exc_type, exc)).strip()[:4000])
+            self._event(FAILED, "".join(traceback.format_exception_only(exc_type, exc)).strip())
         return False
 
 

@@ -86,6 +86,11 @@ def classify_changes(src: DataFrame, tgt: DataFrame, keys: Sequence[str],
     t = (tgt.filter(~any_null(tkeys))
             .select(*[F.col(tk).alias(k) for tk, k in zip(tkeys, keys)], salt(tkeys, tkeys).alias("_salt"),
                     fingerprint(tdata, compare, names=data_cols).alias("_t_fp"), F.lit(True).alias("_in_t")))
+    # a target key held twice would multiply source rows (D3): reduced to one row a key,
+    # with the shuffle that the join needs anyway
+    told = F.concat(F.lit("target has duplicate key "), F.to_json(F.struct(*[F.col(k) for k in keys])))
+    t = (t.groupBy(*keys, "_salt").agg(F.any_value("_t_fp").alias("_t_fp"), F.any_value("_in_t").alias("_in_t"), F.count(F.lit(1)).alias("_n"))
+          .filter(F.when(F.col("_n") > 1, F.raise_error(told).cast("boolean")).otherwise(F.lit(True))).drop("_n"))
     s = src.withColumn("_salt", salt(keys, src.columns)).withColumn("_s_fp", fingerprint(data_cols, compare, casts))
     j = s.join(t, on=[*keys, "_salt"], how="left")
     changed = differs(F.col("_s_fp"), F.col("_t_fp"), compare) if data_cols else F.lit(False)

@@ -47,6 +47,7 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("src_entity_load_run_id", T.StringType()),
 ])
 LEDGER_COLS = [f.name for f in LEDGER_SCHEMA.fields]
+LEDGER_KEY = ["src_entity_inst_key", "src_sys_key", "src_entity_key"]
 
 
 def _utc_ntz(df: DataFrame, col: str) -> Column:
@@ -65,15 +66,6 @@ def _ancestors(col: str) -> Column:
                   f"i -> substring_index({c}, '/', i))")
 
 
-MAX_BROADCAST_RULES = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after checking the row count (a small job on a
-    definition table); larger tables take the shuffle join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def entity_rules(systems: DataFrame, entities: DataFrame, only_active: bool = True) -> DataFrame:
     """One row per active (system, entity) with its match regex and prefix folder.
 
@@ -88,7 +80,7 @@ def entity_rules(systems: DataFrame, entities: DataFrame, only_active: bool = Tr
     j = e.join(s.select("src_sys_key", "src_sys_id", F.col("src_entity_path").alias("_root")), "src_sys_key")
     root = F.regexp_replace(F.col("_root"), "/+$", "")
     pattern = F.concat(root, F.lit("/"), F.col("src_entity_pattern"))
-    prefix = F.when(F.instr(pattern, "*") > 0, F.substring_index(pattern, "*", 1)).otherwise(pattern)
+    prefix = F.regexp_extract(pattern, r"^[^*?\[]*", 0)
     folder = F.regexp_replace(prefix, "/[^/]*$", "")
     return j.select("src_sys_key", "src_sys_id", "src_entity_key", "src_entity_id",
                     *([c for c in ["src_entity_extract_type"] if c in e.columns]),
@@ -96,9 +88,13 @@ def entity_rules(systems: DataFrame, entities: DataFrame, only_active: bool = Tr
 
 
 def glob_regex_col(pattern: Column) -> Column:
-    """Column form of :func:`glob_to_regex` for ``*`` and ``?`` (other characters literal)."""
-    esc = F.regexp_replace(pattern, r"([\\.\[\]{}()+^$|])", r"\\$1")
-    return F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace(esc, r"\*", ".*"), r"\?", "."), F.lit("$"))
+    """Wildcards ``*``, ``?``, ``[...]`` and ``[!...]`` as a regular expression; a bracket
+    that never closes is a plain character."""
+    r = F.regexp_replace(pattern, r"([\\.{}()+^$|&])", r"\\$1")
+    r = F.regexp_replace(r, r"\[(?!!?[^\]]+\])", r"\\[")
+    r = F.regexp_replace(r, r"(?<!\\)\[!", "[^")
+    r = F.regexp_replace(F.regexp_replace(r, r"\*(?![^\[]*(?<!\\)\])", ".*"), r"\?(?![^\[]*(?<!\\)\])", ".")
+    return F.concat(F.lit("^"), r, F.lit("$"))
 
 
 def discover_files(listing: DataFrame, rules: DataFrame) -> DataFrame:
@@ -111,7 +107,7 @@ def discover_files(listing: DataFrame, rules: DataFrame) -> DataFrame:
     files = listing.select("src_sys_key", "path", _utc_ntz(listing, "modificationTime").alias("_ts"),
                            F.col("length").cast("long").alias("_size"))
     exploded = files.withColumn("_folder", F.explode(_ancestors("path")))
-    j = exploded.join(broadcast_if_small(rules, MAX_BROADCAST_RULES), ["src_sys_key", "_folder"])
+    j = exploded.join(rules, ["src_sys_key", "_folder"])
     j = j.filter(F.regexp_like(F.col("path"), F.col("_regex")))
     name = basename(F.col("path"))
     return j.select(
@@ -124,13 +120,13 @@ def discover_files(listing: DataFrame, rules: DataFrame) -> DataFrame:
 
 def stage_new_files(discovered: DataFrame, ledger: DataFrame, run_ts: _dt.datetime,
                     skew_safe: bool = True) -> DataFrame:
-    """Ledger rows to append for files not yet in the ledger.
+    """Ledger rows to append for files not yet in the ledger under their entity (a
+    file that matches two entities is a row of each).
 
     Numbering per entity continues after the entity's highest number (or 0), in
     instance-key order; run id is ``system(5).entity(5).instance(10)``.
     """
-    new = discovered.join(ledger.select("src_entity_inst_key").filter(F.col("src_entity_inst_key").isNotNull()),
-                          "src_entity_inst_key", "left_anti")
+    new = discovered.join(ledger.select(*LEDGER_KEY).filter(F.col("src_entity_inst_key").isNotNull()), LEDGER_KEY, "left_anti")
     last = ledger.groupBy("src_sys_key", "src_entity_key").agg(
         F.max("src_entity_inst_no").alias("_last"))
     numbered = number_within(new, ["src_sys_key", "src_entity_key"], ["src_entity_inst_key"], out="_rn",
@@ -148,14 +144,6 @@ def stage_new_files(discovered: DataFrame, ledger: DataFrame, run_ts: _dt.dateti
 POLICIES = ("full", "incremental_all", "incremental_one", "xml")
 
 
-def policy_of(extract_type: Column, load_all: Column) -> Column:
-    """Extract type + load-all flag -> policy name (unknown types give NULL)."""
-    et = F.lower(extract_type)
-    return (F.when(et == "full", F.lit("full"))
-             .when((et == "incremental") & F.coalesce(load_all, F.lit(False)), F.lit("incremental_all"))
-             .when(et == "incremental", F.lit("incremental_one")))
-
-
 def select_files(ledger: DataFrame, policy: str | Column, skew_safe: bool = True) -> DataFrame:
     """Queue rows (staged/failed) with ``action`` and ``load_seq``.
 
@@ -218,13 +206,20 @@ def queue_order(queue: DataFrame, extract_type: str) -> DataFrame:
 
 
 def apply_status(ledger: DataFrame, updates: DataFrame) -> DataFrame:
-    """New ledger content with ``updates`` (inst key, status, message, run id) applied."""
-    u = updates.select(F.col("src_entity_inst_key").alias("_k"),
+    """New ledger content with ``updates`` (status, message, run id) applied to
+    the rows of the same instance key and, as far as ``updates`` names them, the same
+    system and entity."""
+    keys = [c for c in LEDGER_KEY if c in updates.columns]
+    u = updates.select(*[F.col(c).alias(f"_k_{c}") for c in keys], F.lit(True).alias("_hit"),
                        F.col("src_entity_load_status").alias("_st"),
                        F.col("src_entity_load_mesg").alias("_msg"),
                        F.col("src_entity_load_run_id").alias("_run"))
-    j = ledger.join(u, ledger["src_entity_inst_key"] == u["_k"], "left")
-    hit = F.col("_k").isNotNull()
+    on = None
+    for c in keys:
+        same = ledger[c] == u[f"_k_{c}"]
+        on = same if on is None else on & same
+    j = ledger.join(u, on, "left")
+    hit = F.col("_hit").isNotNull()
     return j.select(*[
         (F.when(hit, F.col("_st")).otherwise(F.col(c)).alias(c) if c == "src_entity_load_status" else
          F.when(hit, F.col("_msg")).otherwise(F.col(c)).alias(c) if c == "src_entity_load_mesg" else
@@ -236,11 +231,11 @@ def apply_status(ledger: DataFrame, updates: DataFrame) -> DataFrame:
 def skip_others(selected: DataFrame, run_id: str) -> DataFrame:
     """Status updates that mark every ``skip`` row as skipped."""
     return selected.filter(F.col("action") == SKIP).select(
-        "src_entity_inst_key", F.lit(SKIPPED).alias("src_entity_load_status"),
+        *LEDGER_KEY, F.lit(SKIPPED).alias("src_entity_load_status"),
         F.lit("Skipped: newer file loaded").alias("src_entity_load_mesg"),
         F.lit(run_id).alias("src_entity_load_run_id"))
 
 
 __all__ = ["LEDGER_SCHEMA", "LEDGER_COLS", "entity_rules", "discover_files", "stage_new_files",
-           "select_files", "apply_status", "skip_others", "policy_of",
+           "select_files", "apply_status", "skip_others",
            "assert_single_system", "queue_order"]

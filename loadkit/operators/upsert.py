@@ -36,12 +36,6 @@ def null_key_salt(keys: Sequence[str], row_cols: Sequence[str]) -> Column:
              .otherwise(F.lit(-1)).cast("int"))
 
 
-def _is_hash_partitioned(df: DataFrame) -> bool:
-    """True when the frame's scan already delivers hash partitioning (bucketed table)."""
-    try:
-        return df._jdf.queryExecution().sparkPlan().outputPartitioning().toString().startswith("hashpartitioning")
-    except Exception:  # noqa: BLE001 - plan introspection is best effort
-        return False
 ACTION_COL = "change_action"
 
 
@@ -112,13 +106,11 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
     # NULL keys never match: such rows are split off before the shuffle (they would
     # all hash to one task); source ones are not applied, target ones are kept.
     s = s.filter(~any_null(tkeys))
-    bucketed = _is_hash_partitioned(tgt)
-    join_keys = list(tkeys) if bucketed else [*tkeys, "_salt"]
-    if not bucketed:
-        # the same salt expression as the target's (constant -1 here, as no source
-        # key is NULL): a literal would be folded into a join filter and drop the
-        # salt from the hash key
-        s = s.withColumn("_salt", null_key_salt(tkeys, s.columns))
+    join_keys = [*tkeys, "_salt"]
+    # the same salt expression as the target's (constant -1 here, as no source key is
+    # NULL): a literal would be folded into a join filter and drop the salt from the
+    # hash key
+    s = s.withColumn("_salt", null_key_salt(tkeys, s.columns))
     if check_keys == "inline":
         # The guard must stay in the plan: a boolean that is false exactly on
         # duplicates, raising there; the filter keeps every other row. Partitioned
@@ -128,20 +120,11 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
         s = s.withColumn("_dup_n", dup).filter(
             F.when(F.col("_dup_n") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))).drop("_dup_n")
     s = s.select(*join_keys, *[F.col(c).alias(f"_s_{c}") for c in data], F.lit(True).alias("_in_s"))
-    if bucketed:
-        # bucketed target: join on the keys alone to keep its co-partitioning; its
-        # NULL-key rows come from a second, statistics-pruned scan
-        t_null = tgt.filter(any_null(tkeys)).withColumn(ACTION_COL, F.lit(KEEP))
-        t = tgt.filter(~any_null(tkeys)).withColumn("_in_t", F.lit(True))
-        j = t.join(s, on=list(tkeys), how="full_outer")
-        t_is_null_key = F.lit(False)
-    else:
-        # one pass: NULL-key target rows get a salt (hash of the row) as an extra
-        # join key, so they spread over partitions, never match, and are kept
-        t_null = None
-        t = tgt.withColumn("_in_t", F.lit(True)).withColumn("_salt", null_key_salt(tkeys, tcols))
-        j = t.join(s, on=join_keys, how="full_outer")
-        t_is_null_key = F.col("_salt") >= 0
+    # one pass: NULL-key target rows get a salt (hash of the row) as an extra join
+    # key, so they spread over partitions, never match, and are kept
+    t = tgt.withColumn("_in_t", F.lit(True)).withColumn("_salt", null_key_salt(tkeys, tcols))
+    j = t.join(s, on=join_keys, how="full_outer")
+    t_is_null_key = F.col("_salt") >= 0
 
     in_s = F.col("_in_s").isNotNull()
     in_t = F.col("_in_t").isNotNull()
@@ -183,7 +166,7 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
                       .when(reopen, F.lit("N"))
                       .otherwise(F.col(flag)).cast(ttypes[flag]))
     merged = j.select(*[out[c].alias(c) for c in tcols], a.alias(ACTION_COL))
-    return merged.unionByName(t_null) if t_null is not None else merged
+    return merged
 
 
 def upsert(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: AuditColumns, load_id: str,
@@ -228,3 +211,41 @@ def with_key_expressions(df: DataFrame, key_exprs: dict[str, str], alias: str =
     cols = {name: F.expr(key_expression(tmpl, alias)) for name, tmpl in key_exprs.items()}
     resolved = dict(zip(resolve_columns(df, list(cols)), cols.values()))
     return d.select(*[resolved[c].alias(c) if c in resolved else F.col(f"{alias}.`{c}`") for c in df.columns])
+
+
+def merge_into(src: DataFrame, target: str, tgt_schema, keys: Sequence[str], audit: AuditColumns, load_id: str, run_ts,
+               delete_flag_col: str | None = None, detect_deletes: bool = False, on_reappear: str = "restore"):
+    """K5/K6 for a catalog table whose source supports row-level changes: the upsert as
+    one ``MERGE`` (call ``merge()`` on the result). Same rules as :func:`upsert_frame`:
+    unmatched source rows are inserted, matched ones updated only if a data column
+    differs or a deleted row comes back, unmatched target rows flagged once. A source row
+    without a complete key is not applied; a key held twice fails the statement."""
+    if on_reappear not in ("restore", "keep"):
+        raise ContractError(f"unknown on_reappear {on_reappear!r}")
+    names = {f.name.lower(): f.name for f in tgt_schema.fields}
+    types = {f.name: f.dataType for f in tgt_schema.fields}
+    own = lambda c: names[c.lower()]
+    tkeys, aud = [own(k) for k in keys], [own(c) for c in audit.names()]
+    flag = own(delete_flag_col) if detect_deletes and delete_flag_col else None
+    data = data_columns([f.name for f in tgt_schema.fields], tkeys, aud, flag)
+    s = conform(src, tgt_schema, exclude=aud + ([flag] if flag else []), order="target").filter(~any_null(tkeys)).alias("s")
+    here, there = (lambda c: F.col(f"s.`{c}`")), (lambda c: F.col(f"{target}.`{c}`"))
+    ins_ts, ins_by, upd_ts, upd_by = aud
+    stamp = {upd_ts: _ts_literal(run_ts, types[upd_ts]), upd_by: F.lit(load_id).cast(types[upd_by])}
+    on, changed = F.lit(True), F.lit(False)
+    for k in tkeys:
+        on = on & (there(k) == here(k))
+    for c in data:
+        changed = changed | ~there(c).eqNullSafe(here(c))
+    update = {c: here(c) for c in data} | stamp
+    insert = {c: here(c) for c in [*tkeys, *data]} | {ins_ts: _ts_literal(run_ts, types[ins_ts]), ins_by: F.lit(load_id).cast(types[ins_by]),
+                                                      upd_ts: F.lit(None).cast(types[upd_ts]), upd_by: F.lit(None).cast(types[upd_by])}
+    if flag:
+        insert[flag] = F.lit("N")
+        if on_reappear == "restore":
+            changed = changed | there(flag).eqNullSafe(F.lit("Y"))
+            update[flag] = F.lit("N")
+    w = s.mergeInto(target, on).whenMatched(changed).update(update).whenNotMatched().insert(insert)
+    if flag:
+        w = w.whenNotMatchedBySource(~there(flag).eqNullSafe(F.lit("Y"))).update({flag: F.lit("Y")} | stamp)
+    return w

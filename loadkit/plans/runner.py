@@ -12,7 +12,6 @@ tables.
 from __future__ import annotations
 
 import contextlib
-import hashlib
 import datetime as _dt
 import re
 from dataclasses import dataclass, field
@@ -23,10 +22,13 @@ from pyspark.sql import functions as F
 from loadkit.contracts import ContractError, FeedContract, LoadSpec, validate_target_columns
 from loadkit.functions.exprs import substitute
 from loadkit.operators.audit import JobAudit, MessageLog
-from loadkit.operators.ledger import (FAILED, LOAD, SUCCESS, apply_status, select_files, skip_others)
-from loadkit.operators.upsert import ACTION_COL, DELETE, INSERT, RESTORE, UPDATE, append_rows, upsert_frame
+from loadkit.operators.ledger import (FAILED, LEDGER_KEY, LEDGER_SCHEMA, LOAD, SUCCESS, apply_status, discover_files, entity_rules,
+                                      select_files, skip_others, stage_new_files)
+from loadkit.operators.upsert import ACTION_COL, DELETE, INSERT, RESTORE, UPDATE, append_rows, merge_into, upsert_frame
 from loadkit.plans.snapshots import SnapshotTable
-from loadkit.sources.delimited import CORRUPT, SOURCE_FILE, load_delimited
+from loadkit.session import scratch_path
+from loadkit.sources.delimited import SOURCE_FILE, file_outcomes, load_delimited, plain_path
+from loadkit.sources.listing import list_files, normalise_paths
 from loadkit.sources.tables import read_source
 
 
@@ -106,7 +108,7 @@ def run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.datet
             log.log("info", "maintenance checked")
         return result
     except Exception as e:
-        log.log("error", f"load {spec.load_id} failed: {e}"[:4000])
+        log.log("error", f"load {spec.load_id} failed: {e}")
         raise
     finally:
         if message_sink is not None:
@@ -120,7 +122,7 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
         if not table.exists():
             raise ContractError(f"target {spec.target} has no committed snapshot")
         if run_id in table.committed_runs():
-            return LoadResult(run_id, "completed", {}, None, "run already committed")
+            return _replayed(spark, spec, table, run_id)
         tgt = table.read()
     else:
         if not spark.catalog.tableExists(spec.target):
@@ -148,7 +150,14 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
     if spec.strategy == "merge":
         from pyspark.sql import Observation
         src_obs = Observation(f"src_{_view_name('', run_id)}")
-        observed_src = src.observe(src_obs, F.count(F.lit(1)).alias("rows_read"))
+        no_key = F.lit(False)
+        for c in conform_names(src, spec.keys):
+            no_key = no_key | F.col(f"`{c}`").isNull()
+        observed_src = src.observe(src_obs, F.count(F.lit(1)).alias("rows_read"),
+                                   F.sum(F.when(no_key, 1).otherwise(0)).cast("long").alias("rows_without_key"))
+        if spec.quarantine:
+            quarantine = SnapshotTable(spark, spec.quarantine)
+            quarantine.write(src.filter(no_key).withColumn("_run_id", F.lit(run_id)), run_id=run_id, mode="append")
         new = upsert_frame(tgt, observed_src, spec.keys, spec.audit, spec.load_id, run_ts,
                            delete_flag_col=spec.delete_flag_col, detect_deletes=spec.detect_deletes,
                            compare=spec.compare, on_reappear=spec.on_reappear)
@@ -160,9 +169,12 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
             from pyspark.sql import Observation
             obs = Observation(f"merge_{_view_name('', run_id)}")
             body = new.observe(obs, *[c.alias(n) for n, c in observe.items()]).drop(ACTION_COL)
-            bucket = (list(spec.keys), spec.target_buckets) if spec.target_buckets else None
-            snap, _ = table.write(body, run_id=run_id, bucket_by=bucket)
+            snap, _ = table.write(body, run_id=run_id)
             metrics = dict(obs.get)
+        elif spec.native_merge:
+            merge_into(observed_src, spec.target, tgt.schema, spec.keys, spec.audit, spec.load_id, run_ts, spec.delete_flag_col,
+                       spec.detect_deletes, spec.on_reappear).merge()
+            snap, metrics = None, {}
         else:
             snap, metrics = None, _overwrite_catalog(spark, spec.target, new, observe)
         metrics.update(src_obs.get)
@@ -180,11 +192,34 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
             metrics["rows_read"] = metrics.get("n_insert")
     else:  # validated above; kept for safety
         raise ContractError(f"unknown update strategy {spec.strategy!r}")
-    run_sql_hook(spark, spec.post_sql, names)
+    if snap_target:
+        table.read().createOrReplaceTempView(tgt_view)   # the post hook sees the version just committed
+    if spec.post_sql:
+        run_sql_hook(spark, spec.post_sql, names)
+        if snap_target:
+            table.mark_hook_done(run_id)
     # the run-scoped views stay registered: hooks may have defined views over them
     return LoadResult(run_id, "completed", metrics, snap)
 
 
+def _replayed(spark: SparkSession, spec: LoadSpec, table: SnapshotTable, run_id: str) -> LoadResult:
+    """A run that is committed already writes nothing; a post hook that did not finish
+    runs now, on the committed table and the source as it is."""
+    if spec.post_sql and not table.hook_done(run_id):
+        src_view, tgt_view = _view_name("loadkit_source", run_id), _view_name("loadkit_target", run_id)
+        read_source(spark, spec.source, spec.source_type).createOrReplaceTempView(src_view)
+        table.read().createOrReplaceTempView(tgt_view)
+        run_sql_hook(spark, spec.post_sql, {"source": src_view, "target": tgt_view})
+        table.mark_hook_done(run_id)
+    return LoadResult(run_id, "completed", {}, None, "run already committed")
+
+
+def conform_names(df: DataFrame, names) -> list[str]:
+    """The frame's own spelling of ``names`` (matched without regard to case)."""
+    own = {c.lower(): c for c in df.columns}
+    return [own[n.lower()] for n in names]
+
+
 def _overwrite_catalog(spark: SparkSession, name: str, new: DataFrame, observe: dict) -> dict:
     """Catalog target without MERGE: materialise the new content (lineage cut, so
     the table is no longer read) and overwrite it. Not atomic on plain tables."""
@@ -204,93 +239,124 @@ def feed_policy(contract: FeedContract) -> str:
     raise ContractError(f"unknown extract type {contract.extract_type!r}")
 
 
+def stage_files(spark: SparkSession, root: str, system_key: str, systems: DataFrame, entities: DataFrame,
+                ledger: SnapshotTable, run_ts: _dt.datetime) -> SnapshotTable:
+    """List ``root``, match the entities' wildcards, append what the ledger lacks."""
+    listing = normalise_paths(list_files(spark, root, system_key=system_key))
+    new = stage_new_files(discover_files(listing, entity_rules(systems, entities)), ledger.read_or_empty(LEDGER_SCHEMA), run_ts)
+    ledger.write(new.select(*LEDGER_SCHEMA.names), mode="append")
+    return ledger
+
+
+FILES_PER_SCAN = 10_000   # paths that one scan (and the driver) holds at a time
+
+
 def load_feed(spark: SparkSession, contract: FeedContract, ledger: SnapshotTable, raw: SnapshotTable,
-              entity_key: str, run_id: str, multiline=None) -> LoadResult:
+              entity_key: str, run_id: str, multiline: bool | None = None,
+              files_per_scan: int = FILES_PER_SCAN) -> LoadResult:
     """C3 + C4 + publish + K12/K13 for one feed.
 
-    The chosen files are read in one scan; a file with malformed lines is marked
-    ``failed`` (its rows are not published) while the other files commit. An
-    overwrite feed replaces the raw table only when at least one file was read.
+    The chosen files are read in scans of ``files_per_scan``. A bad cell becomes NULL and
+    its row stays (D5, D8); rows with one are counted per file. Only a contract that says
+    ``reject_bad_files`` fails the file instead. Every chosen file gets an outcome, also
+    one without rows. A version remembers the instance keys it published, so a run after
+    a crash between publishing and the ledger update publishes no file twice (D35). An
+    overwrite feed replaces the raw table only when at least one file was accepted.
     """
     led = ledger.read()
     sel = select_files(led.filter(F.col("src_entity_key") == entity_key), feed_policy(contract))
-    # bounded: paths and keys of one run's files (metadata), not data
-    chosen = sel.filter(F.col("action") == LOAD).orderBy("load_seq").select(
-        "src_entity_path", "src_entity_inst_key").collect()
-    to_load = [r["src_entity_path"] for r in chosen]
-    if not to_load:
+    chosen_path = scratch_path(spark, "chosen_files")
+    sel.write.parquet(chosen_path)
+    sel = spark.read.schema(sel.schema).parquet(chosen_path)
+    chosen = sel.filter(F.col("action") == LOAD)
+    n = chosen.count()
+    if not n:
         return LoadResult(run_id, "completed", {"n_files": 0}, None, "no file to load")
-    # The raw table's run id is derived from the files themselves: a re-run after a
-    # crash between publishing and the ledger update publishes nothing twice.
-    files_id = hashlib.sha1("\n".join(sorted(r["src_entity_inst_key"] for r in chosen)).encode()).hexdigest()
-    publish_id = f"{contract.name}:{files_id[:16]}"
-    loaded = load_delimited(spark, to_load, contract, with_source_file=True, with_rejects=True,
-                            multiline=multiline)
-    loaded = loaded.checkpoint(eager=True)   # one read of the files, reused below
-    outcome = {r[SOURCE_FILE]: r["n_rejects"] for r in
-               loaded.groupBy(SOURCE_FILE).agg(F.sum(F.when(F.col(CORRUPT).isNotNull(), 1).otherwise(0))
-                                               .alias("n_rejects")).collect()}
-
-    def _norm(p):
-        return re.sub(r"^file:(//)?", "", p)
-
-    good = [f for f, n in outcome.items() if n == 0]
-    body = loaded.filter(F.col(SOURCE_FILE).isin(good)).drop(CORRUPT, SOURCE_FILE)
-    metrics = {"n_files": len(to_load), "n_failed_files": len(outcome) - len(good)}
-    snap = None
-    if good:
-        mode = "overwrite" if contract.load_type == "overwrite" else "append"
-        if publish_id in raw.committed_runs():
-            metrics["already_published"] = True
-        else:
-            snap, m = raw.write(body, run_id=publish_id, observe={"rows_loaded": F.count(F.lit(1))}, mode=mode)
-            metrics.update(m)
-    good_n = {_norm(f) for f in good}
-    st = sel.filter(F.col("action") == LOAD).select(
-        "src_entity_inst_key",
-        F.when(F.regexp_replace("src_entity_path", "^file:(//)?", "").isin(list(good_n)), F.lit(SUCCESS))
-         .otherwise(F.lit(FAILED)).alias("src_entity_load_status"),
-        F.lit("loaded").alias("src_entity_load_mesg"), F.lit(run_id).alias("src_entity_load_run_id"))
-    updates = st
-    if good and feed_policy(contract) == "full":
+    done = raw.published_files()
+    metrics = {"n_files": n, "n_failed_files": 0, "rows_loaded": 0, "rows_rejected": 0}
+    snap, updates = None, None
+    for lo in range(0, n, files_per_scan):
+        part = chosen.filter((F.col("load_seq") > lo) & (F.col("load_seq") <= lo + files_per_scan))
+        keys = part.select(*LEDGER_KEY, plain_path(F.regexp_replace("src_entity_path", "%", "%25")).alias("_path"))
+        held = {r["_path"]: r["src_entity_inst_key"] for r in keys.collect()}   # at most files_per_scan
+        loaded = load_delimited(spark, [_escape(p) for p in held], contract, with_source_file=True, with_rejects=True, multiline=multiline)
+        counts = file_outcomes(loaded).select(plain_path(F.col(SOURCE_FILE)).alias("_path"), "n_rows", "n_rejects", "n_null_cells")
+        outcome = (keys.join(counts, "_path", "left").fillna(0, ["n_rows", "n_rejects"])
+                   .withColumn("_bad", F.lit(contract.reject_bad_files) & (F.col("n_rejects") > 0)))
+        outcome = spark.createDataFrame(outcome.collect(), outcome.schema)   # one row a file of this scan
+        rows = outcome.collect()
+        good = {r["_path"]: r["src_entity_inst_key"] for r in rows if not r["_bad"]}
+        fresh = [p for p, k in good.items() if k not in done]
+        if fresh:
+            body = load_delimited(spark, [_escape(p) for p in fresh], contract, multiline=multiline)
+            mode = "overwrite" if contract.load_type == "overwrite" and lo == 0 else "append"
+            snap, m = raw.write(body, run_id=f"{contract.name}:{run_id}:{lo}", observe={"rows_loaded": F.count(F.lit(1))},
+                                mode=mode, files=[good[p] for p in fresh])
+            metrics["rows_loaded"] += m.get("rows_loaded", 0)
+        metrics["n_failed_files"] += sum(r["_bad"] for r in rows)
+        metrics["rows_rejected"] += sum(r["n_rejects"] for r in rows)
+        told = F.concat(F.when(F.col("_bad"), "rejected: ").otherwise("loaded: "), F.col("n_rows").cast("string"), F.lit(" rows, "),
+                        F.col("n_rejects").cast("string"), F.lit(" with a bad cell"))
+        st = outcome.select(*LEDGER_KEY, F.when(F.col("_bad"), FAILED).otherwise(SUCCESS).alias("src_entity_load_status"),
+                            told.alias("src_entity_load_mesg"), F.lit(run_id).alias("src_entity_load_run_id"))
+        updates = st if updates is None else updates.unionByName(st)
+    ok = metrics["n_failed_files"] < n
+    if ok and feed_policy(contract) == "full":
         updates = updates.unionByName(skip_others(sel, run_id))
     ledger.write(apply_status(led, updates), run_id=f"{run_id}:ledger")
-    status = "completed" if len(good) == len(to_load) else "failed"
-    return LoadResult(run_id, status, metrics, snap)
+    return LoadResult(run_id, "completed" if not metrics["n_failed_files"] else "failed", metrics, snap)
+
+
+def _escape(path: str) -> str:
+    """A literal path for a reader that takes wildcards."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def load_xml_feed(spark: SparkSession, contract, ledger: SnapshotTable, staging: dict[str, SnapshotTable],
                   entity_key: str, run_id: str) -> LoadResult:
-    """Every queued XML file of an entity (oldest first), parsed once, each
-    record set appended to its staging table stamped with the run id (earlier
-    unconsumed runs stay, D36); files become success, or failed when the load fails."""
+    """Every queued XML file of an entity (oldest first), parsed once. A file with a
+    document that does not parse, or with none, is ``failed`` and contributes nothing;
+    the others' record sets are appended to their staging tables stamped with the run id
+    (earlier unconsumed runs stay, D36). A staging version remembers its files, so a
+    rerun after a failure appends no file to a set twice."""
     from loadkit.sources.xml import SOURCE_FILE as XML_FILE
-    from loadkit.sources.xml import load_xml_recordsets
+    from loadkit.sources.xml import document_outcomes, load_xml_recordsets
+    missing = [rs.name for rs in contract.record_sets if rs.target_table and rs.name not in staging]
+    if missing:
+        raise ContractError(f"XML load of {entity_key} lacks staging tables", missing)
     led = ledger.read()
     sel = select_files(led.filter(F.col("src_entity_key") == entity_key), "xml")
-    to_load = [r["src_entity_path"] for r in
-               sel.filter(F.col("action") == LOAD).orderBy("load_seq").select("src_entity_path").collect()]
-    if not to_load:
+    chosen = sel.filter(F.col("action") == LOAD)
+    keys = chosen.select(*LEDGER_KEY, plain_path(F.regexp_replace("src_entity_path", "%", "%25")).alias("_path"))
+    held = {r["_path"]: r["src_entity_inst_key"] for r in keys.collect()}
+    if not held:
         return LoadResult(run_id, "completed", {"n_files": 0}, None, "no file to load")
-    metrics = {"n_files": len(to_load)}
-    status, message = SUCCESS, "loaded"
-    try:
-        sets = load_xml_recordsets(spark, to_load, contract, with_source_file=True)
-        for name, df in sets.items():
-            if name not in staging:
-                continue
-            body = df.drop(XML_FILE).withColumn("_run_id", F.lit(run_id))
-            _, m = staging[name].write(body, run_id=run_id, observe={"rows": F.count(F.lit(1))}, mode="append")
+    sets = load_xml_recordsets(spark, [_escape(p) for p in held], contract, with_source_file=True, documents=True)
+    counts = document_outcomes(sets.pop("")).select(plain_path(F.col(XML_FILE)).alias("_path"), "n_documents", "n_rejects")
+    outcome = keys.join(counts, "_path", "left").fillna(0, ["n_documents", "n_rejects"])
+    outcome = spark.createDataFrame(outcome.collect(), outcome.schema)   # one row a file
+    bad = (F.col("n_rejects") > 0) | (F.col("n_documents") == 0)
+    good = {r["_path"]: r["src_entity_inst_key"] for r in outcome.filter(~bad).collect()}
+    metrics = {"n_files": len(held), "n_failed_files": len(held) - len(good)}
+    for name, df in sets.items():
+        if name not in staging:
+            continue
+        done = staging[name].published_files()
+        fresh = {p: k for p, k in good.items() if k not in done}
+        metrics[f"rows_{name}"] = 0
+        if fresh:
+            paths = spark.createDataFrame([(p,) for p in fresh], "_path string")
+            body = (df.withColumn("_path", plain_path(F.col(XML_FILE))).join(paths, "_path", "left_semi")
+                    .drop(XML_FILE, "_path").withColumn("_run_id", F.lit(run_id)))
+            _, m = staging[name].write(body, run_id=run_id, observe={"rows": F.count(F.lit(1))}, mode="append", files=list(fresh.values()))
             metrics[f"rows_{name}"] = m.get("rows", 0)
-    except Exception as e:  # noqa: BLE001 - recorded on the files, then re-raised
-        status, message = FAILED, str(e)[:1000]
-        raise
-    finally:
-        updates = sel.filter(F.col("action") == LOAD).select(
-            "src_entity_inst_key", F.lit(status).alias("src_entity_load_status"),
-            F.lit(message).alias("src_entity_load_mesg"), F.lit(run_id).alias("src_entity_load_run_id"))
-        ledger.write(apply_status(led, updates), run_id=f"{run_id}:ledger")
-    return LoadResult(run_id, "completed", metrics, None)
+    told = (F.when(F.col("n_documents") == 0, F.lit("rejected: no document"))
+            .when(bad, F.concat(F.lit("rejected: "), F.col("n_rejects").cast("string"), F.lit(" unparsable documents")))
+            .otherwise(F.concat(F.lit("loaded: "), F.col("n_documents").cast("string"), F.lit(" documents"))))
+    updates = outcome.select(*LEDGER_KEY, F.when(bad, FAILED).otherwise(SUCCESS).alias("src_entity_load_status"),
+                             told.alias("src_entity_load_mesg"), F.lit(run_id).alias("src_entity_load_run_id"))
+    ledger.write(apply_status(led, updates), run_id=f"{run_id}:ledger")
+    return LoadResult(run_id, "completed" if good and len(good) == len(held) else "failed", metrics, None)
 
 
 def load_many(spark: SparkSession, feeds: list[tuple[FeedContract, SnapshotTable, str]], ledger: SnapshotTable,

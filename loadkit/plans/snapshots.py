@@ -9,15 +9,11 @@ one scan. A run id already committed is not written twice, so re-running a
 load after a crash cannot duplicate rows. Spark cannot overwrite a path it is reading, so every rewrite goes to a
 fresh folder; older versions stay for rollback until ``expire`` removes them.
 One writer per table; there is no transaction log or concurrency control.
-
-When a catalog with MERGE / atomic overwrite support is configured, write to it
-instead (``plans.runner`` does for catalog targets).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import hashlib
 import json
 import math
 import re
@@ -28,7 +24,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 MARKER = "_LOADKIT_COMMIT"
-BUCKET_DB = "loadkit_snapshots"   # catalog database for bucketed-version table definitions
+HOOK_MARKER = "_LOADKIT_HOOK_DONE"
 _VERSION = re.compile(r"^v=(\d{10})$")
 
 
@@ -39,7 +35,7 @@ class Snapshot:
     run_id: str | None
     committed_at: str | None
     mode: str = "overwrite"
-    bucket_by: tuple | None = None      # (key columns, number of buckets)
+    files: tuple = ()                   # instance keys of the files it published
 
 
 class SnapshotTable:
@@ -71,10 +67,9 @@ class SnapshotTable:
                 continue
             meta = self._read_text(f"{self.root}/{name}/{MARKER}")
             info = json.loads(meta) if meta else {}
-            b = info.get("bucket_by")
             out.append(Snapshot(int(m.group(1)), f"{self.root}/{name}", info.get("run_id"),
                                 info.get("committed_at"), info.get("mode", "overwrite"),
-                                (tuple(b["cols"]), int(b["n"])) if b else None))
+                                tuple(info.get("files") or ())))
         return sorted(out, key=lambda s: s.seq)
 
     def latest(self) -> Snapshot | None:
@@ -84,6 +79,19 @@ class SnapshotTable:
     def committed_runs(self) -> set[str]:
         return {s.run_id for s in self.snapshots() if s.run_id}
 
+    def published_files(self) -> set[str]:
+        """Instance keys of the files that committed versions hold."""
+        return {f for s in self.snapshots() for f in s.files}
+
+    def hook_done(self, run_id: str) -> bool:
+        """Whether the post-load hook of a committed run has finished."""
+        return any(s.run_id == run_id and self._fs.exists(self._path(f"{s.path}/{HOOK_MARKER}")) for s in self.snapshots())
+
+    def mark_hook_done(self, run_id: str) -> None:
+        for s in self.snapshots():
+            if s.run_id == run_id:
+                self._write_text(f"{s.path}/{HOOK_MARKER}", "")
+
     def _read_text(self, p: str) -> str:
         stream = self._fs.open(self._path(p))
         try:
@@ -112,29 +120,11 @@ class SnapshotTable:
         return bool(self.current_chain())
 
     def read(self) -> DataFrame:
-        """The current table. A single bucketed version is read through a bucketed
-        external table, so joins on its keys need no shuffle of this side."""
         chain = self.current_chain()
         if not chain:
             raise FileNotFoundError(f"no committed snapshot under {self.root}")
-        if len(chain) == 1 and chain[0].bucket_by:
-            return self.spark.table(self._bucketed_table(chain[0]))
         return self.spark.read.parquet(*[s.path for s in chain])
 
-    def _bucketed_table(self, snap: Snapshot) -> str:
-        cols, n = snap.bucket_by
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {BUCKET_DB}")
-        name = f"{BUCKET_DB}.v_{hashlib.sha1(snap.path.encode()).hexdigest()[:20]}"
-        if not self.spark.catalog.tableExists(name):
-            keys = ", ".join(f"`{c}`" for c in cols)
-            schema = self.spark.read.parquet(snap.path).schema          # footers only, no job
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            location = snap.path.replace("'", "\\'")
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-                           f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {int(n)} BUCKETS "
-                           f"LOCATION '{location}'")
-        return name
-
     def read_or_empty(self, schema) -> DataFrame:
         if not self.current_chain():
             return self.spark.createDataFrame([], schema)
@@ -143,12 +133,11 @@ class SnapshotTable:
     def write(self, df: DataFrame, run_id: str | None = None, observe: dict | None = None,
               repartition_by: list[str] | None = None, num_files: int | None = None,
               partition_cols: list[str] | None = None, mode: str = "overwrite",
-              bucket_by: tuple[list[str], int] | None = None) -> tuple[Snapshot, dict]:
+              files: list[str] | None = None) -> tuple[Snapshot, dict]:
         """Write ``df`` as the next version and commit it. ``observe`` maps metric
         names to aggregate Columns gathered during the same write (no extra pass).
         ``mode`` is ``overwrite`` (new complete content) or ``append``.
-        ``bucket_by=(keys, n)`` writes one file per hash bucket of the keys, sorted
-        by them (Spark's bucketing), for shuffle-free joins on the keys later."""
+        ``files``: instance keys of the source files in it, kept with the version."""
         if mode not in ("overwrite", "append"):
             raise ValueError(f"unknown write mode {mode!r}")
         if run_id is not None:
@@ -169,26 +158,16 @@ class SnapshotTable:
             df = df.repartition(num_files, *repartition_by) if num_files else df.repartition(*repartition_by)
         elif num_files:
             df = df.repartition(num_files)
-        if bucket_by:
-            cols, n = list(bucket_by[0]), int(bucket_by[1])
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {BUCKET_DB}")
-            tmp = f"{BUCKET_DB}.w_{uuid.uuid4().hex[:20]}"
-            (df.repartition(n, *cols).write.mode("errorifexists").format("parquet")
-               .bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(tmp))
-            self.spark.sql(f"DROP TABLE IF EXISTS {tmp}")      # external: files stay
-        else:
-            w = df.write.mode("errorifexists")
-            if partition_cols:
-                w = w.partitionBy(*partition_cols)
-            w.parquet(path)
+        w = df.write.mode("errorifexists")
+        if partition_cols:
+            w = w.partitionBy(*partition_cols)
+        w.parquet(path)
         metrics = dict(obs.get) if obs is not None else {}   # filled by the write above
         committed_at = _dt.datetime.now(_dt.timezone.utc).isoformat()
-        bucket = {"cols": list(bucket_by[0]), "n": int(bucket_by[1])} if bucket_by else None
-        self._write_text(f"{path}/{MARKER}", json.dumps({"run_id": run_id, "committed_at": committed_at,
-                                                          "mode": mode, "bucket_by": bucket,
+        self._write_text(f"{path}/{MARKER}", json.dumps({"run_id": run_id, "committed_at": committed_at, "mode": mode,
+                                                          "files": sorted(files or []),
                                                           "metrics": {k: str(v) for k, v in metrics.items()}}))
-        return Snapshot(seq, path, run_id, committed_at, mode,
-                        (tuple(bucket["cols"]), bucket["n"]) if bucket else None), metrics
+        return Snapshot(seq, path, run_id, committed_at, mode, tuple(sorted(files or []))), metrics
 
     # ------------------------------------------------------------ maintenance
     def file_stats(self) -> DataFrame:
@@ -203,9 +182,6 @@ class SnapshotTable:
                          F.coalesce(F.avg("length"), F.lit(0.0)).alias("mean_bytes"))
 
     def needs_compaction(self, max_files: int = 200, min_mean_bytes: int = 32 << 20) -> bool:
-        chain = self.current_chain()
-        if len(chain) == 1 and chain[0].bucket_by:
-            return False            # one file per bucket by construction
         r = self.file_stats().first()
         return bool(r["n_files"] > max_files and r["mean_bytes"] < min_mean_bytes)
 
@@ -215,11 +191,8 @@ class SnapshotTable:
         if r["n_files"] == 0:
             return None
         n = max(1, math.ceil(r["total_bytes"] / target_file_bytes))
-        bucketed = [s.bucket_by for s in self.current_chain() if s.bucket_by]
-        if bucketed:   # keep the layout of the bucketed base version
-            snap, _ = self.write(self.read(), run_id=run_id or "compact", bucket_by=bucketed[0])
-        else:
-            snap, _ = self.write(self.read(), run_id=run_id or "compact", num_files=n)
+        files = [f for v in self.current_chain() for f in v.files]
+        snap, _ = self.write(self.read(), run_id=run_id or "compact", num_files=n, files=files)
         return snap
 
     def expire(self, min_keep: int = 30, max_age_days: float = 3.0,
@@ -239,6 +212,3 @@ class SnapshotTable:
                 removed.append(s.path)
         return removed
 
-
-# Snapshot retention per environment (versions kept, max age in days).
-RETENTION = {"dev": (30, 3), "val": (100, 6), "prod": (200, 14)}

@@ -15,6 +15,9 @@ from pyspark.sql import SparkSession
 from loadkit.contracts import ENVIRONMENTS, ContractError, TableDef, check_identifier, parse_type
 
 
+FILE_FORMATS = ("parquet", "orc", "csv", "json", "text", "avro")
+
+
 def merge_properties(default: dict[str, str], specific: dict[str, str]) -> dict[str, str]:
     """Table-specific properties win over environment defaults."""
     out = dict(default or {})
@@ -39,7 +42,7 @@ def table_ddl(t: TableDef, defaults: dict[str, str] | None = None) -> str:
         if c.description:
             col += f" COMMENT {_quote(c.description)}"
         cols.append(col)
-    if t.external and not t.location:
+    if t.external and not t.location and t.format in FILE_FORMATS:
         raise ContractError(f"external table {t.qualified()} needs a location")
     props = merge_properties(defaults or {}, t.properties)
     ddl = (f"CREATE {'EXTERNAL ' if t.external else ''}TABLE IF NOT EXISTS {t.qualified()} "
@@ -52,10 +55,12 @@ def table_ddl(t: TableDef, defaults: dict[str, str] | None = None) -> str:
 
 
 def environment_properties(config: dict, env: str) -> dict[str, str]:
-    """Per-environment default properties from a ``{env: {...}}`` document."""
-    if env.lower() not in ENVIRONMENTS:
+    """Default properties of an environment from a ``{environment: {...}}`` document."""
+    if env not in ENVIRONMENTS:
         raise ContractError(f"environment must be one of {ENVIRONMENTS}, got {env!r}")
-    return dict(config.get(env.lower()) or config.get(env) or {})
+    if env not in config:
+        raise ContractError(f"no default properties for {env}")
+    return dict(config[env])
 
 
 def create_tables(spark: SparkSession, defs: Iterable[TableDef | dict], defaults: dict | None = None,
@@ -70,15 +75,34 @@ def create_tables(spark: SparkSession, defs: Iterable[TableDef | dict], defaults
             spark.sql(table_ddl(t, defaults))
             created.append(t.qualified())
         except Exception as e:  # noqa: BLE001 - collected and re-raised below
-            name = d.qualified() if isinstance(d, TableDef) else f"{d.get('database')}.{d.get('table')}"
+            name = d.qualified() if isinstance(d, TableDef) else f"{d.get('DatabaseName')}.{d.get('TableName')}"
             failures.append(f"{name}: {e}")
     if failures:
         raise ContractError("table creation failed", failures)
     return created
 
 
-def load_table_defs(path: str) -> list[dict]:
+def read_json(spark: SparkSession, path: str):
+    """A small JSON document from any file system that Spark reads."""
+    rows = spark.read.option("wholetext", "true").text(path).collect()
+    if len(rows) != 1:
+        raise ContractError(f"{path} holds {len(rows)} documents, expected one")
+    return json.loads(rows[0]["value"])
+
+
+def load_table_defs(spark: SparkSession, path: str) -> list[dict]:
     """Table definitions from a JSON file (one object or a list)."""
-    with open(path) as fh:
-        doc = json.load(fh)
+    doc = read_json(spark, path)
     return doc if isinstance(doc, list) else [doc]
+
+
+def load_table_list(spark: SparkSession, path: str, folder: str) -> list[dict]:
+    """Definitions of a ``TableList`` document: the scripts it names, below ``folder``."""
+    doc = read_json(spark, path)
+    entries = doc.get("TableList") if isinstance(doc, dict) else None
+    if not isinstance(entries, list) or not entries:
+        raise ContractError(f"{path} has no TableList")
+    bad = [f"entry {i} lacks ScriptFileName" for i, e in enumerate(entries) if not isinstance(e, dict) or not e.get("ScriptFileName")]
+    if bad:
+        raise ContractError(f"{path} is invalid", bad)
+    return [d for e in entries for d in load_table_defs(spark, f"{folder.rstrip('/')}/{e['ScriptFileName']}")]

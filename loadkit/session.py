@@ -68,7 +68,9 @@ def work_root(spark: SparkSession) -> str:
     if not root and not current.isEmpty():
         root = current.get()
     if not root:
-        root = tempfile.mkdtemp(prefix="loadkit-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {_CKPT_KEY} to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="loadkit-ckpt-")   # local[*]: one machine
     if jsc.getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(root)
     _ROOTS[app] = root.rstrip("/")

@@ -5,39 +5,46 @@ contract's positional schema with target types, then renamed to target names.
 ``_metadata.file_path`` tags rows with their file so per-file outcomes (row and
 reject counts) come from one aggregate rather than one job per file.
 
-Multiline CSV cannot be split inside a file, so its parallelism is per file;
-``multiline="auto"`` lets the caller switch it off when no quoted newline is
-expected, making large single files splittable.
+Multiline CSV cannot be split inside a file, so its parallelism is per file; only a
+contract (or caller) that declares no quoted newline makes large single files
+splittable. Bad cells become NULL and their rows stay; they are counted per file.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadkit.contracts import FeedContract
+from loadkit.contracts import ContractError, FeedContract
 
 SOURCE_FILE = "_source_file"
 CORRUPT = "_corrupt_record"
 
 
-def reader_options(contract: FeedContract, multiline: bool | str | None = None) -> dict[str, str]:
-    """S2 options; ``multiline`` overrides the contract (``"auto"`` = off)."""
-    opts = contract.reader_options()
+def reader_options(contract: FeedContract, multiline: bool | None = None) -> dict[str, str]:
+    """S2 options; ``multiline`` overrides the contract's declaration."""
     ml = contract.multiline if multiline is None else multiline
-    if ml is True:
+    if not isinstance(ml, bool):
+        raise ContractError(f"multiline must be declared true or false, got {ml!r}")
+    opts = contract.reader_options()
+    if ml:
         opts["multiLine"] = "true"
     else:
         opts.pop("multiLine", None)
     return opts
 
 
+def plain_path(path: Column) -> Column:
+    """A path as ledgers hold it: no ``file:`` scheme, URL escapes undone."""
+    return F.regexp_replace(F.url_decode(F.regexp_replace(path, r"\+", "%2B")), "^file:(//)?", "")
+
+
 def load_delimited(spark: SparkSession, paths: str | Sequence[str], contract: FeedContract,
                    with_source_file: bool = False, with_rejects: bool = False,
-                   multiline: bool | str | None = None) -> DataFrame:
+                   multiline: bool | None = None) -> DataFrame:
     """C4: rows of every file in ``paths`` under target names and types.
 
     Bad cells become NULL (PERMISSIVE). With ``with_rejects`` the raw text of

@@ -2,7 +2,10 @@
 
 ``binaryFile`` lists through Spark's file index (parallel listing on the cluster
 for many folders). Only ``path``, ``modificationTime`` and ``length`` are
-selected, so file contents are never read.
+selected, so file contents are never read. Spark's scan leaves out empty files and
+names that begin with ``_`` or ``.``; the index still names the empty ones, and the
+hidden ones are asked of the file system for the folders that the index knows (one
+filtered call a folder), so that every file which a wildcard could mean is listed.
 """
 
 from __future__ import annotations
@@ -25,11 +28,32 @@ def list_files(spark: SparkSession, root: str, pattern: str | None = None,
             base = f"{base}/{lp.rsplit('/', 1)[0]}"
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                .load(base).select("path", "modificationTime", "length"))
+    df = df.unionByName(_unlisted(spark, base, df))
     if system_key is not None:
         df = df.withColumn("src_sys_key", F.lit(system_key))
     return df
 
 
+def _unlisted(spark: SparkSession, base: str, listed: DataFrame) -> DataFrame:
+    """Empty and hidden files below ``base``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path_of, glob = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.fs.GlobFilter("[_.]*")
+    fs = path_of(base).getFileSystem(conf)
+    names = spark.createDataFrame([(p,) for p in listed.inputFiles()] or [("",)], "uri string")
+    decoded = F.url_decode(F.regexp_replace("uri", r"\+", "%2B"))
+    bare = lambda c: F.regexp_replace(c, "^file:/*", "/")
+    known = listed.select(bare(F.col("path")).alias("p"))
+    empty = [r.u for r in names.select(decoded.alias("u"), bare(decoded).alias("p")).filter("u <> ''").join(known, "p", "left_anti").collect()]
+    folders = {r.f for r in names.select(F.regexp_replace(decoded, "/[^/]*$", "").alias("f")).distinct().collect() if r.f} | {base}
+    found = [fs.getFileStatus(path_of(p)) for p in empty]
+    for f in folders:
+        if fs.exists(path_of(f)):
+            found += [st for st in fs.listStatus(path_of(f), glob) if st.isFile() and not st.getPath().getName().endswith(".crc")]
+    rows = [(st.getPath().toString(), st.getModificationTime(), st.getLen()) for st in found]
+    out = spark.createDataFrame(rows, "path string, ms long, length long")
+    return out.select("path", F.timestamp_millis("ms").alias("modificationTime"), "length")
+
+
 def normalise_paths(df: DataFrame, col: str = "path") -> DataFrame:
     """Drop a ``file:`` scheme so listed paths compare with configured roots."""
     return df.withColumn(col, F.regexp_replace(F.col(col), "^file:(//)?", ""))

@@ -1,14 +1,19 @@
 """XML documents flattened into record sets.
 
-One scan reads every document of every file in parallel: files are split on the
-document element's closing tag and each document is parsed with ``from_xml``
-(or the ``xml`` source with ``rowTag`` reads whole files); the schema is
-compiled from the contract's column paths, so no inference pass runs. A record
-set is the document row exploded down its record path; ancestor fields
-(document header, parent segment) are plain struct accesses on the exploded
-ancestors. That is the structural form of "carry parent values down": a parent
-field placed after its children is still seen, text split by entities or
-newlines arrives whole, and nothing carries over between documents or files.
+One scan with Spark's ``xml`` source (``rowTag`` = document element) reads every
+document of every file, one semantics whatever the number of files or cores:
+namespace prefixes, comments, CDATA and spaced closing tags are the parser's
+business. The schema is compiled from the contract's column paths, so no inference
+pass runs. A document that does not parse keeps its text in ``_corrupt_record`` and is
+counted per file (`document_outcomes`); a file in which no document is found has no
+row there.
+
+A record set is the document row exploded down its record path. Before each explode
+only the values still needed and the one array to explode are kept, so no ancestor
+travels with its records and the work is linear in them. A parent field placed after
+its children is still seen, text split by entities or newlines arrives whole, and
+nothing carries over between documents or files. The source reads a file in one task:
+feeds should come as files of moderate size.
 
 Paths are slash-separated below the document element; a path segment that is
 (a prefix of) some record path is a repeating element (array), others are
@@ -25,8 +30,10 @@ from pyspark.sql import types as T
 
 from loadkit.contracts import ContractError, XmlContract, XmlRecordSet
 from loadkit.functions.exprs import nonempty_row
+from loadkit.session import scratch_path
 
 SOURCE_FILE = "_source_file"
+CORRUPT = "_corrupt_record"
 
 
 def _split(path: str) -> list[str]:
@@ -66,64 +73,57 @@ def contract_schema(contract: XmlContract) -> T.StructType:
 
 
 def read_documents(spark: SparkSession, paths: str | Sequence[str], contract: XmlContract,
-                   with_source_file: bool = False, method: str = "split") -> DataFrame:
-    """One row per document element.
-
-    ``method="split"`` reads the files as text records ending at the document's
-    closing tag (a splittable line reader with a custom separator), keeps each
-    record from its opening tag and parses it with ``from_xml``: a single large
-    file is parsed by many tasks. ``method="reader"`` uses the ``xml`` source
-    (parallel per file only); use it when the closing tag of the document
-    element can also occur inside documents (e.g. in CDATA).
-    """
+                   with_source_file: bool = False) -> DataFrame:
+    """One row per document element, with the text of one that does not parse in
+    ``_corrupt_record``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    schema = contract_schema(contract)
-    tag = contract.document_tag
-    if method == "reader":
-        df = (spark.read.format("xml").option("rowTag", tag)
-                   .option("ignoreNamespace", "true").option("mode", "PERMISSIVE")
-                   .schema(schema).load(paths))
-        if with_source_file:
-            df = df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
-        return df
-    if method != "split":
-        raise ContractError(f"unknown XML read method {method!r}")
-    raw = spark.read.option("lineSep", f"</{tag}>").text(paths)
-    # start of the document element: "<tag>" or "<tag" + whitespace (so "<tagXYZ>" is not
-    # taken); the search stops at the first match instead of matching the whole chunk
-    pos = F.regexp_instr(F.col("value"), F.lit(rf"<{tag}[\s>]"))
-    body = F.expr("substring(value, _pos)")
-    docs = (raw.withColumn("_pos", pos).filter(F.col("_pos") > 0)
-               .select(body.alias("_doc"), *([F.col("_metadata.file_path").alias(SOURCE_FILE)]
-                                             if with_source_file else [])))
-    parsed = F.from_xml(F.concat(F.col("_doc"), F.lit(f"</{tag}>")), schema,
-                        {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
-    return docs.select(parsed.alias("_x"), *([SOURCE_FILE] if with_source_file else [])).select(
-        "_x.*", *([SOURCE_FILE] if with_source_file else []))
+    schema = T.StructType(contract_schema(contract).fields + [T.StructField(CORRUPT, T.StringType())])
+    df = (spark.read.format("xml").option("rowTag", contract.document_tag)
+               .option("ignoreNamespace", "true").option("mode", "PERMISSIVE")
+               .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).load(paths))
+    if with_source_file:
+        df = df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    return df
+
+
+def document_outcomes(docs: DataFrame) -> DataFrame:
+    """Documents and unparsable documents per source file."""
+    return docs.groupBy(SOURCE_FILE).agg(
+        F.count(F.lit(1)).alias("n_documents"),
+        F.sum(F.when(F.col(CORRUPT).isNotNull(), 1).otherwise(0)).cast("long").alias("n_rejects"))
 
 
 def flatten_record_set(docs: DataFrame, rs: XmlRecordSet, keep: Sequence[str] = ()) -> DataFrame:
-    """Explode ``docs`` down ``rs.record_path``; select each column from its nearest
-    exploded ancestor. All-empty records are dropped (P10)."""
+    """Explode ``docs`` down ``rs.record_path``; each column is taken at its nearest
+    exploded ancestor and carried from there. All-empty records are dropped (P10)."""
     segs = _split(rs.record_path)
     if not segs:
         raise ContractError(f"record set {rs.name} has an empty record path")
-    cur = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in keep]).alias("_l0"),
-                      *[F.col(k) for k in keep])
-    for i, s in enumerate(segs, start=1):
-        cur = cur.select("*", F.explode(F.col(f"_l{i-1}").getField(s)).alias(f"_l{i}"))
-    out = []
+    taken: dict[int, list] = {}
     for c in rs.columns:
         p = _split(c.path)
         k = 0
         while k < len(p) and k < len(segs) and p[k] == segs[k]:
             k += 1
-        out.append(_value(F.col(f"_l{k}"), p[k:], docs.schema, p[:k]).alias(c.name))
-    res = cur.select(*out, *[F.col(k) for k in keep])
+        taken.setdefault(k, []).append((c.name, p[:k], p[k:]))
+
+    def values(level: int, base: Column | None) -> list[Column]:
+        return [_value(base, rest, docs.schema, prefix).alias(name) for name, prefix, rest in taken.get(level, [])]
+
+    good = docs.filter(F.col(CORRUPT).isNull()) if CORRUPT in docs.columns else docs
+    carried = [F.col(k) for k in keep]
+    cur = good.select(*carried, *values(0, None), F.col(f"`{segs[0]}`").alias("_next"))
+    carried += [F.col(f"`{name}`") for name, _, _ in taken.get(0, [])]
+    for i in range(1, len(segs) + 1):
+        cur = cur.select(*carried, F.explode("_next").alias("_at"))
+        step = [F.col("_at").getField(segs[i]).alias("_next")] if i < len(segs) else []
+        cur = cur.select(*carried, *values(i, F.col("_at")), *step)
+        carried += [F.col(f"`{name}`") for name, _, _ in taken.get(i, [])]
+    res = cur.select(*[F.col(f"`{c.name}`") for c in rs.columns], *[F.col(k) for k in keep])
     return res.filter(nonempty_row([c.name for c in rs.columns]))
 
 
-def _value(base: Column, rest: Sequence[str], schema: T.StructType, prefix: Sequence[str]) -> Column:
+def _value(base: Column | None, rest: Sequence[str], schema: T.StructType, prefix: Sequence[str]) -> Column:
     """Walk ``rest`` from ``base``; arrays met on the way (non-ancestor repeats) yield
     their last element, matching "last value seen" for such paths."""
     dt: T.DataType = schema
@@ -134,7 +134,7 @@ def _value(base: Column, rest: Sequence[str], schema: T.StructType, prefix: Sequ
     expr = base
     for s in rest:
         dt = _child_type(dt, s)
-        expr = expr.getField(s)
+        expr = F.col(f"`{s}`") if expr is None else expr.getField(s)
         if isinstance(dt, T.ArrayType):
             expr = F.element_at(expr, -1)
             dt = dt.elementType
@@ -151,28 +151,21 @@ def _child_type(dt: T.DataType, name: str) -> T.DataType:
     return dt[name].dataType
 
 
-def choose_method(spark: SparkSession, paths: str | Sequence[str]) -> str:
-    """``split`` when there are fewer files than task slots (large files must be
-    split to use the cluster), else ``reader`` (whole files already fill it)."""
-    n_files = len(spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles())
-    return "split" if n_files < spark.sparkContext.defaultParallelism else "reader"
-
-
 def load_xml_recordsets(spark: SparkSession, paths: str | Sequence[str], contract: XmlContract,
-                        with_source_file: bool = False, method: str = "auto",
-                        materialize: bool | None = None) -> dict[str, DataFrame]:
-    """``{record set name: all-string DataFrame}``.
-
-    Documents are parsed once: with several record sets (``materialize`` default)
-    the parsed documents are checkpointed to the shared checkpoint folder and
-    every record set reads them, instead of parsing the XML once per set.
+                        with_source_file: bool = False, materialize: bool | None = None,
+                        documents: bool = False) -> dict[str, DataFrame]:
+    """``{record set name: all-string DataFrame}``; ``documents`` adds the parsed
+    documents under the name ``""``.
+
+    Documents are parsed once: with several record sets (``materialize`` default) the
+    parsed documents are written as Parquet to the shared work folder, and every record
+    set reads only the columns it needs of them.
     """
-    if method == "auto":
-        method = choose_method(spark, paths)
-    docs = read_documents(spark, paths, contract, with_source_file, method)
-    if materialize if materialize is not None else len(contract.record_sets) > 1:
-        from loadkit.session import work_root
-        work_root(spark)
-        docs = docs.checkpoint(eager=True)
+    docs = read_documents(spark, paths, contract, with_source_file or documents)
+    if materialize if materialize is not None else len(contract.record_sets) > 1 or documents:
+        path = scratch_path(spark, "xml_documents")
+        docs.write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
     keep = [SOURCE_FILE] if with_source_file else []
-    return {rs.name: flatten_record_set(docs, rs, keep) for rs in contract.record_sets}
+    sets = {rs.name: flatten_record_set(docs, rs, keep) for rs in contract.record_sets}
+    return {**sets, "": docs} if documents else sets

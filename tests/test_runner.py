@@ -17,7 +17,7 @@ from loadkit.operators.audit import audit_latest_state, parquet_append_sink
 from loadkit.operators.ledger import LEDGER_SCHEMA, discover_files, entity_rules, stage_new_files
 from loadkit.plans.runner import load_feed, load_many, run_load
 from loadkit.plans.snapshots import SnapshotTable
-from loadkit.plans.tables import create_tables, merge_properties, table_ddl
+from loadkit.plans.tables import create_tables, environment_properties, merge_properties, table_ddl
 from loadkit.sources.listing import list_files, normalise_paths
 
 AUD = AuditColumns("ins_ts", "ins_by", "upd_ts", "upd_by")
@@ -111,7 +111,7 @@ def test_incremental_all_appends_oldest_first_and_isolates_bad_file(spark, tmp):
     new = stage_new_files(discover_files(listing, entity_rules(systems, ents)), ledger.read(), T1)
     ledger.write(new.select(*LEDGER_SCHEMA.names), run_id="stage-2", mode="append")
     inc = FeedContract("cc", FEED.columns, sep="|", extract_type="incremental", load_type="append",
-                       load_all_incremental=True)
+                       load_all_incremental=True, reject_bad_files=True)   # else the row stays and is counted
     raw = SnapshotTable(spark, os.path.join(tmp, "raw_inc"))
     res = load_many(spark, [(inc, raw, "CC")], ledger, "run-3")[0]
     assert res.status == "failed" and res.metrics["n_failed_files"] == 1
@@ -179,9 +179,9 @@ def test_snapshot_compact_and_expire(spark, tmp):
 
 def test_create_tables_and_properties(spark, tmp):
     assert merge_properties({"a": "1", "b": "1"}, {"b": "2"}) == {"a": "1", "b": "2"}
-    d = {"database": "lk_test", "table": "t1", "properties": {"p": "x"},
-         "columns": [{"name": "id", "type": "bigint", "nullable": False, "description": "key"},
-                     {"name": "amt", "type": "decimal(15,2)", "nullable": True, "description": ""}]}
+    d = {"DatabaseName": "lk_test", "TableName": "t1", "TableProperties": {"p": "x"},
+         "Columns": [{"ColumnID": 1, "ColumnName": "id", "FormattedDataType": "bigint", "IsNull": False, "Description": "key"},
+                     {"ColumnID": 2, "ColumnName": "amt", "FormattedDataType": "decimal(15,2)", "IsNull": True}]}
     assert validate_table_def(d) == []
     ddl = table_ddl(TableDef.from_json(d), {"p": "default", "q": "y"})
     assert "NOT NULL" in ddl and "COMMENT 'key'" in ddl and "'p' = 'x'" in ddl and "'q' = 'y'" in ddl
@@ -189,10 +189,14 @@ def test_create_tables_and_properties(spark, tmp):
     assert created == ["lk_test.t1"] and spark.catalog.tableExists("t1", "lk_test")
     assert create_tables(spark, [d]) == ["lk_test.t1"]          # if not exists
     with pytest.raises(ContractError):
-        create_tables(spark, [dict(d, table="t2", columns=[{"name": "x", "type": "nosuchtype",
-                                                           "nullable": True, "description": ""}])])
-    assert validate_table_def(dict(d, external="yes"))            # external needs a location
-    assert validate_table_def({"database": "x"})
+        create_tables(spark, [dict(d, TableName="t2", Columns=[dict(d["Columns"][0], FormattedDataType="nosuchtype")])])
+    with pytest.raises(ContractError):
+        table_ddl(TableDef.from_json(dict(d, IsExternal="yes")))   # an external file table needs a location
+    assert validate_table_def({"DatabaseName": "x"})
+    assert environment_properties({"Production": {"a": "1"}}, "Production") == {"a": "1"}
+    for env in ("prod", "Validation"):
+        with pytest.raises(ContractError):
+            environment_properties({"Production": {"a": "1"}}, env)
 
 
 def test_load_row_validation():
@@ -336,31 +340,51 @@ def test_merge_hooks_see_classified_source(spark, tmp):
     assert got == {"changed": 1, "new": 1}
 
 
-def test_bucketed_target_needs_no_target_shuffle(spark, tmp):
-    tgt = SnapshotTable(spark, os.path.join(tmp, "tgt_bucketed"))
-    base = spark.range(200).select(F.col("id"), F.lit("v").alias("v"),
-                                   F.lit(None).cast("timestamp_ntz").alias("ins_ts"), F.lit(None).cast("string").alias("ins_by"),
-                                   F.lit(None).cast("timestamp_ntz").alias("upd_ts"), F.lit(None).cast("string").alias("upd_by"))
-    tgt.write(base, run_id="seed", bucket_by=(["id"], 8))
-    assert tgt.file_stats().first()["n_files"] == 8 and not tgt.needs_compaction(max_files=1)
-    from loadkit.operators.upsert import upsert_frame
-    src = spark.range(150, 250).select("id", F.lit("w").alias("v"))
-    plan = upsert_frame(tgt.read(), src, ["id"], AUD, "B", T1)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1          # the source side only
-    spec = LoadSpec(load_id="B1", target=tgt.root, source=lambda s: src, source_type="callable", keys=("id",),
-                    audit=AUD, target_buckets=8)
-    res = run_load(spark, spec, "bk-1", T1)
-    assert res.metrics["n_insert"] == 50 and res.metrics["n_update"] == 50
-    assert tgt.latest().bucket_by == (("id",), 8) and tgt.read().count() == 250
-
-
-def test_number_within_bucket_method_matches_window(spark):
-    from loadkit.functions.numbering import number_within_buckets
-    rnd = random.Random(11)
-    rows = [("hot" if rnd.random() < 0.4 else (None if rnd.random() < 0.05 else f"g{rnd.randint(0, 9)}"),
-             rnd.randint(0, 10**9), i) for i in range(3000)]
-    df = spark.createDataFrame(rows, "g string, t long, i long")
-    a = number_within_buckets(df, ["g"], ["t", "i"], out="rn", num_buckets=12)
-    w = df.withColumn("rn2", F.row_number().over(Window.partitionBy("g").orderBy("t", "i")).cast("long"))
-    j = a.join(w, ["i"])
-    assert j.count() == 3000 and j.filter(F.col("rn") != F.col("rn2")).count() == 0
+def test_merge_into_reaches_the_catalog_as_one_statement(spark):
+    """No source with row-level changes is at hand: the plan is built and analysed, and
+    the plain table's refusal of MERGE is what comes back."""
+    from loadkit.operators.upsert import merge_into
+    from pyspark.errors import PySparkException
+    spark.sql("CREATE TABLE IF NOT EXISTS lk_merge (id bigint, v string, ins_ts timestamp_ntz, ins_by string, upd_ts timestamp_ntz, "
+              "upd_by string, del_flag string) USING parquet")
+    src = spark.createDataFrame([(1, "a"), (None, "x")], "ID long, v string")
+    w = merge_into(src, "lk_merge", spark.table("lk_merge").schema, ["id"], AUD, "L1", T1, "del_flag", True)
+    with pytest.raises(PySparkException) as e:
+        w.merge()
+    assert "does not support MERGE" in str(e.value)
+
+
+def test_hidden_and_empty_files_are_listed(spark, tmp):
+    from loadkit.sources.listing import list_files
+    os.makedirs(os.path.join(tmp, "in"))
+    for name, text in (("a.txt", "x"), ("b c%.txt", "y"), ("empty.txt", ""), ("_late.txt", "z"), (".dot.txt", "z")):
+        with open(os.path.join(tmp, "in", name), "w") as fh:
+            fh.write(text)
+    got = list_files(spark, tmp).select(F.regexp_extract("path", "[^/]*$", 0).alias("n"), "length").collect()
+    assert sorted((r.n, r.length) for r in got) == [(".dot.txt", 1), ("_late.txt", 1), ("a.txt", 1), ("b c%.txt", 1), ("empty.txt", 0)]
+
+
+def test_glob_classes(spark):
+    from loadkit.operators.ledger import glob_regex_col
+    rows = [("F_[12]*.txt", "F_1x.txt", True), ("F_[12]*.txt", "F_3.txt", False), ("F_[!12].txt", "F_3.txt", True), ("F_[!12].txt", "F_1.txt", False),
+            ("a[b.txt", "a[b.txt", True), ("a?c", "abc", True), ("a?c", "ac", False), ("x[a-c]y", "xby", True), ("x[*]y", "x*y", True),
+            ("x[*]y", "xay", False), ("a.b", "axb", False), ("a+(b){2}^$|", "a+(b){2}^$|", True)]
+    got = spark.createDataFrame(rows, "p string, n string, w boolean").select("*", F.regexp_like("n", glob_regex_col(F.col("p"))).alias("g")).collect()
+    assert [(r.p, r.n) for r in got if r.g != r.w] == []
+
+
+def test_xml_flatten_carries_no_ancestor(spark, tmp):
+    from loadkit.contracts import XmlColumn, XmlContract, XmlRecordSet
+    from loadkit.sources.xml import load_xml_recordsets
+    path = os.path.join(tmp, "a.xml")
+    with open(path, "w") as fh:
+        fh.write("<DOC><H><n>1</n></H><O><k>2</k><L><q>3</q></L><L><q>4</q></L></O></DOC>")
+    c = XmlContract("x", "DOC", (XmlRecordSet("l", "O/L", (XmlColumn("n", "H/n"), XmlColumn("k", "O/k"), XmlColumn("q", "O/L/q"))),))
+    df = load_xml_recordsets(spark, path, c, materialize=True)["l"]
+    assert sorted(map(tuple, df.collect())) == [("1", "2", "3"), ("1", "2", "4")]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    kept = [line.split("Project", 1)[1] for line in plan.splitlines() if "Project" in line]
+    # what travels beside an exploded element are values: H and O stay behind
+    assert all("_at" not in k.split("_next")[0] or "H#" not in k for k in kept) and plan.count("Generate explode") == 2
+    last = kept[0]
+    assert "H#" not in last and "O#" not in last

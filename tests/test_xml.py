@@ -95,19 +95,6 @@ def test_null_language_key_expression(spark, tmp):
     assert keyed.filter(F.col("_source_file").endswith("f2.xml")).count() == 1
 
 
-def test_split_and_reader_methods_agree(spark, tmp):
-    d = os.path.join(tmp, "xml2")
-    os.makedirs(d)
-    with open(os.path.join(d, "f1.xml"), "w") as fh:
-        fh.write(DOC1)
-    with open(os.path.join(d, "f2.xml"), "w") as fh:
-        fh.write(DOC2)
-    for name in ("account", "text", "company"):
-        a = load_xml_recordsets(spark, d, CONTRACT, method="split")[name]
-        b = load_xml_recordsets(spark, d, CONTRACT, method="reader")[name]
-        assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
-
-
 def test_root_named_like_the_document_tag(spark, tmp):
     d = os.path.join(tmp, "xml3")
     os.makedirs(d)
@@ -115,5 +102,5 @@ def test_root_named_like_the_document_tag(spark, tmp):
         fh.write('<?xml version="1.0"?>\n<DOCUMENTS>\n<DOC>\n<HDR><DOCNUM>D9</DOCNUM></HDR>'
                  '<ACCT><ACCT_NO>Z1</ACCT_NO></ACCT></DOC>\n<DOC kind="x">'
                  '<HDR><DOCNUM>D10</DOCNUM></HDR><ACCT><ACCT_NO>Z2</ACCT_NO></ACCT></DOC>\n</DOCUMENTS>\n')
-    acct = load_xml_recordsets(spark, d, CONTRACT, method="split")["account"].collect()
+    acct = load_xml_recordsets(spark, d, CONTRACT)["account"].collect()
     assert sorted((r["DOCNUM"], r["ACCT_NO"]) for r in acct) == [("D10", "Z2"), ("D9", "Z1")]
