@@ -25,8 +25,6 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
-from functools import lru_cache
 
 import public_tokenizers
 import pyarrow as pa
@@ -38,12 +36,14 @@ from loadkit.llm.common import map_slices, table, text_rows
 TOKENIZER = "word_bpe_49k.json"
 MAX_TOKENS = 2048
 CHUNK_CHARS = 1 << 16
-CACHE_WORDS = 200_000     # distinct words whose result a worker keeps; then it starts anew
-CACHE_STATES = 200_000
+CACHE_WORDS = 150_000     # distinct words whose result a worker keeps; then it starts anew
+CACHE_STATES = 120_000
 LONGEST_CACHED = 64
+COMPILED: dict[str, WordCounts] = {}   # per worker process, by file
 #: what the files' normalizer takes as white space; str.split() also cuts at these four
 SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
 NOT_SPACES = re.compile("[\x1c-\x1f]")
+COMBINING = "\u0300"   # characters below are composed already and are lower-cased one by one
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 
 
@@ -74,6 +74,7 @@ class BpeTransducer:
         self.joined = {(self.number[a], self.number[b]): first + i for i, (a, b) in enumerate(pairs)}
         self.first = first
         self.symbols = byte_symbols()
+        self.built: dict[int, bool] = {}   # token -> see whole()
         self.begins = {t[:k] for t in self.number for k in range(1, len(t) - (len(self.end) if t.endswith(self.end) else 0) + 1)}
         self.reset()
 
@@ -102,11 +103,13 @@ class BpeTransducer:
                 else:
                     bound, right = right + 1, self.halves[right][0]
 
-    @lru_cache(1 << 18)  # noqa: B019
     def whole(self, token: int) -> bool:
         """Whether the vocabulary's merges ever build ``token``."""
-        return token < self.first or (self.fits(*self.halves[token]) is False
-                                      and all(map(self.whole, self.halves[token])))
+        if token < self.first:
+            return True
+        if token not in self.built:
+            self.built[token] = not self.fits(*self.halves[token]) and all(map(self.whole, self.halves[token]))
+        return self.built[token]
 
     def _token(self, state: int, tail: str) -> tuple[int, int]:
         """(token that ends with the symbol, tokens up to it relative to the state)."""
@@ -150,6 +153,7 @@ class BpeTransducer:
         return total + (self.ends[at] if at in self.ends else self._end(at))
 
 
+
 class Memo(dict):
     """Code point -> what ``ask`` says of the character, asked once; for translate()."""
 
@@ -171,13 +175,13 @@ class WordCounts(dict):
         spec = json.load(open(path, encoding="utf-8"))
         self.machine = BpeTransducer(spec)
         library = Tokenizer.from_file(path)
-        normal, cutter = library.normalizer, library.pre_tokenizer
+        self.normal, cutter = library.normalizer, library.pre_tokenizer
         special = [re.escape(t["content"]) for t in spec["added_tokens"]]
         self.special = re.compile("|".join(special)) if special else None
         pieces = lambda s: len(cutter.pre_tokenize_str(s))
         # class of a character in the file's pattern, as its pre-tokenizer shows it
         self.kinds = Memo(lambda c: "L" if pieces("a" + c) == 1 else "O" if pieces("!" + c) == 1 else "N")
-        self.lower = Memo(normal.normalize_str)
+        self.lower = Memo(self.normal.normalize_str)
 
     def pretokens(self, word: str) -> list[str]:
         kinds = word.translate(self.kinds)
@@ -195,26 +199,30 @@ class WordCounts(dict):
             at = to
         return out
 
-    def plain(self, word: str) -> int:
-        count = self.machine.count
+    def pieces(self, word: str) -> list[bytes]:
+        """Normalised pre-tokens of a word without special strings."""
         if word.isascii():
             word = word.lower()
             if word.isalpha():
-                return count(word.encode())
+                return [word.encode()]
+        elif max(word) < COMBINING:
+            word = word.translate(self.lower)
         else:
-            word = unicodedata.normalize("NFC", word).translate(self.lower)
-        return sum([count(piece.encode()) for piece in self.pretokens(word)])
+            word = self.normal.normalize_str(word)
+        return [piece.encode() for piece in self.pretokens(word)]
 
-    def __missing__(self, word: str) -> int:
+    def result(self, word: str) -> int:
         if self.special and self.special.search(word):
-            n = len(self.special.findall(word)) + sum(self.plain(x) for x in self.special.split(word) if x)
-        else:
-            n = self.plain(word)
+            return len(self.special.findall(word)) + sum(self.result(x) for x in self.special.split(word) if x)
+        return sum(map(self.machine.count, self.pieces(word)))
+
+    def __missing__(self, word: str):
+        got = self.result(word)
         if len(word) <= LONGEST_CACHED:
             if len(self) >= CACHE_WORDS:
                 self.clear()
-            self[word] = n
-        return n
+            self[word] = got
+        return got
 
 
 #: A chunk's state map: (text before the first white space, tokens between, text after
@@ -257,7 +265,8 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, max_tokens: int =
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row. ``tokenizer``: a
     byte-level BPE file with word ends, by its name or path."""
     def make():
-        counts = WordCounts(tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer))
+        path = tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer)
+        counts = COMPILED.get(path) or COMPILED.setdefault(path, WordCounts(path))
 
         def one(batch):
             texts = [t or "" for t in batch.column("text").to_pylist()]
