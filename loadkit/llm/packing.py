@@ -18,6 +18,7 @@ equal ids are packed each on its own.
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from bisect import bisect_left, bisect_right, insort
@@ -31,47 +32,96 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from loadkit.llm.common import cut, map_slices, table, text_rows
-from loadkit.llm.tokens import words_of
+from loadkit.llm.tokens import TOKENIZER, words_of
 
 CAPACITY = 2048
-TOKENIZER = "word_bpe_49k.json"
 SEPARATOR = 0
-CACHE_WORDS = 300_000
+MARKS = ".,;:!?"
+LATIN_END = "\u0250"
+TOGETHER = 128             # words in one call of the library
+CACHE_WORDS = 500_000      # that a worker keeps; then it starts anew
 PIECES_PER_BUCKET = 100_000
 
 #: Lengths of one bin, each with its number of pieces, largest first.
 Pattern = tuple[tuple[int, int], ...]
 
 
-class WordIds(dict):
-    """Ids of a white-space-delimited word as little-endian 32-bit bytes. The file's
-    normalizer and pre-tokenizer never look across white space, so a text's ids are
-    those of its words in turn."""
+class TextIds:
+    """Ids of texts as little-endian 32-bit bytes.
+
+    The file's normalizer and pre-tokenizer never look across white space, so a text's
+    ids are those of its words in turn; they lower-case (at once, where a text is plain
+    Latin-1), and they always cut between a letter and the marks that end a word, so
+    a marked word has the ids of its core and its marks. New words that are one
+    pre-token go to the library many at a time and are told apart by the tokens that
+    end a word.
+    """
 
     def __init__(self, path: str):
-        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"   # a task has one core; idle threads cost memory and time
         self.library = Tokenizer.from_file(path)
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.ids: dict[str, bytes] = {}
+
+    def learn(self, words: list[str]) -> None:
+        plain = [w for w in words if w.isalpha() and (w.isascii() or max(w) < LATIN_END)]
+        texts = [" ".join(plain[i:i + TOGETHER]) for i in range(0, len(plain), TOGETHER)]
+        for i, got in enumerate(self.library.encode_batch_fast(texts, add_special_tokens=False)):
+            ids, part = np.array(got.ids, "<u4"), plain[i * TOGETHER:(i + 1) * TOGETHER]
+            to = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(to) != len(part):   # lower case made two pre-tokens of some word
+                continue
+            raw = ids.tobytes()
+            self.ids.update(zip(part, [raw[a:b] for a, b in zip([0, *to], to)]))
+        for w in words:
+            if w not in self.ids:
+                self.ids[w] = np.array(self.library.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        lists, ids = [words_of(lowered(t or "")) for t in texts], self.ids
+        if len(ids) > CACHE_WORDS:
+            ids.clear()
+        fresh, marked = [], []
+        for w in set().union(*lists).difference(ids):
+            core = w.rstrip(MARKS)
+            if len(core) == len(w) or not core or core[-1] >= LATIN_END or not core[-1].isalpha():
+                fresh.append(w)
+            else:
+                marked.append((w, core))
+        fresh += {x for w, core in marked for x in (core, w[len(core):]) if x not in ids}.difference(fresh)
+        self.learn(fresh)
+        for w, core in marked:
+            ids[w] = ids[core] + ids[w[len(core):]]
+        return [b"".join(map(ids.__getitem__, ws)) for ws in lists]
+
+
+def lowered(text: str) -> str:
+    """In lower case if that surely is the normalizer's: Latin-1 without special strings."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text if "<|" in text else text.lower()
+
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= 64:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
+IDS: dict[str, TextIds] = {}   # per worker process, by file
 
 
 def cut_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
     """``doc_id, th, piece, start, length, ids_crc32`` of every row's pieces: its ids,
     then the separator; only what is longer than ``capacity`` is cut."""
     def make():
-        ids_of = WordIds(tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer))
+        path = tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer)
+        ids_of = IDS.get(path) or IDS.setdefault(path, TextIds(path))
         last, step = np.array([SEPARATOR], "<u4").tobytes(), 4 * capacity
 
         def one(batch):
             rows = [array("q") for _ in range(5)]
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                ids = b"".join(map(ids_of.__getitem__, words_of(text or ""))) + last
+            for i, ids in enumerate(ids_of(batch.column("text").to_pylist())):
+                ids += last
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     for column, x in zip(rows, (i, k, at // 4, len(part) // 4, zlib.crc32(part))):
