@@ -34,31 +34,38 @@ FIXED_SHARE = 0.6
 FIELD = "<*>"
 
 
-def tokens(line: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(line, r"[\x09-\x0D]", " ")), " +")
+def n_tokens(plain: Column) -> Column:
+    return F.length(plain) - F.length(F.replace(plain, F.lit(" "), F.lit(""))) + 1
 
 
-def leaf(line: Column) -> Column:
-    t = tokens(line)
-    return F.xxhash64(F.size(t), F.transform(F.slice(t, 1, DEPTH), lambda x: F.when(x.rlike("[0-9]"), FIELD).otherwise(x)))
+def leaf(plain: Column) -> Column:
+    first = F.slice(F.split(plain, " ", DEPTH + 1), 1, DEPTH)
+    return F.xxhash64(n_tokens(plain), F.transform(first, lambda x: F.when(x.rlike("[0-9]"), FIELD).otherwise(x)))
 
 
 def line_rows(rows: DataFrame) -> DataFrame:
-    """``doc_id, th, line, leaf, known_by`` of every non-blank line; the last: leaves of
-    the (up to two) longest lines of its document with another leaf, in order."""
-    found = rows.select("doc_id", "th", F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
-    found = found.select("doc_id", "th", "lines", F.transform("lines", leaf).alias("leaves"))
-    sized = F.transform("lines", lambda x, i: F.struct((-F.length(x)).alias("n"), i.alias("i"), F.get("leaves", i).alias("leaf")))
+    """``doc_id, th, line, plain, leaf, known_by`` of every non-blank line: as it is; its
+    tokens with one space between; its leaf; leaves of the (up to two) longest lines of
+    its document with another leaf, in order."""
+    text = F.col("text")
+    spaced = F.when(text.rlike(r"[\x09\x0B-\x0D]"), F.regexp_replace(text, r"[\x09\x0B-\x0D]", " ")).otherwise(text)
+    found = rows.select("doc_id", "th", F.arrays_zip(F.split("text", "\n", -1).alias("line"),
+                                                     F.transform(F.split(spaced, "\n", -1), F.trim).alias("plain")).alias("lines"))
+    found = found.select("doc_id", "th", F.filter("lines", lambda x: x["plain"] != "").alias("lines"))
+    single = lambda x: F.when(F.contains(x, F.lit("  ")), F.regexp_replace(x, " +", " ")).otherwise(x)
+    found = found.select("doc_id", "th", F.transform("lines", lambda x: F.struct(x["line"].alias("line"), single(x["plain"]).alias("plain"))).alias("lines"))
+    found = found.select("doc_id", "th", "lines", F.transform("lines", lambda x: leaf(x["plain"])).alias("leaves"))
+    sized = F.transform("lines", lambda x, i: F.struct((-F.length(x["line"])).alias("n"), i.alias("i"), F.get("leaves", i).alias("leaf")))
     found = found.select("doc_id", "th", "lines", "leaves", F.array_distinct(F.transform(F.array_sort(sized), lambda x: x["leaf"])).alias("longest"))
-    at = found.select("doc_id", "th", "leaves", F.slice("longest", 1, 3).alias("longest"), F.posexplode("lines").alias("i", "line"))
-    at = at.select("doc_id", "th", "line", F.get("leaves", F.col("i")).alias("leaf"), "longest")
-    return at.select("doc_id", "th", "line", "leaf", F.slice(F.array_remove("longest", F.col("leaf")), 1, 2).alias("known_by"))
+    at = found.select("doc_id", "th", "leaves", F.slice("longest", 1, 3).alias("longest"), F.posexplode("lines").alias("i", "x"))
+    at = at.select("doc_id", "th", "x.line", "x.plain", F.get("leaves", F.col("i")).alias("leaf"), "longest")
+    return at.select("doc_id", "th", "line", "plain", "leaf", F.slice(F.array_remove("longest", F.col("leaf")), 1, 2).alias("known_by"))
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``h``: hashes of the lines whose template recurs."""
     rows = text_rows(docs)
-    deep = line_rows(rows).filter(F.size(tokens(F.col("line"))) >= DEPTH)
+    deep = line_rows(rows).filter(n_tokens(F.col("plain")) >= DEPTH)
     lines = cut(deep.select("th", F.xxhash64("line").alias("h"), "leaf", "known_by", "doc_id"), "lines")
     crowded = (lines.select("leaf", "th").distinct().groupBy("leaf").count()
                .filter(F.col("count") >= min_docs).select("leaf"))
@@ -66,9 +73,9 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     places = cut(lines.join(crowded, "leaf", "left_semi"), "crowded-lines")
     docs_of = places.select("h", "th").distinct().groupBy("h").agg(F.count("*").alias("n"))
 
-    texts = (deep.join(crowded, "leaf", "left_semi").select("leaf", "line", F.xxhash64("line").alias("h"))
-             .groupBy("leaf", "h").agg(F.first("line").alias("line")))
-    parsed = cut(texts.join(docs_of, "h").select("h", "leaf", "n", F.posexplode(tokens(F.col("line"))).alias("i", "token")), "line-tokens")
+    texts = (deep.join(crowded, "leaf", "left_semi").select("leaf", "plain", F.xxhash64("line").alias("h"))
+             .groupBy("leaf", "h").agg(F.first("plain").alias("plain")))
+    parsed = cut(texts.join(docs_of, "h").select("h", "leaf", "n", F.posexplode(F.split("plain", " ")).alias("i", "token")), "line-tokens")
     fixed = (parsed.filter(~F.col("token").rlike("[0-9]")).groupBy("leaf", "i", "token").agg(F.sum("n").alias("docs"))
              .filter(F.col("docs") >= min_docs).select("leaf", "i", "token", F.lit(True).alias("fixed")))
     shape = (parsed.join(fixed, ["leaf", "i", "token"], "left")
@@ -91,7 +98,8 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, counted: bool = Fa
     the text); ``counted`` adds the numbers of non-blank lines and of dropped ones."""
     gone = cut(recurring_lines(docs, min_docs), "recurring-lines")
     rows = text_rows(docs)
-    own = (line_rows(rows).select("doc_id", "th", F.xxhash64("line").alias("h")).join(gone, "h", "left_semi")
+    own = (rows.select("doc_id", "th", F.explode(F.split("text", "\n", -1)).alias("line"))
+           .select("doc_id", "th", F.xxhash64("line").alias("h")).join(gone, "h", "left_semi")
            .groupBy("doc_id", "th").agg(F.collect_set("h").alias("gone"))
            .select(F.col("doc_id").alias("_own_id"), F.col("th").alias("_own_th"), F.col("gone").alias("_own_gone")))
     own = cut(own, "own-recurring-lines")
@@ -115,3 +123,40 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, counted: bool = Fa
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"), counted=True)
     return got.select("doc_id", "n_lines", "n_dropped", "text")
+
+
+SOLID_SQL = r"regexp_matches(line, '[^\x20\x09-\x0D]')"
+OP4_SQL = rf"""
+WITH every AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents WHERE text IS NOT NULL),
+solid AS (
+  SELECT doc_id, text, line, i, string_split(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')), ' ') AS t FROM every WHERE {SOLID_SQL}),
+lines AS (
+  SELECT *, concat_ws(' ', len(t), array_to_string(list_transform(t[1:{DEPTH}], lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{FIELD}' ELSE x END), ' ')) AS leaf
+  FROM solid),
+ranked AS (SELECT doc_id, leaf, row_number() OVER (PARTITION BY doc_id ORDER BY length(line) DESC, i) AS n FROM lines),
+longest AS (SELECT doc_id, leaf, min(n) AS n FROM ranked GROUP BY doc_id, leaf
+            QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY min(n)) <= 3),
+known AS (SELECT doc_id, list(leaf ORDER BY n) AS l FROM longest GROUP BY doc_id),
+deep AS (SELECT lines.*, list_filter(known.l, lambda x: x <> leaf)[1:2] AS known_by FROM lines JOIN known USING (doc_id) WHERE len(t) >= {DEPTH}),
+crowded AS (SELECT leaf FROM deep GROUP BY leaf HAVING count(DISTINCT text) >= {MIN_DOCS}),
+places AS (SELECT deep.* FROM deep JOIN crowded USING (leaf)),
+parsed AS (SELECT leaf, line, any_value(t) AS t, count(DISTINCT text) AS n FROM places GROUP BY leaf, line),
+words AS (SELECT leaf, line, n, unnest(t) AS token, generate_subscripts(t, 1) AS i FROM parsed),
+fixed AS (SELECT leaf, i, token FROM words WHERE NOT regexp_matches(token, '[0-9]') GROUP BY leaf, i, token HAVING sum(n) >= {MIN_DOCS}),
+shape AS (
+  SELECT w.leaf, w.line, string_agg(CASE WHEN f.token IS NULL THEN '{FIELD}' ELSE w.token END, ' ' ORDER BY w.i) AS s,
+         avg(CASE WHEN f.token IS NULL THEN 0.0 ELSE 1.0 END) AS share
+  FROM words w LEFT JOIN fixed f ON w.leaf = f.leaf AND w.i = f.i AND w.token = f.token GROUP BY w.leaf, w.line),
+template AS (SELECT line, CASE WHEN share >= {FIXED_SHARE} THEN 'template ' || leaf || ' ' || s ELSE 'line ' || line END AS template FROM shape),
+held AS (SELECT template, known_by, min(doc_id) AS first FROM places JOIN template USING (line) GROUP BY template, known_by),
+origin AS (SELECT template, arg_min(known_by, first) AS o FROM held GROUP BY template),
+often AS (SELECT template FROM held JOIN origin USING (template) WHERE len(known_by) > 0 AND NOT list_has_any(known_by, o)
+          GROUP BY template HAVING count(*) >= {MIN_DOCS} - 1),
+gone AS (SELECT DISTINCT line FROM template JOIN often USING (template))
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept, '') END AS text
+FROM documents d LEFT JOIN (
+  SELECT doc_id, count(*) FILTER ({SOLID_SQL}) AS n_lines, count(*) FILTER (line IN (SELECT line FROM gone)) AS n_dropped,
+         string_agg(line, chr(10) ORDER BY i) FILTER (line NOT IN (SELECT line FROM gone)) AS kept
+  FROM every GROUP BY doc_id) USING (doc_id)"""

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from loadkit.llm.decontaminate import op5_decontamination
 from loadkit.llm.langid import op2_language_id
-from loadkit.llm.line_dedup import op4_line_dedup
+from loadkit.llm.line_dedup import OP4_SQL, op4_line_dedup
 from loadkit.llm.packing import op7_best_fit_packing
 from loadkit.llm.pii import op8_information_sanitiser
 from loadkit.llm.quality import op3_quality_rules
 from loadkit.llm.simhash import op1_simhash
-from loadkit.llm.suffix_dedup import op10_suffix_dedup
+from loadkit.llm.suffix_dedup import OP10_SQL, op10_suffix_dedup
 from loadkit.llm.tokens import op6_token_counts
 from loadkit.llm.toxicity import op9_toxicity
 
@@ -26,4 +26,9 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+#: The others rest on XXH64, learned models, token vocabularies, floating-point
+#: spaces, patterns with positions, or packings; their tests hold brute-force versions.
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": OP4_SQL,
+    "op10_suffix_dedup": OP10_SQL,
+}

@@ -296,3 +296,23 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_first: bool = Fal
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+#: The definition of what repeats, window by window.
+OP10_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(hex(encode(text)), '') AS h FROM documents),
+w AS MATERIALIZED (
+  SELECT doc_id, p, md5(substr(h, 2 * p + 1, {2 * LENGTH})) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(0, length(h) // 2 - {LENGTH} + 1))) AS p FROM d)),
+often AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+hit AS (SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM w JOIN often USING (k)),
+island AS (SELECT doc_id, p, count(*) FILTER (gap IS NULL OR gap > {LENGTH}) OVER (PARTITION BY doc_id ORDER BY p) AS n FROM hit),
+span AS (SELECT doc_id, n, min(p) AS s, max(p) + {LENGTH} AS e FROM island GROUP BY doc_id, n),
+piece AS (
+  SELECT doc_id, n, s, e, substr(h, 2 * done + 1, 2 * (s - done)) AS before, h
+  FROM (SELECT span.*, h, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY n), 0) AS done FROM span JOIN d USING (doc_id))),
+cut AS (SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans, string_agg(before, '' ORDER BY n) || substr(any_value(h), 2 * max(e) + 1) AS kept
+        FROM piece GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)"""
