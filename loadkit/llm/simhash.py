@@ -159,11 +159,15 @@ def near_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: in
     groups = simhash_groups(docs, shingle_words, max_bits)
     rank = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("doc_id"), F.col("th").alias("th"))
     best = cut(groups.groupBy("root").agg(F.min(rank).alias("w")).select("w.doc_id", "w.th"), "simhash-kept")
-    th, at = fresh("_th", docs.columns), fresh("_at", docs.columns)
-    keyed = docs.withColumn(th, F.xxhash64(F.col("text").cast("string")))
-    kept = keyed.join(best, keyed["doc_id"].cast("long").eqNullSafe(best["doc_id"]) & (keyed[th] == best["th"]), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id", th).orderBy(th))
-    return kept.withColumn(at, first).filter(F.col(at) == 1).select(*docs.columns)
+    # plain equality on keys without NULL, so that the window has the join's partitioning
+    # and the texts are shuffled once
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
+    keys = [fresh(k, docs.columns) for k in ("_id", "_null", "_th")]
+    at = fresh("_at", docs.columns)
+    best = best.select(doc_id.alias(keys[0]), F.col("doc_id").isNull().alias(keys[1]), F.col("th").alias(keys[2]))
+    keyed = docs.select("*", doc_id.alias(keys[0]), F.col("doc_id").isNull().alias(keys[1]), F.xxhash64(F.col("text").cast("string")).alias(keys[2]))
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[2]))
+    return keyed.join(best, keys, "left_semi").withColumn(at, first).filter(F.col(at) == 1).select(*docs.columns)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
