@@ -120,7 +120,7 @@ def disclosing_terms(rows: DataFrame, contexts: DataFrame, min_contexts: int = M
     if terms.isEmpty():
         return pairs.select("entity", "term", F.lit(0.0).alias("disclosure")).limit(0)
     words = rows.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-    n_t = words.join(terms, "term").groupBy("term").agg(F.count("*").alias("n_t"))
+    n_t = words.groupBy("term").agg(F.count("*").alias("n_t")).join(terms, "term")   # counted before the join: a row a term
     n = F.lit(float(max(rows.count(), 2)))
     told = (F.log(F.col("n_te") * n / (F.greatest("n_t", "n_te") * F.col("n_e")))
             / F.log(F.greatest(n, F.col("n_e") + 1.0) / F.col("n_e")))
