@@ -7,12 +7,17 @@ documents have it there, else it is a variable field too; lines with the same fi
 tokens share a template, provided that at least ``FIXED_SHARE`` of their tokens are
 fixed (a line with less keeps to itself).
 
-A template recurs if at least ``min_docs`` unrelated documents hold it. A document is
-known by its two longest other lines (their leaves); it is unrelated to the template's
-first document if they have none of these in common, and documents known by the same
-lines are one. So copies of a document, exact or with an edited line, do not make its
-own sentences recur; they are left to near-duplicate removal. Recurring templates'
-lines are dropped wherever they stand. Lines of fewer than ``DEPTH`` tokens stay.
+A template recurs if at least ``min_docs`` unrelated documents hold it, counted in two
+ways. A document is known by its two longest other lines (their leaves); it is unrelated
+to the template's first document if they have none of these in common, and documents
+known by the same lines are one. That alone says nothing of documents whose long lines
+all recur (a notice and a licence in each of them). So documents are told apart by their
+rare lines too, those in leaves that fewer than ``min_docs`` documents reach: documents
+whose rare lines are ``OWN_SHARE`` of their lines or of their characters count by their
+longest rare leaf and by that of least hash, whichever gives fewer. So copies of a document, exact or with
+an edited line, do not make its own sentences recur; they are left to near-duplicate
+removal. Recurring templates' lines are dropped wherever they stand. Lines of fewer than
+``DEPTH`` tokens stay.
 
 Everything is grouping and equi-joins on hashes of leaves, lines and templates; a
 leaf's lines are never in one task.
@@ -31,6 +36,7 @@ from loadkit.llm.common import cut, fresh, table, text_rows
 DEPTH = 3
 MIN_DOCS = 10
 FIXED_SHARE = 0.6
+OWN_SHARE = 0.25
 FIELD = "<*>"
 
 
@@ -62,12 +68,25 @@ def line_rows(rows: DataFrame) -> DataFrame:
     return at.select("doc_id", "th", "line", "plain", "leaf", F.slice(F.array_remove("longest", F.col("leaf")), 1, 2).alias("known_by"))
 
 
+def own_lines(lines: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``th, longest, least`` of the texts whose rare lines are ``OWN_SHARE`` of their lines
+    or of their characters: their longest rare leaf, and the one of least hash."""
+    rare = F.col("common").isNull()
+    return (lines.join(crowded.select("leaf", F.lit(True).alias("common")), "leaf", "left").groupBy("th")
+            .agg(F.sum("size").alias("size"), F.sum(F.when(rare, F.col("size"))).alias("rare"),
+                 F.count("*").alias("n"), F.count(F.when(rare, 1)).alias("n_rare"),
+                 F.max(F.when(rare, F.struct("size", "leaf"))).alias("longest"), F.min(F.when(rare, F.xxhash64("leaf"))).alias("least"))
+            .filter((F.col("rare") >= F.col("size") * OWN_SHARE) | (F.col("n_rare") >= F.col("n") * OWN_SHARE)).select("th", F.col("longest.leaf").alias("longest"), "least"))
+
+
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``h``: hashes of the lines whose template recurs."""
     rows = text_rows(docs)
-    deep = line_rows(rows).filter(n_tokens(F.col("plain")) >= DEPTH)
-    lines = cut(deep.select("th", F.xxhash64("line").alias("h"), "leaf", "known_by", "doc_id"), "lines")
-    crowded = (lines.select("leaf", "th").distinct().groupBy("leaf").count()
+    every = line_rows(rows).withColumn("deep", n_tokens(F.col("plain")) >= DEPTH)
+    deep = every.filter("deep")
+    every = cut(every.select("th", F.xxhash64("line").alias("h"), "leaf", "known_by", "doc_id", "deep", F.length("line").alias("size")), "lines")
+    lines = every.filter("deep")
+    crowded = (every.select("leaf", "th").distinct().groupBy("leaf").count()
                .filter(F.col("count") >= min_docs).select("leaf"))
     crowded = cut(crowded, "crowded-leaves")
     places = cut(lines.join(crowded, "leaf", "left_semi"), "crowded-lines")
@@ -90,7 +109,10 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     origin = held.groupBy("template").agg(F.min_by("known_by", "first").alias("o"))
     often = (held.join(origin, "template").filter((F.size("known_by") > 0) & ~F.arrays_overlap("known_by", "o"))
              .groupBy("template").count().filter(F.col("count") >= min_docs - 1).select("template"))
-    return template.join(often, "template", "left_semi").select("h")
+    own = own_lines(every, crowded)
+    apart = (places.select("h", "th").distinct().join(own, "th").join(template, "h").groupBy("template")
+             .agg(F.least(F.count_distinct("longest"), F.count_distinct("least")).alias("n")).filter(F.col("n") >= min_docs).select("template"))
+    return template.join(often.unionByName(apart), "template", "left_semi").select("h")
 
 
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, counted: bool = False) -> DataFrame:

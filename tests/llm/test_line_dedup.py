@@ -90,3 +90,19 @@ def test_odd_rows(spark):
     assert by[50].text is None and by[51].text == "" and by[52].n_chars == 500_000 and by[None].text == ""
     assert sum(r.doc_id == 3 and line not in r.text for r in got) == 2
     assert drop_recurring(docs.filter(F.lit(False))).count() == 0
+
+
+def test_long_shared_lines_in_otherwise_different_documents(spark):
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMN"
+    body = lambda i: "\n".join(" ".join(letters[i] * (j + k + 1) for j in range(5 + k)) for k in range(4))
+    shared = ["We use cookies on this site " + "to make it work better " * 9, "This text is licensed to all readers " + "without any warranty " * 9,
+              "Copyright of the whole text " + "is with its several authors " * 2, "Share this page now"]
+    story = [f"{w} line of a story " + "which is told again " * 3 for w in ("first", "second", "third", "fourth", "fifth", "sixth")]
+    for n in (2, 3, 4):
+        docs = ["\n".join([shared[0], body(i), *shared[1:n]]) for i in range(40)]
+        for i in range(30):   # near copies: a line edited in each, by other words
+            docs.append("\n".join(story[:i % 6] + [f"{letters[i] * 3} {letters[i] * 5} {letters[i] * 4} words are new " * 2] + story[i % 6 + 1:]))
+        frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+        got = {r.doc_id: (r.n_dropped, r.text) for r in drop_recurring(frame, counted=True).collect()}
+        assert all(got[i] == (n, body(i)) for i in range(40)), n
+        assert all(got[40 + i] == (0, docs[40 + i]) for i in range(30)), n
