@@ -13,7 +13,9 @@ every block. For a block:
    ``RANK`` leading directions of a corpus say too little of a passage that is rare in
    it: real leaks fell to cosines of 0.2.)
 3. Every window (overlapping by half) is compared with every benchmark passage in the
-   latent space; a cosine of ``CANDIDATE`` or more makes a candidate. (A word's latent
+   latent space; a cosine of ``CANDIDATE`` or more makes a candidate, and so does a
+   window in which ``HELD`` of the passage's own energy is found (all of it for passages
+   under ``SHORT_WORDS`` words), whatever words stand beside it. (A word's latent
    products with the passages are tabled once; a window adds up its words' rows.)
 4. A candidate is verified on its words: the longest common subsequence must hold
    ``LCS_SHARE`` of the passage's words, or ``PARAPHRASE_SHARE`` of them and
@@ -44,6 +46,7 @@ WINDOW_WORDS = 64          # steps of half of it
 RANK = 32                  # of the corpus' SVD
 COMMON = 1.0               # words of less idf (in over a third of the documents) are left out of it
 CANDIDATE = 0.45
+HELD = 0.4
 LCS_SHARE = 0.7
 PARAPHRASE_SHARE = 0.5
 ANSWER_SHARE = 0.8
@@ -126,6 +129,9 @@ class Block:
         # what a word adds to a window's latent product with each passage, and to its energy
         self.adds = np.hstack([(basis * self.idf[:, None]) @ self.queries.T, (self.idf ** 2)[:, None]])
         self.needed = [Counter(x) for x in self.words]
+        # a window's latent product with a passage that it holds is at least the passage's norm
+        short = np.array([len(x) < SHORT_WORDS for x in self.words])
+        self.held = (np.where(short, 0.999, HELD) * norm[:, 0]).astype(np.float32)
 
     def halves(self, docs: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sums of ``weights`` over the half windows of all documents, and how many each has."""
@@ -150,7 +156,8 @@ class Block:
         seen = window.tolist()
         n = len(words)
         if n < SHORT_WORDS:
-            return (1.0, 1.0) if any(seen[i:i + n] == words for i in range(len(seen) - n + 1)) else None
+            at = (i for i, x in enumerate(seen) if x == words[0])
+            return (1.0, 1.0) if any(seen[i:i + n] == words for i in at) else None
         have, common = Counter(seen), 0
         for w, k in self.needed[passage].items():
             common += min(k, have[w])
@@ -174,7 +181,7 @@ class Block:
         first = np.concatenate([[0], np.cumsum(counts)])[:-1]
         half = WINDOW_WORDS // 2
         found: dict[tuple[int, int], tuple[float, float, float]] = {}
-        for k, p in np.argwhere(cosines >= CANDIDATE).tolist():
+        for k, p in np.argwhere((cosines >= CANDIDATE) | (window[:, :-1] >= self.held)).tolist():
             d = int(doc[k])
             at = (k - int(first[d])) * half
             got = self.verify(docs[d][at:at + WINDOW_WORDS], p)

@@ -78,3 +78,18 @@ def test_paraphrases_answers_and_odd_rows(spark):
     assert sorted(r.doc_id for r in left.collect()) == [1, 3, 4, 5, 7, 8, 8]
     assert drop_leaks(frame, bench.filter(F.lit(False))).count() == len(docs)
     assert leaks(frame.filter(F.lit(False)), bench).count() == 0
+
+
+def test_items_among_words_of_the_benchmark_are_found(spark):
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(2000)]
+    prose = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [prose(n) for n in (1, 2, 3, 5, 7, 8, 10, 15, 20, 48) for _ in range(4)]
+    bench = [(i, " ".join(x)) for i, x in enumerate(items)] + [(1000 + i, " ".join(vocabulary[i:i + 40])) for i in range(0, 2000, 40)]
+    docs = [(i, " ".join(prose(90 + i) + x + prose(100))) for i, x in enumerate(items)]   # every word is the benchmark's
+    got = {(r.doc_id, r.item_id) for r in leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                                                spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    text = {d: f" {t} " for d, t in docs}
+    whole = {(d, i) for d in text for i, t in bench if f" {t} " in text[d]}
+    assert whole >= {(i, i) for i in text} and whole <= got
+    assert all(len(items[i]) >= 8 for _, i in got - whole if i < 1000)
