@@ -230,9 +230,10 @@ class XmlContract:
     document_tag: str              # rowTag: one row per document element
     record_sets: tuple[XmlRecordSet, ...]
     ns_prefix: str = ""
+    documents_end_with: str | None = None   # "\n" or the closing tag, if that ends every document and stands nowhere else
 
     @classmethod
-    def from_mapping(cls, m: dict, document_tag: str | None = None) -> "XmlContract":
+    def from_mapping(cls, m: dict, document_tag: str | None = None, documents_end_with: str | None = None) -> "XmlContract":
         bad = validate_xml_mapping(m)
         if bad:
             raise ContractError(f"XML mapping {m.get('MappingName') if isinstance(m, dict) else m!r} is invalid", bad)
@@ -252,7 +253,7 @@ class XmlContract:
                              tuple(XmlColumn(c.name, strip(c.path), c.reset_on_record_out) for c in s.columns),
                              s.target_table, s.key_columns) for s in sets]
         return cls(name=m.get("MappingName", doc), document_tag=doc, record_sets=tuple(sets),
-                   ns_prefix=m.get("NSPrefix") or "")
+                   ns_prefix=m.get("NSPrefix") or "", documents_end_with=documents_end_with)
 
 
 # ---------------------------------------------------------------------------
@@ -300,6 +301,19 @@ class LoadSpec:
     load_name: str | None = None
     native_merge: bool = False          # catalog target whose source supports MERGE
     quarantine: str | None = None       # snapshot-table path for source rows without a complete key
+    key_exprs: dict[str, str] = field(default_factory=dict)   # key column -> expression with <<tname>>, on both sides
+    rejects: str | None = None          # snapshot-table path for source rows with a value that does not cast
+    partition_by: tuple[str, ...] = ()  # path target partitioned by these columns: only touched partitions are rewritten
+    delete_scope: str = "table"         # table | partitions: where a row missing from the source counts as deleted
+    delete_where: str | None = None     # predicate on target rows that leave with this load's commit
+    delete_keys: Source | None = None   # frame (or its query) of keys whose target rows leave with this load's commit
+
+    @classmethod
+    def for_record_set(cls, rs: XmlRecordSet, target: str, source: Source, audit: AuditColumns, load_id: str, **kw) -> "LoadSpec":
+        """Load of an XML record set: its key columns, each matched by its expression."""
+        plain = {k: e for k, e in rs.key_columns.items() if e.replace(" ", "").lower() != f"<<tname>>.{k}".lower()}
+        return cls(load_id=load_id, target=target, source=source, source_type=kw.pop("source_type", "callable" if callable(source) else "table"),
+                   keys=tuple(rs.key_columns), key_exprs=plain, audit=audit, **kw)
 
     @classmethod
     def from_row(cls, r: dict, target: str | None = None) -> "LoadSpec":
@@ -319,6 +333,9 @@ class LoadSpec:
                    pre_sql=r.get("pre_tgt_load_sql") or None,
                    post_sql=r.get("post_tgt_load_sql") or None)
 
+    def removes_rows(self) -> bool:
+        return self.delete_where is not None or self.delete_keys is not None
+
     def validate(self) -> list[str]:
         out = []
         if self.source_type not in ("query", "table", "callable"):
@@ -335,6 +352,15 @@ class LoadSpec:
             out.append(f"unknown compare mode {self.compare!r}")
         if self.on_reappear not in ("restore", "keep"):
             out.append(f"unknown on_reappear {self.on_reappear!r}")
+        if self.partition_by and (self.strategy != "merge" or "/" not in self.target):
+            out.append("a partitioned target is a path loaded by merge")
+        if self.removes_rows() and (self.strategy != "merge" or "/" not in self.target or self.partition_by):
+            out.append("rows are removed with the commit of a merge into a snapshot table only")
+        if self.delete_scope not in ("table", "partitions"):
+            out.append(f"unknown delete scope {self.delete_scope!r}")
+        if self.delete_scope == "partitions" and not self.partition_by:
+            out.append("delete scope partitions needs a partitioned target")
+        out += [f"expression of {k}, which is no key" for k in self.key_exprs if k.lower() not in {c.lower() for c in self.keys}]
         return out
 
 

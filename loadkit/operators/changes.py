@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadkit.contracts import ContractError
@@ -63,10 +63,19 @@ def _casts_to(src: DataFrame, tgt: DataFrame, cols: Sequence[str]) -> dict[str,
 
 def classify_changes(src: DataFrame, tgt: DataFrame, keys: Sequence[str],
                      data_cols: Sequence[str] | None = None, compare: str = "exact",
-                     status_col: str = "record_status") -> DataFrame:
-    """Source rows plus ``status_col`` in {new, changed, unchanged, null_key}."""
+                     status_col: str = "record_status", key_exprs: dict[str, str] | None = None) -> DataFrame:
+    """Source rows plus ``status_col`` in {new, changed, unchanged, null_key}.
+    ``key_exprs`` as in ``upsert_frame``: the values that a match is decided on."""
     keys = resolve_columns(src, keys)
     tkeys = resolve_columns(tgt, keys)
+    if key_exprs:
+        from loadkit.operators.upsert import with_match_keys
+        tl = {c.lower() for c in tgt.columns} - {k.lower() for k in keys}
+        data_cols = [c for c in src.columns if c.lower() in tl] if data_cols is None else data_cols
+        own = src.columns
+        match = [f"_k_{i}" for i in range(len(keys))]
+        return classify_changes(with_match_keys(src, keys, key_exprs), with_match_keys(tgt, tkeys, key_exprs), match, data_cols, compare,
+                                status_col).select(*[F.col(f"`{c}`") for c in own], status_col)
     if data_cols is None:
         tl = {c.lower() for c in tgt.columns}
         data_cols = [c for c in src.columns if c not in keys and c.lower() in tl]
@@ -86,10 +95,10 @@ def classify_changes(src: DataFrame, tgt: DataFrame, keys: Sequence[str],
     t = (tgt.filter(~any_null(tkeys))
             .select(*[F.col(tk).alias(k) for tk, k in zip(tkeys, keys)], salt(tkeys, tkeys).alias("_salt"),
                     fingerprint(tdata, compare, names=data_cols).alias("_t_fp"), F.lit(True).alias("_in_t")))
-    # a target key held twice would multiply source rows (D3): reduced to one row a key,
-    # with the shuffle that the join needs anyway
+    # a target key held twice would multiply source rows (D3): counted in a window that is
+    # partitioned and sorted as the join is, so it costs no shuffle of its own
     told = F.concat(F.lit("target has duplicate key "), F.to_json(F.struct(*[F.col(k) for k in keys])))
-    t = (t.groupBy(*keys, "_salt").agg(F.any_value("_t_fp").alias("_t_fp"), F.any_value("_in_t").alias("_in_t"), F.count(F.lit(1)).alias("_n"))
+    t = (t.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_salt")))
           .filter(F.when(F.col("_n") > 1, F.raise_error(told).cast("boolean")).otherwise(F.lit(True))).drop("_n"))
     s = src.withColumn("_salt", salt(keys, src.columns)).withColumn("_s_fp", fingerprint(data_cols, compare, casts))
     j = s.join(t, on=[*keys, "_salt"], how="left")

@@ -195,6 +195,14 @@ def assert_single_system(systems: DataFrame, sys_key: str) -> None:
         raise ContractError(f"system {sys_key!r} has {n} definition rows, expected exactly one")
 
 
+def system_definitions(systems: DataFrame, keys: DataFrame) -> DataFrame:
+    """A9 for many systems at once: definition rows of every key of ``keys`` and whether
+    there is exactly one."""
+    n = systems.groupBy("src_sys_key").agg(F.count(F.lit(1)).alias("n"))
+    return keys.join(n, "src_sys_key", "left").select(
+        "src_sys_key", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce(F.col("n") == 1, F.lit(False)).alias("ok"))
+
+
 def queue_order(queue: DataFrame, extract_type: str) -> DataFrame:
     """O1/O2: staged queue in load order: oldest first for incremental feeds,
     newest first for full extracts (by file time, then name)."""
@@ -238,4 +246,4 @@ def skip_others(selected: DataFrame, run_id: str) -> DataFrame:
 
 __all__ = ["LEDGER_SCHEMA", "LEDGER_COLS", "entity_rules", "discover_files", "stage_new_files",
            "select_files", "apply_status", "skip_others",
-           "assert_single_system", "queue_order"]
+           "assert_single_system", "system_definitions", "queue_order"]

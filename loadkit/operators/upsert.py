@@ -66,7 +66,8 @@ def _ts_literal(run_ts: _dt.datetime | str, dtype: T.DataType) -> Column:
 def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: AuditColumns,
                  load_id: str, run_ts: _dt.datetime | str, delete_flag_col: str | None = None,
                  detect_deletes: bool = False, compare: str = "exact", on_reappear: str = "restore",
-                 check_keys: bool | str = "inline") -> DataFrame:
+                 check_keys: bool | str = "inline", key_exprs: dict[str, str] | None = None,
+                 delete_scope: Column | None = None) -> DataFrame:
     """New target rows (target column order) plus ``change_action``.
 
     ====================  ==============  ==============  ===============  ============
@@ -82,6 +83,11 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
 
     Source rows with a NULL key are not applied (report them with ``key_violations``).
 
+    ``key_exprs`` (JN6) gives key columns an expression, evaluated on both sides of the
+    join (``nvl(<<tname>>.k, 'NA')`` lets a NULL meet ``'NA'``); a matched row keeps the
+    target's key value, a new one brings the source's. ``delete_scope`` is a condition on
+    target columns: only rows that satisfy it can be found missing.
+
     ``check_keys``: ``"inline"`` (default) counts rows per key in a window placed
     right before the join, so it reuses the join's hash partitioning and sort (no
     extra scan or shuffle) and fails the job on the first duplicate key;
@@ -101,28 +107,33 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
 
     # Conform the source to the target's names and types (strict column sets).
     s = conform(src, tgt.schema, exclude=aud + ([flag] if flag else []), order="target")
+    match = tkeys if not key_exprs else [f"_k_{i}" for i in range(len(tkeys))]
+    if key_exprs:
+        s, tgt = with_match_keys(s, tkeys, key_exprs), with_match_keys(tgt, tkeys, key_exprs)
     if check_keys is True or check_keys == "separate":
-        assert_unique_keys(s, tkeys, "source")
+        assert_unique_keys(s, match, "source")
     # NULL keys never match: such rows are split off before the shuffle (they would
     # all hash to one task); source ones are not applied, target ones are kept.
-    s = s.filter(~any_null(tkeys))
-    join_keys = [*tkeys, "_salt"]
+    s = s.filter(~any_null(match))
+    join_keys = [*match, "_salt"]
     # the same salt expression as the target's (constant -1 here, as no source key is
     # NULL): a literal would be folded into a join filter and drop the salt from the
     # hash key
-    s = s.withColumn("_salt", null_key_salt(tkeys, s.columns))
+    s = s.withColumn("_salt", null_key_salt(match, s.columns))
     if check_keys == "inline":
         # The guard must stay in the plan: a boolean that is false exactly on
         # duplicates, raising there; the filter keeps every other row. Partitioned
         # like the join, so the join reuses its shuffle and sort.
         dup = F.count(F.lit(1)).over(Window.partitionBy(*join_keys))
-        msg = F.concat(F.lit("source has duplicate key "), F.to_json(F.struct(*[F.col(k) for k in tkeys])))
+        msg = F.concat(F.lit("source has duplicate key "), F.to_json(F.struct(*[F.col(k) for k in match])))
         s = s.withColumn("_dup_n", dup).filter(
             F.when(F.col("_dup_n") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))).drop("_dup_n")
-    s = s.select(*join_keys, *[F.col(c).alias(f"_s_{c}") for c in data], F.lit(True).alias("_in_s"))
+    s = s.select(*join_keys, *[F.col(c).alias(f"_s_{c}") for c in [*data, *(tkeys if key_exprs else [])]], F.lit(True).alias("_in_s"))
     # one pass: NULL-key target rows get a salt (hash of the row) as an extra join
     # key, so they spread over partitions, never match, and are kept
-    t = tgt.withColumn("_in_t", F.lit(True)).withColumn("_salt", null_key_salt(tkeys, tcols))
+    t = tgt.withColumn("_in_t", F.lit(True)).withColumn("_salt", null_key_salt(match, tcols))
+    if delete_scope is not None:
+        t = t.withColumn("_in_scope", F.coalesce(delete_scope, F.lit(False)))
     j = t.join(s, on=join_keys, how="full_outer")
     t_is_null_key = F.col("_salt") >= 0
 
@@ -138,7 +149,8 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
     action = (F.when(in_s & ~in_t, F.lit(INSERT))
                .when(in_s & in_t & changed, F.lit(UPDATE))
                .when(in_s & in_t & was_deleted & restore, F.lit(RESTORE))
-               .when(~in_s & in_t & F.lit(bool(flag)) & ~was_deleted & ~t_is_null_key, F.lit(DELETE))
+               .when(~in_s & in_t & F.lit(bool(flag)) & ~was_deleted & ~t_is_null_key
+                     & (F.lit(True) if delete_scope is None else F.col("_in_scope")), F.lit(DELETE))
                .otherwise(F.lit(KEEP)))
     j = j.withColumn(ACTION_COL, action)
     a = F.col(ACTION_COL)
@@ -149,7 +161,7 @@ def upsert_frame(tgt: DataFrame, src: DataFrame, keys: Sequence[str], audit: Aud
 
     out = {}
     for c in tkeys:
-        out[c] = F.col(c)
+        out[c] = F.when(in_t, F.col(c)).otherwise(F.col(f"_s_{c}")) if key_exprs else F.col(c)
     for c in data:
         out[c] = F.when(take_src, F.col(f"_s_{c}")).otherwise(F.col(c))
     out[ins_ts] = F.when(a == INSERT, now_ts[ins_ts]).otherwise(F.col(ins_ts))
@@ -213,8 +225,25 @@ def with_key_expressions(df: DataFrame, key_exprs: dict[str, str], alias: str =
     return d.select(*[resolved[c].alias(c) if c in resolved else F.col(f"{alias}.`{c}`") for c in df.columns])
 
 
+def match_values(keys: Sequence[str], key_exprs: dict[str, str] | None, alias: str) -> list[Column]:
+    """The value of each key that a match is decided on, for the frame or table ``alias``."""
+    from loadkit.functions.exprs import key_expression
+    low = {k.lower(): e for k, e in (key_exprs or {}).items()}
+    unknown = sorted(set(low) - {k.lower() for k in keys})
+    if unknown:
+        raise ContractError("expressions of columns that are no keys", unknown)
+    return [F.expr(key_expression(low[k.lower()], alias)) if k.lower() in low else F.col(f"{alias}.`{k}`") for k in keys]
+
+
+def with_match_keys(df: DataFrame, keys: Sequence[str], key_exprs: dict[str, str]) -> DataFrame:
+    """``df`` with ``_k_0, _k_1, ...``: the value of each key that a match is decided on."""
+    d = df.alias("keyed")
+    return d.select("*", *[v.alias(f"_k_{i}") for i, v in enumerate(match_values(keys, key_exprs, "keyed"))])
+
+
 def merge_into(src: DataFrame, target: str, tgt_schema, keys: Sequence[str], audit: AuditColumns, load_id: str, run_ts,
-               delete_flag_col: str | None = None, detect_deletes: bool = False, on_reappear: str = "restore"):
+               delete_flag_col: str | None = None, detect_deletes: bool = False, on_reappear: str = "restore",
+               key_exprs: dict[str, str] | None = None):
     """K5/K6 for a catalog table whose source supports row-level changes: the upsert as
     one ``MERGE`` (call ``merge()`` on the result). Same rules as :func:`upsert_frame`:
     unmatched source rows are inserted, matched ones updated only if a data column
@@ -228,13 +257,15 @@ def merge_into(src: DataFrame, target: str, tgt_schema, keys: Sequence[str], aud
     tkeys, aud = [own(k) for k in keys], [own(c) for c in audit.names()]
     flag = own(delete_flag_col) if detect_deletes and delete_flag_col else None
     data = data_columns([f.name for f in tgt_schema.fields], tkeys, aud, flag)
-    s = conform(src, tgt_schema, exclude=aud + ([flag] if flag else []), order="target").filter(~any_null(tkeys)).alias("s")
+    s = conform(src, tgt_schema, exclude=aud + ([flag] if flag else []), order="target").alias("s")
+    for v in match_values(tkeys, key_exprs, "s"):
+        s = s.filter(v.isNotNull())
     here, there = (lambda c: F.col(f"s.`{c}`")), (lambda c: F.col(f"{target}.`{c}`"))
     ins_ts, ins_by, upd_ts, upd_by = aud
     stamp = {upd_ts: _ts_literal(run_ts, types[upd_ts]), upd_by: F.lit(load_id).cast(types[upd_by])}
     on, changed = F.lit(True), F.lit(False)
-    for k in tkeys:
-        on = on & (there(k) == here(k))
+    for there_k, here_k in zip(match_values(tkeys, key_exprs, target), match_values(tkeys, key_exprs, "s")):
+        on = on & (there_k == here_k)
     for c in data:
         changed = changed | ~there(c).eqNullSafe(here(c))
     update = {c: here(c) for c in data} | stamp
