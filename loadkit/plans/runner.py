@@ -22,29 +22,19 @@ from pyspark.sql import functions as F
 from loadkit.contracts import ContractError, FeedContract, LoadSpec, validate_target_columns
 from loadkit.functions.exprs import substitute
 from loadkit.operators.audit import JobAudit, MessageLog
-from loadkit.operators.ledger import (FAILED, LEDGER_KEY, LEDGER_SCHEMA, LOAD, SUCCESS, apply_status, discover_files, entity_rules,
+from loadkit.operators.ledger import (FAILED, LEDGER_KEY, LEDGER_SCHEMA, LOAD, SKIPPED, SUCCESS, discover_files, entity_rules,
                                       select_files, skip_others, stage_new_files)
-from loadkit.operators.upsert import ACTION_COL, DELETE, INSERT, RESTORE, UPDATE, append_rows, merge_into, upsert_frame
+from loadkit.operators.upsert import ACTION_COL, DELETE, INSERT, RESTORE, UPDATE, append_rows, match_values, merge_into, upsert_frame
+from loadkit.plans.event_ledger import Book, EventLedger
+from loadkit.plans.maintenance import MaintenanceLog, MaintenancePolicy, maintain
+from loadkit.plans.partitioned import PartitionedTable
 from loadkit.plans.snapshots import SnapshotTable
-from loadkit.session import scratch_path
+from loadkit.session import observed, scratch_path
 from loadkit.sources.delimited import SOURCE_FILE, file_outcomes, load_delimited, plain_path
 from loadkit.sources.listing import list_files, normalise_paths
 from loadkit.sources.tables import read_source
 
 
-@dataclass(frozen=True)
-class MaintenancePolicy:
-    """C12 after a load: compact when the table has more than ``max_files`` data
-    files of mean size below ``min_mean_bytes``; expire versions beyond
-    ``min_keep`` older than ``max_age_days`` (see ``snapshots.RETENTION``)."""
-
-    max_files: int = 200
-    min_mean_bytes: int = 32 << 20
-    target_file_bytes: int = 128 << 20
-    min_keep: int = 30
-    max_age_days: float = 3.0
-
-
 def run_maintenance(table: SnapshotTable, policy: MaintenancePolicy, run_id: str) -> dict:
     out = {"compacted": False, "expired": 0}
     if table.needs_compaction(policy.max_files, policy.min_mean_bytes):
@@ -82,8 +72,11 @@ def run_sql_hook(spark: SparkSession, sql: str | None, names: dict[str, str]) ->
 
 def run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.datetime,
              audit_sink=None, job_name: str | None = None,
-             maintenance: MaintenancePolicy | None = None, message_sink=None) -> LoadResult:
-    """Apply ``spec`` once, then the maintenance check. Raises on invalid
+             maintenance: MaintenancePolicy | None = None, message_sink=None,
+             maintenance_log: MaintenanceLog | None = None) -> LoadResult:
+    """Apply ``spec`` once, then the maintenance check: with a log the whole flow
+    (`loadkit.plans.maintenance`: is it due, decision and outcome as events), without one
+    compaction whenever the files ask for it. Raises on invalid
     configuration or data (after writing the failed audit event). Run messages
     (K16) are buffered and appended once through ``message_sink``, also on failure."""
     log = MessageLog(run_id)
@@ -104,7 +97,11 @@ def run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.datet
                 a.counters.rows_deleted = m.get("n_delete")
         log.log("info", f"load {spec.load_id} completed: {result.metrics}")
         if maintenance is not None and _is_path(spec.target) and result.snapshot is not None:
-            result.metrics.update(run_maintenance(SnapshotTable(spark, spec.target), maintenance, run_id))
+            if maintenance_log is not None:
+                name = spec.load_name or spec.target
+                result.metrics["maintenance"] = maintain(spark, {name: SnapshotTable(spark, spec.target)}, maintenance_log, maintenance, run_ts, run_id)[name]
+            else:
+                result.metrics.update(run_maintenance(SnapshotTable(spark, spec.target), maintenance, run_id))
             log.log("info", "maintenance checked")
         return result
     except Exception as e:
@@ -117,11 +114,12 @@ def run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.datet
 
 def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.datetime) -> LoadResult:
     snap_target = _is_path(spec.target)
-    table = SnapshotTable(spark, spec.target) if snap_target else None
+    partitioned = snap_target and bool(spec.partition_by)
+    table = (PartitionedTable(spark, spec.target, spec.partition_by) if partitioned else SnapshotTable(spark, spec.target)) if snap_target else None
     if snap_target:
         if not table.exists():
             raise ContractError(f"target {spec.target} has no committed snapshot")
-        if run_id in table.committed_runs():
+        if table.committed(run_id):
             return _replayed(spark, spec, table, run_id)
         tgt = table.read()
     else:
@@ -132,15 +130,18 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
     if bad:
         raise ContractError(f"target {spec.target} does not fit the load", bad)
     src = read_source(spark, spec.source, spec.source_type)
+    split = {}
+    if spec.rejects:
+        src, split = split_rejects(spark, src, tgt.schema, _not_in_source(spec), spec.rejects, run_id)
     src_view, tgt_view = _view_name("loadkit_source", run_id), _view_name("loadkit_target", run_id)
     if spec.strategy == "merge":
         # hooks see the classified source (record_status), a lazy view that only
         # runs if a hook reads it
         from loadkit.operators.changes import classify_changes
         from loadkit.operators.conform import conform
-        excl = spec.audit.names() + ([spec.delete_flag_col] if spec.detect_deletes else [])
-        classify_changes(conform(src, tgt.schema, exclude=excl), tgt, spec.keys,
-                         compare=spec.compare).createOrReplaceTempView(src_view)
+        excl = _not_in_source(spec)
+        classify_changes(conform(src, tgt.schema, exclude=excl), tgt, spec.keys, compare=spec.compare,
+                         key_exprs=spec.key_exprs).createOrReplaceTempView(src_view)
     else:
         src.createOrReplaceTempView(src_view)
     tgt.createOrReplaceTempView(tgt_view)
@@ -151,16 +152,22 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
         from pyspark.sql import Observation
         src_obs = Observation(f"src_{_view_name('', run_id)}")
         no_key = F.lit(False)
-        for c in conform_names(src, spec.keys):
-            no_key = no_key | F.col(f"`{c}`").isNull()
+        own = conform_names(src, spec.keys)
+        for v in match_values(own, spec.key_exprs, "incoming"):
+            no_key = no_key | v.isNull()
+        src = src.alias("incoming")
         observed_src = src.observe(src_obs, F.count(F.lit(1)).alias("rows_read"),
                                    F.sum(F.when(no_key, 1).otherwise(0)).cast("long").alias("rows_without_key"))
         if spec.quarantine:
             quarantine = SnapshotTable(spark, spec.quarantine)
             quarantine.write(src.filter(no_key).withColumn("_run_id", F.lit(run_id)), run_id=run_id, mode="append")
+        if partitioned:
+            metrics = table.upsert(observed_src, spec.keys, spec.audit, spec.load_id, run_ts, run_id, spec.delete_flag_col, spec.detect_deletes,
+                                   spec.delete_scope, spec.compare, spec.on_reappear, spec.key_exprs)
+            return _after_publish(spark, spec, table, run_id, names, tgt_view, {**metrics, **observed(src_obs, "rows_read", "rows_without_key"), **split}, None)
         new = upsert_frame(tgt, observed_src, spec.keys, spec.audit, spec.load_id, run_ts,
                            delete_flag_col=spec.delete_flag_col, detect_deletes=spec.detect_deletes,
-                           compare=spec.compare, on_reappear=spec.on_reappear)
+                           compare=spec.compare, on_reappear=spec.on_reappear, key_exprs=spec.key_exprs)
         a = F.col(ACTION_COL)
         cnt = lambda v: F.sum(F.when(a == v, 1).otherwise(0)).cast("long")
         observe = {"rows_total": F.count(F.lit(1)), "n_insert": cnt(INSERT), "n_update": cnt(UPDATE),
@@ -169,15 +176,19 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
             from pyspark.sql import Observation
             obs = Observation(f"merge_{_view_name('', run_id)}")
             body = new.observe(obs, *[c.alias(n) for n, c in observe.items()]).drop(ACTION_COL)
-            snap, _ = table.write(body, run_id=run_id)
-            metrics = dict(obs.get)
+            body = leave_out(spark, spec, body, run_id)
+            snap, kept = table.write(body, run_id=run_id, observe={"rows_kept": F.count(F.lit(1))} if spec.removes_rows() else None)
+            metrics = observed(obs, *observe)
+            if kept:
+                metrics |= kept | {"rows_removed": metrics["rows_total"] - kept["rows_kept"]}
         elif spec.native_merge:
             merge_into(observed_src, spec.target, tgt.schema, spec.keys, spec.audit, spec.load_id, run_ts, spec.delete_flag_col,
-                       spec.detect_deletes, spec.on_reappear).merge()
+                       spec.detect_deletes, spec.on_reappear, spec.key_exprs).merge()
             snap, metrics = None, {}
         else:
             snap, metrics = None, _overwrite_catalog(spark, spec.target, new, observe)
-        metrics.update(src_obs.get)
+        metrics.update(observed(src_obs, "rows_read", "rows_without_key"))
+        metrics.update(split)
     elif spec.strategy == "insert":
         rows = append_rows(tgt.schema, src, spec.audit, spec.load_id, run_ts)
         observe = {"n_insert": F.count(F.lit(1))}
@@ -190,19 +201,73 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
             rows.observe(obs, *[c.alias(n) for n, c in observe.items()]).write.insertInto(spec.target)
             snap, metrics = None, dict(obs.get)
             metrics["rows_read"] = metrics.get("n_insert")
+        metrics.update(split)
     else:  # validated above; kept for safety
         raise ContractError(f"unknown update strategy {spec.strategy!r}")
-    if snap_target:
+    return _after_publish(spark, spec, table if snap_target else None, run_id, names, tgt_view, metrics, snap)
+
+
+def _after_publish(spark: SparkSession, spec: LoadSpec, table, run_id: str, names: dict, tgt_view: str, metrics: dict, snap) -> LoadResult:
+    if table is not None:
         table.read().createOrReplaceTempView(tgt_view)   # the post hook sees the version just committed
     if spec.post_sql:
         run_sql_hook(spark, spec.post_sql, names)
-        if snap_target:
+        if table is not None:
             table.mark_hook_done(run_id)
     # the run-scoped views stay registered: hooks may have defined views over them
     return LoadResult(run_id, "completed", metrics, snap)
 
 
-def _replayed(spark: SparkSession, spec: LoadSpec, table: SnapshotTable, run_id: str) -> LoadResult:
+def _not_in_source(spec: LoadSpec) -> list[str]:
+    """Target columns that a source does not bring."""
+    return spec.audit.names() + ([spec.delete_flag_col] if spec.detect_deletes else [])
+
+
+def split_rejects(spark: SparkSession, src: DataFrame, tgt_schema, exclude: list[str], path: str, run_id: str) -> tuple[DataFrame, dict]:
+    """One pass over the source writes its rows conformed, apart by whether every
+    value could be cast. Rows with one that could not are appended to the reject table
+    (the row as it came, the columns at fault, the run) and not loaded. Returns the others
+    and the counts taken during the pass."""
+    import uuid
+
+    from pyspark.sql import Observation
+    from pyspark.sql import types as T
+
+    from loadkit.operators.conform import conform
+    whole = T.StructType([*tgt_schema.fields, T.StructField("_source", T.StringType())])
+    told = src.withColumn("_source", F.to_json(F.struct(*[F.col(f"`{c}`") for c in src.columns]), {"ignoreNullFields": "false"}))
+    rows = conform(told, whole, exclude=exclude, error_col="_failed").withColumn("_rejected", F.size("_failed") > 0)
+    obs = Observation(f"split_{uuid.uuid4().hex[:8]}")
+    rows = rows.observe(obs, F.count(F.lit(1)).alias("rows_offered"), F.sum(F.col("_rejected").cast("long")).alias("rows_rejected"),
+                        F.sum(F.size("_failed")).cast("long").alias("cells_rejected"))
+    at = scratch_path(spark, "conformed")
+    rows.write.partitionBy("_rejected").parquet(at)
+    held = spark.read.schema(rows.schema).parquet(at)
+    bad = held.filter("_rejected").select(F.lit(run_id).alias("run_id"), F.col("_failed").alias("failed_columns"), F.col("_source").alias("source_row"))
+    SnapshotTable(spark, path).write(bad, run_id=run_id, mode="append")
+    counts = observed(obs, "rows_offered", "rows_rejected", "cells_rejected")
+    return held.filter("not _rejected").drop("_rejected", "_failed", "_source"), counts
+
+
+def leave_out(spark: SparkSession, spec: LoadSpec, new: DataFrame, run_id: str) -> DataFrame:
+    """The rows of the new content that stay: without those that meet
+    ``delete_where`` (a predicate, perhaps with a subquery) and those whose keys are in
+    ``delete_keys`` (an anti join). Part of the load's own commit."""
+    if spec.delete_keys is not None:
+        kind = "callable" if callable(spec.delete_keys) or isinstance(spec.delete_keys, DataFrame) else "query"
+        gone = read_source(spark, spec.delete_keys, kind)
+        keys = conform_names(new, spec.keys)
+        new = new.join(gone.select(*[F.col(f"`{g}`").cast(new.schema[k].dataType).alias(k) for g, k in zip(conform_names(gone, spec.keys), keys)]).distinct(),
+                       keys, "left_anti")
+    if spec.delete_where:
+        view = _view_name("loadkit_new", run_id)
+        new.createOrReplaceTempView(view)
+        names = {"source": _view_name("loadkit_source", run_id), "target": view}
+        new = spark.sql(f"SELECT * FROM {view} WHERE NOT coalesce(({substitute(spec.delete_where, names)}), false)")
+    return new
+
+
+def _replayed(spark: SparkSession, spec: LoadSpec, table: SnapshotTable | PartitionedTable, run_id: str) -> LoadResult:
     """A run that is committed already writes nothing; a post hook that did not finish
     runs now, on the committed table and the source as it is."""
     if spec.post_sql and not table.hook_done(run_id):
@@ -240,18 +305,19 @@ def feed_policy(contract: FeedContract) -> str:
 
 
 def stage_files(spark: SparkSession, root: str, system_key: str, systems: DataFrame, entities: DataFrame,
-                ledger: SnapshotTable, run_ts: _dt.datetime) -> SnapshotTable:
+                ledger: SnapshotTable | EventLedger, run_ts: _dt.datetime) -> SnapshotTable | EventLedger:
     """List ``root``, match the entities' wildcards, append what the ledger lacks."""
     listing = normalise_paths(list_files(spark, root, system_key=system_key))
-    new = stage_new_files(discover_files(listing, entity_rules(systems, entities)), ledger.read_or_empty(LEDGER_SCHEMA), run_ts)
-    ledger.write(new.select(*LEDGER_SCHEMA.names), mode="append")
+    files = ledger.files if isinstance(ledger, EventLedger) else ledger
+    new = stage_new_files(discover_files(listing, entity_rules(systems, entities)), files.read_or_empty(LEDGER_SCHEMA), run_ts)
+    files.write(new.select(*LEDGER_SCHEMA.names), mode="append")
     return ledger
 
 
 FILES_PER_SCAN = 10_000   # paths that one scan (and the driver) holds at a time
 
 
-def load_feed(spark: SparkSession, contract: FeedContract, ledger: SnapshotTable, raw: SnapshotTable,
+def load_feed(spark: SparkSession, contract: FeedContract, ledger: SnapshotTable | EventLedger, raw: SnapshotTable,
               entity_key: str, run_id: str, multiline: bool | None = None,
               files_per_scan: int = FILES_PER_SCAN) -> LoadResult:
     """C3 + C4 + publish + K12/K13 for one feed.
@@ -261,10 +327,15 @@ def load_feed(spark: SparkSession, contract: FeedContract, ledger: SnapshotTable
     ``reject_bad_files`` fails the file instead. Every chosen file gets an outcome, also
     one without rows. A version remembers the instance keys it published, so a run after
     a crash between publishing and the ledger update publishes no file twice (D35). An
-    overwrite feed replaces the raw table only when at least one file was accepted.
+    overwrite feed replaces the raw table only when at least one file was accepted. A path
+    that was delivered again holds its newest content only: that instance is loaded, the
+    older ones are skipped.
+
+    With an `EventLedger` the files pass through ``started`` and, if the load itself
+    breaks off, ``error``; every step is an append.
     """
-    led = ledger.read()
-    sel = select_files(led.filter(F.col("src_entity_key") == entity_key), feed_policy(contract))
+    book = Book(ledger)
+    sel = select_files(book.queue().filter(F.col("src_entity_key") == entity_key), feed_policy(contract))
     chosen_path = scratch_path(spark, "chosen_files")
     sel.write.parquet(chosen_path)
     sel = spark.read.schema(sel.schema).parquet(chosen_path)
@@ -272,38 +343,66 @@ def load_feed(spark: SparkSession, contract: FeedContract, ledger: SnapshotTable
     n = chosen.count()
     if not n:
         return LoadResult(run_id, "completed", {"n_files": 0}, None, "no file to load")
-    done = raw.published_files()
+    book.started(chosen, run_id)
+    try:
+        return _load_chosen(spark, contract, book, raw, run_id, multiline, files_per_scan, sel, chosen, n)
+    except Exception as e:
+        book.broken(chosen, run_id, f"Error: {e}")
+        raise
+
+
+def _load_chosen(spark, contract, book, raw, run_id, multiline, files_per_scan, sel, chosen, n) -> LoadResult:
     metrics = {"n_files": n, "n_failed_files": 0, "rows_loaded": 0, "rows_rejected": 0}
-    snap, updates = None, None
+    snap, updates, again = None, None, None
     for lo in range(0, n, files_per_scan):
         part = chosen.filter((F.col("load_seq") > lo) & (F.col("load_seq") <= lo + files_per_scan))
         keys = part.select(*LEDGER_KEY, plain_path(F.regexp_replace("src_entity_path", "%", "%25")).alias("_path"))
-        held = {r["_path"]: r["src_entity_inst_key"] for r in keys.collect()}   # at most files_per_scan
+        held = {}
+        for r in keys.collect():   # at most files_per_scan
+            held[r["_path"]] = max(held.get(r["_path"], ""), r["src_entity_inst_key"])
         loaded = load_delimited(spark, [_escape(p) for p in held], contract, with_source_file=True, with_rejects=True, multiline=multiline)
         counts = file_outcomes(loaded).select(plain_path(F.col(SOURCE_FILE)).alias("_path"), "n_rows", "n_rejects", "n_null_cells")
         outcome = (keys.join(counts, "_path", "left").fillna(0, ["n_rows", "n_rejects"])
                    .withColumn("_bad", F.lit(contract.reject_bad_files) & (F.col("n_rejects") > 0)))
-        outcome = spark.createDataFrame(outcome.collect(), outcome.schema)   # one row a file of this scan
-        rows = outcome.collect()
+        told = outcome.collect()   # one row a file of this scan
+        rows = [r for r in told if held[r["_path"]] == r["src_entity_inst_key"]]
+        older = [r for r in told if held[r["_path"]] != r["src_entity_inst_key"]]
+        outcome = spark.createDataFrame(rows, outcome.schema)
         good = {r["_path"]: r["src_entity_inst_key"] for r in rows if not r["_bad"]}
-        fresh = [p for p, k in good.items() if k not in done]
+        offered = spark.createDataFrame([(k, p) for p, k in good.items()], "src_entity_inst_key string, _path string")
+        unpublished = offered.join(raw.published(), "src_entity_inst_key", "left_anti")
+        fresh = [r["_path"] for r in unpublished.collect()]
         if fresh:
             body = load_delimited(spark, [_escape(p) for p in fresh], contract, multiline=multiline)
             mode = "overwrite" if contract.load_type == "overwrite" and lo == 0 else "append"
             snap, m = raw.write(body, run_id=f"{contract.name}:{run_id}:{lo}", observe={"rows_loaded": F.count(F.lit(1))},
-                                mode=mode, files=[good[p] for p in fresh])
+                                mode=mode, files=spark.createDataFrame([(good[p],) for p in fresh], "src_entity_inst_key string"))
             metrics["rows_loaded"] += m.get("rows_loaded", 0)
         metrics["n_failed_files"] += sum(r["_bad"] for r in rows)
         metrics["rows_rejected"] += sum(r["n_rejects"] for r in rows)
         told = F.concat(F.when(F.col("_bad"), "rejected: ").otherwise("loaded: "), F.col("n_rows").cast("string"), F.lit(" rows, "),
                         F.col("n_rejects").cast("string"), F.lit(" with a bad cell"))
         st = outcome.select(*LEDGER_KEY, F.when(F.col("_bad"), FAILED).otherwise(SUCCESS).alias("src_entity_load_status"),
-                            told.alias("src_entity_load_mesg"), F.lit(run_id).alias("src_entity_load_run_id"))
+                            told.alias("src_entity_load_mesg"), F.lit(run_id).alias("src_entity_load_run_id"), "n_rows")
+        if older:
+            replaced = spark.createDataFrame(older, outcome.schema).select(
+                *LEDGER_KEY, F.lit(FAILED if book.is_events else SKIPPED).alias("src_entity_load_status"),
+                F.lit("Skipped: the path was delivered again").alias("src_entity_load_mesg"), F.lit(run_id).alias("src_entity_load_run_id"),
+                F.lit(None).cast("long").alias("n_rows"))
+            again = replaced if again is None else again.unionByName(replaced)
         updates = st if updates is None else updates.unionByName(st)
     ok = metrics["n_failed_files"] < n
-    if ok and feed_policy(contract) == "full":
-        updates = updates.unionByName(skip_others(sel, run_id))
-    ledger.write(apply_status(led, updates), run_id=f"{run_id}:ledger")
+    skipped = skip_others(sel, run_id) if ok and feed_policy(contract) == "full" else None
+    if again is not None:
+        updates = updates.unionByName(again)
+        if book.is_events:      # a started file fails before it can be skipped
+            late = again.withColumn("src_entity_load_status", F.lit(SKIPPED)).drop("n_rows")
+            skipped = late if skipped is None else skipped.unionByName(late)
+    if skipped is not None and not book.is_events:
+        updates, skipped = updates.unionByName(skipped, allowMissingColumns=True), None
+    book.outcome(updates, run_id)
+    if skipped is not None:
+        book.outcome(skipped, run_id)
     return LoadResult(run_id, "completed" if not metrics["n_failed_files"] else "failed", metrics, snap)
 
 
@@ -312,25 +411,36 @@ def _escape(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
-def load_xml_feed(spark: SparkSession, contract, ledger: SnapshotTable, staging: dict[str, SnapshotTable],
+def load_xml_feed(spark: SparkSession, contract, ledger: SnapshotTable | EventLedger, staging: dict[str, SnapshotTable],
                   entity_key: str, run_id: str) -> LoadResult:
     """Every queued XML file of an entity (oldest first), parsed once. A file with a
     document that does not parse, or with none, is ``failed`` and contributes nothing;
     the others' record sets are appended to their staging tables stamped with the run id
     (earlier unconsumed runs stay, D36). A staging version remembers its files, so a
     rerun after a failure appends no file to a set twice."""
-    from loadkit.sources.xml import SOURCE_FILE as XML_FILE
-    from loadkit.sources.xml import document_outcomes, load_xml_recordsets
     missing = [rs.name for rs in contract.record_sets if rs.target_table and rs.name not in staging]
     if missing:
         raise ContractError(f"XML load of {entity_key} lacks staging tables", missing)
-    led = ledger.read()
-    sel = select_files(led.filter(F.col("src_entity_key") == entity_key), "xml")
-    chosen = sel.filter(F.col("action") == LOAD)
+    book = Book(ledger)
+    sel = select_files(book.queue().filter(F.col("src_entity_key") == entity_key), "xml")
+    chosen_path = scratch_path(spark, "chosen_files")
+    sel.filter(F.col("action") == LOAD).write.parquet(chosen_path)
+    chosen = spark.read.schema(sel.schema).parquet(chosen_path)
+    if chosen.isEmpty():
+        return LoadResult(run_id, "completed", {"n_files": 0}, None, "no file to load")
+    book.started(chosen, run_id)
+    try:
+        return _load_xml_chosen(spark, contract, book, staging, run_id, chosen)
+    except Exception as e:
+        book.broken(chosen, run_id, f"Error: {e}")
+        raise
+
+
+def _load_xml_chosen(spark, contract, book, staging, run_id, chosen) -> LoadResult:
+    from loadkit.sources.xml import SOURCE_FILE as XML_FILE
+    from loadkit.sources.xml import document_outcomes, load_xml_recordsets
     keys = chosen.select(*LEDGER_KEY, plain_path(F.regexp_replace("src_entity_path", "%", "%25")).alias("_path"))
     held = {r["_path"]: r["src_entity_inst_key"] for r in keys.collect()}
-    if not held:
-        return LoadResult(run_id, "completed", {"n_files": 0}, None, "no file to load")
     sets = load_xml_recordsets(spark, [_escape(p) for p in held], contract, with_source_file=True, documents=True)
     counts = document_outcomes(sets.pop("")).select(plain_path(F.col(XML_FILE)).alias("_path"), "n_documents", "n_rejects")
     outcome = keys.join(counts, "_path", "left").fillna(0, ["n_documents", "n_rejects"])
@@ -341,31 +451,60 @@ def load_xml_feed(spark: SparkSession, contract, ledger: SnapshotTable, staging:
     for name, df in sets.items():
         if name not in staging:
             continue
-        done = staging[name].published_files()
-        fresh = {p: k for p, k in good.items() if k not in done}
+        offered = spark.createDataFrame([(k, p) for p, k in good.items()], "src_entity_inst_key string, _path string")
+        fresh = {r["_path"]: r["src_entity_inst_key"] for r in offered.join(staging[name].published(), "src_entity_inst_key", "left_anti").collect()}
         metrics[f"rows_{name}"] = 0
         if fresh:
             paths = spark.createDataFrame([(p,) for p in fresh], "_path string")
             body = (df.withColumn("_path", plain_path(F.col(XML_FILE))).join(paths, "_path", "left_semi")
                     .drop(XML_FILE, "_path").withColumn("_run_id", F.lit(run_id)))
-            _, m = staging[name].write(body, run_id=run_id, observe={"rows": F.count(F.lit(1))}, mode="append", files=list(fresh.values()))
+            _, m = staging[name].write(body, run_id=run_id, observe={"rows": F.count(F.lit(1))}, mode="append",
+                                         files=spark.createDataFrame([(k,) for k in fresh.values()], "src_entity_inst_key string"))
             metrics[f"rows_{name}"] = m.get("rows", 0)
     told = (F.when(F.col("n_documents") == 0, F.lit("rejected: no document"))
             .when(bad, F.concat(F.lit("rejected: "), F.col("n_rejects").cast("string"), F.lit(" unparsable documents")))
             .otherwise(F.concat(F.lit("loaded: "), F.col("n_documents").cast("string"), F.lit(" documents"))))
     updates = outcome.select(*LEDGER_KEY, F.when(bad, FAILED).otherwise(SUCCESS).alias("src_entity_load_status"),
-                             told.alias("src_entity_load_mesg"), F.lit(run_id).alias("src_entity_load_run_id"))
-    ledger.write(apply_status(led, updates), run_id=f"{run_id}:ledger")
+                             told.alias("src_entity_load_mesg"), F.lit(run_id).alias("src_entity_load_run_id"), F.col("n_documents").alias("n_rows"))
+    book.outcome(updates, run_id)
     return LoadResult(run_id, "completed" if good and len(good) == len(held) else "failed", metrics, None)
 
 
-def load_many(spark: SparkSession, feeds: list[tuple[FeedContract, SnapshotTable, str]], ledger: SnapshotTable,
-              run_id: str) -> list[LoadResult]:
-    """Feeds in order; stop at the first failed feed."""
+def load_many(spark: SparkSession, feeds: list[tuple[FeedContract, SnapshotTable, str]], ledger: SnapshotTable | EventLedger,
+              run_id: str, stop_at_failure: bool = True, parallel: int = 1) -> list[LoadResult]:
+    """One result per feed that ran, in the order of ``feeds``.
+
+    By default feeds run in order and the first failed one ends the run. With
+    ``stop_at_failure=False`` feeds are independent: each commits its own outcome, one
+    that breaks off is a failed result and the others still run, ``parallel`` of them side
+    by side (an `EventLedger` only: its outcomes are appends)."""
+    if parallel > 1 and not isinstance(ledger, EventLedger):
+        raise ContractError("feeds side by side need an event ledger")
+    if parallel > 1 and stop_at_failure:
+        raise ContractError("feeds side by side cannot stop at the first failure")
+
+    def one(i: int) -> LoadResult:
+        contract, raw, entity = feeds[i]
+        try:
+            return load_feed(spark, contract, ledger, raw, entity, f"{run_id}.{i:03d}")
+        except Exception as e:
+            if stop_at_failure:
+                raise
+            return LoadResult(f"{run_id}.{i:03d}", "failed", {}, None, str(e))
+    if parallel > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(parallel) as pool:     # threads hold a Spark job each, no data
+            return list(pool.map(one, range(len(feeds))))
     out = []
-    for i, (contract, raw, entity) in enumerate(feeds):
-        r = load_feed(spark, contract, ledger, raw, entity, f"{run_id}.{i:03d}")
-        out.append(r)
-        if r.status != "completed":
+    for i in range(len(feeds)):
+        out.append(one(i))
+        if stop_at_failure and out[-1].status != "completed":
             break
     return out
+
+
+def merged_outcome(results: list[LoadResult], n_feeds: int) -> dict:
+    """One outcome of a run of feeds: the worst status, and how many ran, failed, were not tried."""
+    failed = sum(r.status != "completed" for r in results)
+    return {"status": "failed" if failed else "completed", "n_completed": len(results) - failed, "n_failed": failed,
+            "n_not_run": n_feeds - len(results)}

@@ -23,6 +23,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from loadkit.session import observed
+
+FILES = "_files"            # instance keys of the source files in a version, beside its rows
+KEY = "src_entity_inst_key"
 MARKER = "_LOADKIT_COMMIT"
 HOOK_MARKER = "_LOADKIT_HOOK_DONE"
 _VERSION = re.compile(r"^v=(\d{10})$")
@@ -35,7 +39,7 @@ class Snapshot:
     run_id: str | None
     committed_at: str | None
     mode: str = "overwrite"
-    files: tuple = ()                   # instance keys of the files it published
+    n_files: int = 0                    # source files whose instance keys are kept beside it
 
 
 class SnapshotTable:
@@ -46,31 +50,31 @@ class SnapshotTable:
         self._jpath = jvm.org.apache.hadoop.fs.Path
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = self._jpath(self.root).getFileSystem(self._conf)
+        self._known: dict[int, tuple[int, Snapshot]] = {}
 
     # ------------------------------------------------------------ metadata
     def _path(self, p: str):
         return self._jpath(p)
 
     def snapshots(self) -> list[Snapshot]:
-        """Committed versions, oldest first (one directory listing)."""
+        """Committed versions, oldest first: one listing of the markers; a marker is small,
+        never changes, and is opened once by this object."""
         root = self._path(self.root)
         if not self._fs.exists(root):
             return []
-        out = []
-        for st in self._fs.listStatus(root):
-            name = st.getPath().getName()
-            m = _VERSION.match(name)
-            if not (st.isDirectory() and m):
-                continue
-            marker = self._path(f"{self.root}/{name}/{MARKER}")
-            if not self._fs.exists(marker):
-                continue
+        there = {}
+        for st in self._fs.globStatus(self._path(f"{self.root}/v=*/{MARKER}")) or []:
+            name = st.getPath().getParent().getName()
+            if m := _VERSION.match(name):
+                there[int(m.group(1))] = (name, st.getModificationTime())
+        self._known = {k: v for k, v in self._known.items() if k in there and v[0] == there[k][1]}
+        for seq in there.keys() - self._known.keys():
+            name, written = there[seq]
             meta = self._read_text(f"{self.root}/{name}/{MARKER}")
             info = json.loads(meta) if meta else {}
-            out.append(Snapshot(int(m.group(1)), f"{self.root}/{name}", info.get("run_id"),
-                                info.get("committed_at"), info.get("mode", "overwrite"),
-                                tuple(info.get("files") or ())))
-        return sorted(out, key=lambda s: s.seq)
+            self._known[seq] = (written, Snapshot(seq, f"{self.root}/{name}", info.get("run_id"), info.get("committed_at"),
+                                                  info.get("mode", "overwrite"), info.get("n_files", 0)))
+        return [self._known[k][1] for k in sorted(self._known)]
 
     def latest(self) -> Snapshot | None:
         s = self.snapshots()
@@ -79,9 +83,16 @@ class SnapshotTable:
     def committed_runs(self) -> set[str]:
         return {s.run_id for s in self.snapshots() if s.run_id}
 
-    def published_files(self) -> set[str]:
-        """Instance keys of the files that committed versions hold."""
-        return {f for s in self.snapshots() for f in s.files}
+    def committed(self, run_id: str) -> bool:
+        return run_id in self.committed_runs()
+
+    def published(self) -> DataFrame:
+        """``src_entity_inst_key`` of the source files that committed versions hold (a table
+        to anti-join; it never passes through the driver)."""
+        at = [f"{s.path}/{FILES}" for s in self.snapshots() if s.n_files]
+        if not at:
+            return self.spark.createDataFrame([], f"{KEY} string")
+        return self.spark.read.schema(f"{KEY} string").parquet(*at).distinct()
 
     def hook_done(self, run_id: str) -> bool:
         """Whether the post-load hook of a committed run has finished."""
@@ -125,6 +136,10 @@ class SnapshotTable:
             raise FileNotFoundError(f"no committed snapshot under {self.root}")
         return self.spark.read.parquet(*[s.path for s in chain])
 
+    def read_since(self, seq: int) -> DataFrame:
+        """Rows that versions after ``seq`` hold; columns that some lack are NULL there."""
+        return self.spark.read.option("mergeSchema", "true").parquet(*[s.path for s in self.snapshots() if s.seq > seq])
+
     def read_or_empty(self, schema) -> DataFrame:
         if not self.current_chain():
             return self.spark.createDataFrame([], schema)
@@ -133,11 +148,11 @@ class SnapshotTable:
     def write(self, df: DataFrame, run_id: str | None = None, observe: dict | None = None,
               repartition_by: list[str] | None = None, num_files: int | None = None,
               partition_cols: list[str] | None = None, mode: str = "overwrite",
-              files: list[str] | None = None) -> tuple[Snapshot, dict]:
+              files: DataFrame | None = None) -> tuple[Snapshot, dict]:
         """Write ``df`` as the next version and commit it. ``observe`` maps metric
         names to aggregate Columns gathered during the same write (no extra pass).
         ``mode`` is ``overwrite`` (new complete content) or ``append``.
-        ``files``: instance keys of the source files in it, kept with the version."""
+        ``files``: instance keys of the source files in it (one column), kept beside the version."""
         if mode not in ("overwrite", "append"):
             raise ValueError(f"unknown write mode {mode!r}")
         if run_id is not None:
@@ -162,12 +177,16 @@ class SnapshotTable:
         if partition_cols:
             w = w.partitionBy(*partition_cols)
         w.parquet(path)
-        metrics = dict(obs.get) if obs is not None else {}   # filled by the write above
+        metrics = observed(obs, *observe) if obs is not None else {}   # filled by the write above
+        n_files = 0
+        if files is not None:
+            count = Observation(f"files_{uuid.uuid4().hex[:8]}")
+            files.select(F.col(files.columns[0]).alias(KEY)).observe(count, F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/{FILES}")
+            n_files = observed(count, "n")["n"]
         committed_at = _dt.datetime.now(_dt.timezone.utc).isoformat()
-        self._write_text(f"{path}/{MARKER}", json.dumps({"run_id": run_id, "committed_at": committed_at, "mode": mode,
-                                                          "files": sorted(files or []),
+        self._write_text(f"{path}/{MARKER}", json.dumps({"run_id": run_id, "committed_at": committed_at, "mode": mode, "n_files": n_files,
                                                           "metrics": {k: str(v) for k, v in metrics.items()}}))
-        return Snapshot(seq, path, run_id, committed_at, mode, tuple(sorted(files or []))), metrics
+        return Snapshot(seq, path, run_id, committed_at, mode, n_files), metrics
 
     # ------------------------------------------------------------ maintenance
     def file_stats(self) -> DataFrame:
@@ -191,8 +210,8 @@ class SnapshotTable:
         if r["n_files"] == 0:
             return None
         n = max(1, math.ceil(r["total_bytes"] / target_file_bytes))
-        files = [f for v in self.current_chain() for f in v.files]
-        snap, _ = self.write(self.read(), run_id=run_id or "compact", num_files=n, files=files)
+        held = any(s.n_files for s in self.snapshots())
+        snap, _ = self.write(self.read(), run_id=run_id or "compact", num_files=n, files=self.published() if held else None)
         return snap
 
     def expire(self, min_keep: int = 30, max_age_days: float = 3.0,

@@ -82,6 +82,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/loadkit/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def observed(obs, *names: str) -> dict:
+    """What an `Observation` saw; zeros where the observed rows were found to be none
+    while planning, so that nothing ran that could have been observed."""
+    from py4j.protocol import Py4JJavaError
+    try:
+        got = dict(obs.get)
+    except Py4JJavaError:
+        got = {}
+    return {n: got.get(n) or 0 for n in names} if names else got
+
+
 def is_local_path(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:")
 
