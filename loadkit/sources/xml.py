@@ -12,8 +12,14 @@ A record set is the document row exploded down its record path. Before each expl
 only the values still needed and the one array to explode are kept, so no ancestor
 travels with its records and the work is linear in them. A parent field placed after
 its children is still seen, text split by entities or newlines arrives whole, and
-nothing carries over between documents or files. The source reads a file in one task:
-feeds should come as files of moderate size.
+nothing carries over between documents or files. The source reads a file in one task.
+
+A contract can declare ``documents_end_with``, a text that ends every document and stands
+nowhere else: a newline (one document a line) or the closing tag as it is written. Such
+files are read by the text source, split anywhere, and each piece is parsed by
+``from_xml`` with the same schema and rules, so one large file is as parallel as many
+small ones. A piece that breaks the declaration (two documents, an end without a
+beginning, a file cut off in its last document) counts as unparsable.
 
 Paths are slash-separated below the document element; a path segment that is
 (a prefix of) some record path is a repeating element (array), others are
@@ -22,6 +28,7 @@ single elements, leaves are strings.
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,12 +79,38 @@ def contract_schema(contract: XmlContract) -> T.StructType:
     return build(tree, ())
 
 
+def _split_documents(spark: SparkSession, paths: list[str], contract: XmlContract, schema: T.StructType) -> DataFrame:
+    """The documents of files whose documents all end with one declared text."""
+    end, by_line = contract.documents_end_with, contract.documents_end_with in ("\n", "\r\n")
+    tag = r"(?:[\w.-]+:)?" + re.escape(contract.document_tag) + r"[\s/>]"
+    raw = spark.read.option("lineSep", end).text(paths)
+    text = F.col("value") if by_line else F.concat("value", F.lit(end))
+    # comments and CDATA may hold anything, also a tag
+    bare = F.regexp_replace("value", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
+    n_begins = F.regexp_count(bare, F.lit("<" + tag))
+    ahead = rf"(?s)^(?:[^<]++|<!--.*?-->|<\?.*?\?>|<!(?!--)[^>]*+>|<(?!{tag}|!|\?)[^>]*+>)*+"
+    doc = F.regexp_replace(text, ahead, "")
+    parsed = F.from_xml(F.when(n_begins == 1, doc), schema.simpleString(),
+                        {"ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    kind = F.when(n_begins == 0, "none").when(n_begins == 1, "one").otherwise("many")
+    rows = raw.select(parsed.alias("d"), kind.alias("_kind"), "value", (F.octet_length("value") + len(end.encode())).alias("_bytes"),
+                      F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_size").alias("_file_size"))
+    if by_line:
+        rows = rows.filter("_kind <> 'none'")      # declarations, wrappers, blank lines
+    own = [F.col(f"d.`{f.name}`").alias(f.name) for f in schema.fields if f.name != CORRUPT]
+    corrupt = F.when(F.col("_kind") == "many", F.col("value")).otherwise(F.col(f"d.{CORRUPT}"))
+    return rows.select(*own, corrupt.alias(CORRUPT), SOURCE_FILE, *([] if by_line else ["_kind", "_bytes", "_file_size"]))
+
+
 def read_documents(spark: SparkSession, paths: str | Sequence[str], contract: XmlContract,
                    with_source_file: bool = False) -> DataFrame:
     """One row per document element, with the text of one that does not parse in
     ``_corrupt_record``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     schema = T.StructType(contract_schema(contract).fields + [T.StructField(CORRUPT, T.StringType())])
+    if contract.documents_end_with:
+        docs = _split_documents(spark, paths, contract, schema)
+        return docs if with_source_file else docs.drop(SOURCE_FILE)
     df = (spark.read.format("xml").option("rowTag", contract.document_tag)
                .option("ignoreNamespace", "true").option("mode", "PERMISSIVE")
                .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).load(paths))
@@ -88,9 +121,17 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str], contract: Xm
 
 def document_outcomes(docs: DataFrame) -> DataFrame:
     """Documents and unparsable documents per source file."""
-    return docs.groupBy(SOURCE_FILE).agg(
-        F.count(F.lit(1)).alias("n_documents"),
-        F.sum(F.when(F.col(CORRUPT).isNotNull(), 1).otherwise(0)).cast("long").alias("n_rejects"))
+    corrupt = F.sum(F.when(F.col(CORRUPT).isNotNull(), 1).otherwise(0)).cast("long")
+    if "_kind" not in docs.columns:
+        return docs.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("n_documents"), corrupt.alias("n_rejects"))
+    # pieces that end with the closing tag: one without a document may follow the last,
+    # and the last may not itself lack the tag
+    got = docs.groupBy(SOURCE_FILE).agg(
+        F.sum(F.when(F.col("_kind") != "none", 1).otherwise(0)).cast("long").alias("n_documents"), corrupt.alias("_corrupt"),
+        F.sum(F.when(F.col("_kind") == "none", 1).otherwise(0)).cast("long").alias("_rest"), (F.sum("_bytes") > F.max("_file_size")).alias("_open"))
+    cut_off = F.when(F.col("_open") & (F.col("_rest") == 0), 1).otherwise(0)
+    stray = F.greatest(F.lit(0), F.col("_rest") - F.col("_open").cast("int"))
+    return got.select(SOURCE_FILE, "n_documents", (F.col("_corrupt") + cut_off + stray).cast("long").alias("n_rejects"))
 
 
 def flatten_record_set(docs: DataFrame, rs: XmlRecordSet, keep: Sequence[str] = ()) -> DataFrame:
