@@ -15,6 +15,7 @@ the two engines produce identical values.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1113,6 +1114,10 @@ def q_load_xml_feed_hostile(spark, sf_dir):
     CDATA, a document element inside a comment, a spaced closing tag; a folder of broken
     documents, whose files fail. Staged rows, and folders by file status; the second run
     finds nothing to stage again."""
+    return hostile_xml_feed(spark, sf_dir, None)
+
+
+def hostile_xml_feed(spark, sf_dir, documents_end_with: str | None) -> DataFrame:
     from loadkit.contracts import XmlColumn, XmlContract, XmlRecordSet
     from loadkit.operators.ledger import LEDGER_SCHEMA
     from loadkit.plans.runner import load_xml_feed
@@ -1129,7 +1134,8 @@ def q_load_xml_feed_hostile(spark, sf_dir):
     for folder, which in (("good", k % 6 != 5), ("bad", k % 6 == 5)):   # a file for 512 keys in a row
         (o.filter(which).groupBy(F.expr("o_orderkey div 512").alias("n")).agg(F.array_join(F.collect_list(doc), "\n").alias("docs"))
          .select(F.concat(F.lit("<R>"), "docs", F.lit("</R>")).alias("value"), "n").write.partitionBy("n").text(f"{root}/{folder}"))
-    contract = XmlContract("hostile_xml", "DOC", (XmlRecordSet("o", "O", (XmlColumn("k", "H/K"), XmlColumn("p", "O/P"))),))
+    contract = XmlContract("hostile_xml", "DOC", (XmlRecordSet("o", "O", (XmlColumn("k", "H/K"), XmlColumn("p", "O/P"))),),
+                           documents_end_with=documents_end_with)
     ledger = SnapshotTable(spark, scratch_path(spark, "ledger"))
     staging = {"o": SnapshotTable(spark, scratch_path(spark, "staging_o"))}
     ledger.write(spark.createDataFrame([], LEDGER_SCHEMA), run_id="none")
@@ -1178,15 +1184,17 @@ def q_run_load_hooks(spark, sf_dir):
     keyless = table(spark, sf_dir, "customer").select(F.lit(None).cast("bigint").alias("o_orderkey"), F.col("c_custkey").alias("o_custkey"))
     t, aside = SnapshotTable(spark, scratch_path(spark, "hook_target")), scratch_path(spark, "hook_aside")
     t.write(with_seed_audit(tgt), run_id="seed")
-    seen = "CREATE OR REPLACE TEMP VIEW loadkit_{w}_hook AS SELECT count(*) AS n FROM {t}"
+    # a table holds what the hook saw, whatever the target is later (a view would follow it)
+    seen = "CREATE TABLE {w}_hook_{i} USING parquet AS SELECT count(*) AS n FROM {t}"
+    me = uuid.uuid4().hex
     spec = LoadSpec(load_id="L1", target=t.root, source_type="callable", keys=("o_orderkey",), audit=AUDIT, quarantine=aside,
                     source=lambda s: src.unionByName(keyless, allowMissingColumns=True),
-                    pre_sql=seen.format(w="pre", t="<<target>>"), post_sql=seen.format(w="post", t="<<target>>"))
-    # a view follows its text: the pre hook's count is taken while its target still is the old version
-    before = t.read().count()
+                    pre_sql=seen.format(w="pre", i=me, t="<<target>>"), post_sql=seen.format(w="post", i=me, t="<<target>>"))
     res = run_load(spark, spec, "hooks-1", RUN_TS)
     run_load(spark, spec, "hooks-1", RUN_TS)
-    after = spark.table("loadkit_post_hook").first()["n"]
+    before, after = (spark.table(f"{w}_hook_{me}").first()["n"] for w in ("pre", "post"))
+    for w in ("pre", "post"):
+        spark.sql(f"DROP TABLE {w}_hook_{me}")
     m = res.metrics
     return spark.range(1).select(*[F.lit(v).cast("long").alias(n) for n, v in (
         ("target_before", before), ("target_after", after), ("rows_read", m["rows_read"]), ("rows_without_key", m["rows_without_key"]),
@@ -1199,7 +1207,6 @@ def q_create_tables_from_list(spark, sf_dir):
     """A list document names a definition script; the table it makes
     is filled from customer and read back, with its merged properties."""
     import json
-    import uuid
     from loadkit.plans.tables import create_tables, environment_properties, load_table_list
     from loadkit.session import scratch_path
     root, name = scratch_path(spark, "ddl"), f"customer_{uuid.uuid4().hex[:12]}"
@@ -1216,3 +1223,6 @@ def q_create_tables_from_list(spark, sf_dir):
     c.select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(15,2)")).write.insertInto(made)
     props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {made}").collect()}
     return spark.table(made).select("*", F.lit(props["lk.own"]).alias("p_own"), F.lit(props["lk.default"]).alias("p_default"))
+
+
+from loadkit import harness_loads  # noqa: E402, F401  registers more queries here
