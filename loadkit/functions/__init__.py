@@ -3,17 +3,13 @@
 from loadkit.functions.exprs import (  # noqa: F401
     any_null,
     basename,
-    glob_to_regex,
     instance_key,
     key_expression,
-    legacy_row_hash,
     literal_prefix,
     ntz_literal,
     nonempty_row,
     padded_run_id,
-    parent_dir,
     resolve_columns,
-    row_digest,
     substitute,
 )
 from loadkit.functions.numbering import number_within  # noqa: F401

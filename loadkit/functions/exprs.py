@@ -18,44 +18,12 @@ def basename(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
-def parent_dir(path: Column) -> Column:
-    """Path without its last segment (no trailing slash)."""
-    return F.regexp_replace(path, "/[^/]*$", "")
-
-
 def literal_prefix(pattern: str) -> str:
     """Part of a wildcard pattern before its first ``*`` (whole pattern when none)."""
     i = pattern.find("*")
     return pattern if i < 0 else pattern[:i]
 
 
-def glob_to_regex(pattern: str) -> str:
-    """Shell wildcard to an anchored Java regex. ``*`` crosses ``/``; ``?`` is one char."""
-    out, i, n = ["^"], 0, len(pattern)
-    while i < n:
-        ch = pattern[i]
-        if ch == "*":
-            out.append(".*")
-        elif ch == "?":
-            out.append(".")
-        elif ch == "[":
-            j = pattern.find("]", i + 2 if i + 1 < n and pattern[i + 1] in "!^" else i + 1)
-            if j < 0:
-                out.append(re.escape(ch))
-            else:
-                body = pattern[i + 1:j]
-                neg = body[:1] in ("!", "^")
-                body = body[1:] if neg else body
-                body = body.replace("\\", "\\\\")
-                out.append("[" + ("^" if neg else "") + body + "]")
-                i = j
-        else:
-            out.append(re.escape(ch))
-        i += 1
-    out.append("$")
-    return "".join(out)
-
-
 # ---------------------------------------------------------------- time helpers
 def instance_key(ts: Column, system: Column, name: Column) -> Column:
     """File-instance natural key: ``yyyyMMdd.HHmmss.SSSSSS`` + system + file name."""
@@ -68,17 +36,6 @@ def padded_run_id(system_id: Column, entity_id: Column, inst_no: Column) -> Colu
                            inst_no.cast("long"))
 
 
-# ---------------------------------------------------------------- row fingerprints
-def legacy_row_hash(cols: Sequence[str]) -> Column:
-    """Parity hash: SHA-512 of string forms joined by ``-``; NULLs are skipped (ambiguous)."""
-    return F.sha2(F.concat_ws("-", *[F.col(c).cast("string") for c in cols]), 512)
-
-
-def row_digest(cols: Sequence[str]) -> Column:
-    """Unambiguous SHA-256 of the values: JSON keeps names, quotes and NULL positions."""
-    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
-
-
 def nonempty_row(cols: Iterable[str]) -> Column:
     """True when at least one column is non-NULL and not the empty string."""
     conds = [F.col(c).isNotNull() & (F.col(c).cast("string") != F.lit("")) for c in cols]

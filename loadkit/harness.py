@@ -643,7 +643,7 @@ def q_delimited_roundtrip(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast("decimal(15,2)").cast("string").alias("c_acctbal"),
         "c_mktsegment")
-    path = render_delimited(c, scratch_path(spark, "feed_tab_header"), sep="\t", header=True, files=16)
+    path = render_delimited(c, scratch_path(spark, "feed_tab_header"), sep="\t", header=True)
     contract = _contract("feed_tab_header", CUSTOMER_FEED, header=True, sep="\t", quote='"')
     return load_delimited(spark, path, contract)
 
@@ -676,7 +676,7 @@ def q_delimited_dates_decimals(spark, sf_dir):
     prio = (F.when(k % 31 == 0, F.concat("o_orderpriority", F.lit("|x")))
              .when(k % 37 == 0, F.concat("o_orderpriority", F.lit("\nline2"))).otherwise(F.col("o_orderpriority")))
     text = o.select(k.cast("string"), F.col("o_custkey").cast("string"), date_txt, amt_txt, prio)
-    path = render_delimited(text, scratch_path(spark, "feed_pipe"), sep="|", files=16)
+    path = render_delimited(text, scratch_path(spark, "feed_pipe"), sep="|")
     contract = _contract("feed_pipe", ORDERS_FEED, sep="|", quote='"', multiline=True, date_format="yyyyMMdd")
     return load_delimited(spark, path, contract)
 
@@ -1093,10 +1093,11 @@ def q_feed_load_hostile(spark, sf_dir):
     land("plain", lines.filter("k % 3 = 0"), 0)
     land("a b%41+c", lines.filter("k % 3 = 1"), 1)
     land("empty", lines.filter("false"), 2)
-    staged = ledger.read().collect()    # one row a file, for the crash below
+    ledger.write(ledger.read(), run_id="kept")    # for the crash below
+    kept = ledger.latest()
     load_feed(spark, contract, ledger, raw, "ORDERS", "run-1")
     load_feed(spark, contract, ledger, raw, "ORDERS", "run-1b")
-    ledger.write(spark.createDataFrame(staged, LEDGER_SCHEMA), run_id="crash")
+    ledger.write(spark.read.schema(LEDGER_SCHEMA).parquet(kept.path), run_id="crash")
     land("later", lines.filter("k % 3 = 2"), 3)
     load_feed(spark, contract, ledger, raw, "ORDERS", "run-2", files_per_scan=3)
     rows = raw.read().withColumn("what", F.lit("row"))

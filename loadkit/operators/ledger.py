@@ -89,12 +89,13 @@ def entity_rules(systems: DataFrame, entities: DataFrame, only_active: bool = Tr
 
 def glob_regex_col(pattern: Column) -> Column:
     """Wildcards ``*``, ``?``, ``[...]`` and ``[!...]`` as a regular expression; a bracket
-    that never closes is a plain character."""
+    without its partner is a plain character."""
     r = F.regexp_replace(pattern, r"([\\.{}()+^$|&])", r"\\$1")
-    r = F.regexp_replace(r, r"\[(?!!?[^\]]+\])", r"\\[")
-    r = F.regexp_replace(r, r"(?<!\\)\[!", "[^")
-    r = F.regexp_replace(F.regexp_replace(r, r"\*(?![^\[]*(?<!\\)\])", ".*"), r"\?(?![^\[]*(?<!\\)\])", ".")
-    return F.concat(F.lit("^"), r, F.lit("$"))
+    r = F.regexp_replace(r, r"\[(!?[^\]]+)\]", "\u0001$1\u0002")      # classes, marked
+    r = F.regexp_replace(r, r"([\[\]])", r"\\$1")
+    r = F.regexp_replace(F.regexp_replace(r, "\\*(?![^\u0001]*\u0002)", ".*"), "\\?(?![^\u0001]*\u0002)", ".")
+    r = F.replace(F.replace(r, F.lit("\u0001!"), F.lit("[^")), F.lit("\u0001"), F.lit("["))
+    return F.concat(F.lit("^"), F.replace(r, F.lit("\u0002"), F.lit("]")), F.lit("$"))
 
 
 def discover_files(listing: DataFrame, rules: DataFrame) -> DataFrame:

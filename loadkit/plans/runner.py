@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import contextlib
 import datetime as _dt
+import json
 import re
 from dataclasses import dataclass, field
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadkit.contracts import ContractError, FeedContract, LoadSpec, validate_target_columns
-from loadkit.functions.exprs import substitute
+from loadkit.functions.exprs import ntz_literal, substitute
 from loadkit.operators.audit import JobAudit, MessageLog
 from loadkit.operators.ledger import (FAILED, LEDGER_KEY, LEDGER_SCHEMA, LOAD, SKIPPED, SUCCESS, discover_files, entity_rules,
                                       select_files, skip_others, stage_new_files)
@@ -125,6 +126,9 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
     else:
         if not spark.catalog.tableExists(spec.target):
             raise ContractError(f"target table {spec.target} does not exist")
+        table = CatalogRuns(spark, spec.target)
+        if table.committed(run_id) or (spec.strategy == "insert" and _inserted(spark, spec, run_ts)):
+            return _replayed(spark, spec, table, run_id)
         tgt = spark.table(spec.target)
     bad = validate_target_columns(tgt.columns, spec)
     if bad:
@@ -165,7 +169,7 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
             metrics = table.upsert(observed_src, spec.keys, spec.audit, spec.load_id, run_ts, run_id, spec.delete_flag_col, spec.detect_deletes,
                                    spec.delete_scope, spec.compare, spec.on_reappear, spec.key_exprs)
             return _after_publish(spark, spec, table, run_id, names, tgt_view, {**metrics, **observed(src_obs, "rows_read", "rows_without_key"), **split}, None)
-        new = upsert_frame(tgt, observed_src, spec.keys, spec.audit, spec.load_id, run_ts,
+        new = upsert_frame(tgt, src if spec.native_merge else observed_src, spec.keys, spec.audit, spec.load_id, run_ts,
                            delete_flag_col=spec.delete_flag_col, detect_deletes=spec.detect_deletes,
                            compare=spec.compare, on_reappear=spec.on_reappear, key_exprs=spec.key_exprs)
         a = F.col(ACTION_COL)
@@ -182,12 +186,16 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
             if kept:
                 metrics |= kept | {"rows_removed": metrics["rows_total"] - kept["rows_kept"]}
         elif spec.native_merge:
-            merge_into(observed_src, spec.target, tgt.schema, spec.keys, spec.audit, spec.load_id, run_ts, spec.delete_flag_col,
+            # a row-level statement reports no counts: they are taken from the frames before it
+            metrics = new.agg(*[c.alias(n) for n, c in observe.items()]).first().asDict()
+            metrics |= src.agg(F.count(F.lit(1)).alias("rows_read"), F.sum(F.when(no_key, 1).otherwise(0)).cast("long").alias("rows_without_key")).first().asDict()
+            merge_into(src, spec.target, tgt.schema, spec.keys, spec.audit, spec.load_id, run_ts, spec.delete_flag_col,
                        spec.detect_deletes, spec.on_reappear, spec.key_exprs).merge()
-            snap, metrics = None, {}
+            snap = None
         else:
             snap, metrics = None, _overwrite_catalog(spark, spec.target, new, observe)
-        metrics.update(observed(src_obs, "rows_read", "rows_without_key"))
+        if not spec.native_merge:
+            metrics.update(observed(src_obs, "rows_read", "rows_without_key"))
         metrics.update(split)
     elif spec.strategy == "insert":
         rows = append_rows(tgt.schema, src, spec.audit, spec.load_id, run_ts)
@@ -204,16 +212,16 @@ def _run_load(spark: SparkSession, spec: LoadSpec, run_id: str, run_ts: _dt.date
         metrics.update(split)
     else:  # validated above; kept for safety
         raise ContractError(f"unknown update strategy {spec.strategy!r}")
-    return _after_publish(spark, spec, table if snap_target else None, run_id, names, tgt_view, metrics, snap)
+    if not snap_target:
+        table.mark_committed(run_id)
+    return _after_publish(spark, spec, table, run_id, names, tgt_view, metrics, snap)
 
 
 def _after_publish(spark: SparkSession, spec: LoadSpec, table, run_id: str, names: dict, tgt_view: str, metrics: dict, snap) -> LoadResult:
-    if table is not None:
-        table.read().createOrReplaceTempView(tgt_view)   # the post hook sees the version just committed
+    table.read().createOrReplaceTempView(tgt_view)   # the post hook sees the version just committed
     if spec.post_sql:
         run_sql_hook(spark, spec.post_sql, names)
-        if table is not None:
-            table.mark_hook_done(run_id)
+        table.mark_hook_done(run_id)
     # the run-scoped views stay registered: hooks may have defined views over them
     return LoadResult(run_id, "completed", metrics, snap)
 
@@ -267,14 +275,57 @@ def leave_out(spark: SparkSession, spec: LoadSpec, new: DataFrame, run_id: str)
     return new
 
 
-def _replayed(spark: SparkSession, spec: LoadSpec, table: SnapshotTable | PartitionedTable, run_id: str) -> LoadResult:
+class CatalogRuns:
+    """Run ids that a catalog table has taken in, and whether their post hook is done: a
+    table property that remembers the latest ``KEPT`` runs."""
+
+    PROPERTY, KEPT = "loadkit.runs", 200
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def _runs(self) -> dict[str, str]:
+        held = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
+        return json.loads(held.get(self.PROPERTY) or "{}")
+
+    def _mark(self, run_id: str, state: str) -> None:
+        runs = {k: v for k, v in self._runs().items() if k != run_id} | {run_id: state}
+        text = json.dumps(dict(list(runs.items())[-self.KEPT:])).replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('{self.PROPERTY}' = '{text}')")
+
+    def committed(self, run_id: str) -> bool:
+        return run_id in self._runs()
+
+    def mark_committed(self, run_id: str) -> None:
+        self._mark(run_id, "committed")
+
+    def hook_done(self, run_id: str) -> bool:
+        return self._runs().get(run_id) == "hook done"
+
+    def mark_hook_done(self, run_id: str) -> None:
+        self._mark(run_id, "hook done")
+
+
+def _inserted(spark: SparkSession, spec: LoadSpec, run_ts: _dt.datetime) -> bool:
+    """Whether the target holds rows of this very insert (its audit columns tell), as after
+    a crash between the insert and the note of it."""
+    t = spark.table(spec.target)
+    ts, by = conform_names(t, [spec.audit.insert_ts, spec.audit.insert_by])
+    own = (F.col(by) == F.lit(spec.load_id).cast(t.schema[by].dataType)) & (F.col(ts) == ntz_literal(run_ts).cast(t.schema[ts].dataType))
+    return not t.filter(own).limit(1).isEmpty()
+
+
+def _replayed(spark: SparkSession, spec: LoadSpec, table: SnapshotTable | PartitionedTable | CatalogRuns, run_id: str) -> LoadResult:
     """A run that is committed already writes nothing; a post hook that did not finish
     runs now, on the committed table and the source as it is."""
     if spec.post_sql and not table.hook_done(run_id):
         src_view, tgt_view = _view_name("loadkit_source", run_id), _view_name("loadkit_target", run_id)
         read_source(spark, spec.source, spec.source_type).createOrReplaceTempView(src_view)
         table.read().createOrReplaceTempView(tgt_view)
-        run_sql_hook(spark, spec.post_sql, {"source": src_view, "target": tgt_view})
+        run_sql_hook(spark, spec.post_sql, {"source": src_view, "target": spec.target if isinstance(table, CatalogRuns) else tgt_view})
         table.mark_hook_done(run_id)
     return LoadResult(run_id, "completed", {}, None, "run already committed")
 
@@ -412,8 +463,9 @@ def _escape(path: str) -> str:
 
 
 def load_xml_feed(spark: SparkSession, contract, ledger: SnapshotTable | EventLedger, staging: dict[str, SnapshotTable],
-                  entity_key: str, run_id: str) -> LoadResult:
-    """Every queued XML file of an entity (oldest first), parsed once. A file with a
+                  entity_key: str, run_id: str, files_per_scan: int = FILES_PER_SCAN) -> LoadResult:
+    """Every queued XML file of an entity (oldest first), parsed once, ``files_per_scan``
+    at a time. A file with a
     document that does not parse, or with none, is ``failed`` and contributes nothing;
     the others' record sets are appended to their staging tables stamped with the run id
     (earlier unconsumed runs stay, D36). A staging version remembers its files, so a
@@ -430,44 +482,58 @@ def load_xml_feed(spark: SparkSession, contract, ledger: SnapshotTable | EventLe
         return LoadResult(run_id, "completed", {"n_files": 0}, None, "no file to load")
     book.started(chosen, run_id)
     try:
-        return _load_xml_chosen(spark, contract, book, staging, run_id, chosen)
+        return _load_xml_chosen(spark, contract, book, staging, run_id, chosen, files_per_scan)
     except Exception as e:
         book.broken(chosen, run_id, f"Error: {e}")
         raise
 
 
-def _load_xml_chosen(spark, contract, book, staging, run_id, chosen) -> LoadResult:
+def _load_xml_chosen(spark, contract, book, staging, run_id, chosen, files_per_scan) -> LoadResult:
+    n, updates = chosen.count(), None
+    metrics = {"n_files": n, "n_failed_files": 0} | {f"rows_{rs.name}": 0 for rs in contract.record_sets if rs.name in staging}
+    for lo in range(0, n, files_per_scan):
+        part = chosen.filter((F.col("load_seq") > lo) & (F.col("load_seq") <= lo + files_per_scan))
+        st = _load_xml_part(spark, contract, staging, run_id, run_id if not lo else f"{run_id}:{lo}", part, metrics)
+        updates = st if updates is None else updates.unionByName(st)
+    book.outcome(updates, run_id)
+    return LoadResult(run_id, "failed" if metrics["n_failed_files"] else "completed", metrics, None)
+
+
+def _load_xml_part(spark, contract, staging, run_id, version, part, metrics) -> DataFrame:
+    """One scan of files: append their record sets, count, return the files' outcomes."""
     from loadkit.sources.xml import SOURCE_FILE as XML_FILE
     from loadkit.sources.xml import document_outcomes, load_xml_recordsets
-    keys = chosen.select(*LEDGER_KEY, plain_path(F.regexp_replace("src_entity_path", "%", "%25")).alias("_path"))
-    held = {r["_path"]: r["src_entity_inst_key"] for r in keys.collect()}
+    key = "src_entity_inst_key string"
+    keys = part.select(*LEDGER_KEY, plain_path(F.regexp_replace("src_entity_path", "%", "%25")).alias("_path"))
+    held = {}
+    for r in keys.collect():     # at most files_per_scan
+        held[r["_path"]] = max(held.get(r["_path"], ""), r["src_entity_inst_key"])
     sets = load_xml_recordsets(spark, [_escape(p) for p in held], contract, with_source_file=True, documents=True)
     counts = document_outcomes(sets.pop("")).select(plain_path(F.col(XML_FILE)).alias("_path"), "n_documents", "n_rejects")
     outcome = keys.join(counts, "_path", "left").fillna(0, ["n_documents", "n_rejects"])
-    outcome = spark.createDataFrame(outcome.collect(), outcome.schema)   # one row a file
-    bad = (F.col("n_rejects") > 0) | (F.col("n_documents") == 0)
-    good = {r["_path"]: r["src_entity_inst_key"] for r in outcome.filter(~bad).collect()}
-    metrics = {"n_files": len(held), "n_failed_files": len(held) - len(good)}
+    rows = outcome.collect()     # one row a file
+    outcome = spark.createDataFrame(rows, outcome.schema)
+    # an older delivery of a path that was delivered again tells what its newest one tells
+    good = {p: k for p, k in held.items() if all(r["n_rejects"] == 0 and r["n_documents"] for r in rows if r["_path"] == p)}
+    metrics["n_failed_files"] += sum(r["_path"] not in good for r in rows)
     for name, df in sets.items():
         if name not in staging:
             continue
-        offered = spark.createDataFrame([(k, p) for p, k in good.items()], "src_entity_inst_key string, _path string")
+        offered = spark.createDataFrame([(k, p) for p, k in good.items()], f"{key}, _path string")
         fresh = {r["_path"]: r["src_entity_inst_key"] for r in offered.join(staging[name].published(), "src_entity_inst_key", "left_anti").collect()}
-        metrics[f"rows_{name}"] = 0
         if fresh:
             paths = spark.createDataFrame([(p,) for p in fresh], "_path string")
             body = (df.withColumn("_path", plain_path(F.col(XML_FILE))).join(paths, "_path", "left_semi")
                     .drop(XML_FILE, "_path").withColumn("_run_id", F.lit(run_id)))
-            _, m = staging[name].write(body, run_id=run_id, observe={"rows": F.count(F.lit(1))}, mode="append",
-                                         files=spark.createDataFrame([(k,) for k in fresh.values()], "src_entity_inst_key string"))
-            metrics[f"rows_{name}"] = m.get("rows", 0)
+            _, m = staging[name].write(body, run_id=version, observe={"rows": F.count(F.lit(1))}, mode="append",
+                                       files=spark.createDataFrame([(k,) for k in fresh.values()], key))
+            metrics[f"rows_{name}"] += m.get("rows", 0)
+    bad = (F.col("n_rejects") > 0) | (F.col("n_documents") == 0)
     told = (F.when(F.col("n_documents") == 0, F.lit("rejected: no document"))
             .when(bad, F.concat(F.lit("rejected: "), F.col("n_rejects").cast("string"), F.lit(" unparsable documents")))
             .otherwise(F.concat(F.lit("loaded: "), F.col("n_documents").cast("string"), F.lit(" documents"))))
-    updates = outcome.select(*LEDGER_KEY, F.when(bad, FAILED).otherwise(SUCCESS).alias("src_entity_load_status"),
-                             told.alias("src_entity_load_mesg"), F.lit(run_id).alias("src_entity_load_run_id"), F.col("n_documents").alias("n_rows"))
-    book.outcome(updates, run_id)
-    return LoadResult(run_id, "completed" if good and len(good) == len(held) else "failed", metrics, None)
+    return outcome.select(*LEDGER_KEY, F.when(bad, FAILED).otherwise(SUCCESS).alias("src_entity_load_status"),
+                          told.alias("src_entity_load_mesg"), F.lit(run_id).alias("src_entity_load_run_id"), F.col("n_documents").alias("n_rows"))
 
 
 def load_many(spark: SparkSession, feeds: list[tuple[FeedContract, SnapshotTable, str]], ledger: SnapshotTable | EventLedger,
