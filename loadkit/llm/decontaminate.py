@@ -1,26 +1,27 @@
 """Benchmark decontamination by latent semantic retrieval (operator 5).
 
 The query set is the benchmark: its items, cut into passages of at most
-``ITEM_WORDS`` words, are taken in blocks of ``BLOCK_PASSAGES``; every document meets
+``ITEM_WORDS`` words, are taken in blocks of about ``BLOCK_PASSAGES``; every document meets
 every block. For a block:
 
 1. Documents become sequences of the block's vocabulary (0: any other word), written
    once; document frequencies over all of them give the weights.
 2. The TF-IDF matrix of the corpus' passages (windows of ``WINDOW_WORDS`` words) gets
    a randomised SVD: each task adds up A'A W for a fixed Gaussian W, and from the sum
-   alone the Nystroem form gives the leading right singular vectors. With the
-   benchmark's own passages as further rows they span the latent space. (Alone, the
-   ``RANK`` leading directions of a corpus say too little of a passage that is rare in
-   it: real leaks fell to cosines of 0.2.)
-3. Every window (overlapping by half) is compared with every benchmark passage in the
-   latent space; a cosine of ``CANDIDATE`` or more makes a candidate, and so does a
-   window in which ``HELD`` of the passage's own energy is found (all of it for passages
-   under ``SHORT_WORDS`` words), whatever words stand beside it. (A word's latent
-   products with the passages are tabled once; a window adds up its words' rows.)
-4. A candidate is verified on its words: the longest common subsequence must hold
-   ``LCS_SHARE`` of the passage's words, or ``PARAPHRASE_SHARE`` of them and
-   ``ANSWER_SHARE`` of its answer (the last sentence, at least its last
-   ``ANSWER_WORDS`` words). Passages under ``SHORT_WORDS`` words must occur unbroken.
+   alone the Nystroem form gives the ``RANK`` leading right singular vectors. The
+   ``ITEM_RANK`` leading ones of the benchmark's own passages join them, as a corpus'
+   directions alone say too little of a passage that is rare in it. A word then costs as
+   many numbers as the space has dimensions, however many passages there are.
+3. Every window (overlapping by half) is projected and compared with every passage: a
+   latent cosine of ``CANDIDATE`` makes a candidate, if the window also holds ``LEAST``
+   of the passage's own energy (the squared weights of its telling words). A window that
+   holds ``HELD`` of it is a candidate whatever its cosine, which falls with every word
+   beside the passage. Passages under ``SHORT_WORDS`` words must be there with all words.
+4. A candidate is verified on its words: in the window and half a window around it the
+   longest common subsequence must hold ``LCS_SHARE`` of the passage's words; or, in the
+   window, ``PARAPHRASE_SHARE`` of them and ``ANSWER_SHARE`` of its answer (the last
+   sentence, at least its last ``ANSWER_WORDS`` words). Passages under ``SHORT_WORDS``
+   words must occur unbroken.
 
 Defined results: NULL and empty texts and items hold nothing; items with equal ids
 are one item; rows with equal id and text get the same answer; an empty benchmark
@@ -40,13 +41,17 @@ from pyspark.sql import functions as F
 
 from loadkit.llm.common import cut, fresh, map_slices, slices, table, text_rows
 
-BLOCK_PASSAGES = 512
+BLOCK_PASSAGES = 4096
 ITEM_WORDS = 48
 WINDOW_WORDS = 64          # steps of half of it
 RANK = 32                  # of the corpus' SVD
-COMMON = 1.0               # words of less idf (in over a third of the documents) are left out of it
-CANDIDATE = 0.45
-HELD = 0.4
+ITEM_RANK = 96             # of the passages' own
+COMMON = 1.0               # words of less idf (in over a third of the documents) are left out of both
+TELLING = 0.9              # share of a passage's energy that its telling words, rarest first, hold
+CANDIDATE = 0.3
+LEAST = 0.25
+HELD = 0.5
+CELLS = 1 << 22            # windows times passages looked at together, about
 LCS_SHARE = 0.7
 PARAPHRASE_SHARE = 0.5
 ANSWER_SHARE = 0.8
@@ -87,7 +92,7 @@ def lcs(a: list[int], b: list[int]) -> int:
 
 
 class Block:
-    """Benchmark passages, their vocabulary and, once fitted, their latent vectors."""
+    """Benchmark passages, their vocabulary and, once fitted, their places in the latent space."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.items, self.words, self.answers = [], [], []
@@ -105,16 +110,15 @@ class Block:
         words = words_of(text)
         return np.fromiter(map(self.vocabulary.get, words, repeat(0)), self.kind, len(words)).tobytes()
 
-    def rows(self) -> np.ndarray:
-        """TF-IDF vectors of the benchmark passages."""
-        m = np.zeros((len(self.words), self.size), np.float32)
-        for r, words in zip(m, self.words):
-            np.add.at(r, words, self.idf[words])
-        return m
+    def rows(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The passages' vectors as (passage, word, value), a row per distinct word."""
+        of = [(p, w, k) for p, words in enumerate(self.words) for w, k in Counter(words).items()]
+        p, w, k = (np.array(x, np.int64) for x in zip(*of))
+        return p, w, k * weights[w].astype(np.float64)
 
     def fit(self, sums: np.ndarray, w: np.ndarray) -> None:
-        """``sums``: A'A W over the corpus' windows."""
-        m = self.rows().astype(np.float64)
+        """The latent space; ``sums``: A'A W over the corpus' windows."""
+        telling = np.where(self.idf < COMMON, 0, self.idf)
         shift = 1e-10 * np.linalg.norm(sums)
         y = sums + shift * w
         core = w.T @ y
@@ -122,16 +126,58 @@ class Block:
         good = values > max(values.max(initial=0), 0) * 1e-12
         left, self.spread, _ = np.linalg.svd(y @ vectors[:, good] / np.sqrt(values[good]), full_matrices=False)
         self.leading = left[:, self.spread > self.spread[:1].max(initial=0) * 1e-9]
-        own, size, _ = np.linalg.svd(np.hstack([self.leading, (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)).T]), full_matrices=False)
-        basis = own[:, size > 1e-6].astype(np.float32)
-        norm = np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
-        self.queries = (m / norm).astype(np.float32) @ basis
-        # what a word adds to a window's latent product with each passage, and to its energy
-        self.adds = np.hstack([(basis * self.idf[:, None]) @ self.queries.T, (self.idf ** 2)[:, None]])
+        # the passages' own leading directions, from their products with one another
+        p, word, x = self.rows(telling)
+        n = len(self.words)
+        size = np.sqrt(np.bincount(p, x * x, n))
+        x = x / np.maximum(size[p], 1e-9)
+        by = np.argsort(word, kind="stable")
+        gram = np.zeros((n, n))
+        for run in np.split(by, np.flatnonzero(np.diff(word[by])) + 1):
+            gram[np.ix_(p[run], p[run])] += np.outer(x[run], x[run])
+        values, vectors = np.linalg.eigh(gram)
+        vectors = vectors[:, values > 1e-6][:, -ITEM_RANK:]
+        own = np.zeros((self.size, vectors.shape[1]))
+        np.add.at(own, word, vectors[p] * x[:, None])
+        basis, size, _ = np.linalg.svd(np.hstack([self.leading, own]), full_matrices=False)
+        basis = basis[:, size > 1e-6]
+        # what a word adds to a window's place in the space, and the passages' places
+        self.adds = (basis * telling[:, None]).astype(np.float32)
+        self.queries = np.zeros((n, basis.shape[1]))
+        np.add.at(self.queries, p, basis[word] * x[:, None])
+        self.queries = (self.queries / np.maximum(np.linalg.norm(self.queries, axis=1, keepdims=True), 1e-9)).astype(np.float32)
         self.needed = [Counter(x) for x in self.words]
-        # a window's latent product with a passage that it holds is at least the passage's norm
-        short = np.array([len(x) < SHORT_WORDS for x in self.words])
-        self.held = (np.where(short, 0.999, HELD) * norm[:, 0]).astype(np.float32)
+        self._gates()
+
+    def _gates(self) -> None:
+        """Postings of the words that tell a passage, and the energy that a window needs."""
+        posted: list[list[tuple[int, float]]] = [[] for _ in range(self.size)]
+        self.need = np.zeros(len(self.words), np.float32)     # share: LEAST and HELD are of this
+        self.short = np.array([len(x) < SHORT_WORDS for x in self.words])
+        for k, words in enumerate(self.words):
+            own = sorted(set(words), key=lambda w: (-self.idf[w], w))
+            energy = np.cumsum([float(self.idf[w]) ** 2 for w in own])
+            last = len(own) if self.short[k] else int(np.searchsorted(energy, TELLING * energy[-1])) + 1
+            for w in own[:last]:
+                posted[w].append((k, float(self.idf[w]) ** 2))
+            self.need[k] = energy[min(last, len(own)) - 1]
+        self.many = np.array([len(x) for x in posted])
+        self.start = np.concatenate([[0], np.cumsum(self.many)])
+        flat = [x for one in posted for x in one]
+        self.posted = np.array([k for k, _ in flat], np.int64)
+        self.energy = np.array([e for _, e in flat], np.float32)
+
+    def shared(self, of: np.ndarray, words: np.ndarray, n_halves: int) -> np.ndarray:
+        """Energy of each passage's telling words in each half window."""
+        keep = self.many[words] > 0
+        # a word counts once in a half
+        pairs = np.unique(of[keep] * self.size + words[keep])
+        of, words = np.divmod(pairs, self.size)
+        many = self.many[words]
+        ends = np.cumsum(many)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[words] - (ends - many), many)
+        out = np.bincount(np.repeat(of, many) * len(self.words) + self.posted[at], self.energy[at], n_halves * len(self.words))
+        return out.astype(np.float32).reshape(n_halves, -1)
 
     def halves(self, docs: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sums of ``weights`` over the half windows of all documents, and how many each has."""
@@ -150,43 +196,68 @@ class Block:
             out[part[new]] += np.add.reduceat(weights[own], new, axis=0)
         return out, counts
 
-    def verify(self, window: np.ndarray, passage: int) -> tuple[float, float] | None:
-        """(share of the passage's words in order, share of its answer's) of a leak."""
+    def verify(self, doc: np.ndarray, at: int, passage: int) -> tuple[float, float] | None:
+        """(share of the passage's words in order, share of its answer's) of a leak whose
+        window begins at word ``at``."""
         words, answer = self.words[passage], self.answers[passage]
-        seen = window.tolist()
+        half = WINDOW_WORDS // 2
+        near, around = doc[at:at + WINDOW_WORDS].tolist(), doc[max(0, at - half):at + WINDOW_WORDS + half].tolist()
         n = len(words)
         if n < SHORT_WORDS:
-            at = (i for i, x in enumerate(seen) if x == words[0])
-            return (1.0, 1.0) if any(seen[i:i + n] == words for i in at) else None
-        have, common = Counter(seen), 0
+            places = (i for i, x in enumerate(near) if x == words[0])
+            return (1.0, 1.0) if any(near[i:i + n] == words for i in places) else None
+        have, common = Counter(around), 0
         for w, k in self.needed[passage].items():
             common += min(k, have[w])
         if common < PARAPHRASE_SHARE * n:
             return None
-        share = lcs(words, seen) / n
-        told = lcs(words[n - answer:], seen) / answer if answer else 0.0
-        return (share, told) if share >= LCS_SHARE or share >= PARAPHRASE_SHARE and told >= ANSWER_SHARE else None
+        share = lcs(words, around) / n
+        told = lcs(words[n - answer:], near) / answer if answer else 0.0
+        if share >= LCS_SHARE:
+            return share, told
+        share = lcs(words, near) / n
+        return (share, told) if share >= PARAPHRASE_SHARE and told >= ANSWER_SHARE else None
 
     def search(self, docs: list[np.ndarray]) -> list[tuple[int, int, float, float, float]]:
         """(document, item, cosine, shares) of the leaks in some documents."""
-        sums, counts = self.halves(docs, self.adds)
-        if not len(sums):
-            return []
+        out, lo, half = [], 0, WINDOW_WORDS // 2
+        most = max(1, CELLS // len(self.words)) * half
+        sizes = np.cumsum([0] + [len(d) + half for d in docs])
+        while lo < len(docs):      # some documents at a time, a very long one by itself
+            hi = max(lo + 1, int(np.searchsorted(sizes, sizes[lo] + most, side="right")) - 1)
+            out += [(lo + d, *rest) for d, *rest in self._search(docs[lo:hi])]
+            lo = hi
+        return out
+
+    def candidates(self, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, first word, passage, latent cosine) of the windows to verify."""
+        half = WINDOW_WORDS // 2
+        places, counts = self.halves(docs, self.adds)
+        none = np.zeros(0, np.int64)
+        if not len(places):
+            return none, none, none, none.astype(np.float32)
+        first = np.concatenate([[0], np.cumsum(counts)])[:-1]
+        words = np.concatenate(docs).astype(np.int64)
+        of = np.repeat(first, [len(d) for d in docs]) + np.concatenate([np.arange(len(d)) for d in docs]) // half
+        energy = self.shared(of, words, len(places))
         doc = np.repeat(np.arange(len(docs)), counts)
         last = np.append(doc[1:] != doc[:-1], True)
-        window = sums.copy()
-        window[:-1] += np.where(last[:-1, None], 0, sums[1:])
-        window[last & np.append(False, ~last[:-1])] = 0   # a last half alone, where there is a half before it
-        cosines = window[:, :-1] / np.sqrt(np.maximum(window[:, -1:], 1e-12))   # energy: at most the squared norm
-        first = np.concatenate([[0], np.cumsum(counts)])[:-1]
-        half = WINDOW_WORDS // 2
+        alone = last & np.append(False, ~last[:-1])    # a last half alone, where there is a half before it
+        for x in (places, energy):
+            x[:-1] += np.where(last[:-1, None], 0, x[1:])
+            x[alone] = 0
+        cosines = (places / np.maximum(np.linalg.norm(places, axis=1, keepdims=True), 1e-9)) @ self.queries.T
+        told = energy >= np.where(self.short, 0.999, HELD) * self.need
+        told |= ~self.short & (cosines >= CANDIDATE) & (energy >= LEAST * self.need)
+        k, p = np.nonzero(told)
+        return doc[k], (k - first[doc[k]]) * half, p, cosines[k, p]
+
+    def _search(self, docs: list[np.ndarray]) -> list[tuple[int, int, float, float, float]]:
         found: dict[tuple[int, int], tuple[float, float, float]] = {}
-        for k, p in np.argwhere((cosines >= CANDIDATE) | (window[:, :-1] >= self.held)).tolist():
-            d = int(doc[k])
-            at = (k - int(first[d])) * half
-            got = self.verify(docs[d][at:at + WINDOW_WORDS], p)
+        for d, at, p, cosine in zip(*(x.tolist() for x in self.candidates(docs))):
+            got = self.verify(docs[d], at, p)
             if got:
-                best = (min(float(cosines[k, p]), 1.0), *got)
+                best = (min(cosine, 1.0), *got)
                 key = d, self.items[p]
                 found[key] = max(found.get(key, best), best, key=lambda x: (x[1], x[2], x[0]))
         return [(*key, *best) for key, best in found.items()]
@@ -294,7 +365,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     and benchmark item that it holds, with the best of its windows."""
     items = (benchmark.select(F.col("item_id").cast("long").alias("item"), F.col("text").cast("string").alias("t"))
              .filter("item is not null and t is not null"))
-    size = F.ceil((F.length("t") + 1) / (ITEM_WORDS * 2))   # at least its passages
+    size = F.size(F.split("t", r"[^\\w]+")) / ITEM_WORDS + 1   # about its passages
     total = items.agg(F.sum(size)).first()[0] or 0
     blocks = max(1, -(-int(total) // BLOCK_PASSAGES))
     out = None

@@ -25,21 +25,98 @@ def test_passages():
     assert [len(p) for p, _ in parts] == [34, 34, 32] and [a for _, a in parts] == [0, 0, 32]
 
 
-def test_latent_space_has_the_corpus_singular_vectors_and_the_items():
-    rng = np.random.default_rng(3)
-    block = Block([(i, " ".join(f"t{rng.integers(60)}" for _ in range(20))) for i in range(4)])
+def _fitted(rng, n_items=12, n_words=20, vocabulary=60):
+    block = Block([(i, " ".join(f"t{rng.integers(vocabulary)}" for _ in range(n_words))) for i in range(n_items)])
     block.idf = np.r_[0, rng.uniform(1, 3, block.size - 1)].astype(np.float32)
     a = rng.standard_normal((50, 3)) @ rng.standard_normal((3, block.size)) * (block.idf > 0)
     w = rng.standard_normal((block.size, 10))
     w[0] = 0
     block.fit(a.T @ (a @ w), w)
+    return block, a
+
+
+def test_latent_space_has_the_corpus_singular_vectors_and_the_items():
+    rng = np.random.default_rng(3)
+    block, a = _fitted(rng, 4)
     _, sizes, top = np.linalg.svd(a)
     assert np.allclose(block.spread[:3], sizes[:3], rtol=1e-6)
     assert np.allclose(np.abs((top[:3] @ block.leading[:, :3]).diagonal()), 1, atol=1e-6)
-    m = block.rows()
+    # more dimensions than passages: products in the space are those of the vectors
+    p, w, x = block.rows(np.where(block.idf < 1, 0, block.idf))
+    m = np.zeros((4, block.size))
+    m[p, w] = x
     assert np.allclose(block.queries @ block.queries.T, (m @ m.T) / np.outer(*[np.linalg.norm(m, axis=1)] * 2), atol=1e-4)
 
 
+def test_a_truncated_space_is_the_one_its_singular_vectors_span(monkeypatch):
+    import loadkit.llm.decontaminate as d
+    monkeypatch.setattr(d, "ITEM_RANK", 5)
+    block, _ = _fitted(np.random.default_rng(8), 30)
+    p, w, x = block.rows(block.idf.astype(float))
+    m = np.zeros((30, block.size))
+    m[p, w] = x
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    own = np.linalg.svd(m)[2][:5]
+    basis = np.linalg.svd(np.hstack([block.leading, own.T]), full_matrices=False)[0]
+    assert block.adds.shape[1] == basis.shape[1] == block.leading.shape[1] + 5 < 30
+    q = m @ basis
+    q /= np.linalg.norm(q, axis=1, keepdims=True)
+    assert np.allclose(block.queries @ block.queries.T, q @ q.T, atol=1e-4)
+
+
+def test_cosines_and_energies_equal_brute_force():
+    rng = np.random.default_rng(4)
+    block, _ = _fitted(rng)
+    docs = [rng.integers(0, block.size, n).astype(block.kind) for n in (0, 5, 32, 33, 64, 65, 300, 31)]
+    docs[6][100:120] = block.words[3]
+    docs[4][20:40] = block.words[7]
+    rows = list(zip(*(x.tolist() for x in block.candidates(docs))))
+    assert {(6, 3), (4, 7)} <= {(d, p) for d, _, p, _ in rows}
+    want = {}
+    for d, ids in enumerate(docs):
+        for at in range(0, max(1, len(ids) - 32), 32):
+            parts = [ids[at:at + 32], ids[at + 32:at + 64]]
+            place = block.adds[np.concatenate(parts).astype(int)].sum(axis=0) if len(ids) else np.zeros(block.adds.shape[1])
+            cos = block.queries @ place / max(np.linalg.norm(place), 1e-9)
+            for p in range(len(block.words)):
+                own = {int(w): float(block.energy[k]) for w in range(block.size) for k in range(block.start[w], block.start[w + 1]) if block.posted[k] == p}
+                energy = sum(own.get(int(w), 0) for part in parts for w in set(part.tolist()))
+                if len(ids) and (energy >= 0.5 * block.need[p] or cos[p] >= 0.3 and energy >= 0.25 * block.need[p]):
+                    want[d, at, p] = cos[p]
+    assert {r[:3] for r in rows} == set(want)
+    assert all(abs(want[r[:3]] - r[3]) < 1e-4 for r in rows)
+    whole = block.search(docs)
+    assert {(d, i) for d, i, *_ in whole} == {(6, 3), (4, 7)} == {(d, i) for k, x in enumerate(docs) for d, i, *_ in [(k, *r[1:]) for r in block.search([x])]}
+
+
+def test_paraphrases_and_spread_items_are_found(spark):
+    import random
+    sf = SMALL.replace("0.001", "0.01")
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    rng, filler = random.Random(5), words_of(" ".join(texts[:50]))
+
+    def edited(words, rate):
+        out = []
+        for w in words:
+            r = rng.random() / rate if rate else 9
+            out += [] if r < 1 / 3 else [rng.choice(filler)] if r < 2 / 3 else [w, rng.choice(filler)] if r < 1 else [w]
+        return out
+
+    def hosted(words):
+        host = words_of(rng.choice(texts))
+        at = rng.randrange(len(host) + 1)
+        return " ".join(host[max(0, at - 200):at] + words + host[at:at + 200])
+    spread = [(i, [x for w in words_of(t)[:48] for x in (w, rng.choice(filler))]) for i, t in items if len(words_of(t)) <= 48]
+    made = [(i, 0, hosted(edited(words_of(t), 0.2))) for i, t in items for _ in range(3)] + [(i, 1, hosted(w)) for i, w in spread]
+    rows = [(k, t) for k, (_, _, t) in enumerate(made)] + [(10_000 + k, t) for k, t in enumerate(texts)]
+    got = {(r.doc_id, r.item_id) for r in leaks(spark.createDataFrame(rows, "doc_id long, text string"),
+                                                 spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for kind in (0, 1):
+        own = [(k, i) for k, (i, kd, _) in enumerate(made) if kd == kind]
+        assert sum(x in got for x in own) >= 0.9 * len(own), kind
+
+
 def test_query_finds_every_document_that_holds_an_item(spark):
     sf = SMALL.replace("0.001", "0.1")
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
