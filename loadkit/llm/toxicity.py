@@ -33,7 +33,6 @@ from loadkit.llm.common import cut, map_slices, slices, table, text_rows
 
 SAMPLE_DOCS = 4000          # labelled documents of each kind, those of least hash
 STEM_LETTERS = (3, 4, 5, 6, 7)
-MAX_STEMS = 5000
 LEAST_EVIDENCE = 20.0       # log-likelihood ratio statistic of a learned stem
 IMPURITY = 1.0              # its clean documents for each toxic one, at most
 LEAST_ODDS = 1.8            # its log odds
@@ -193,8 +192,8 @@ def learn_stems(known: DataFrame) -> dict[str, float]:
     part = lambda x, s: F.when(x > 0, x * F.log(x / (c * s))).otherwise(0.0)
     odds = F.log((c1 + 0.5) / (n[1] + 1)) - F.log((c0 + 0.5) / (n[0] + 1))
     rows = (found.filter((c1 / n[1] > c0 / n[0]) & (c0 <= c1 * IMPURITY) & (2 * (part(c1, s1) + part(c0, s0)) >= LEAST_EVIDENCE))
-            .select("stem", odds.alias("w"), "c1").filter(F.col("w") >= LEAST_ODDS).orderBy(F.desc("c1"), "stem").limit(MAX_STEMS).collect())
-    return {r.stem: r.w for r in rows}
+            .select("stem", odds.alias("w"), "c1").filter(F.col("w") >= LEAST_ODDS).collect())   # of the words of a bounded sample
+    return {r.stem: r.w for r in sorted(rows, key=lambda r: (-r.c1, r.stem))}
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
@@ -233,7 +232,7 @@ def score(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     marks = labelled(labels, sample_docs)   # bounded: 2 * sample_docs rows
     known = cut(texts.join(F.broadcast(marks), texts["doc_id"] == marks["id"]).select("text", "toxic"), "toxicity-sample")
     stems = learn_stems(known)
-    got = feature_rows(known, stems, ["toxic"], "toxic int").orderBy("toxic", *FEATURES).collect()
+    got = sorted(feature_rows(known, stems, ["toxic"], "toxic int").collect(), key=tuple)   # of the bounded sample
     y = np.array([r.toxic for r in got], float)
     model = FIXED_MODEL
     if 0 < y.sum() < len(y):

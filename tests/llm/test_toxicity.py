@@ -61,3 +61,66 @@ def test_odd_rows(spark):
         assert sorted((str(r.doc_id), r.predicted) for r in got) == sorted(
             [("0", 1), ("1", 0), ("2", 0), ("3", 0), ("None", 1), ("1", 0), ("1", 0), ("4", 1)])
     assert score(docs.filter(F.lit(False)), labels).count() == 0
+
+
+def brute_features(text, learned):
+    """The clause patterns told one by one, without automata."""
+    from loadkit.llm.toxicity import INSULTS, NEGATIONS, REPORTS, TARGETS, THREATS
+    sums, sentences, clause = dict.fromkeys(FEATURES, 0.0), [[[]]], None
+    for word in (text or "").replace("\n", " . ").split():
+        sentences[-1][-1].append(word)
+        if word.rstrip("\"'”»)")[-1:] in tuple(".!?…"):
+            sentences.append([[]])
+        elif word[-1] in ",;:":
+            sentences[-1].append([])
+    for sentence in sentences:
+        reported = False
+        for clause in sentence:
+            core = [w.strip("\"'“”«»()[]*_~|.,;:!?…").lower() for w in clause]
+            weight, insult, threat, target = 0.0, False, False, False
+            for i, w in enumerate(core):
+                reported |= w in REPORTS
+                target |= w in TARGETS and w not in INSULTS + THREATS
+                own = 5.0 if w in INSULTS + THREATS else 0.0
+                if w not in NEGATIONS + TARGETS + REPORTS:
+                    own = max(own, learned.get("=" + w, 0.0), *(learned.get(w[:k], 0.0) for k in (3, 4, 5, 6, 7) if len(w) >= k), 0.0)
+                if own:
+                    threat |= w in THREATS
+                    insult |= w not in THREATS
+                    if any(x in NEGATIONS for x in core[max(0, i - 3):i]):
+                        sums["negated"] += own
+                    else:
+                        weight += own
+            for name, hit in (("reported", reported), ("direct", not reported and insult), ("targeted", not reported and insult and target),
+                              ("threat", not reported and threat), ("targeted_threat", not reported and threat and target)):
+                sums[name] += weight * hit
+    return [np.log1p(sums[f]) for f in FEATURES]
+
+
+def test_clauses_equal_brute_force():
+    import random
+    rng = random.Random(6)
+    learned = {"zorg": 3.5, "=blob": 2.0}
+    vocabulary = ["idiot", "Moron", "kill", "you", "him", "not", "never", "said", "the", "house", "zorgan", "blob", "blobs", "nobody", "claims", "and", "\n"]
+    words = Lexicon(learned)
+    for _ in range(3000):
+        text = " ".join(rng.choice(["", "", "\"", "("]) + rng.choice(vocabulary) + rng.choice(["", "", "", "", ",", ".", "!", ";", ".\"", "?)"])
+                        for _ in range(rng.randint(0, 25)))
+        assert np.allclose(words.features(text), brute_features(text, learned)), text
+
+
+def test_negated_and_reported_insults_score_apart(spark):
+    """The grammar decides: the same insults, direct in toxic texts, negated or reported in others."""
+    import random
+    rng = random.Random(9)
+    filler = "the house was old and we went along the river to see it again".split()
+    frames = {1: ["you are a {}", "what a {} you are", "you {}"], 0: ["he said they are a {}", "you are not a {}", "she wrote that you are a {}"]}
+    docs, labels = [], []
+    for i in range(600):
+        kind = i % 2
+        insult = rng.choice(["idiot", "moron", "loser", "clown"])
+        docs.append((i, " ".join(rng.choices(filler, k=30)) + ". " + rng.choice(frames[kind]).format(insult) + ". " + " ".join(rng.choices(filler, k=20))))
+        labels.append((i, kind))
+    got = score(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    held = [r for r in got if r.held_out]
+    assert len(held) > 80 and sum(r.predicted == r.doc_id % 2 for r in held) >= 0.95 * len(held)
