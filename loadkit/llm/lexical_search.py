@@ -35,6 +35,7 @@ OWNERS = 4                   # stages that a bundle passes
 BUNDLE_ITEMS = 256
 BLOCK_DOCS = 8192            # documents per block ...
 BLOCK_POSTINGS = 1 << 19     # ... and postings, about
+BROADCAST_ROWS = 200_000     # (item, term) rows up to which the items' side of a join is sent to all tasks
 FILTER_BITS = 1 << 22        # of the filter that leaves most other terms out
 SALTS = 512
 
@@ -184,10 +185,11 @@ def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             np.frombuffer(row["scores"], np.int64))
 
 
-def visit(state: DataFrame, lists: DataFrame, terms: DataFrame) -> DataFrame:
+def visit(state: DataFrame, lists: DataFrame, terms: DataFrame, small: bool = False) -> DataFrame:
     """One owner's stage: the accumulators of ``state`` after the posting lists of
-    ``terms`` (``bundle, term, w, users``: struct of place and open) have been added."""
-    brought = lists.join(terms, "term").select("bundle", "block", "w", "users", "at", "impacts")
+    ``terms`` (``bundle, term, w, users``: struct of place and open) have been added.
+    ``small``: the terms are few enough to go to the lists, else both are shuffled."""
+    brought = lists.join(F.broadcast(terms) if small else terms, "term").select("bundle", "block", "w", "users", "at", "impacts")
 
     def add(key, held, added):
         bundle, block = key[0].as_py(), key[1].as_py()
@@ -218,7 +220,7 @@ def visit(state: DataFrame, lists: DataFrame, terms: DataFrame) -> DataFrame:
     return state.groupBy("bundle", "block").cogroup(brought.groupBy("bundle", "block")).applyInArrow(add, STATE)
 
 
-def prune(state: DataFrame, limits: DataFrame) -> DataFrame:
+def prune(state: DataFrame, limits: DataFrame, small: bool = False) -> DataFrame:
     """The accumulators that can still reach their item's limit (``bundle, places,
     needs``: the score that each must have by now)."""
     def run(batches):
@@ -231,7 +233,7 @@ def prune(state: DataFrame, limits: DataFrame) -> DataFrame:
                 keep = scores >= need[items]
                 if keep.any():
                     yield from _state(r["bundle"], r["block"], items[keep], at[keep], scores[keep]).to_batches()
-    return state.join(limits, "bundle", "left").mapInArrow(run, STATE)
+    return state.join(F.broadcast(limits) if small else limits, "bundle", "left").mapInArrow(run, STATE)
 
 
 def leaders(state: DataFrame, lists: DataFrame, top: int = TOP) -> DataFrame:
@@ -275,9 +277,10 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, owners: int = OWNE
     terms = owned_terms(lists, wanted, n_docs, owners)
     postings = lists.filter(F.col("term").isNotNull()).select("block", "term", "at", "impacts")
     own = lambda k: terms.filter(F.col("owner") == k)
+    small = terms.count() <= BROADCAST_ROWS
 
     nothing = spark.createDataFrame([], STATE)
-    state = cut(visit(nothing, postings, _users(own(0), F.lit(True))), "search-state")
+    state = cut(visit(nothing, postings, _users(own(0), F.lit(True)), small), "search-state")
     # the leaders so far, scored to the end, give each item a score that its tenth must reach
     ahead = leaders(state, lists, top)
     packed = ahead.groupBy("bundle", "block").agg(F.collect_list(F.struct("place", "at", "score")).alias("a")).select(
@@ -287,7 +290,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, owners: int = OWNE
         for b in batches:
             for r in b.to_pylist():
                 yield from _state(r["bundle"], r["block"], *(np.array(r[c]) for c in ("place", "at", "score"))).to_batches()
-    ended = visit(packed.mapInArrow(pack, STATE), postings, _users(terms.filter("owner > 0"), F.lit(False)))
+    ended = visit(packed.mapInArrow(pack, STATE), postings, _users(terms.filter("owner > 0"), F.lit(False)), small)
     goal = (leaders(ended, lists, top).filter(F.col("rank") == top).select("bundle", "place", F.col("score").alias("goal")))
     goal = cut(goal, "search-goals")
 
@@ -297,7 +300,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, owners: int = OWNE
         limits = rest.groupBy("bundle").agg(F.collect_list(F.struct("place", (F.col("goal") - F.col("rest")).alias("need"))).alias("l")).select(
             "bundle", F.col("l.place").alias("places"), F.col("l.need").alias("needs"))
         mine = own(k).join(rest, ["bundle", "place"])
-        state = visit(prune(state, limits), postings, _users(mine, F.col("rest") >= F.col("goal")))
+        state = visit(prune(state, limits, small), postings, _users(mine, F.col("rest") >= F.col("goal")), small)
     names = terms.select("bundle", "place", "item_id").distinct()
     return leaders(state, lists, top).join(names, ["bundle", "place"]).select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
 

@@ -55,11 +55,12 @@ def test_query_against_sql_and_brute_force(spark):
     assert got == brute(rows("documents", "doc_id", "text"), rows("benchmark", "item_id", "text"))
 
 
-@pytest.mark.parametrize("owners, block, bundle", [(1, 8192, 256), (4, 16, 256), (7, 8, 4)])
-def test_pruning_loses_nothing(spark, monkeypatch, owners, block, bundle):
+@pytest.mark.parametrize("owners, block, bundle, rows", [(1, 8192, 256, 10), (4, 16, 256, 200_000), (7, 8, 4, 10)])
+def test_pruning_loses_nothing(spark, monkeypatch, owners, block, bundle, rows):
     """Small blocks and bundles, many stages: every limit and opening rule is in play."""
     monkeypatch.setattr(ls, "BLOCK_DOCS", block)
     monkeypatch.setattr(ls, "BUNDLE_ITEMS", bundle)
+    monkeypatch.setattr(ls, "BROADCAST_ROWS", rows)
     rng = random.Random(owners)
     vocab = [f"w{i}" for i in range(120)]
     weights = [1 / (i + 1) for i in range(120)]
