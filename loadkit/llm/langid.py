@@ -7,9 +7,10 @@ phrases, normalised by the size of its sample and the length of the text
 (``phrases * log2(sample) / symbols``, bits a symbol), wins; ties go to the first
 name in order.
 
-Texts are lower-cased; every run of non-letters is one space. Parsing runs in
-blocks of ``BLOCK`` symbols, each starting a phrase, so that many blocks of many
-texts step through the automaton's table together; all of every text is parsed.
+Texts are lower-cased; every run of non-letters is one space. Blocks of ``BLOCK``
+symbols of many texts step through the automaton's table together; then each block is
+run again from the state in which the one before it ended, so that phrases go on over
+its beginning and a text's phrases are those of the whole text.
 
 Defined results: NULL text or text without a letter is ``und`` with score 0; with
 nothing to learn from, every text is. Letters that no sample holds are a phrase
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from loadkit.llm.common import map_slices, table, text_rows
 
 TRAIN_DOCS = 64            # labelled documents per language, those of least hash
-TRAIN_CHARS_PER_DOC = 640  # of each of them, from its start: bounds the sample, not what is predicted
+TRAIN_CHARS_PER_DOC = 640  # of each of them, from its first letter: bounds the sample, not what is predicted
 BLOCK = 256
 SHARPNESS = 12.0           # of the score: share of exp(-SHARPNESS * bits a symbol)
 SPACE, PAD = 0, 1
@@ -43,9 +44,11 @@ def samples(docs: DataFrame, train_docs: int = TRAIN_DOCS,
             train_chars: int = TRAIN_CHARS_PER_DOC) -> dict[str, list[str]]:
     """Bounded labelled sample: at most ``train_docs * train_chars`` characters a language."""
     doc_id = F.col("doc_id").cast("string")
-    rows = docs.select(F.col("lang").cast("string").alias("lang"), F.xxhash64(doc_id).alias("h"), doc_id.alias("id"),
-                       F.substring(F.col("text").cast("string"), 1, train_chars).alias("t"))
-    rows = rows.filter(F.col("lang").isNotNull() & F.col("t").rlike(r"\p{L}") & (F.crc32("id") % 3 != 1))
+    text = F.col("text").cast("string")
+    first = F.regexp_instr(text, F.lit(r"\p{L}"))      # a head of numbers or marks teaches nothing
+    rows = docs.filter(F.col("lang").isNotNull() & (F.crc32(doc_id) % 3 != 1) & (first > 0)).select(
+        F.col("lang").cast("string").alias("lang"), F.xxhash64(doc_id).alias("h"), doc_id.alias("id"),
+        F.substring(text, first, F.lit(train_chars)).alias("t"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id", "t"))
     out: dict[str, list[str]] = {}
     for r in rows.withColumn("n", nth).filter(F.col("n") <= train_docs).orderBy("lang", "n").collect():
@@ -132,18 +135,33 @@ class CrossParser:
             at += n * BLOCK
         steps = np.ascontiguousarray(grid.reshape(-1, BLOCK).T.astype(np.int64))
         owner = np.repeat(np.arange(len(texts)), blocks)
+        follows = np.append(owner[1:] == owner[:-1], False)     # the next block is of the same text
         out = np.zeros((len(texts), len(self.langs)), np.int64)
         for k, t in enumerate(self.tables):
-            state = np.full(steps.shape[1], len(t) // self.width - 1, np.int64)
-            count = np.zeros(steps.shape[1], np.int64)
-            for c in steps:
-                v = t[state * self.width + c]
-                new = v < 0
-                count += new
-                state = np.where(new, ~v, v).astype(np.int64)
+            begin = np.full(len(owner), len(t) // self.width - 1, np.int64)
+            count, end = self._run(t, steps, begin)
+            # each block again from where the one before it ends, until no end changes: a
+            # phrase that reaches into a block soon gives the ends that the block has alone
+            todo = np.flatnonzero(follows) + 1
+            while len(todo := todo[end[todo - 1] != begin[todo]]):
+                begin[todo] = end[todo - 1]
+                count[todo], now = self._run(t, steps[:, todo], begin[todo])
+                moved = todo[(now != end[todo]) & follows[todo]] + 1
+                end[todo] = now
+                todo = moved
             out[:, k] = np.bincount(owner, count, len(texts)).astype(np.int64)
         return out
 
+    def _run(self, t: np.ndarray, steps: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that begin in each block (a column of ``steps``), and the state after it."""
+        state, count = begin, np.zeros(steps.shape[1], np.int64)
+        for c in steps:
+            v = t[state * self.width + c]
+            new = v < 0
+            count += new
+            state = np.where(new, ~v, v).astype(np.int64)
+        return count, state
+
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         encoded = [self.encode(t or "") for t in texts]
         counts = self.phrases(encoded)

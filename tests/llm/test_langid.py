@@ -1,31 +1,35 @@
 import zlib
 
+import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from loadkit.llm.langid import BLOCK, CrossParser, identify, op2_language_id
+import loadkit.llm.langid as langid
+from loadkit.llm.langid import CrossParser, identify, op2_language_id
 
 TEXTS = {"aa": ["the cat sat on the mat", "a dog and a cat"], "bb": ["der hund und die katze", "ein haus über dem see"]}
 
 
 def naive(parser, text, lang):
-    """Greedy longest matches by plain substring search, block by block."""
+    """Greedy longest matches by plain substring search, over the whole text."""
     sample = [parser.encode(t).tolist() for t in TEXTS[lang]]
     found = lambda x: any(x == s[i:i + len(x)] for s in sample for i in range(len(s) - len(x) + 1))
     symbols, n = parser.encode(text).tolist(), 0
-    for at in range(0, len(symbols), BLOCK):
-        block, i = symbols[at:at + BLOCK], 0
-        while i < len(block):
-            k = 1
-            while i + k < len(block) and found(block[i:i + k + 1]):
-                k += 1
-            n, i = n + 1, i + k
+    i = 0
+    while i < len(symbols):
+        k = 1
+        while i + k < len(symbols) and found(symbols[i:i + k + 1]):
+            k += 1
+        n, i = n + 1, i + k
     return n
 
 
-def test_phrases_equal_plain_search():
+@pytest.mark.parametrize("block", [1, 3, 16, 256])
+def test_phrases_equal_plain_search(monkeypatch, block):
+    """Whatever the block: a phrase goes on over its end."""
+    monkeypatch.setattr(langid, "BLOCK", block)
     parser = CrossParser(TEXTS)
-    texts = ["the cat", "katze und hund", "xyz", "the dog über 12 the see", "cat sat on the " * 40, "你好 cat"]
+    texts = ["the cat", "katze und hund", "xyz", "the dog über 12 the see", "cat sat on the " * 40, "你好 cat", "", "the cat sat on the mat a dog and a cat der hund und die katze " * 5]
     got = parser.phrases([parser.encode(t) for t in texts])
     for t, row in zip(texts, got):
         assert [naive(parser, t, lang) for lang in parser.langs] == row.tolist(), t
@@ -61,3 +65,10 @@ def test_odd_rows(spark):
     none = identify(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {(r.lang_pred, r.score) for r in none.collect()} == {("und", 0.0)}
     assert identify(docs.filter(F.lit(False))).count() == 0
+
+
+def test_texts_are_learned_from_their_first_letter_on(spark):
+    rows = [(i, "0123456789 " * 200 + t, lang) for i, (t, lang) in enumerate([("the cat sat on the mat", "aa"), ("der hund und die katze", "bb")] * 6)]
+    rows += [(100, "the cat on the mat", None), (101, "die katze und der hund", None)]
+    got = {r.doc_id: r.lang_pred for r in identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[100] == "aa" and got[101] == "bb"
