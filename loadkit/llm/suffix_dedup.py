@@ -220,11 +220,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = Fal
                    hot_blocks: int = HOT_BLOCKS) -> DataFrame:
     """``doc_id, t, spans``: byte ranges (overlapping ones too) to remove, for the rows that have any."""
     found = cut(corpus_runs(docs, length, gram), "runs")
-    often = found.groupBy("g").agg(F.count("*").alias("c")).filter("c > 1").select("g")
+    # written: a join with a table, not with an aggregate, is one whose hot owner can be split
+    often = cut(found.groupBy("g").agg(F.count("*").alias("c")).filter("c > 1").select("g"), "run-owners")
     hits = cut(found.join(often, "g"), "run-hits")
     place = F.struct(F.col("doc_id").isNotNull().alias("i"), "doc_id", "t", "p")
     blocks = hits.groupBy("g", "b").agg(F.count("*").alias("c"), F.max("n").alias("n"), F.min(place).alias("at"))
-    per_owner = blocks.groupBy("g").agg(F.count("*").alias("n_blocks"))
+    blocks = cut(blocks, "run-blocks")
+    per_owner = cut(blocks.groupBy("g").agg(F.count("*").alias("n_blocks")), "owner-blocks")
     blocks = cut(blocks.join(per_owner, "g").filter("c > 1 or n_blocks > 1")
                  .select("g", "b", "c", "n", "n_blocks", "at.doc_id", "at.t", "at.p"), "blocks")
 
