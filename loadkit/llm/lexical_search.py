@@ -108,7 +108,7 @@ def blocks_of(docs: DataFrame) -> DataFrame:
         parts = max(1, -(-s["docs"] // BLOCK_DOCS), -(-s["postings"] // BLOCK_POSTINGS))
         rows.append((s["kind"], parts, base))
         base += parts
-    where = docs.sparkSession.createDataFrame(rows, "kind int, parts int, base int")
+    where = F.broadcast(docs.sparkSession.createDataFrame(rows, "kind int, parts int, base int"))   # at most 128 rows
     return (docs.withColumn("kind", kind).join(where, "kind")
             .withColumn("block", (F.col("base") + F.pmod(F.xxhash64("row"), F.col("parts"))).cast("int")).drop("kind", "parts", "base"))
 
