@@ -214,7 +214,8 @@ def tiles_of(found: DataFrame, order: Order, tile_rows: int) -> DataFrame:
     leaves["base"] = leaves["parts"].cumsum() - leaves["parts"]
     where = found.sparkSession.createDataFrame(
         [tuple(int(v) for v in r) for r in leaves[["dim", "leaf", "parts", "base"]].to_numpy()], "dim int, leaf long, parts int, base int")
-    dealt = placed.join(where, ["dim", "leaf"]).select(
+    # few rows (at most a leaf per LEAF_SAMPLE sampled vectors, and one per other length): the vectors stay where they are
+    dealt = placed.join(F.broadcast(where) if len(leaves) <= SAMPLE_ROWS else where, ["dim", "leaf"]).select(
         (F.col("base") + F.pmod(F.xxhash64("node"), F.col("parts"))).cast("int").alias("tile"), "dim", "node", "copies", "v")
 
     def pack(t: pa.Table) -> pa.Table:
