@@ -1,7 +1,7 @@
 """Classify source rows as new / changed / unchanged against a target.
 
 The target is projected to ``keys + fingerprint`` before the join, so the
-shuffle carries only what the comparison needs:
+shuffle carries only what the comparison needs, and it is never broadcast:
 
 * ``exact``       the data columns themselves, compared with ``<=>`` (null-safe,
                   type-aware; no false matches)
@@ -101,7 +101,9 @@ def classify_changes(src: DataFrame, tgt: DataFrame, keys: Sequence[str],
     t = (t.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_salt")))
           .filter(F.when(F.col("_n") > 1, F.raise_error(told).cast("boolean")).otherwise(F.lit(True))).drop("_n"))
     s = src.withColumn("_salt", salt(keys, src.columns)).withColumn("_s_fp", fingerprint(data_cols, compare, casts))
-    j = s.join(t, on=[*keys, "_salt"], how="left")
+    # the window leaves t as a sort-merge join takes it; a broadcast planned from file sizes
+    # would send the fingerprints through the driver, and they do not compress as files do
+    j = s.join(t.hint("merge"), on=[*keys, "_salt"], how="left")
     changed = differs(F.col("_s_fp"), F.col("_t_fp"), compare) if data_cols else F.lit(False)
     status = (F.when(F.col("_salt") >= 0, F.lit(NULL_KEY))
                .when(F.col("_in_t").isNull(), F.lit(NEW))
