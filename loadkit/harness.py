@@ -684,6 +684,7 @@ def q_delimited_dates_decimals(spark, sf_dir):
 
 # ---------------------------------------------------------------- XML record sets
 ORDERS_PER_DOC = 64
+RECORDS_PER_FILE = 1 << 20   # orders and lines that one rendered file holds at most about
 
 
 def render_order_documents(spark, sf_dir, path: str, parent_after_child: bool = False,
@@ -693,6 +694,8 @@ def render_order_documents(spark, sf_dir, path: str, parent_after_child: bool =
 
     Document size is bounded by ORDERS_PER_DOC orders and lines per order are
     bounded by the line-number domain, so no collected group grows with the data.
+    There are ``files`` files, more where they would hold more than about
+    ``RECORDS_PER_FILE`` records each: a file is written by one task.
     """
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
@@ -715,6 +718,7 @@ def render_order_documents(spark, sf_dir, path: str, parent_after_child: bool =
     docs = docs.select(F.struct(F.col("doc").cast("string").alias("DOCNUM"),
                                 F.date_format("created", "yyyy-MM-dd").alias("CREATED_ON")).alias("HDR"),
                        "ORDER")
+    files = max(files, -(-(o.count() + li.count()) // RECORDS_PER_FILE))
     (docs.repartition(files).write.format("xml").option("rootTag", "ORDERS").option("rowTag", "DOC")
          .mode("errorifexists").save(path))
     return path

@@ -270,7 +270,8 @@ def q_feeds_independent(spark, sf_dir):
 # ---------------------------------------------------------------- splittable XML
 @register("xml_header_detail_split", H.XML_LINES_SQL)
 def q_xml_header_detail_split(spark, sf_dir):
-    """The order documents as one file, cut at the closing tag that its contract declares."""
+    """The order documents as one file (large tables: files of about ``RECORDS_PER_FILE``
+    records), cut at the closing tag that its contract declares."""
     from loadkit.operators.conform import conform
     from loadkit.sources.xml import load_xml_recordsets
     path = H.render_order_documents(spark, sf_dir, scratch_path(spark, "orders_one_xml"), files=1)
