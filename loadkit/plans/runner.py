@@ -499,6 +499,13 @@ def _load_xml_chosen(spark, contract, book, staging, run_id, chosen, files_per_s
     return LoadResult(run_id, "failed" if metrics["n_failed_files"] else "completed", metrics, None)
 
 
+def _good_files(held: dict, rows: list) -> dict:
+    """The paths of ``held`` all of whose rows are without a fault; an older delivery of a path
+    that was delivered again tells what its newest one tells."""
+    bad = {r["_path"] for r in rows if r["n_rejects"] or not r["n_documents"]}
+    return {p: k for p, k in held.items() if p not in bad}
+
+
 def _load_xml_part(spark, contract, staging, run_id, version, part, metrics) -> DataFrame:
     """One scan of files: append their record sets, count, return the files' outcomes."""
     from loadkit.sources.xml import SOURCE_FILE as XML_FILE
@@ -513,8 +520,7 @@ def _load_xml_part(spark, contract, staging, run_id, version, part, metrics) ->
     outcome = keys.join(counts, "_path", "left").fillna(0, ["n_documents", "n_rejects"])
     rows = outcome.collect()     # one row a file
     outcome = spark.createDataFrame(rows, outcome.schema)
-    # an older delivery of a path that was delivered again tells what its newest one tells
-    good = {p: k for p, k in held.items() if all(r["n_rejects"] == 0 and r["n_documents"] for r in rows if r["_path"] == p)}
+    good = _good_files(held, rows)
     metrics["n_failed_files"] += sum(r["_path"] not in good for r in rows)
     for name, df in sets.items():
         if name not in staging:
