@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadkit.llm.common import connected_components, cut, table
@@ -34,6 +34,7 @@ SAMPLE_ROWS = 16_384        # vectors that the axes and the order of tiles are f
 LEAF_SAMPLE = 8             # sampled vectors per leaf of the order, at least
 ENERGY = (0.35, 0.6, 0.85)  # shares of the sample's energy at which products are tested
 STRIP = 256                 # rows of a tile multiplied at once
+TOLD_ROWS = 1 << 21         # linked vectors of pairs of tiles that a task joins before it gives them out
 SLACK = 1e-9                # rounding that a bound may be off by
 
 
@@ -231,35 +232,53 @@ def tiles_of(found: DataFrame, order: Order, tile_rows: int) -> DataFrame:
     return cut(dealt.groupBy("tile").applyInArrow(pack, TILE), "vector-tiles")
 
 
+def can_link(threshold: float) -> Column:
+    """Whether the boxes of tiles ``a`` and ``b`` can hold a link."""
+    sides = [F.arrays_zip(F.col(f"lo_{s}").alias("lo"), F.col(f"hi_{s}").alias("hi")) for s in "ab"]
+    corner = F.zip_with(*sides, lambda x, y: F.greatest(*[p * q for p in (x["lo"], x["hi"]) for q in (y["lo"], y["hi"])]))
+    most = F.aggregate(corner, F.lit(0.0), lambda t, x: t + x) + F.col("tail_a") * F.col("tail_b")
+    return most >= threshold - SLACK
+
+
+def joined(node: np.ndarray, links: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One row per node: its links summed, and one root for all that the rows connect."""
+    names, at = np.unique(np.concatenate([node, root]), return_inverse=True)
+    label = np.arange(len(names))
+    merge(label, at[:len(node)], at[len(node):])
+    total = np.zeros(len(names), np.int64)
+    np.add.at(total, at[:len(node)], links)
+    mine = np.unique(at[:len(node)])     # every root is a linked node, so no connection is lost
+    return names[mine], total[mine], names[label[mine]]
+
+
 def compare_tiles(tiles: DataFrame, order: Order, threshold: float) -> DataFrame:
-    """``node, links, root`` of every pair of tiles that can hold a link."""
-    boxes = tiles.select("tile", "dim", "lo", "hi", "tail").toArrow().to_pylist()   # one row per tile
-    by_dim: dict[int, dict] = {}
-    for d in {r["dim"] for r in boxes}:
-        own = sorted((r for r in boxes if r["dim"] == d), key=lambda r: r["tile"])
-        by_dim[d] = {k: np.array([r[k] for r in own]) for k in ("tile", "lo", "hi", "tail")}
-
-    def meet(batches):
-        for b in batches:
-            for k in range(b.num_rows):
-                row = b.slice(k, 1)
-                me, box = row.column("tile")[0].as_py(), by_dim[row.column("dim")[0].as_py()]
-                at = int(np.searchsorted(box["tile"], me))
-                lo, hi = box["lo"][at], box["hi"][at]
-                corners = [lo * box["lo"], lo * box["hi"], hi * box["lo"], hi * box["hi"]]
-                most = np.max(corners, axis=0).sum(axis=1) + box["tail"][at] * box["tail"]
-                for t in box["tile"][most >= threshold - SLACK].tolist():
-                    pair = [pa.array([min(me, t)], pa.int32()), pa.array([max(me, t)], pa.int32())]
-                    yield pa.RecordBatch.from_arrays(
-                        [*pair, *(row.column(c) for c in ("tile", "dim", "node", "copies", "x"))],
-                        ["a", "b", "tile", "dim", "node", "copies", "x"])
-    met = tiles.mapInArrow(meet, "a int, b int, tile int, dim int, node binary, copies binary, x binary")
-
-    def link(t: pa.Table) -> pa.Table:
-        held = [_unpack(r) for r in t.to_pylist()]
-        node, links, root = tile_links(held[0], held[1] if len(held) > 1 else None, order, threshold)
-        return pa.table({"node": node, "links": links, "root": root})
-    return cut(met.groupBy("a", "b").applyInArrow(link, "node long, links long, root long"), "vector-links")
+    """``node, links, root`` of every pair of tiles that can hold a link. The written tiles
+    are read once more for each part of them, not shuffled: every tile meets every other one,
+    so shuffled copies would grow with the square of the input. A task tells each node once
+    for about ``TOLD_ROWS`` rows."""
+    a, b = (tiles.select(*[F.col(c).alias(f"{c}_{s}") for c in tiles.columns]) for s in "ab")
+    same = F.col("dim_a") == F.col("dim_b")
+    met = a.join(b.hint("shuffle_replicate_nl"), same & (F.col("tile_a") <= F.col("tile_b")) & can_link(threshold))
+    own = ["tile", "dim", "node", "copies", "x"]
+
+    def link(batches):
+        told, n = [], 0
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in joined(*map(np.concatenate, zip(*told)))], ["node", "links", "root"])
+        for batch in batches:
+            for k in range(batch.num_rows):
+                one, two = ({c: batch.column(f"{c}_{s}")[k].as_py() for c in own} for s in "ab")
+                same = one["tile"] == two["tile"]
+                told.append(tile_links(_unpack(one), None if same else _unpack(two), order, threshold))
+                n += len(told[-1][0])
+                if n > TOLD_ROWS:
+                    yield rows()
+                    told, n = [], 0
+        if n:
+            yield rows()
+    met = met.select(*[f"{c}_{s}" for s in "ab" for c in own])
+    return cut(met.mapInArrow(link, "node long, links long, root long"), "vector-links")
 
 
 def embedding_groups(emb: DataFrame, threshold: float = THRESHOLD, tile_rows: int = TILE_ROWS,

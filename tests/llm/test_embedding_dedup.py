@@ -108,3 +108,22 @@ def test_query_against_sql(spark):
     con.executemany("INSERT INTO embeddings VALUES (?, ?)", [[i, v] for i, v in enumerate(vecs)])
     got = con.execute(f"SELECT vec_id, n_links, component_id, kept FROM ({OP11_SQL})").fetchall()
     assert sorted(got, key=str) == brute(list(enumerate(vecs)))
+
+
+def test_tiles_meet_without_a_shuffle(spark, monkeypatch):
+    """Every tile meets every other one: shuffled copies grow with the square of the input."""
+    from loadkit.llm import embedding_dedup as E
+    seen = {}
+
+    def kept(df, name):
+        seen[name] = df
+        return cut(df, name)
+    cut = E.cut
+    monkeypatch.setattr(E, "cut", kept)
+    monkeypatch.setattr(E, "TOLD_ROWS", 40, raising=False)
+    rng = np.random.default_rng(9)
+    rows = list(enumerate(planted(rng, 90, 12)))
+    df = spark.createDataFrame([(i, v, 0, "x", 1) for i, v in rows], SCHEMA)
+    assert collected(embedding_groups(df, tile_rows=16, sample_rows=64)) == brute(rows)
+    plan = seen["vector-links"]._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
