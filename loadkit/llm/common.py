@@ -78,8 +78,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     nodes that have an edge ``(a, b)``.
 
     Alternating large-star / small-star rounds: each is a partial minimum and one
-    equi-join, so no neighbourhood is ever gathered; rounds grow with the logarithm
-    of the longest chain. Each round's edges are a written table.
+    equi-join, so no neighbourhood is ever gathered, nor is an edge sent to the driver;
+    rounds grow with the logarithm of the longest chain. Each round's edges are a written
+    table.
     """
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
             .filter("u <> v").distinct(), "cc")
@@ -87,9 +88,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (large.join(low.hint("merge"), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         e = cut(small, "cc")
         state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -118,24 +118,25 @@ def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS, hot_bucket: int
     held, asked = keyed(False), keyed(True)
     hot = cut(held.groupBy("key").count().filter(F.col("count") > hot_bucket).select("key"), "hot-buckets")
     some_hot = not hot.isEmpty()
-    cold = held.join(hot, "key", "left_anti") if some_hot else held
+    # no side that grows with the input goes through the driver, however small its files
+    cold = held.join(hot.hint("merge"), "key", "left_anti") if some_hot else held
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    pairs = asked.join(cold, "key").filter((F.col("a") < F.col("b")) & near).select("a", "b")
+    pairs = asked.join(cold.hint("merge"), "key").filter((F.col("a") < F.col("b")) & near).select("a", "b")
 
     if not some_hot:
         return pairs.distinct()
-    member = asked.join(hot, "key", "left_semi").select("key", F.col("a").alias("fp")).distinct()
+    member = asked.join(hot.hint("merge"), "key", "left_semi").select("key", F.col("a").alias("fp")).distinct()
     varies = member.groupBy("key").agg(F.bit_or("fp").bitwiseXOR(F.bit_and("fp")).alias("v"))
     around = longs(_ball(list(range(64)), (max_bits + 1) // 2))
     steps = F.filter(around, lambda m: m.bitwiseAND(F.bitwise_not(F.col("v"))) == 0)
-    point = (member.join(varies, "key")
+    point = (member.join(varies.hint("merge"), "key")
              .select("fp", F.explode(steps).alias("m"))
              .select("fp", F.col("fp").bitwiseXOR(F.col("m")).alias("point"), F.bit_count("m").alias("d"))
              .distinct())
     # odd limits: a member at the larger radius may only meet one at the smaller
     inner = point.filter(F.col("d") <= max_bits // 2)
     first = inner.groupBy("point").agg(F.min("fp").alias("root"))
-    tied = point.join(first, "point").filter("fp <> root").select(F.col("fp").alias("a"), F.col("root").alias("b"))
+    tied = point.join(first.hint("merge"), "point").filter("fp <> root").select(F.col("fp").alias("a"), F.col("root").alias("b"))
     return pairs.unionByName(tied).distinct()
 
 
@@ -148,9 +149,10 @@ def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits
     fps = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     links = link_fingerprints(marked.select("fp").distinct(), max_bits, hot_bucket)
     labels = connected_components(links).withColumnRenamed("node", "fp")
-    rooted = fps.join(labels, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
+    rooted = fps.join(labels.hint("merge"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return marked.join(rooted.join(named, "root").select("fp", "root", "component_id"), "fp")
+    classes = rooted.join(named.hint("merge"), "root").select("fp", "root", "component_id")
+    return marked.join(classes.hint("merge"), "fp")
 
 
 def near_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
@@ -167,7 +169,7 @@ def near_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: in
     best = best.select(doc_id.alias(keys[0]), F.col("doc_id").isNull().alias(keys[1]), F.col("th").alias(keys[2]))
     keyed = docs.select("*", doc_id.alias(keys[0]), F.col("doc_id").isNull().alias(keys[1]), F.xxhash64(F.col("text").cast("string")).alias(keys[2]))
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[2]))
-    return keyed.join(best, keys, "left_semi").withColumn(at, first).filter(F.col(at) == 1).select(*docs.columns)
+    return keyed.join(best.hint("merge"), keys, "left_semi").withColumn(at, first).filter(F.col(at) == 1).select(*docs.columns)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
