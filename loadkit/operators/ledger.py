@@ -7,8 +7,8 @@ set-based DataFrame job: no per-file queries, no driver loops over files.
   literal prefix folder is an ancestor of every file it can match, so each file
   is exploded into its ancestor folders (bounded by path depth) and equi-joined
   with the entities on ``(system, folder)``; the wildcard is checked after the
-  join. Entity tables are small, so AQE turns the join into a broadcast at run
-  time; a hot folder on a sort-merge join is split by AQE skew handling.
+  join. Entity tables are definitions (a row per feed) and are broadcast, so that
+  neither the exploded listing is shuffled nor a hot folder falls to one task.
 * ``stage_new_files`` anti-joins the ledger on the instance key and numbers the
   new files per entity after the entity's highest number so far, with the
   skew-safe ``number_within``.
@@ -108,7 +108,7 @@ def discover_files(listing: DataFrame, rules: DataFrame) -> DataFrame:
     files = listing.select("src_sys_key", "path", _utc_ntz(listing, "modificationTime").alias("_ts"),
                            F.col("length").cast("long").alias("_size"))
     exploded = files.withColumn("_folder", F.explode(_ancestors("path")))
-    j = exploded.join(rules, ["src_sys_key", "_folder"])
+    j = exploded.join(F.broadcast(rules), ["src_sys_key", "_folder"])
     j = j.filter(F.regexp_like(F.col("path"), F.col("_regex")))
     name = basename(F.col("path"))
     return j.select(

@@ -60,11 +60,23 @@ def _allowed(met, status):
     return F.coalesce(ok, F.lit(False))
 
 
+def _rank():
+    return F.array_position(F.array(*[F.lit(s) for s in ORDER]), F.col("event_status"))
+
+
+def _last_status():
+    """Status of a group's latest event. Time and rank as one number, so that the grouping
+    sorts nothing; the time is zone-free, so its parts are taken as they stand."""
+    t = F.col("event_time")
+    seconds = F.unix_date(t.cast("date")).cast("long") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+    micros = seconds * 1_000_000 + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("long")
+    return F.get(F.array(*[F.lit(s) for s in ORDER]), (F.pmod(F.max(micros * 8 + _rank()), F.lit(8)) - 1).cast("int"))
+
+
 def latest_events(events: DataFrame) -> DataFrame:
     """The latest accepted event of each file."""
-    rank = F.array_position(F.array(*[F.lit(s) for s in ORDER]), F.col("event_status"))
     own = ["event_status", "event_time", "event_mesg", "event_run_id", "n_rows"]
-    last = F.max_by(F.struct(*own), F.struct("event_time", rank.alias("rank")))
+    last = F.max_by(F.struct(*own), F.struct("event_time", _rank().alias("rank")))
     return events.filter("accepted").groupBy(*LEDGER_KEY).agg(last.alias("l")).select(*LEDGER_KEY, "l.*")
 
 
@@ -104,15 +116,17 @@ class EventLedger:
 
     def lifecycle(self) -> DataFrame:
         """Per file: attempts, first start, time of the last outcome and its row count."""
-        e = self.events().filter("accepted")
         is_end = F.col("event_status") != STARTED
-        seen = e.groupBy(*LEDGER_KEY).agg(
+        seen = self.events().filter("accepted").groupBy(*LEDGER_KEY).agg(
+            _last_status().alias("_now"),
             F.sum(F.when(is_end, 0).otherwise(1)).cast("long").alias("n_attempts"),
             F.min(F.when(~is_end, F.col("event_time"))).alias("src_entity_load_start_time"),
             F.max(F.when(is_end, F.col("event_time"))).alias("src_entity_load_finish_time"),
             F.max_by(F.col("n_rows"), F.when(is_end, F.col("event_time"))).alias("src_entity_rec_count"))
-        state = self.read().select(*LEDGER_KEY, "src_entity_load_status")
-        return state.join(seen, LEDGER_KEY, "left").withColumn("n_attempts", F.coalesce("n_attempts", F.lit(0)))
+        state = F.coalesce("_now", "src_entity_load_status").alias("src_entity_load_status")
+        return self.files.read_or_empty(LEDGER_SCHEMA).join(seen, LEDGER_KEY, "left").select(
+            *LEDGER_KEY, state, F.coalesce("n_attempts", F.lit(0)).alias("n_attempts"),
+            "src_entity_load_start_time", "src_entity_load_finish_time", "src_entity_rec_count")
 
     def stage(self, rows: DataFrame, run_id: str | None = None) -> None:
         """Append new files (``stage_new_files``)."""
@@ -125,12 +139,11 @@ class EventLedger:
         n_rows = F.col("n_rows").cast("long") if "n_rows" in updates.columns else F.lit(None).cast("long")
         u = updates.select(*LEDGER_KEY, F.col("src_entity_load_status").alias("event_status"), ntz_literal(when or self._clock()).alias("event_time"),
                            F.col("src_entity_load_mesg").alias("event_mesg"), F.col("src_entity_load_run_id").alias("event_run_id"), n_rows.alias("n_rows"))
-        keys = u.select(*LEDGER_KEY).distinct()
-        # only the history of the files at hand is gathered
-        held = self.files.read_or_empty(LEDGER_SCHEMA).join(keys, LEDGER_KEY, "left_semi").select(*LEDGER_KEY, F.col("src_entity_load_status").alias("_first"))
-        now = latest_events(self.events().join(keys, LEDGER_KEY, "left_semi")).select(*LEDGER_KEY, F.col("event_status").alias("_now"))
-        states = held.join(now, LEDGER_KEY, "left").select(*LEDGER_KEY, F.coalesce("_now", "_first").alias("met"))
-        out = u.join(states, LEDGER_KEY, "left").withColumn("accepted", _allowed(F.col("met"), F.col("event_status")))
+        # three shuffles by the key: the updates, the staged files and the events, each once
+        held = self.files.read_or_empty(LEDGER_SCHEMA).select(*LEDGER_KEY, F.col("src_entity_load_status").alias("_first"), F.lit(True).alias("_held"))
+        now = self.events().filter("accepted").groupBy(*LEDGER_KEY).agg(_last_status().alias("_now"))
+        out = u.join(held, LEDGER_KEY, "left").join(now, LEDGER_KEY, "left").withColumn("met", F.when(F.col("_held"), F.coalesce("_now", "_first")))
+        out = out.withColumn("accepted", _allowed(F.col("met"), F.col("event_status")))
         obs = Observation(f"events_{uuid.uuid4().hex[:8]}")
         out = out.select(*EVENT_SCHEMA.names).observe(obs, F.sum(F.col("accepted").cast("long")).alias("accepted"), F.count(F.lit(1)).alias("n"))
         out.write.parquet(f"{self.root}/events/{uuid.uuid4().hex}")
