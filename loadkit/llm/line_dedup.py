@@ -41,29 +41,34 @@ FIELD = "<*>"
 
 
 def n_tokens(plain: Column) -> Column:
-    return F.length(plain) - F.length(F.replace(plain, F.lit(" "), F.lit(""))) + 1
+    return F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(" "), F.lit(""))) + 1
+
+
+def is_deep(plain: Column) -> Column:
+    """``DEPTH`` tokens or more."""
+    return F.substring_index(plain, " ", DEPTH - 1) != plain
 
 
 def leaf(plain: Column) -> Column:
-    first = F.slice(F.split(plain, " ", DEPTH + 1), 1, DEPTH)
-    return F.xxhash64(n_tokens(plain), F.transform(first, lambda x: F.when(x.rlike("[0-9]"), FIELD).otherwise(x)))
+    first = F.substring_index(plain, " ", DEPTH)
+    fields = F.when(first.rlike("[0-9]"), F.regexp_replace(first, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(first)
+    return F.xxhash64(n_tokens(plain), F.split(fields, " "))
 
 
 def line_rows(rows: DataFrame) -> DataFrame:
     """``doc_id, th, line, plain, leaf, known_by`` of every non-blank line: as it is; its
     tokens with one space between; its leaf; leaves of the (up to two) longest lines of
     its document with another leaf, in order."""
-    text = F.col("text")
-    spaced = F.when(text.rlike(r"[\x09\x0B-\x0D]"), F.regexp_replace(text, r"[\x09\x0B-\x0D]", " ")).otherwise(text)
-    found = rows.select("doc_id", "th", F.arrays_zip(F.split("text", "\n", -1).alias("line"),
-                                                     F.transform(F.split(spaced, "\n", -1), F.trim).alias("plain")).alias("lines"))
+    spaced = lambda x: F.when(x.rlike(r"[\x09\x0B-\x0D]"), F.regexp_replace(x, r"[\x09\x0B-\x0D]", " ")).otherwise(x)
+    found = rows.select("doc_id", "th", F.transform(F.split("text", "\n", -1), lambda x: F.struct(x.alias("line"), F.trim(spaced(x)).alias("plain"))).alias("lines"))
     found = found.select("doc_id", "th", F.filter("lines", lambda x: x["plain"] != "").alias("lines"))
     single = lambda x: F.when(F.contains(x, F.lit("  ")), F.regexp_replace(x, " +", " ")).otherwise(x)
     found = found.select("doc_id", "th", F.transform("lines", lambda x: F.struct(x["line"].alias("line"), single(x["plain"]).alias("plain"))).alias("lines"))
     found = found.select("doc_id", "th", "lines", F.transform("lines", lambda x: leaf(x["plain"])).alias("leaves"))
     sized = F.transform("lines", lambda x, i: F.struct((-F.length(x["line"])).alias("n"), i.alias("i"), F.get("leaves", i).alias("leaf")))
     found = found.select("doc_id", "th", "lines", "leaves", F.array_distinct(F.transform(F.array_sort(sized), lambda x: x["leaf"])).alias("longest"))
-    at = found.select("doc_id", "th", "leaves", F.slice("longest", 1, 3).alias("longest"), F.posexplode("lines").alias("i", "x"))
+    # outer: else Spark parses every text once more to leave out those without lines
+    at = found.select("doc_id", "th", "leaves", F.slice("longest", 1, 3).alias("longest"), F.posexplode_outer("lines").alias("i", "x")).filter("i IS NOT NULL")
     at = at.select("doc_id", "th", "x.line", "x.plain", F.get("leaves", F.col("i")).alias("leaf"), "longest")
     return at.select("doc_id", "th", "line", "plain", "leaf", F.slice(F.array_remove("longest", F.col("leaf")), 1, 2).alias("known_by"))
 
@@ -82,7 +87,7 @@ def own_lines(lines: DataFrame, crowded: DataFrame) -> DataFrame:
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``h``: hashes of the lines whose template recurs."""
     rows = text_rows(docs)
-    every = line_rows(rows).withColumn("deep", n_tokens(F.col("plain")) >= DEPTH)
+    every = line_rows(rows).withColumn("deep", is_deep(F.col("plain")))
     deep = every.filter("deep")
     every = cut(every.select("th", F.xxhash64("line").alias("h"), "leaf", "known_by", "doc_id", "deep", F.length("line").alias("size")), "lines")
     lines = every.filter("deep")
@@ -120,15 +125,15 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, counted: bool = Fa
     the text); ``counted`` adds the numbers of non-blank lines and of dropped ones."""
     gone = cut(recurring_lines(docs, min_docs), "recurring-lines")
     rows = text_rows(docs)
-    own = (rows.select("doc_id", "th", F.explode(F.split("text", "\n", -1)).alias("line"))
-           .select("doc_id", "th", F.xxhash64("line").alias("h")).join(gone, "h", "left_semi")
+    own = (rows.select("doc_id", "th", F.explode_outer(F.split("text", "\n", -1)).alias("line"))
+           .filter("line IS NOT NULL").select("doc_id", "th", F.xxhash64("line").alias("h")).join(gone, "h", "left_semi")
            .groupBy("doc_id", "th").agg(F.collect_set("h").alias("gone"))
            .select(F.col("doc_id").alias("_own_id"), F.col("th").alias("_own_th"), F.col("gone").alias("_own_gone")))
     own = cut(own, "own-recurring-lines")
     th = fresh("_th", docs.columns)
     text = F.col("text").cast("string")
     joined = docs.withColumn(th, F.xxhash64(text)).join(
-        own, F.col("doc_id").cast("long").eqNullSafe(F.col("_own_id")) & (F.col(th) == F.col("_own_th")), "left")
+        own.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_own_id")) & (F.col(th) == F.col("_own_th")), "left")
     lines = F.split(text, "\n", -1)
     left = F.filter(lines, lambda x: ~F.array_contains("_own_gone", F.xxhash64(x)))
     new = F.when(F.col("_own_gone").isNotNull(), F.array_join(left, "\n")).otherwise(text)

@@ -106,3 +106,19 @@ def test_long_shared_lines_in_otherwise_different_documents(spark):
         got = {r.doc_id: (r.n_dropped, r.text) for r in drop_recurring(frame, counted=True).collect()}
         assert all(got[i] == (n, body(i)) for i in range(40)), n
         assert all(got[40 + i] == (0, docs[40 + i]) for i in range(30)), n
+
+
+def test_lines_are_parsed_from_one_split_and_leaves_from_the_first_tokens(spark):
+    """op4's CPU: a text is split once, and no line is split as a whole to know its leaf."""
+    from loadkit.llm.common import text_rows
+    from loadkit.llm.line_dedup import is_deep, line_rows
+    lines = ["a b", "a  b\tc", " a b c ", "a b c d7", "a b7 c d", "a 9b c x", "a <*> c y", "é b c", "x1 22 c3 d", "\x0b \r", "", "7"]
+    rows = line_rows(text_rows(spark.createDataFrame([(1, "\n".join(lines)), (2, None), (3, "")], "doc_id long, text string")))
+    got = rows.select("line", "plain", "leaf", is_deep(F.col("plain")).alias("deep")).collect()
+    plain = {x: " ".join(re.split(r"[\x20\x09-\x0D]+", x.strip("\x20\t\x0b\x0c\r"))) for x in lines}
+    assert {r.line: r.plain for r in got} == {k: v for k, v in plain.items() if v}
+    known = {r.line: (len(t := r.plain.split(" ")), *("<*>" if re.search("[0-9]", x) else x for x in t[:3])) for r in got}
+    assert {r.line: r.deep for r in got} == {k: v[0] >= 3 for k, v in known.items()}
+    assert all((a.leaf == b.leaf) == (known[a.line] == known[b.line]) for a in got for b in got)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(text") == 1 and "split(lambda" not in plan, plan
