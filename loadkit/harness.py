@@ -687,40 +687,60 @@ ORDERS_PER_DOC = 64
 RECORDS_PER_FILE = 1 << 20   # orders and lines that one rendered file holds at most about
 
 
+def order_files(spark, sf_dir, least: int = 1) -> int:
+    """Files for the order documents: ``least``, more where they would hold more than about
+    ``RECORDS_PER_FILE`` records each."""
+    records = table(spark, sf_dir, "orders").count() + table(spark, sf_dir, "lineitem").count()
+    return max(least, -(-records // RECORDS_PER_FILE))
+
+
+def order_documents(spark, sf_dir, files: int, parent_after_child: bool = False, part: tuple[int, int] = (0, 1)) -> DataFrame:
+    """Documents of ORDERS_PER_DOC consecutive order keys, in ``files`` partitions: orders and
+    lines are dealt to them by document, in one shuffle, and put together where they land.
+    ``part`` (i, n) is the i-th of n parts of the documents. An order that is there twice has
+    its lines twice; lines without an order are left out."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.struct(
+        "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(15,2)").alias("o_totalprice"),
+        "o_orderdate", "o_orderpriority").alias("o"), F.lit(None).alias("l"))
+    li = table(spark, sf_dir, "lineitem").filter("l_orderkey IS NOT NULL").select(
+        F.col("l_orderkey").alias("k"), F.lit(None).alias("o"),
+        F.struct(F.col("l_linenumber").alias("L_LINENUMBER"), F.col("l_partkey").alias("L_PARTKEY"),
+                 F.col("l_suppkey").alias("L_SUPPKEY"), F.col("l_quantity").cast("decimal(15,2)").alias("L_QTY"),
+                 F.col("l_extendedprice").cast("decimal(15,2)").alias("L_PRICE")).alias("l"))
+    line_type = "array<struct<L_LINENUMBER:string,L_PARTKEY:string,L_SUPPKEY:string,L_QTY:string,L_PRICE:string>>"
+    rows = o.unionByName(li).withColumn("doc", F.expr(f"k div {ORDERS_PER_DOC}"))
+    i, n = part
+    if n > 1:
+        rows = rows.filter(F.pmod(F.xxhash64("doc"), F.lit(n)) == i)
+    orders = (rows.repartition(files, "doc").groupBy("doc", "k").agg(F.collect_list("o").alias("o"), F.collect_list("l").alias("l"))
+                  .select("doc", "k", F.explode("o").alias("o"), F.col("l").cast(line_type).alias("LINE")))
+    k = F.col("k")
+    prio = F.when(k % 7 == 0, F.concat("o.o_orderpriority", F.lit(" & co"))).otherwise(F.col("o.o_orderpriority"))
+    fields = [k.cast("string").alias("O_ORDERKEY"), F.col("o.o_custkey").cast("string").alias("O_CUSTKEY"),
+              F.col("o.o_orderstatus").alias("O_STATUS"), F.col("o.o_totalprice").cast("string").alias("O_TOTAL"),
+              F.date_format("o.o_orderdate", "yyyy-MM-dd").alias("O_DATE"), prio.alias("O_PRIORITY")]
+    order = F.struct(*([F.col("LINE")] + fields if parent_after_child else fields + [F.col("LINE")]))
+    docs = orders.groupBy("doc").agg(F.min("o.o_orderdate").alias("created"), F.collect_list(order).alias("ORDER"))
+    return docs.select(F.struct(F.col("doc").cast("string").alias("DOCNUM"),
+                                F.date_format("created", "yyyy-MM-dd").alias("CREATED_ON")).alias("HDR"),
+                       "ORDER")
+
+
 def render_order_documents(spark, sf_dir, path: str, parent_after_child: bool = False,
-                           files: int = 8) -> str:
+                           files: int = 8, part: tuple[int, int] = (0, 1), **options: str) -> str:
     """orders + lineitem as XML: one <DOC> per 64 consecutive order keys, a header
     segment, repeating <ORDER> with repeating <LINE> children.
 
     Document size is bounded by ORDERS_PER_DOC orders and lines per order are
     bounded by the line-number domain, so no collected group grows with the data.
     There are ``files`` files, more where they would hold more than about
-    ``RECORDS_PER_FILE`` records each: a file is written by one task.
+    ``RECORDS_PER_FILE`` records each: a file is written by one task. With ``part`` (i, n)
+    the i-th of n parts of the documents is written, into its share of the files;
+    ``options`` are the writer's.
     """
-    o = table(spark, sf_dir, "orders")
-    li = table(spark, sf_dir, "lineitem")
-    k = F.col("o_orderkey")
-    line = F.struct(F.col("l_linenumber").cast("string").alias("L_LINENUMBER"),
-                    F.col("l_partkey").cast("string").alias("L_PARTKEY"),
-                    F.col("l_suppkey").cast("string").alias("L_SUPPKEY"),
-                    F.col("l_quantity").cast("decimal(15,2)").cast("string").alias("L_QTY"),
-                    F.col("l_extendedprice").cast("decimal(15,2)").cast("string").alias("L_PRICE"))
-    lines = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(line).alias("LINE"))
-    prio = F.when(k % 7 == 0, F.concat("o_orderpriority", F.lit(" & co"))).otherwise(F.col("o_orderpriority"))
-    fields = [k.cast("string").alias("O_ORDERKEY"), F.col("o_custkey").cast("string").alias("O_CUSTKEY"),
-              F.col("o_orderstatus").alias("O_STATUS"),
-              F.col("o_totalprice").cast("decimal(15,2)").cast("string").alias("O_TOTAL"),
-              F.date_format("o_orderdate", "yyyy-MM-dd").alias("O_DATE"), prio.alias("O_PRIORITY")]
-    order = F.struct(*([F.col("LINE")] + fields if parent_after_child else fields + [F.col("LINE")]))
-    docs = (o.join(lines, "o_orderkey", "left")
-             .groupBy(F.expr(f"o_orderkey div {ORDERS_PER_DOC}").alias("doc"))
-             .agg(F.min("o_orderdate").alias("created"), F.collect_list(order).alias("ORDER")))
-    docs = docs.select(F.struct(F.col("doc").cast("string").alias("DOCNUM"),
-                                F.date_format("created", "yyyy-MM-dd").alias("CREATED_ON")).alias("HDR"),
-                       "ORDER")
-    files = max(files, -(-(o.count() + li.count()) // RECORDS_PER_FILE))
-    (docs.repartition(files).write.format("xml").option("rootTag", "ORDERS").option("rowTag", "DOC")
-         .mode("errorifexists").save(path))
+    share = -(-order_files(spark, sf_dir, files) // part[1])
+    (order_documents(spark, sf_dir, share, parent_after_child, part).write.format("xml")
+        .options(rootTag="ORDERS", rowTag="DOC", **options).mode("errorifexists").save(path))
     return path
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from loadkit import harness as H
 from loadkit.contracts import LoadSpec
 from loadkit.harness import AUDIT, RUN_TS, RUN_TS_SQL, SEED_AUDIT_SQL, register, table, upsert_sql, with_seed_audit
 from loadkit.operators.upsert import ACTION_COL
-from loadkit.session import scratch_path
+from loadkit.session import drop_scratch, scratch_path
 
 TARGET_ORDERS = "SELECT * FROM o WHERE (o_orderkey % 10 <> 0 OR o_orderkey % 70 = 0)"
 
@@ -268,15 +269,25 @@ def q_feeds_independent(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- splittable XML
+PARTS, FILES_PER_PART = 8, 16   # parts of the documents that are on disk one after the other: at most, and files of each at least
+
+
 @register("xml_header_detail_split", H.XML_LINES_SQL)
 def q_xml_header_detail_split(spark, sf_dir):
     """The order documents as one file (large tables: files of about ``RECORDS_PER_FILE``
-    records), cut at the closing tag that its contract declares."""
+    records), cut at the closing tag that its contract declares. Text that is to be split stays
+    uncompressed; large tables are rendered and loaded in up to ``PARTS`` parts, each of whose
+    files go when its documents are loaded."""
     from loadkit.operators.conform import conform
     from loadkit.sources.xml import load_xml_recordsets
-    path = H.render_order_documents(spark, sf_dir, scratch_path(spark, "orders_one_xml"), files=1)
     contract = dataclasses.replace(H.order_xml_contract(), documents_end_with="</DOC>")
-    return conform(load_xml_recordsets(spark, path, contract)["lines"], H._ddl_schema(H.XML_LINE_TYPES))
+    n = min(PARTS, max(1, H.order_files(spark, sf_dir) // FILES_PER_PART))
+    lines = []
+    for i in range(n):
+        path = H.render_order_documents(spark, sf_dir, scratch_path(spark, "orders_one_xml"), files=1, part=(i, n), indent="")
+        lines.append(load_xml_recordsets(spark, path, contract, materialize=True)["lines"])
+        drop_scratch(spark, path)
+    return conform(functools.reduce(DataFrame.unionByName, lines), H._ddl_schema(H.XML_LINE_TYPES))
 
 
 @register("load_xml_feed_hostile_split", H.ORACLES["load_xml_feed_hostile"])

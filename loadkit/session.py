@@ -82,6 +82,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/loadkit/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that `scratch_path` named, once nothing reads it any more."""
+    if not path.startswith(f"{work_root(spark)}/loadkit/"):
+        raise ValueError(f"{path} is not below the work folder")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def observed(obs, *names: str) -> dict:
     """What an `Observation` saw; zeros where the observed rows were found to be none
     while planning, so that nothing ran that could have been observed."""
