@@ -772,7 +772,8 @@ XML_DOC_CTE = f"""
 def _xml_records(spark, sf_dir, record_set: str, types: str, parent_after_child: bool = False):
     from loadkit.session import scratch_path
     from loadkit.sources.xml import load_xml_recordsets
-    path = render_order_documents(spark, sf_dir, scratch_path(spark, "orders_xml"), parent_after_child)
+    # one task reads a file, compressed or not
+    path = render_order_documents(spark, sf_dir, scratch_path(spark, "orders_xml"), parent_after_child, indent="", compression="gzip")
     sets = load_xml_recordsets(spark, path, order_xml_contract())
     return conform(sets[record_set], _ddl_schema(types))
 
